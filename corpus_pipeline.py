@@ -1,8 +1,78 @@
-"""The corpus pipeline; its stages follow."""
+"""From raw documents to token ids: drop toxic documents, drop lines that many documents hold, keep one document of each group
+of near duplicates, drop documents that hold benchmark items, encode the rest.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
+docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm.bpe import bpe_encode
+from tidemark.llm.common import fold, sized, staged, table
+from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.near_dedup import near_groups
+from tidemark.llm.toxicity import fitted, toxicity_scores
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score under 0.5; labels of the fold that is held out are not learnt from."""
+    labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
+    scored = toxicity_scores(docs, fitted(docs, labels))
+    return scored.filter("predicted = 0").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines; n_chars follows the text."""
+    out = line_dedup(docs)
+    columns = [F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*columns)
+
+
+def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates (five words, 0.8); of rows with one id one stays."""
+    groups = staged(near_groups(docs, size=5, threshold=0.8), "groups")
+    out = docs.join(sized(groups.filter("not kept").select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+    again = staged(groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    if not again.limit(1).count():
+        return out
+    others = [c for c in docs.columns if c != "doc_id"]
+    one = out.join(sized(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("x")).select("doc_id", *[F.col("x").getField(c).alias(c) for c in others])
+    return out.join(sized(again), "doc_id", "left_anti").unionByName(one.select(*docs.columns)).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = staged(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
+    return docs.join(sized(found), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (packed little-endian uint32) and the digest of the text that they decode to."""
+    out = bpe_encode(docs, public_tokenizers.path(VOCABULARY), keep_text=False)
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", keep_one_of_group),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+#: SQL cannot express near duplicates and scores; the tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
