@@ -10,6 +10,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ZONE = "Asia/Ho_Chi_Minh"
 FULL_TEXT_CHARS = 200
@@ -21,7 +22,7 @@ def clean_html(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", " "), r"\s+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescaped(s: pd.Series) -> pd.Series:
     return s.map(html.unescape)
 
@@ -34,7 +35,7 @@ def html_text(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(plain, r"(?U)\s+", " "), r"^ | $", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def mention_key(s: pd.Series) -> pd.Series:
     """Case-folded letters and digits without combining marks; anything else is one space."""
 
@@ -47,7 +48,7 @@ def mention_key(s: pd.Series) -> pd.Series:
     return s.map(key)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def absolute_url(base: pd.Series, link: pd.Series) -> pd.Series:
     return pd.Series([urljoin(b or "", x) if x else None for b, x in zip(base, link, strict=True)])
 
