@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def order():
+def by_session():
     return Window.partitionBy("ticker").orderBy("session_date")
 
 
@@ -17,7 +17,7 @@ def prices() -> list[Column]:
 
 
 def lag(c: Column, n: int = 1) -> Column:
-    return F.lag(c, n).over(order())
+    return F.lag(c, n).over(by_session())
 
 
 def change(c: Column, n: int = 1) -> Column:
@@ -26,7 +26,7 @@ def change(c: Column, n: int = 1) -> Column:
 
 def rolling(agg, c: Column, n: int, skip: int = 0) -> Column:
     """agg over the last n sessions (before the last skip ones), null unless all n have a value."""
-    frame = order().rowsBetween(-(n - 1) - skip, -skip)
+    frame = by_session().rowsBetween(-(n - 1) - skip, -skip)
     return F.when(F.count(c).over(frame) == n, agg(c).over(frame))
 
 
@@ -125,7 +125,7 @@ def extremes(df: DataFrame) -> DataFrame:
 def on_balance(df: DataFrame) -> DataFrame:
     C, _, _, _, V = prices()
     out = df.withColumn("_d", F.coalesce(F.signum(C - lag(C)), F.lit(0.0)) * V)
-    out = out.withColumn("obv", F.sum("_d").over(order().rowsBetween(Window.unboundedPreceding, 0))).drop("_d")
+    out = out.withColumn("obv", F.sum("_d").over(by_session().rowsBetween(Window.unboundedPreceding, 0))).drop("_d")
     return out.withColumns({"obv_change_5d": F.col("obv") - lag(F.col("obv"), 5), "obv_slope_20d": (F.col("obv") - lag(F.col("obv"), 20)) / 20})
 
 
@@ -158,19 +158,19 @@ def against_market(df: DataFrame, market: DataFrame) -> DataFrame:
     both = F.when(r.isNotNull() & x.isNotNull(), 1)
 
     def full(n: int, value) -> Column:
-        frame = order().rowsBetween(-(n - 1), 0)
+        frame = by_session().rowsBetween(-(n - 1), 0)
         return F.when(F.count(both).over(frame) == n, value(frame))
 
     cov = lambda f: F.covar_samp(r, x).over(f)
     betas = {f"rolling_beta_{n}d": full(n, lambda f: F.try_divide(cov(f), F.var_samp(F.when(r.isNotNull(), x)).over(f))) for n in (20, 60)}
     out = out.withColumns(betas | {"correlation_with_market_20d": full(20, lambda f: F.corr(r, x).over(f)), "abnormal_return": r - x})
-    return out.withColumn("cumulative_abnormal_return", F.sum("abnormal_return").over(order().rowsBetween(Window.unboundedPreceding, 0))).drop("_r1", "_r5")
+    return out.withColumn("cumulative_abnormal_return", F.sum("abnormal_return").over(by_session().rowsBetween(Window.unboundedPreceding, 0))).drop("_r1", "_r5")
 
 
 def forward(df: DataFrame, market: DataFrame | None = None) -> DataFrame:
     """Returns of the next 1, 3, 5 sessions, less the market's if given, and direction: labels only, never features."""
     C, _, _, _, _ = prices()
-    out = df.withColumns({f"forward_return_{n}d": F.try_divide(F.lead(C, n).over(order()), C) - 1 for n in (1, 3, 5)})
+    out = df.withColumns({f"forward_return_{n}d": F.try_divide(F.lead(C, n).over(by_session()), C) - 1 for n in (1, 3, 5)})
     if market is not None:
         order = Window.orderBy("session_date")
         out = out.join(market.select("session_date", *[(F.try_divide(F.lead("market_close", n).over(order), F.col("market_close")) - 1).alias(f"_m{n}") for n in (1, 3, 5)]), "session_date", "left")
