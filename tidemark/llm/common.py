@@ -45,13 +45,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
     """df with a broadcast hint if it has at most limit rows (they are counted), else as it is, for a shuffled join.
 
-    weight: number of elements of a row with arrays; their sum may then be three times the limit at most.
+    weight: number of elements of a row with arrays; their sum may then be ten times the limit at most.
     """
     if weight is None:
         fits = df.limit(limit + 1).count() <= limit
     else:
         rows, elements = df.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
-        fits = rows <= limit and elements <= 3 * limit
+        fits = rows <= limit and elements <= 10 * limit
     return F.broadcast(df) if fits else df
 
 

@@ -3,17 +3,19 @@
 Method: a document is the set of its word shingles. Its sketch has M registers; register i is the smallest of exponential hash
 values over the set, on a scale of powers of BASE, truncated to 16 bits. Sketches of parts merge by the larger register, and
 equal registers are about as likely as the sets are similar. BANDS groups of ROWS registers are bucket keys. The similarity of
-a candidate pair is estimated from its registers by maximum likelihood together with the two set sizes; pairs that cannot reach
-the threshold are dropped at six standard errors, and the others are confirmed on the full sets of words.
+a candidate pair is estimated from its registers by maximum likelihood together with the two set sizes, and again from BINS
+registers of one byte that share the hash space out among them, which for sets of some hundred shingles is close to exact.
+Pairs that cannot reach the threshold are dropped at five standard errors, and the others are confirmed on the full sets of
+words.
 
-How groups stay linear: copies with one set of shingles are one class from the start. In a bucket every class meets the
+How groups stay small: copies with one set of shingles are one class from the start. In a bucket every class meets the
 smallest and the largest id only; what that links is one component. Only classes of one bucket that are still in different
-components are compared further: by more pivots while the open pairs are many for their classes, then each with each. A large
-bucket that stays open (a passage that unrelated texts share) is first divided by the other bands. No bucket and no number of
-partners is capped.
+components are compared further. That is done on their sketches, in blocks of BLOCK classes inside a task and once for each
+pair (in the first band that it shares), and only pairs that may reach the threshold leave the task. No bucket and no number
+of partners is capped.
 
-Chance of a lost link: a pair at similarity 0.8 misses all 40 bands of 5 with probability 1e-7, and misses a second common
-band, which only divided buckets need, with 3e-6.
+Chance of a lost link: a pair at similarity 0.8 misses all 40 bands of 5 with probability 1e-7, and is estimated lower than
+the slack of five standard errors allows with 3e-7.
 
 Defined results: null and empty texts have no shingles and are alone; a text with fewer words than a shingle is one shingle;
 words are as in the contract ([^\\x20\\x09-\\x0D]+, A-Z lower-cased); rows with one id are one document, whose set is that of any
@@ -35,12 +37,14 @@ from tidemark.llm.components import components
 
 BANDS, ROWS = 40, 5
 M = BANDS * ROWS
+#: One-byte registers that share the hash space out; 0 is an empty one.
+BINS = 512
 #: SetSketch scale: base, rate of the exponential values, and the largest register.
 BASE, RATE, TOP = 1.001, 20.0, 65535
-#: A bucket with more open classes than this is divided by the other bands.
-DIVIDE = 32
-#: Pivot rounds go on while open pairs are more than so many times the open classes, but not for more than so many rounds.
-OPEN_PAIRS, PIVOT_ROUNDS = 10, 4
+#: Standard errors under the threshold from which an estimate is taken as too low.
+SLACK = 5
+#: Classes of a block in the comparison of an open bucket.
+BLOCK = 512
 
 MULTIPLIERS = np.random.default_rng(20).integers(0, 2**63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -82,6 +86,26 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(value) / math.log(BASE)), 0, TOP).astype("<u2")
 
 
+def shared_out(hashes: np.ndarray) -> bytes:
+    """For each of BINS equal parts of the hash space eight bits of the smallest hash in it, not 0; 0 where there is none."""
+    h = np.sort(hashes * MIX)
+    place = (h >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    out = np.zeros(BINS, np.uint8)
+    out[place[first]] = 1 + (h[first] >> np.uint64(8)) % np.uint64(255)
+    return out.tobytes()
+
+
+def near_enough(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the shared-out registers of pairs allow the threshold. The error is that of drawing, without putting back, as
+    many shingles as there are filled registers from a union of the size that the threshold implies."""
+    filled = np.maximum(((a > 0) | (b > 0)).sum(axis=1), 1)
+    share = ((a == b) & (a > 0)).sum(axis=1) / filled
+    union = (n_a + n_b) / (1 + threshold)
+    error = np.sqrt(threshold * (1 - threshold) / filled * np.clip(1 - filled / union, 0.1, 1))
+    return share >= threshold - SLACK * error - 2 / filled
+
+
 def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Most likely Jaccard similarity of pairs of sketches, given the set sizes, on a grid of 1/200."""
     up, down = (a > b).sum(axis=1), (a < b).sum(axis=1)
@@ -99,42 +123,44 @@ def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketches(df: DataFrame, size: int) -> DataFrame:
-    """id, n (set size), s1, s2 (digest of the set), regs; from id and text."""
+    """id, n (set size), s1, s2 (digest of the set), regs and bins; from id and text."""
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                n, digests, regs = [], [], []
+                n, digests, regs, bins = [], [], [], []
                 for text in part.column(1).to_pylist():
                     h = shingle_hashes(text, size)
                     n.append(len(h))
                     digests.append(xxhash.xxh3_128_digest(h.tobytes()))
                     regs.append(registers(h).tobytes() if len(h) else None)
+                    bins.append(shared_out(h) if len(h) else None)
                 d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(regs, pa.binary())], names=["id", "n", "s1", "s2", "regs"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(regs, pa.binary()), pa.array(bins, pa.binary())], names=["id", "n", "s1", "s2", "regs", "bins"])
 
-    return df.select("id", "text").mapInArrow(run, "id long, n long, s1 long, s2 long, regs binary")
+    return df.select("id", "text").mapInArrow(run, "id long, n long, s1 long, s2 long, regs binary, bins binary")
 
 
 def likely(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose sketches allow the threshold."""
     ids = sized(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    own = sketch.join(ids, "id", "left_semi").select("id", "n", "regs")
-    both = pairs.join(own.toDF("a", "n_a", "r_a"), "a").filter("n_a > 0").join(own.toDF("b", "n_b", "r_b"), "b")
+    own = sketch.join(ids, "id", "left_semi").select("id", "n", "regs", "bins")
+    both = pairs.join(own.toDF("a", "n_a", "r_a", "s_a"), "a").filter("n_a > 0").join(own.toDF("b", "n_b", "r_b", "s_b"), "b")
     both = both.filter(F.least("n_a", "n_b") >= F.lit(threshold - 1e-9) * F.greatest("n_a", "n_b"))
-    slack = 6 * math.sqrt(threshold * (1 - threshold) / M)
+    slack = SLACK * math.sqrt(threshold * (1 - threshold) / M)
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
                 x, y = (np.frombuffer(b"".join(part.column(k).to_pylist()), "<u2").reshape(-1, M) for k in (3, 5))
-                fit = estimates(x, y, part.column(2).to_numpy().astype(float), part.column(4).to_numpy().astype(float))
-                keep = pa.array(np.flatnonzero(fit >= threshold - slack))
+                p, q = (np.frombuffer(b"".join(part.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (6, 7))
+                n, m = (part.column(k).to_numpy().astype(float) for k in (2, 4))
+                keep = pa.array(np.flatnonzero(near_enough(p, q, n, m, threshold) & (estimates(x, y, n, m) >= threshold - slack)))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(keep), part.column(1).take(keep)], names=["a", "b"])
 
-    return both.select("a", "b", "n_a", "r_a", "n_b", "r_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "n_a", "r_a", "n_b", "r_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -170,10 +196,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) ->
 
 
 def band_rows(reps: DataFrame) -> DataFrame:
-    """key, id for every band of every sketch."""
+    """key, band, id for every band of every sketch."""
     width = 2 * ROWS
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substr(F.col("regs"), i * width + 1, F.lit(width)), i))
-    return reps.select("id", F.explode(keys).alias("key"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(F.xxhash64(F.substr(F.col("regs"), i * width + 1, F.lit(width)), i).alias("key"), i.alias("band")))
+    return reps.select("id", F.explode(keys).alias("k")).select("k.key", "k.band", "id")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -201,29 +227,14 @@ def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: st
     tested = staged(ordered(pivots), "pairs")
     links = staged(confirmed(staged(likely(tested, sketch, threshold), "likely"), docs, size, threshold), "links")
 
-    for round_ in range(PIVOT_ROUNDS + 1):
-        label = components(links) if links.limit(1).count() else links.select(F.col("a").alias("id"), F.col("a").alias("c"))
-        own = members.select("key", "id").join(sized(label), "id", "left").select("key", "id", F.coalesce("c", "id").alias("c"))
-        closed = F.min("c") == F.max("c")
-        buckets = own.groupBy("key").agg(closed.alias("closed"), F.count("*").alias("size"), F.min_by("c", F.xxhash64("id", F.lit(round_))).alias("pivot_c"), F.min_by("id", F.xxhash64("id", F.lit(round_))).alias("pivot"))
-        buckets = staged(buckets.filter(~F.col("closed")).drop("closed"), "open-buckets")
-        if not buckets.limit(1).count():
-            break
-        still = staged(own.join(sized(buckets), "key"), "open-members")
-        parts = still.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("own"))
-        open_pairs, open_rows = parts.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.lit(0.0)), F.coalesce(F.sum("all"), F.lit(0))).first()
-        last = round_ == PIVOT_ROUNDS or open_pairs <= OPEN_PAIRS * open_rows
-        if last:
-            pairs = crossed(still, reps)
-        else:
-            pairs = still.filter(F.col("c") != F.col("pivot_c")).select(F.col("id").alias("b"), F.col("pivot").alias("a"))
-        pairs = staged(ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = staged(confirmed(staged(likely(pairs, sketch, threshold), "likely"), docs, size, threshold), "links")
-        links = links.unionByName(found)
-        if last:
-            label = components(links) if links.limit(1).count() else label
-            break
-        tested = tested.unionByName(pairs)
+    label = components(links) if links.limit(1).count() else links.select(F.col("a").alias("id"), F.col("a").alias("c"))
+    own = members.select("key", "band", "id").join(sized(label), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    still = own.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).filter("x < y").select("key", "size")
+    still = staged(own.join(sized(staged(still, "open-buckets")), "key"), "open-members")
+    if still.limit(1).count():
+        pairs = staged(crossed(still, reps, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(staged(confirmed(pairs, docs, size, threshold), "links"))
+        label = components(links) if links.limit(1).count() else label
 
     mapped = sketch.select("id", "n").join(sized(copies), "id", "left").withColumn("top", F.coalesce("rep", "id"))
     out = mapped.join(sized(label.select(F.col("id").alias("top"), "c")), "top", "left")
@@ -231,17 +242,65 @@ def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: st
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), found.alias("component_id"), (F.col("id").isNull() | (found == F.col("id"))).alias("kept"))
 
 
-def crossed(still: DataFrame, reps: DataFrame) -> DataFrame:
-    """All pairs of one open bucket in different components; a large bucket is first divided by a second common band."""
-    small = still.filter(F.col("size") <= DIVIDE).select("key", "id", "c")
-    large = still.filter(F.col("size") > DIVIDE).select("key", "id", "c")
-    second = band_rows(reps.join(sized(large.select("id").distinct()), "id", "left_semi")).withColumnRenamed("key", "other")
-    divided = large.join(second, "id").filter("key != other").select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id", "c").distinct()
-    mixed = divided.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("key")
-    divided = divided.join(mixed, "key", "left_semi")
-    both = staged(small.unionByName(divided), "crossed")
-    left, right = both.toDF("key", "a", "c_a"), both.toDF("key", "b", "c_b")
-    return left.join(right, "key").filter("a < b and c_a != c_b").select("a", "b")
+def crossed(still: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """Likely pairs of one open bucket in different components; still: key, band, id, c, size.
+
+    A bucket is dealt into blocks by id, and each pair of blocks is a group of at most about two blocks of rows.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    dealt = still.select("key", "band", "id", "c", mine.alias("mine"), other.alias("other"))
+    dealt = dealt.select("key", "band", "id", "c", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine")
+    rows = dealt.join(reps.select("id", "n", "regs", "bins"), "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    slack = SLACK * math.sqrt(threshold * (1 - threshold) / M)
+
+    def pairs(g: dict) -> tuple[list, list]:
+        regs = np.frombuffer(b"".join(g["regs"]), "<u2").reshape(-1, M)
+        bins = np.frombuffer(b"".join(g["bins"]), np.uint8).reshape(-1, BINS)
+        ids, c, n, mine = (np.array(g[k]) for k in ("id", "c", "n", "mine"))
+        band, out_a, out_b = g["band"][0], [], []
+        two = g["i"][0] != g["j"][0]
+        for k in range(len(ids)):
+            # partners: the other block, or the later rows of the only one
+            if two and mine[k] != g["i"][0]:
+                continue
+            to = np.flatnonzero(mine == g["j"][0]) if two else np.arange(k + 1, len(ids))
+            to = to[(c[to] != c[k]) & (np.minimum(n[to], n[k]) >= (threshold - 1e-9) * np.maximum(n[to], n[k]))]
+            if not len(to):
+                continue
+            size = np.full(len(to), float(n[k]))
+            close = near_enough(bins[to], np.broadcast_to(bins[k], (len(to), BINS)), n[to].astype(float), size, threshold)
+            to, size = to[close], size[close]
+            first = (regs[to] == regs[k]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            to, size = to[first == band], size[first == band]
+            if len(to):
+                fit = estimates(np.broadcast_to(regs[k], (len(to), M)), regs[to], size, n[to].astype(float))
+                to = to[fit >= threshold - slack]
+                out_a += np.minimum(ids[to], ids[k]).tolist()
+                out_b += np.maximum(ids[to], ids[k]).tolist()
+        return out_a, out_b
+
+    def run(batches):
+        names = ["key", "i", "j", "band", "id", "c", "mine", "n", "regs", "bins"]
+        group: dict = {}
+        for batch in batches:
+            part = {k: batch.column(i).to_pylist() for i, k in enumerate(names)}
+            mark = list(zip(part["key"], part["i"], part["j"], strict=True))
+            cuts = [0, *[k for k in range(1, len(mark)) if mark[k] != mark[k - 1]], len(mark)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if group and (group["key"][0], group["i"][0], group["j"][0]) != mark[lo]:
+                    a, b = pairs(group)
+                    group = {}
+                    if a:
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                for k in names:
+                    group.setdefault(k, []).extend(part[k][lo:hi])
+        if group:
+            a, b = pairs(group)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.select("key", "i", "j", "band", "id", "c", "mine", "n", "regs", "bins").mapInArrow(run, "a long, b long").distinct()
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
