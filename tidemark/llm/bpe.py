@@ -160,8 +160,8 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: st
 def unpacked(ids: str):
     """Column of packed ids as array<bigint>, by built-in functions."""
     h = F.hex(F.col(ids))
-    at = F.sequence(F.lit(0), F.length(h) / 8 - 1)
-    byte = lambda i, k: F.substr(h, (i * 8 + 1 + 2 * k).cast("int"), F.lit(2))
+    at = F.sequence(F.lit(0), F.greatest(F.length(h) / 8, F.lit(1)).cast("int") - 1)
+    byte = lambda i, k: F.substr(h, i * 8 + 1 + 2 * k, F.lit(2))
     full = F.transform(at, lambda i: F.conv(F.concat(byte(i, 3), byte(i, 2), byte(i, 1), byte(i, 0)), 16, 10).cast("long"))
     return F.when(F.length(h) >= 8, full).otherwise(F.array().cast(ArrayType(LongType())))
 
