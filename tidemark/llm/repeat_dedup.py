@@ -4,12 +4,13 @@ Method: prefix doubling over a sample. Ranking every byte of a corpus at lengths
 times; here only content decides which positions are ranked first. Of the starts of ANCHOR-byte strings inside any LENGTH-byte
 string that with the smallest hash is its anchor, so equal strings have equal anchors at equal places, and about one position
 in 70 is one. Strings with one anchor form a run. The rounds, each of which drops what has become unique:
-1. ranks of the anchors (ANCHOR bytes). Runs equal as a whole are settled here by their hash, so long copies are never expanded.
-2. runs that differ around a shared anchor: ranks of the STEPS stretches that strings of one quarter of a run have in common.
+1. ranks of the anchors (ANCHOR bytes); runs equal as a whole are settled by their hash, so long copies are never expanded.
+2. runs that differ around a shared anchor are cut into STEPS parts by the place of the anchor: ranks of the longer stretches
+   that the strings of a part have in common; parts equal as a whole are settled as runs were.
 3. what is left, string by string: the pair of the ranks of its first half and of the half at the offset LENGTH / 2. That is
    the threshold, so the doubling ends.
-Ranks are names, not order numbers: equal strings have equal names, and counting needs no more. Names have 64 bits in rounds 1
-and 2, where a collision only leaves more to do, and 128 bits where a verdict depends on them.
+Ranks are names, not order numbers: equal strings have equal names, and counting needs no more. A verdict rests on 128 bits;
+where a collision only leaves more to do, names have 64.
 
 Plan: one scan gives the runs; they are written once, counted by partial aggregates (a passage in a third of all documents is a
 row per task), and met with the repeated names in joins that Spark can split at hot keys. Texts are met by id: broadcast of the
@@ -35,7 +36,7 @@ from tidemark.llm.common import sized, staged, table
 
 LENGTH = 200
 #: Bytes of an anchor, and parts of a run in the second round.
-ANCHOR, STEPS = 60, 4
+ANCHOR, STEPS = 60, 8
 
 MASK = (1 << 64) - 1
 FACTOR = 0xD6E8FEB86659FD93
@@ -148,11 +149,13 @@ def run_rows(docs: DataFrame, length: int) -> DataFrame:
 def looked_into(docs: DataFrame, spans: DataFrame, func, added: str) -> DataFrame:
     """Rows that func makes of the bytes of a document and each of its spans; spans: id, tag, at, n, off, single.
 
-    func(bytes, span) returns a dict of equally long arrays, named and typed by the DDL string added; id, tag and single go along.
+    func(bytes, span) returns a dict of equally long arrays, named and typed by the DDL string added; id, tag and single go
+    along. A span travels as one number: 30 bits of place, 16 of length, 16 of offset, 1 of single.
     """
-    own = spans.groupBy("id").agg(F.collect_list(F.struct("tag", "at", "n", "off", "single")).alias("spans"))
-    own = sized(own.select(F.col("id").alias("own"), "spans"), weight=F.size("spans"))
-    work = docs.join(own, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "spans")
+    packed = F.shiftleft(F.shiftleft(F.shiftleft(F.col("at").cast("long"), 16) + F.col("n"), 16) + F.col("off"), 1) + F.col("single").cast("long")
+    own = spans.groupBy("id", "tag").agg(F.collect_list(packed).alias("spans"))
+    own = sized(staged(own.select(F.col("id").alias("own"), "tag", "spans"), "spans"), weight=F.size("spans"))
+    work = docs.join(own, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "tag", "spans")
     new = to_arrow_schema(StructType.fromDDL(added))
 
     def run(batches):
@@ -160,17 +163,17 @@ def looked_into(docs: DataFrame, spans: DataFrame, func, added: str) -> DataFram
             for lo in range(0, batch.num_rows, 32):
                 part = batch.slice(lo, 32)
                 made, owner, tags, single = [], [], [], []
-                for k, (text, own) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)):
+                for k, (text, tag, own) in enumerate(zip(*[part.column(c).to_pylist() for c in (1, 2, 3)], strict=True)):
                     data = (text or "").encode("utf-8", "surrogatepass")
-                    tag = xxhash.xxh3_64_intdigest(data) - 2**63
+                    if xxhash.xxh3_64_intdigest(data) - 2**63 != tag:
+                        continue  # another text with the same id
                     data = np.frombuffer(data, np.uint8)
-                    for s in own:
-                        if s["tag"] == tag:
-                            made.append(func(data, s))
-                            m = len(made[-1]["at"])
-                            owner.append(np.full(m, k))
-                            tags.append(np.full(m, tag))
-                            single.append(np.full(m, s["single"]))
+                    for x in own:
+                        made.append(func(data, {"at": x >> 33, "n": x >> 17 & 0xFFFF, "off": x >> 1 & 0xFFFF}))
+                        m = len(made[-1]["at"])
+                        owner.append(np.full(m, k))
+                        tags.append(np.full(m, tag))
+                        single.append(np.full(m, bool(x & 1)))
                 if made:
                     columns = [pa.array(np.concatenate([x[f.name] for x in made]).astype(f.type.to_pandas_dtype())) for f in new]
                     ids = part.column(0).take(pa.array(np.concatenate(owner)))
@@ -180,20 +183,22 @@ def looked_into(docs: DataFrame, spans: DataFrame, func, added: str) -> DataFram
 
 
 def stretches(length: int):
-    """Second round: a run is cut where the anchor's place in its strings passes a quarter, and each part is named by the bytes that any strings of that quarter share."""
+    """Second round: a run is cut where the anchor's place in its strings passes a step, and each part is named by the
+    bytes that any strings of that step share; digest is that of all its bytes."""
     short = min(ANCHOR, length)
     width = -(-(length - short + 1) // STEPS)
 
     def func(data: np.ndarray, s: dict) -> dict:
         anchor = s["at"] + s["off"]
-        out = {"key": [], "at": [], "n": []}
+        out = {"name": [], "digest": [], "at": [], "n": []}
         for q in range(STEPS):
             lo = max(s["at"], anchor - width * (q + 1) + 1)
             hi = min(s["at"] + s["n"] - 1, anchor - width * q)
             if lo > hi:
                 continue
             shared = data[anchor - width * q : anchor - width * (q + 1) + 1 + length].tobytes()
-            out["key"].append((xxhash.xxh3_64_intdigest(shared, seed=q) ^ 2**63) - 2**63)
+            out["name"].append((xxhash.xxh3_64_intdigest(shared, seed=q) ^ 2**63) - 2**63)
+            out["digest"].append((xxhash.xxh3_64_intdigest(data[lo : hi + length].tobytes()) ^ 2**63) - 2**63)
             out["at"].append(lo)
             out["n"].append(hi - lo + 1)
         return {k: np.array(v, np.int64) for k, v in out.items()}
@@ -213,27 +218,36 @@ def pairs_of_ranks(length: int):
     return func
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """id, tag, at, n: strings of that length that start at at ... at + n - 1 start elsewhere too. docs: id, text."""
-    found = staged(run_rows(docs, length), "runs")
-    names = found.groupBy("name").agg(F.count("*").alias("c"), F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("c > 1")
-    names = staged(names.select("name", (F.col("lo") == F.col("hi")).alias("same")), "names")
-    met = staged(found.join(sized(names), "name"), "repeated")
-    place = ["id", "tag", "at", "n"]
+PLACE = ["id", "tag", "at", "n"]
+
+
+def settled(rows: DataFrame, what: str) -> tuple[DataFrame, DataFrame]:
+    """One round. rows: name, digest, id, tag, at, n, off, single (found nowhere else so far).
 
+    Returns the places whose digest repeats, and, of names that go with several digests, one place of each digest for the next
+    round: all those that are still single and what they may be equal to.
+    """
+    names = rows.groupBy("name").agg(F.count("*").alias("c"), F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("single").alias("any")).filter("c > 1 and any")
+    names = staged(names.select("name", (F.col("lo") == F.col("hi")).alias("same")), f"{what}-names")
+    met = staged(rows.join(sized(names), "name"), f"{what}-met")
     differ = met.filter("not same")
-    ways = differ.groupBy("name", "digest").agg(F.count("*").alias("copies"), F.min(F.xxhash64("id", "tag", "at")).alias("pick"))
-    mixed_runs = staged(differ.join(sized(staged(ways, "ways")), ["name", "digest"]).select(*place, "off", "copies", (F.xxhash64("id", "tag", "at") == F.col("pick")).alias("picked")), "mixed")
-    work = mixed_runs.filter("picked").select(*place, "off", (F.col("copies") == 1).alias("single"))
+    ways = staged(differ.groupBy("name", "digest").agg(F.count("*").alias("copies"), F.min(F.xxhash64("id", "tag", "at")).alias("pick")), f"{what}-ways")
+    mixed_rows = staged(differ.join(sized(ways), ["name", "digest"]).select(*PLACE, "off", "copies", "single", (F.xxhash64("id", "tag", "at") == F.col("pick")).alias("picked")), f"{what}-mixed")
+    hits = met.filter("same").select(*PLACE).unionByName(mixed_rows.filter("copies > 1").select(*PLACE))
+    left = mixed_rows.filter("picked").select(*PLACE, "off", (F.col("single") & (F.col("copies") == 1)).alias("single"))
+    return hits, left
 
-    parts = staged(looked_into(docs, work, stretches(length), "key long, at int, n int"), "parts")
-    alike = staged(parts.groupBy("key").agg(F.count("*").alias("c"), F.max("single").alias("any")).filter("c > 1 and any").select("key"), "alike")
-    left = staged(parts.join(sized(alike), "key").select(*place, F.lit(0).alias("off"), "single"), "left")
 
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """id, tag, at, n: strings of that length that start at at ... at + n - 1 start elsewhere too. docs: id, text."""
+    found = staged(run_rows(docs, length), "runs").withColumn("single", F.lit(True))
+    whole, work = settled(found, "run")
+    parts = staged(looked_into(docs, work, stretches(length), "name long, digest long, at int, n int"), "parts").withColumn("off", F.lit(0))
+    partly, left = settled(parts, "part")
     strings = looked_into(docs, left, pairs_of_ranks(length), "p1 long, p2 long, at int")
     twice = staged(strings.groupBy("p1", "p2").agg(F.count("*").alias("c"), F.max("single").alias("any")).filter("c > 1 and any").select("p1", "p2"), "pairs")
     hits = strings.filter("single").join(sized(twice), ["p1", "p2"]).select("id", "tag", "at", F.lit(1).alias("n"))
-    return met.filter("same").select(*place).unionByName(mixed_runs.filter("copies > 1").select(*place)).unionByName(hits)
+    return whole.unionByName(partly).unionByName(hits)
 
 
 def covered(spans: DataFrame, length: int) -> DataFrame:
