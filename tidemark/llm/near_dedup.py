@@ -142,9 +142,14 @@ def sketches(df: DataFrame, size: int) -> DataFrame:
     return df.select("id", "text").mapInArrow(run, "id long, n long, s1 long, s2 long, regs binary, bins binary")
 
 
+def members_of(pairs: DataFrame) -> DataFrame:
+    """The ids of pairs, each once."""
+    return staged(pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct()).distinct(), "pair-ids")
+
+
 def likely(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose sketches allow the threshold."""
-    ids = sized(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    ids = sized(members_of(pairs))
     own = sketch.join(ids, "id", "left_semi").select("id", "n", "regs", "bins")
     both = pairs.join(own.toDF("a", "n_a", "r_a", "s_a"), "a").filter("n_a > 0").join(own.toDF("b", "n_b", "r_b", "s_b"), "b")
     both = both.filter(F.least("n_a", "n_b") >= F.lit(threshold - 1e-9) * F.greatest("n_a", "n_b"))
@@ -165,7 +170,7 @@ def likely(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    ids = sized(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    ids = sized(members_of(pairs))
     texts = docs.join(ids, "id", "left_semi").select("id", "text")
     both = pairs.join(texts.toDF("b", "t_b"), "b").join(texts.toDF("a", "t_a"), "a").select("a", "b", "t_a", "t_b")
     percent = round(100 * threshold)
@@ -223,7 +228,8 @@ def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: st
     shared = bands.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     shared = staged(shared, "buckets")
     members = staged(bands.join(sized(shared), "key"), "members")
-    pivots = members.select(F.col("id").alias("b"), F.explode(F.array("lo", "hi")).alias("a"))
+    pivots = members.select("id", "lo", "hi").distinct()
+    pivots = pivots.select(F.col("id").alias("b"), F.col("lo").alias("a")).unionByName(pivots.select(F.col("id").alias("b"), F.col("hi").alias("a")))
     tested = staged(ordered(pivots), "pairs")
     links = staged(confirmed(staged(likely(tested, sketch, threshold), "likely"), docs, size, threshold), "links")
 
