@@ -76,13 +76,6 @@ class PieceCounter:
         self.words = re.compile(cut + (f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+" if self.feed else f"{MARK}+[^{MARK}]*|[^{MARK}]+")).findall
         self.start = regex.compile(f"(?<=[^{MARK}]){MARK}" + ("|\n" if self.feed else "")).search
 
-    def chunk(self, text: str) -> tuple[str, int | None]:
-        """State map of a chunk: its head, and the count of the rest, which begins where a state is certain (None: nowhere)."""
-        m = self.start(text)
-        if m is None:
-            return text, None
-        return text[: m.start()], m.start()
-
     def count(self, text: str | None) -> int:
         if not text:
             return 0
