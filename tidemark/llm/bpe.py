@@ -29,7 +29,7 @@ from tidemark.llm.common import map_text, table
 from tidemark.llm.prefix_bpe import PrefixAutomaton
 
 #: Words kept in a task's table before it is emptied.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 _ADDED = "n_tokens long, ids binary, decoded string"
 
@@ -79,7 +79,7 @@ class WordBpe:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocab = {t: i for t, i in model["vocab"].items() if t not in special}
         rank = {(symbols(a), symbols(b)): n for n, (a, b) in enumerate(model["merges"])}
-        self.auto = PrefixAutomaton(((i, symbols(t), 1) for t, i in vocab.items()), lambda a, b: rank.get((a, b)), counting=False)
+        self.auto = PrefixAutomaton(((i, symbols(t), 1) for t, i in vocab.items()), lambda a, b: rank.get((a, b)), counting=False, limit=300_000)
         self.shown = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in special.items()}
         self.special = special
         self.cut_special = regex.compile("|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True))) if special else None
@@ -104,6 +104,11 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # each character alone: no final sigma
         return b"".join(map(self.memo.__getitem__, self.words(text.lower())))
 
+    def forget(self) -> None:
+        self.memo.clear()
+        self.auto.forget()
+        self.auto.fits.clear()
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, one after another."""
         if not text:
@@ -140,6 +145,7 @@ def bpe_encode(df: DataFrame, vocabulary: str, text_col: str = "text", keep_text
             ids = [t.encode(x) for x in texts]
             return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [t.decode(x) for x in ids]}
 
+        run.done = t.forget
         return run
 
     return map_text(df, make, _ADDED, text_col, keep_text)

@@ -87,7 +87,8 @@ def map_text(
     """Add columns that Python computes from one text column, in slices of so many rows.
 
     make() runs once in each task and returns a function from a list of texts (None: null) to a dict of columns, named and
-    typed by the DDL string added. Other columns pass through; one with the name of an added column is replaced. text_col
+    typed by the DDL string added; its attribute done, if it has one, is called at the end of the task, so that workers, which
+    live on, keep no tables. Other columns pass through; one with the name of an added column is replaced. text_col
     itself may be among the added ones, and is then replaced.
     """
     new = T.StructType.fromDDL(added)
@@ -104,5 +105,6 @@ def map_text(
                 out = func(part.column(len(rest)).to_pylist())
                 made = [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow_new]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(rest))] + made, names=rest + arrow_new.names)
+        getattr(func, "done", lambda: None)()
 
     return source.mapInArrow(run, schema)
