@@ -13,8 +13,8 @@ Ranks are names, not order numbers: equal strings have equal names, and counting
 where a collision only leaves more to do, names have 64.
 
 Plan: one scan gives the runs; they are written once, counted by partial aggregates (a passage in a third of all documents is a
-row per task), and met with the repeated names in joins that Spark can split at hot keys. Texts are met by id: broadcast of the
-other side up to a counted size, else a shuffle.
+row per task), and met with the repeated names in joins that Spark can split at hot keys. Those tables grow with the corpus, so
+these joins are shuffled at every size. Texts are met by id: broadcast of the other side up to a counted size, else a shuffle.
 
 Defined results: a null text is an empty one; texts under LENGTH bytes lose nothing; rows with one id are told apart by their
 text, and equal rows are copies of each other like any others; a null id is a document like any other.
@@ -229,10 +229,10 @@ def settled(rows: DataFrame, what: str) -> tuple[DataFrame, DataFrame]:
     """
     names = rows.groupBy("name").agg(F.count("*").alias("c"), F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("single").alias("any")).filter("c > 1 and any")
     names = staged(names.select("name", (F.col("lo") == F.col("hi")).alias("same")), f"{what}-names")
-    met = staged(rows.join(sized(names), "name"), f"{what}-met")
+    met = staged(rows.join(names, "name"), f"{what}-met")
     differ = met.filter("not same")
     ways = staged(differ.groupBy("name", "digest").agg(F.count("*").alias("copies"), F.min(F.xxhash64("id", "tag", "at")).alias("pick")), f"{what}-ways")
-    mixed_rows = staged(differ.join(sized(ways), ["name", "digest"]).select(*PLACE, "off", "copies", "single", (F.xxhash64("id", "tag", "at") == F.col("pick")).alias("picked")), f"{what}-mixed")
+    mixed_rows = staged(differ.join(ways, ["name", "digest"]).select(*PLACE, "off", "copies", "single", (F.xxhash64("id", "tag", "at") == F.col("pick")).alias("picked")), f"{what}-mixed")
     hits = met.filter("same").select(*PLACE).unionByName(mixed_rows.filter("copies > 1").select(*PLACE))
     left = mixed_rows.filter("picked").select(*PLACE, "off", (F.col("single") & (F.col("copies") == 1)).alias("single"))
     return hits, left
@@ -246,7 +246,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     partly, left = settled(parts, "part")
     strings = looked_into(docs, left, pairs_of_ranks(length), "p1 long, p2 long, at int")
     twice = staged(strings.groupBy("p1", "p2").agg(F.count("*").alias("c"), F.max("single").alias("any")).filter("c > 1 and any").select("p1", "p2"), "pairs")
-    hits = strings.filter("single").join(sized(twice), ["p1", "p2"]).select("id", "tag", "at", F.lit(1).alias("n"))
+    hits = strings.filter("single").join(twice, ["p1", "p2"]).select("id", "tag", "at", F.lit(1).alias("n"))
     return whole.unionByName(partly).unionByName(hits)
 
 
