@@ -177,6 +177,22 @@ def test_secrets(spark):
     assert secret_scan.secrets(documents(spark)).count() >= 0 and secret_scan.secrets(empty(spark)).count() == 0
 
 
+def test_secret_shapes(spark):
+    shapes = ['secret = "%s"', "see %s here", "https://host/services/T0AB12CD3/B0AB12CD3/%s", "postgres://admin:%s@db", "password=%s", 'passphrase = "%s"', 'so "%s"', "api_key=%s,", "end.%s", "pwd: %s"]
+    values = ["/bPxRfiCYk7Qw/2mN+x5Lz0", "SG.aB3dE6gH9jK2mN5pQ8sT1v.x9Y8w7V6u5T4s3R2q1P0o9N8m7L6k5J4i3H2g1F0", "X7a9Q2w8E4r6T1y3U5i7O9p0", "s3cretpassw0rd1", "hunter2", "correcthorsebatterystaple", "p@ssW0rd!2345678", "abcd1234.efgh5678.ijkl9012", "A7b2C9d4E5f6G7h8", "x"]
+    cases = [(s % v, v) for s, v in zip(shapes, values, strict=True)] + [("+bPxRfiCYk7Qw2mN5Lz0", "+bPxRfiCYk7Qw2mN5Lz0"), ('{"password": "a b c"}', "a b c")]
+    data = [(i, f"{text} card 4785{i:04d}60883795 and jo.{i}@mail{i}.example.com", "s") for i, (text, _) in enumerate(cases * 20)]
+    out = secret_scan.secrets(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    found = defaultdict(dict)
+    for r in out:
+        assert data[r.doc_id][1][r.start : r.end] == r.secret
+        found[r.doc_id][r.secret] = r.kept
+    assert all(v in found[i] for i, (_, v) in enumerate(cases * 20))
+    ruled = [i for i, (text, _) in enumerate(cases * 20) if re.search("secret|pass|pwd|api_key|services|postgres", text)]
+    assert all(found[i][(cases * 20)[i][1]] for i in ruled)
+    assert not any(r.kept for r in out if r.secret.isdigit() or "example.com" in r.secret)
+
+
 def groups(pairs, size=4, percent=80):
     sets = {i: near_dedup.shingle_set(t, size) for i, t in pairs}
     top = {i: i for i in sets}

@@ -1,16 +1,19 @@
 """Operator 8: secrets, with a random forest against false positives.
 
-Method: a wide pattern finds candidates (runs of 12 or more key characters with a digit). Each has the features: length; mean
-log-likelihood of its character transitions under a table made from the words of the corpus; shares of digits, upper-case
+Method: wide patterns find candidates: every value that is assigned to a secret's name, whatever its length and characters;
+passwords in addresses; quoted strings of 8 or more without white space; and runs of 12 or more key characters and symbols, with
+what lies between their symbols, dots and slashes, so that a key in a path is met alone and a key with dots as a whole (findings
+may overlap). Outside names and addresses a candidate has a digit or changes from lower to upper case; letters of one case must
+be 12 or more in quotes or after an assignment, others are words. Each has the features: length; mean log-likelihood of its character transitions under a table made from the words of the corpus; shares of digits, upper-case
 letters and hexadecimal digits; number of character kinds; entropy; share covered by dictionary words (words of the corpus in at
-least DICTIONARY_DOCS documents); a known prefix; whether the path (a column such as a source or a file name) looks like a test or
+least DICTIONARY_DOCS documents); a known prefix; whether it is a password or a hook's key in an address; share of other symbols; whether the path (a column such as a source or a file name) looks like a test or
 sample; whether the word before it names a secret, whether an assignment or a quote stands before it, and hashed neighbouring
 words. A random forest trained on labelled findings gives the score; findings below the cutoff are dropped as false positives.
 
 Labelled findings: rows (kind of candidate and context as found by `candidates`, with a label). Where no such table is given the
 query labels findings of a fold of the corpus by rules that look at more than the forest is shown: an assignment to a secret's
-name or an issuer's prefix with the right length and alphabet is a secret, a card number that passes the Luhn test, a phone
-number, a date or a version is none.
+name, a password in an address or an issuer's prefix with the right length is a secret; a placeholder, a number, an e-mail
+address, a date or a version is none.
 
 Bounds: the dictionary has at most DICTIONARY_WORDS words, the transition table 40 x 40 cells, the training sample about
 TRAIN_ROWS findings by a hash of id and place; they go to the driver or are broadcast. Words and transitions are counted over
@@ -22,6 +25,8 @@ labels of one kind only every finding gets that label's rate. Only findings come
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -42,11 +47,25 @@ LEAST = 12
 
 #: Names of secrets before an assignment, and prefixes that issuers give to keys.
 NAMES = "api_key|apikey|auth|key|passphrase|passwd|password|pwd|secret|token"
-PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-", "AIza", "eyJ")
-
-candidate = re.compile(r"(?<![\w+/.@-])(?=[\w+/=-]*\d)[A-Za-z0-9_][\w+/-]{%d,}={0,2}(?![\w@])" % (LEAST - 1), re.ASCII)
-before = re.compile(rf"(?i)({NAMES})\b[\"']?\s*([:=]|is)?\s*[\"']?$")
-assigned = re.compile(r"[:=]\s*[\"']?$")
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-", "AIza", "eyJ", "SG.")
+#: Names that prose has before a colon as well.
+COMMON_NAMES = ("auth", "key", "token")
+
+SYMBOLS = "~!@#$%^&*"
+NAMED = rf"({NAMES})(?:_?\d+|_\w+)?\b[\"'`]?\s*"
+run = re.compile(rf"(?<![\w+/.{SYMBOLS}-])[\w+/.{SYMBOLS}-]{{{LEAST},}}={{0,2}}", re.ASCII)
+parts = (re.compile(rf"[\w+/-]{{{LEAST},}}={{0,2}}", re.ASCII), re.compile(rf"[\w+-]{{{LEAST},}}={{0,2}}", re.ASCII))
+quoted = re.compile(r"([\"'`])([^\s\"'`]{8,})\1")
+name = re.compile(rf"(?i){NAMED}(?:[:=]{{1,2}}>?|is\b)\s*", re.ASCII)
+value = re.compile(r"([\"'`])((?:\\.|(?!\1)[^\n\\])+)\1|[\"'`<]?((?:(?![,;&]\s*\w+\s*[:=]|[,;.)\]}]+(?:\s|$))[^\s\"'`<>])+)")
+password = re.compile(r"://[^\s/:@\"'<>]*:([^\s/\"'<>]+)@")
+user = re.compile(r"://[^\s/:@\"'<>]*:$")
+hook = re.compile(r"/(?:services/T\w{6,}/B\w{6,}|api/webhooks/\d+)/[\w-]{16,}$", re.ASCII)
+mixed = re.compile(r"\d|[a-z][A-Z]", re.ASCII)
+before = re.compile(rf"(?i){NAMED}(?:[:=]{{1,2}}>?|is\b)?\s*[\"'`]?$", re.ASCII)
+assigned = re.compile(r"[:=]>?\s*[\"'`]?$")
+placeholder = re.compile(r"(?i)[$%]?[{(\[].*|\$\w+|(.)\1+|null|none|nil|true|false|undefined|\w*(changeme|example|your_)\w*|[\w.]+[(\[].*[)\]]")
+address = re.compile(r"[\w.+-]+@[\w-]+(\.[\w-]+)+")
 word = re.compile(r"[^\W\d_]+")
 sample_path = re.compile(r"(?i)test|example|sample|mock|fixture")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789_-+ "
@@ -83,6 +102,45 @@ def transitions(words: list) -> np.ndarray:
     return np.log(n / n.sum(axis=1, keepdims=True))
 
 
+def places(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, start of its context) of each candidate, in order."""
+    found, whole = {}, []
+    low = text.lower()
+    if any(n in low for n in NAMES.split("|")):
+        for m in name.finditer(text):
+            v = value.match(text, m.end())
+            if v:
+                start, end = v.span(2 if v.group(2) else 3)
+                found[start, end] = min(m.start(), max(0, start - 48))
+    for m in password.finditer(text) if "://" in low else ():
+        found[m.span(1)] = min(m.start(), max(0, m.start(1) - 48))
+    for start, end in found:
+        if not re.search(r"\s", text[start:end]):
+            whole.append((start, end))
+    open_ = []
+    for m in quoted.finditer(text):
+        if mixed.search(m.group(2)) or len(m.group(2)) >= LEAST:
+            open_.append(m.span(2))
+    for m in run.finditer(text):
+        start = m.start()
+        end = start + len(m.group().rstrip("."))
+        sure = assigned.search(text, max(0, start - 8), start) or text[start - 1 : start] in ("'", '"', "`") and text[start - 1 : start] == text[end : end + 1]
+        if not sure and not mixed.search(text, start, end):
+            continue
+        if end - start >= LEAST:
+            open_.append((start, end))
+        for part in parts[text.startswith("//", start) :]:
+            open_ += [x.span() for x in part.finditer(text, start, end) if sure or mixed.search(x.group())]
+    whole.sort()
+    starts = [x for x, _ in whole]
+    reach = list(itertools.accumulate((x for _, x in whole), max))
+    for start, end in open_:
+        k = bisect.bisect_right(starts, start)
+        if not k or reach[k - 1] < end:  # else it is a part of a value that is a candidate
+            found.setdefault((start, end), max(0, start - 48))
+    return sorted((*k, v) for k, v in found.items())
+
+
 class Features:
     """Feature vector of a candidate in its context."""
 
@@ -106,7 +164,8 @@ class Features:
     def vector(self, text: str, left: str, right: str, path: str) -> list[float]:
         codes = [kinds(c) for c in text]
         n, counts = len(text), Counter(text)
-        named = before.search(left)
+        login = right[:1] == "@" and user.search(left)
+        named = before.search(left) or login
         out = [
             float(n),
             float(self.table[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0,
@@ -120,7 +179,9 @@ class Features:
             float(bool(sample_path.search(path))),
             float(bool(named)),
             float(bool(assigned.search(left))),
-            float(left[-1:] in ("'", '"') and left[-1:] == right[:1]),
+            float(left[-1:] in ("'", '"', "`") and left[-1:] == right[:1]),
+            float(bool(login or hook.search(left + text))),
+            sum(not c.isalnum() and c not in "_+/=-" for c in text) / n,
         ]
         slots = [0.0] * SLOTS
         for w in word.findall(left.lower())[-2:] + word.findall(right.lower())[:1]:
@@ -136,13 +197,20 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def ruled(text: str, left: str) -> int | None:
+def ruled(text: str, left: str, right: str = "") -> int | None:
     """Label of a finding by rule; None: the rules do not know."""
-    if before.search(left) and assigned.search(left):
+    named = before.search(left)
+    if named and assigned.search(left):
+        if placeholder.fullmatch(text):
+            return 0
+        prose = named.group(1).lower() in COMMON_NAMES and re.fullmatch(r"[^\W\d_]+|\d{1,11}|.*\s.*", text)
+        return None if prose else 1
+    if hook.search(left + text) or right[:1] == "@" and user.search(left):
         return 1
     if text.startswith(PREFIXES) and len(text) >= 20:
         return 1
-    if text.isdigit() or re.fullmatch(r"[\d.+-]+", text):
+    text = text.strip(SYMBOLS + ".-")
+    if text.isdigit() or re.fullmatch(r"[\d.+-]*", text) or address.fullmatch(text):
         return 0
     if re.fullmatch(r"[A-Za-z]+[\d_-]{1,4}", text) or re.fullmatch(r"(?i)v?\d+([._-]\d+)+", text):
         return 0
@@ -162,14 +230,14 @@ def candidates(df: DataFrame, features: Features, id_col: str, text_col: str, pa
                 part = batch.slice(lo, 512)
                 owner, starts, ends, texts, xs, rules = [], [], [], [], [], []
                 for k, (text, where) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)):
-                    for m in candidate.finditer(text):
-                        left, right = text[max(0, m.start() - 48) : m.start()], text[m.end() : m.end() + 32]
+                    for start, end, since in places(text):
+                        secret, left, right = text[start:end], text[since:start], text[end : end + 32]
                         owner.append(k)
-                        starts.append(m.start())
-                        ends.append(m.end())
-                        texts.append(m.group())
-                        xs.append(f.vector(m.group(), left, right, where))
-                        rules.append(ruled(m.group(), left))
+                        starts.append(start)
+                        ends.append(end)
+                        texts.append(secret)
+                        xs.append(f.vector(secret, left, right, where))
+                        rules.append(ruled(secret, left, right))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(owner, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(texts, pa.string()), pa.array(xs, pa.list_(pa.float64())), pa.array(rules, pa.int32())],
                     names=["id", "start", "end", "secret", "x", "rule"],
