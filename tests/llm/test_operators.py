@@ -1,6 +1,7 @@
 """Each operator against a library, its SQL or a brute-force version, and on the table of odd cases."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -278,3 +279,17 @@ def test_certified_cutoffs():
     counts = {("en", "symbols", 0, 1): 5000, ("en", "symbols", 30, 0): 400, ("en", "symbols", 0, 0): 20, ("fr", "symbols", 0, 1): 20, ("fr", "symbols", 30, 0): 5}
     chosen = quality.certified(counts, ["en", "fr"], quality.ALPHA, quality.DELTA)
     assert set(chosen) == {("en", "symbols")} and 1 <= chosen["en", "symbols"] <= 30
+
+
+def test_binomial_tail():
+    for n, k, p in ((50, 3, 0.1478), (50, 40, 0.2), (7, 0, 0.3), (9, 8, 0.5), (40, 39, 0.99), (3000, 20, 0.01), (5000, 2500, 0.5)):
+        exact = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))
+        assert quality.log_tail(k, n, p) == pytest.approx(math.log(exact), abs=1e-9)
+    for n in (10**8, 10**9):  # at 4.5 standard deviations; the normal tail with its correction for skewness
+        p, z = 0.005, -4.5
+        deviation = math.sqrt(n * p * (1 - p))
+        k = round(n * p + z * deviation)
+        z = (k + 0.5 - n * p) / deviation
+        density = math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+        tail = math.erfc(-z / math.sqrt(2)) / 2 - (1 - 2 * p) / deviation * (z * z - 1) * density / 6
+        assert math.exp(quality.log_tail(k, n, p)) == pytest.approx(tail, rel=1e-3)

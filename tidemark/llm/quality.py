@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ from tidemark.llm.common import SPACE_CLASS, free_name, staged, table, without
 ALPHA, DELTA = 0.02, 0.05
 #: Steps of the grid of cutoffs.
 STEPS = 64
+#: The part of a binomial tail that may be left out, and the terms that are added at once.
+TAIL_PART, TERMS = 1e-13, 4096
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 #: Rule: its measure from the base counts (larger is worse) and the largest cutoff of the grid.
@@ -79,11 +82,35 @@ def base_failed() -> Column:
     return (n < 50) | (100 * r > 50 * n)
 
 
+def log_term(k: int, n: int, p: float) -> float:
+    """Log of the chance of exactly k successes in n trials, by deviances: no large logs cancel, however large n is."""
+
+    def rest(x: int) -> float:  # of Stirling's formula
+        if x < 16:
+            return math.lgamma(x + 1) - (x + 0.5) * math.log(x) + x - 0.5 * math.log(2 * math.pi)
+        return (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * x * x)) / (x * x)) / (x * x)) / x
+
+    def deviance(x: int, mean: float) -> float:
+        d = (x - mean) / mean
+        return mean * ((1 + d) * math.log1p(d) - d)
+
+    if k == 0 or k == n:
+        return n * (math.log(p) if k else math.log1p(-p))
+    return rest(n) - rest(k) - rest(n - k) - deviance(k, n * p) - deviance(n - k, n * (1 - p)) + 0.5 * (math.log(n / k) - math.log(2 * math.pi * (n - k)))
+
+
 def log_tail(k: int, n: int, p: float) -> float:
-    """Log of the chance of at most k successes in n trials."""
-    terms = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(max(0, k - 400), k + 1)]
-    top = max(terms)
-    return top + math.log(sum(math.exp(t - top) for t in terms))
+    """Log of the chance of at most k successes in n trials; what is left out is below TAIL_PART of it, for any n."""
+    top = min(k, int((n + 1) * p))  # the largest term; the others fall from there in both directions
+    total = 1.0
+    for step, end in ((-1, 0), (1, k)):
+        at, last = top, 1.0
+        while at != end and last * abs(end - at) > TAIL_PART * total:
+            i = np.arange(at, at + step * min(TERMS, abs(end - at)), step, dtype=np.float64)
+            ratio = i * (1 - p) / ((n - i + 1) * p) if step < 0 else (n - i) * p / ((i + 1) * (1 - p))
+            terms = last * np.cumprod(ratio)
+            total, last, at = total + float(terms.sum()), float(terms[-1]), at + step * len(i)
+    return log_term(top, n, p) + math.log(total)
 
 
 def upper_bound(k: int, n: int, error: float) -> float:
