@@ -155,6 +155,17 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_id.languages(documents(spark), language_id.fitted(empty(spark))).collect()} == {"und"}
 
 
+def test_language_rows_are_whole(spark):
+    shared, own = "zzyx qwv jjk " * 100, {"aa": "lorem dolor amat ", "bb": "huska pikki tunto "}
+    texts_ = {g: shared + (w * 40)[:600] for g, w in own.items()}
+    # rows of which a window of 400 characters, at a place by the hash, would meet the shared part only
+    at = F.pmod(F.shiftright(F.xxhash64("id", F.lit("language")), 20), F.lit(len(shared) + 600 - 400)) + 400 < len(shared)
+    ids = [r.id for r in spark.range(200).filter(at).collect()]
+    df = spark.createDataFrame([(i, texts_["ab"[i % 2] * 2], "ab"[i % 2] * 2) for i in ids], "doc_id long, text string, lang string")
+    model = language_id.fitted(df)
+    assert len(ids) > 50 and all(model.predict(w * 10)[0] == model.predict(texts_[g])[0] == g for g, w in own.items())
+
+
 def test_lines(spark):
     line = "a line that is long enough"
     data = [(1, f"{line}\nx"), (2, f"\t{line.upper()} \ny\n{line}"), (3, f"{line}"), (3, f"{line}"), (None, line), (None, None), (4, "")]

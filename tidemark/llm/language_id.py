@@ -5,8 +5,9 @@ average embedding of a text goes through a linear softmax. Embeddings and softma
 descent (AdaGrad steps) in numpy on the driver. A temperature is fitted on rows left out of the descent, and so is the confidence under which
 a prediction is marked rejected: the least at which accepted rows of the calibration part are right to ACCEPT.
 
-Bounds: training uses about TRAIN_ROWS rows, taken by a hash of the id, and of each a window of WINDOW characters at a place
-given by the hash; the model is a table of BUCKETS x languages. Predictions use whole texts.
+Bounds: training uses about TRAIN_ROWS rows, taken by a hash of the id, and of each the n-gram counts of the whole text, made
+in tasks (6 bytes for each bucket that a text has, at most 2 ** BUCKETS_BITS); the model is a table of BUCKETS x languages.
+Predictions use whole texts.
 
 Plan: one scan for the sample, one for the predictions; no shuffle.
 
@@ -21,12 +22,13 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, map_text, table
 
-TRAIN_ROWS, WINDOW = 6_000, 400
+TRAIN_ROWS = 6_000
 BUCKETS_BITS, DIMS = 15, 16
 #: Passes over the rows, at least so many steps in all, the rate of AdaGrad steps, and rows in a step.
 EPOCHS, LEAST_STEPS, RATE, BATCH = 6, 600, 0.1, 32
@@ -55,6 +57,13 @@ def hashed_grams(data: bytes) -> np.ndarray:
     return np.concatenate(out)
 
 
+def gram_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that the n-grams of the bytes fall in, and how many fall in each."""
+    n = np.bincount(hashed_grams(data), minlength=1 << BUCKETS_BITS)
+    at = np.flatnonzero(n)
+    return at.astype(np.uint16), n[at].astype(np.uint32)
+
+
 class LanguageModel:
     """names, table (BUCKETS x languages: embeddings times softmax weights), bias, temperature and confidence bound."""
 
@@ -82,11 +91,10 @@ class LanguageModel:
         return self.names[best], float(p[best]), bool(p[best] < self.least)
 
 
-def trained(texts: list[str], langs: list[str]) -> LanguageModel:
-    """Descent on nine tenths of the rows, calibration on the rest; the order is fixed."""
+def trained(counts: list[tuple[np.ndarray, np.ndarray]], langs: list[str]) -> LanguageModel:
+    """Descent on nine tenths of the rows (gram_counts of each), calibration on the rest; the order is fixed."""
     names = sorted(set(langs))
-    rows = [(cleaned(t), names.index(g)) for t, g in zip(texts, langs, strict=True)]
-    rows = [(hashed_grams(d), y, d) for d, y in rows if d]
+    rows = [(at, names.index(g), n) for (at, n), g in zip(counts, langs, strict=True) if len(at)]
     rng = np.random.default_rng(7)
     order = rng.permutation(len(rows))
     held = [rows[i] for i in order[: len(rows) // 10]]
@@ -104,22 +112,23 @@ def trained(texts: list[str], langs: list[str]) -> LanguageModel:
             done += 1
             sizes = np.array([len(p[0]) for p in part])
             grams, starts = np.concatenate([p[0] for p in part]), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            mean = np.add.reduceat(e[grams], starts, axis=0) / sizes[:, None].astype(np.float32)
+            share = np.concatenate([p[2] / p[2].sum() for p in part]).astype(np.float32)
+            mean = np.add.reduceat(e[grams] * share[:, None], starts, axis=0)
             z = mean @ w + b
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(part)), [x[1] for x in part]] -= 1
-            to_mean = p @ w.T / sizes[:, None].astype(np.float32)
+            to_mean = p @ w.T
             for value, seen, slope in ((w, seen_w, mean.T @ p / len(part)), (b, seen_b, p.mean(axis=0))):
                 seen += slope * slope
                 value -= rate * slope / np.sqrt(seen)
             used, place = np.unique(grams, return_inverse=True)
-            change = np.stack([np.bincount(place, np.repeat(to_mean[:, k], sizes), len(used)) for k in range(DIMS)], axis=1)
+            change = np.stack([np.bincount(place, np.repeat(to_mean[:, k], sizes) * share, len(used)) for k in range(DIMS)], axis=1)
             seen_e[used] += (change * change).astype(np.float32)
             e[used] -= (rate * change / np.sqrt(seen_e[used])).astype(np.float32)
     model = LanguageModel(names, e @ w, b.astype(np.float64))
     if held:
-        z, y = np.stack([model.logits(h[2]) for h in held]), np.array([h[1] for h in held])
+        z, y = np.stack([(h[2] / h[2].sum()) @ model.weights[h[0]].astype(np.float64) + model.bias for h in held]), np.array([h[1] for h in held])
         loss = []
         for t in np.geomspace(0.5, 20, 60):
             model.temperature = float(t)
@@ -139,9 +148,17 @@ def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     known = df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     keep = max(1, math.ceil(known.count() / train_rows))
     h = F.xxhash64(F.col(id_col), F.lit("language"))
-    start = F.pmod(F.shiftright(h, 20), F.greatest(F.length(text_col) - WINDOW, F.lit(0)) + 1).cast("int") + 1
-    rows = known.filter(F.pmod(h, F.lit(keep)) == 0).select(F.substr(F.col(text_col), start, F.lit(WINDOW)).alias("t"), F.col(lang_col).alias("g")).orderBy("g", "t").collect()
-    return trained([r["t"] for r in rows], [r["g"] for r in rows])
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                got = [gram_counts(d) if (d := cleaned(t)) else (np.zeros(0, np.uint16), np.zeros(0, np.uint32)) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([g[k].tobytes() for g in got], pa.binary()) for k in (0, 1))], names=["g", "at", "n"])
+
+    sample = known.filter(F.pmod(h, F.lit(keep)) == 0).select(F.col(lang_col).cast("string").alias("g"), F.col(text_col).cast("string"))
+    rows = sorted(sample.mapInArrow(run, "g string, at binary, n binary").collect())
+    return trained([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["n"], np.uint32)) for r in rows], [r["g"] for r in rows])
 
 
 def languages(df: DataFrame, model: LanguageModel, text_col: str = "text", keep_text: bool = True) -> DataFrame:
