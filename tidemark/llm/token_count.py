@@ -1,10 +1,10 @@
 """Operator 2: token counts without token lists.
 
 Method: the tokenizer is compiled to a deterministic transducer whose steps carry the change of the token count
-(prefix_bpe.py with counting; states are made when first needed and forgotten at a limit). A text is cut into chunks. A
-chunk's state map is kept in two parts: the head, up to the first place where every state becomes the start state, which
-maps an entry state by running it; and the rest, which has one exit state and one count whatever came in. Maps compose
-associatively, and a document's chunks are composed pairwise, level by level, as a parallel prefix scan does.
+(prefix_bpe.py with counting; states are made when first needed and forgotten at a limit). It runs over one word at a time
+from its start state, and counts of words are kept. A longer text is cut into chunks: a chunk is the open word at its head, the
+count of what lies between, and the open word at its tail. Neighbours are joined pairwise, level by level; the open words that
+meet are joined as text and counted then. No automaton state crosses a chunk.
 
 One pass, no shuffle. Texts are used whole.
 
