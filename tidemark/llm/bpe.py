@@ -1,15 +1,17 @@
 """Operator 1: exact BPE encoding and decoding.
 
-Method: dynamic programming over prefixes (prefix_bpe.py): trie matches that end at a position plus tests of token pairs
-give the one last token of every prefix; back-pointers from the end of a word give its ids. Texts are cut into words as the
-tokenizer file's own pre-tokenizer does; a bounded table of words already seen saves repeated work and holds no result that
-the automaton would not give again.
+Method: dynamic programming over prefixes (prefix_bpe.py): the matches of a suffix automaton over the vocabulary plus tests of
+token pairs give the one last token of every prefix; back-pointers from the end of a word give its ids. Texts are cut into
+words as the tokenizer file's own pre-tokenizer does; a table of at most MEMO_WORDS words already seen saves repeated work and
+holds no result that the automaton would not give again.
 
-The work is one pass over the rows without a shuffle. Texts are used whole, whatever their length.
+The work is one pass over the rows without a shuffle. Texts are used whole, whatever their length; the memory that a word needs
+is in proportion to it, and what workers keep is bounded.
 
 Defined results: a null text encodes as an empty one (no ids, decoded text empty); white space alone gives no ids; special
-strings in a text are one id, as the library does by default; duplicate rows are encoded each; an input column named as an
-added one is replaced.
+strings in a text are one id, as the library does by default; repeated rows are encoded each; an empty table gives an empty
+one; an input column named as an added one is replaced. Decoding: null ids give an empty text; ids that the vocabulary does not
+have are left out, as the library does.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from tidemark.llm.common import map_text, table
-from tidemark.llm.prefix_bpe import PrefixAutomaton
+from tidemark.llm.prefix_bpe import LastTokens
 
-#: Words kept in a task's table before it is emptied.
-MEMO_WORDS = 200_000
+#: Words kept in a worker's table before it is emptied.
+MEMO_WORDS = 100_000
 
 _ADDED = "n_tokens long, ids binary, decoded string"
 
@@ -77,21 +79,20 @@ class WordBpe:
             return body[:-1] + chr(ord(body[-1]) + self.SHIFT)
 
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        vocab = {t: i for t, i in model["vocab"].items() if t not in special}
-        rank = {(symbols(a), symbols(b)): n for n, (a, b) in enumerate(model["merges"])}
-        self.auto = PrefixAutomaton(((i, symbols(t), 1) for t, i in vocab.items()), lambda a, b: rank.get((a, b)), counting=False, limit=300_000)
+        # a merge is known by its two strings with a space between, which no token holds
+        rank = {" ".join(map(symbols, pair)): n for n, pair in enumerate(model["merges"])}
+        self.tokens = LastTokens({i: symbols(t) for t, i in model["vocab"].items() if t not in special}, lambda a, b: rank.get(f"{a} {b}"))
         self.shown = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in special.items()}
         self.special = special
-        self.cut_special = regex.compile("|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True))) if special else None
+        self.cut_special = regex.compile("|".join(regex.escape(t) for t in sorted(special, key=len, reverse=True)))
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"\s", WHITE)).findall
         self.letters = byte_letters()
         self.memo = Memo(self.word)
 
     def word(self, word: str) -> bytes:
-        letters = [self.letters[b] for b in word.encode("utf-8")]
-        letters[-1] = chr(ord(letters[-1]) + self.SHIFT)
-        ids = self.auto.encode("".join(letters))
+        letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode("utf-8")])
+        ids = self.tokens.encode(letters[:-1] + chr(ord(letters[-1]) + self.SHIFT))
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             if len(self.memo) >= MEMO_WORDS:
@@ -104,16 +105,11 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # each character alone: no final sigma
         return b"".join(map(self.memo.__getitem__, self.words(text.lower())))
 
-    def forget(self) -> None:
-        self.memo.clear()
-        self.auto.forget()
-        self.auto.fits.clear()
-
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, one after another."""
         if not text:
             return b""
-        if self.cut_special is None or "<|" not in text:
+        if not any(t in text for t in self.special):
             return self.plain(text)
         out, at = [], 0
         for m in self.cut_special.finditer(text):
@@ -123,7 +119,8 @@ class WordBpe:
 
     def decode(self, ids: bytes) -> str:
         """Tokens with a space between them: the file names no decoder, and the library then joins them so."""
-        return " ".join(map(self.shown.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        shown = map(self.shown.get, np.frombuffer(ids, "<u4").tolist())
+        return " ".join(filter(None, shown))
 
 
 #: White space of the pattern's \s: Unicode's property, without the separators U+001C-U+001F that Python adds.
@@ -145,7 +142,6 @@ def bpe_encode(df: DataFrame, vocabulary: str, text_col: str = "text", keep_text
             ids = [t.encode(x) for x in texts]
             return {"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [t.decode(x) for x in ids]}
 
-        run.done = t.forget
         return run
 
     return map_text(df, make, _ADDED, text_col, keep_text)

@@ -1,145 +1,176 @@
 """Byte pair encoding by dynamic programming over prefixes.
 
-Every prefix of a text has exactly one last token in the encoding of that prefix. The tokens that end at a position are
-found by following all open trie paths at once; among them the right one is that whose predecessor (the last token of the
-prefix before it) is compatible with it: the two, put side by side, encode to themselves. What decides the next step is
-only the set of open paths with the last token stored where each began, so that set is a state, and steps between states
-are kept: the automaton is made while it runs, and forgotten when it has grown to a limit.
+Every prefix of a text has exactly one last token in the encoding of that prefix: of the tokens that end there it is the one
+that is compatible with its predecessor, the last token of the prefix before it. Two tokens are compatible if, put side by
+side, they encode to themselves.
+
+LastTokens finds the tokens that end at each position by a suffix automaton over the vocabulary (Aho-Corasick), stores the last
+token of every prefix and follows these back from the end to the ids. CountingTransducer only counts: what decides the next
+step is the set of open trie paths with the last token stored where each began, so that set is a state, and each transition is
+annotated with the change of the token count. Its states are made when they are first met and forgotten at a limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import ahocorasick
+
 #: No token: the start of a stretch that nothing merges into.
 EDGE = -1
+#: Results of pair tests that are kept.
+PAIRS = 200_000
+
+
+class Merges:
+    """tokens: id and symbols; rank(a, b): order of the merge of two strings, None if there is none."""
+
+    def __init__(self, tokens: dict[int, str], rank: Callable[[str, str], float | None]):
+        self.rank, self.text = rank, tokens
+        self.size = max(tokens, default=0) + 2
+        self.fits: dict[int, bool] = {}
+
+    def merged(self, text: str) -> list[str]:
+        """Merge by rank, leftmost first: the definition, used on a token or a pair of tokens."""
+        parts = list(text)
+        ranks = [self.rank(a, b) for a, b in zip(parts, parts[1:], strict=False)]
+        while any(r is not None for r in ranks):
+            at = min((r, i) for i, r in enumerate(ranks) if r is not None)[1]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            for i in (at - 1, at):
+                if 0 <= i < len(ranks):
+                    ranks[i] = self.rank(parts[i], parts[i + 1])
+        return parts
+
+    def compatible(self, before: int, token: int) -> bool:
+        key = (before + 1) * self.size + token
+        fit = self.fits.get(key)
+        if fit is None:
+            if len(self.fits) >= PAIRS:
+                self.fits.clear()
+            own = [self.text[token]] if before == EDGE else [self.text[before], self.text[token]]
+            fit = self.fits[key] = self.merged("".join(own)) == own
+        return fit
+
+
+class LastTokens:
+    """Ids of words; every symbol of a word must be a token."""
+
+    def __init__(self, tokens: dict[int, str], rank: Callable[[str, str], float | None]):
+        self.merges = Merges(tokens, rank)
+        self.length = {i: len(t) for i, t in tokens.items()}
+        self.suffixes = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, t in tokens.items():
+            self.suffixes.add_word(t, i)
+        self.suffixes.make_automaton()
+
+    def encode(self, word: str) -> list[int]:
+        length, merges = self.length, self.merges
+        fits, size = merges.fits, merges.size
+        last = [EDGE] * (len(word) + 1)
+        for end, token in self.suffixes.iter(word):
+            if last[end + 1] == EDGE:
+                before = last[end + 1 - length[token]]
+                fit = fits.get((before + 1) * size + token)
+                if fit or fit is None and merges.compatible(before, token):
+                    last[end + 1] = token
+        ids, at = [], len(word)
+        while at:
+            ids.append(last[at])
+            at -= length[last[at]]
+        ids.reverse()
+        return ids
+
+
+class State(dict):
+    """Symbol: (next state, change of the token count). paths: (trie node, last token before it, tokens behind it); symbol: the one
+    read last."""
+
+    __slots__ = ("home", "paths", "symbol")
+
+    def __init__(self, home: CountingTransducer, paths: tuple):
+        super().__init__()
+        self.home, self.paths = home, paths
+        last = paths[-1][1]
+        self.symbol = "" if last == EDGE else home.merges.text[last][-1]
+
+    def __missing__(self, symbol: str) -> tuple[State, int]:
+        return self.home.step(self, symbol)
 
 
-class PrefixAutomaton:
-    """tokens: (id, symbols, weight); rank(a, b): order of the merge of two strings, None if there is none.
+#: The paths of the start state.
+START = ((0, EDGE, 0),)
 
-    weight is what a token counts for (a character without a piece of its own counts its bytes). With counting, states also
-    hold how many tokens lie before each open path, and a step yields the change of the token count.
+
+class CountingTransducer:
+    """weights: what each token counts for (a character without a piece of its own counts its bytes).
+
+    Nothing merges across two symbols that no token holds side by side, so there a step is that of the start state.
     """
 
-    def __init__(self, tokens: Iterable[tuple[int, str, int]], rank: Callable[[str, str], float | None], counting: bool, limit: int = 600_000):
-        self.rank, self.counting, self.limit = rank, counting, limit
-        self.text: dict[int, str] = {}
-        self.weight: dict[int, int] = {}
-        self.edges: dict[tuple[int, str], int] = {}
-        self.token: list[int] = [EDGE]
-        self.inner: list[bool] = [False]
-        for i, text, weight in tokens:
-            self.text[i], self.weight[i] = text, weight
+    def __init__(self, tokens: dict[int, str], weights: dict[int, int], rank: Callable[[str, str], float | None], limit: int = 150_000):
+        self.merges, self.weights, self.limit = Merges(tokens, rank), weights, limit
+        self.adjacent = {t[i : i + 2] for t in tokens.values() for i in range(len(t) - 1)}
+        self.edges: dict[int, int] = {}  # node * 2 ** 21 + symbol: node
+        self.token, self.inner = [EDGE], [False]
+        for i, text in tokens.items():
             node = 0
             for c in text:
                 self.inner[node] = True
-                after = self.edges.get((node, c))
+                after = self.edges.get(node << 21 | ord(c))
                 if after is None:
-                    after = self.edges[node, c] = len(self.token)
+                    after = self.edges[node << 21 | ord(c)] = len(self.token)
                     self.token.append(EDGE)
                     self.inner.append(False)
                 node = after
             self.token[node] = i
-        self.length = {i: len(t) for i, t in self.text.items()}
-        self.whole: dict[int, bool] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.states: list[tuple] = []
-        self.number: dict[tuple, int] = {}
-        self.steps: list[dict[str, tuple[int, int]]] = []
+        self.states: dict[tuple, State] = {}
         self.size = 0
-        self.state(((0, EDGE, 0),))
 
-    def state(self, paths: tuple) -> int:
-        at = self.number.get(paths)
-        if at is None:
-            at = self.number[paths] = len(self.states)
-            self.states.append(paths)
-            self.steps.append({})
-        return at
-
-    def merged(self, text: str) -> list[str]:
-        """Merge by rank, leftmost first: the definition, used on a token or a pair of tokens."""
-        parts = list(text)
-        while True:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                r = self.rank(parts[i], parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    def state(self, paths: tuple) -> State:
+        s = self.states.get(paths)
+        if s is None:
+            s = self.states[paths] = State(self, paths)
+        return s
 
-    def compatible(self, before: int, token: int) -> bool:
-        key = (before, token)
-        fit = self.fits.get(key)
-        if fit is None:
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            if before == EDGE:
-                fit = self.merged(self.text[token]) == [self.text[token]]
-            else:
-                a, b = self.text[before], self.text[token]
-                fit = self.merged(a + b) == [a, b]
-            self.fits[key] = fit
-        return fit
+    def forget(self) -> None:
+        """Drop all transitions. States that are in use stay right: they make theirs again."""
+        for s in self.states.values():
+            s.clear()
+        self.states.clear()
+        self.size = 0
 
-    def step(self, s: int, c: str) -> tuple[int, int]:
-        """From state s over symbol c: the next state, and the last token there (counting: the change of the count)."""
-        hit = self.steps[s].get(c)
-        if hit is not None:
-            return hit
-        found, before, paths = EDGE, 0, []
-        for node, last, behind in self.states[s]:  # the longest first
-            after = self.edges.get((node, c))
+    def step(self, state: State, symbol: str) -> tuple[State, int]:
+        if self.size >= self.limit:
+            self.forget()
+        self.size += 1
+        if state.symbol and state.symbol + symbol not in self.adjacent:
+            made = state[symbol] = self.state(START)[symbol]
+            return made
+        code, compatible = ord(symbol), self.merges.compatible
+        found, before, open_ = EDGE, 0, []
+        for node, last, behind in state.paths:  # the longest first
+            after = self.edges.get(node << 21 | code)
             if after is None:
                 continue
             t = self.token[after]
-            if found == EDGE and t != EDGE and self.compatible(last, t):
+            if found == EDGE and t != EDGE and compatible(last, t):
                 found, before = t, behind
             if self.inner[after]:
-                paths.append((after, last, behind))
-        if found == EDGE:  # a symbol that no token holds: nothing merges across it
-            hit = (0, len(c.encode("utf-8", "surrogatepass")) if self.counting else EDGE)
-        elif self.counting:
-            change = before + self.weight[found]
-            hit = (self.state((*((n, last, b - change) for n, last, b in paths), (0, found, 0))), change)
+                open_.append((after, last, behind))
+        if found == EDGE:  # a symbol that no token holds
+            made = (self.state(START), len(symbol.encode("utf-8", "surrogatepass")))
         else:
-            hit = (self.state((*paths, (0, found, 0))), found)
-        self.steps[s][c] = hit
-        self.size += 1
-        return hit
-
-    def room(self) -> None:
-        """Call between words: states do not outlive the limit."""
-        if self.size > self.limit:
-            self.forget()
-
-    def encode(self, word: str) -> list[int]:
-        """Ids of a word: last tokens of all prefixes, then the way back from the end."""
-        self.room()
-        s, last, steps = 0, [], self.steps
-        for c in word:
-            hit = steps[s].get(c) or self.step(s, c)
-            s = hit[0]
-            last.append(hit[1])
-        ids, at = [], len(last)
-        while at:
-            t = last[at - 1]
-            ids.append(t)
-            at -= self.length[t]
-        ids.reverse()
-        return ids
-
-    def run(self, text: str, s: int = 0) -> tuple[int, int]:
-        """Exit state and change of the token count over a text, entered in state s."""
-        n, steps = 0, self.steps
+            change = before + self.weights[found]
+            made = (self.state((*[(n, t, b - change) for n, t, b in open_], (0, found, 0))), change)
+        state[symbol] = made
+        return made
+
+    def run(self, text: str, state: State) -> tuple[State, int]:
+        """Exit state and change of the token count over a text, entered in that state."""
+        n = 0
         for c in text:
-            hit = steps[s].get(c) or self.step(s, c)
-            s, d = hit
-            n += d
-        return s, n
+            state, change = state[c]
+            n += change
+        return state, n

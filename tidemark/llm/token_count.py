@@ -1,52 +1,72 @@
 """Operator 2: token counts without token lists.
 
-Method: the tokenizer is compiled to a deterministic transducer whose steps carry the change of the token count
-(prefix_bpe.py with counting; states are made when first needed and forgotten at a limit). It runs over one word at a time
-from its start state, and counts of words are kept. A longer text is cut into chunks: a chunk is the open word at its head, the
-count of what lies between, and the open word at its tail. Neighbours are joined pairwise, level by level; the open words that
-meet are joined as text and counted then. No automaton state crosses a chunk.
+Method: the tokenizer is compiled to a deterministic transducer whose transitions carry the change of the token count
+(prefix_bpe.py; states are made when first met). Every text is cut into chunks. A chunk's map says for an entry state in which
+state the chunk is left and how many tokens it adds; maps of neighbours are composed pairwise, level by level, and the map of
+the whole text at the start state is the count. A map is made from a run from the start state; another entry state runs only
+until it meets that run in one state at one place, which then holds for the rest of the chunk, or else to the end.
 
-One pass, no shuffle. Texts are used whole.
+One pass, no shuffle. Texts are used whole. The transducer's tables are bounded, within a text too.
 
-Defined results: null and empty texts have 0 bytes and 0 tokens; duplicate rows are counted each; an input column named as an
-added one is replaced.
+Defined results: null and empty texts have 0 bytes and 0 tokens; repeated rows are counted each; an empty table gives an empty
+one; an input column named as an added one is replaced.
 """
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
-import regex
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import map_text, table
-from tidemark.llm.prefix_bpe import PrefixAutomaton
+from tidemark.llm.prefix_bpe import START, CountingTransducer
 
-#: Code points of a chunk.
-CHUNK = 65_536
-#: Words kept in a task's table before it is emptied.
-MEMO_WORDS = 400_000
+#: Code points of a chunk, and places at its head where runs from two entry states are compared.
+CHUNK, HEAD = 4096, 64
 LIMIT = 4096
 MARK = "▁"
-LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 
 
-class Memo(dict):
-    """Token count by word; a word not seen yet runs through the transducer."""
+class ChunkMap(dict):
+    """Entry state: (exit state, tokens), of one chunk. States are told by their paths, which outlive the transducer's tables."""
 
-    def __init__(self, auto: PrefixAutomaton):
+    def __init__(self, auto: CountingTransducer, text: str):
         super().__init__()
-        self.auto = auto
+        self.auto, self.text, self.head = auto, text, []
+        s, n = auto.state(START), 0
+        for c in text[:HEAD]:
+            s, change = s[c]
+            n += change
+            self.head.append((s.paths, n))
+        s, rest = auto.run(text[HEAD:], s)
+        self[START] = (s.paths, n + rest)
+
+    def __missing__(self, entry: tuple) -> tuple[tuple, int]:
+        s, n = self.auto.state(entry), 0
+        for c, (paths, m) in zip(self.text, self.head, strict=False):
+            s, change = s[c]
+            n += change
+            if s.paths == paths:
+                exit_, all_ = self[START]
+                self[entry] = (exit_, n + all_ - m)
+                return self[entry]
+        s, rest = self.auto.run(self.text[HEAD:], s)
+        self[entry] = (s.paths, n + rest)
+        return self[entry]
+
+
+class Composed(dict):
+    """The map of two neighbouring stretches, from their maps."""
+
+    def __init__(self, first: dict, second: dict):
+        super().__init__()
+        self.first, self.second = first, second
 
-    def __missing__(self, word: str) -> int:
-        self.auto.room()
-        n = self.auto.run(word)[1]
-        if len(word) <= 64:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = n
-        return n
+    def __missing__(self, entry: tuple) -> tuple[tuple, int]:
+        middle, n = self.first[entry]
+        exit_, m = self.second[middle]
+        self[entry] = (exit_, n + m)
+        return self[entry]
 
 
 class PieceCounter:
@@ -60,59 +80,21 @@ class PieceCounter:
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces[model.id_to_piece(i)] = (i, -model.get_score(i))
-        if any(regex.search(f"[^{MARK}]{MARK}", p) for p in pieces):
-            raise ValueError("a piece spans a word start: words of this model can't be counted apart")
         spare = model.get_piece_size()
         bare = sorted({c for p in pieces for c in p} - pieces.keys())  # characters only known inside pieces
-        tokens = [(i, p, 1) for p, (i, _) in pieces.items()] + [(spare + n, c, len(c.encode())) for n, c in enumerate(bare)]
+        tokens = {i: p for p, (i, _) in pieces.items()} | {spare + n: c for n, c in enumerate(bare)}
+        weights = {i: 1 for i, _ in pieces.values()} | {spare + n: len(c.encode()) for n, c in enumerate(bare)}
         rank = {p: r for p, (_, r) in pieces.items()}
-        self.auto = PrefixAutomaton(tokens, lambda a, b: rank.get(a + b), counting=True)
-        self.memo = Memo(self.auto)
-        # a line feed is in no piece, so nothing merges across it
-        self.feed = not any("\n" in p for p in pieces)
-        # nor across a letter and a stop that follow each other in no piece
-        stops = "".join(regex.escape(c) for c in ".,;:!?)" if not any(regex.search(f"{LETTER}{regex.escape(c)}", p) for p in pieces))
-        cut = f"{MARK}*{LETTER}+(?=[{stops}])|" if stops else ""
-        self.words = re.compile(cut + (f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+" if self.feed else f"{MARK}+[^{MARK}]*|[^{MARK}]+")).findall
-        self.start = regex.compile(f"(?<=[^{MARK}]){MARK}" + ("|\n" if self.feed else "")).search
+        self.auto = CountingTransducer(tokens, weights, lambda a, b: rank.get(a + b))
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         text = (MARK + text).replace(" ", MARK)
-        if len(text) <= CHUNK:
-            return sum(map(self.memo.__getitem__, self.words(text)))
-        maps = [self.state_map(text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)]
+        maps: list[dict] = [ChunkMap(self.auto, text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)]
         while len(maps) > 1:  # one level of the scan: neighbours are composed
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        head, inner, tail = maps[0]
-        return self.closed(head) + inner + (self.closed(tail) if tail is not None else 0)
-
-    def closed(self, stretch: str) -> int:
-        return sum(map(self.memo.__getitem__, self.words(stretch)))
-
-    def state_map(self, text: str) -> tuple[str, int, str | None]:
-        """(head, count of what lies between, tail): head and tail are the open words at the chunk's ends; without a certain place the chunk is all head."""
-        m = self.start(text)
-        if m is None:
-            return text, 0, None
-        last = max(text.rfind("\n") if self.feed else -1, self.last_word(text))
-        return text[: m.start()], self.closed(text[m.start() : last]), text[last:]
-
-    @staticmethod
-    def last_word(text: str) -> int:
-        """Where the last word begins, with all marks before it."""
-        at = text.rfind(MARK)
-        while at > 0 and text[at - 1] == MARK:
-            at -= 1
-        return at
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        if a[2] is None:
-            return (a[0] + b[0], b[1], b[2])
-        if b[2] is None:
-            return (a[0], a[1], a[2] + b[0])
-        return (a[0], a[1] + self.closed(a[2] + b[0]) + b[1], b[2])
+            maps = [Composed(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0][START][1]
 
 
 @lru_cache(maxsize=4)
