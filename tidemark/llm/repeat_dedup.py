@@ -16,8 +16,9 @@ Plan: one scan gives the runs; they are written once, counted by partial aggrega
 row per task), and met with the repeated names in joins that Spark can split at hot keys. Those tables grow with the corpus, so
 these joins are shuffled at every size. Texts are met by id: broadcast of the other side up to a counted size, else a shuffle.
 
-Defined results: a null text is an empty one; texts under LENGTH bytes lose nothing; rows with one id are told apart by their
-text, and equal rows are copies of each other like any others; a null id is a document like any other.
+Defined results: a null text is an empty one; texts under LENGTH bytes lose nothing; rows with one id (or none) are told apart
+by their text, and equal rows are copies of each other like any others; very long texts are worked on in pieces; an empty table
+gives an empty one; only the id and the results come back, so that other columns can't clash.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import sized, staged, table
+from tidemark.llm.common import give_back, sized, slices, staged, table, unstaged
 
 LENGTH = 200
 #: Bytes of an anchor, and parts of a run in the second round.
@@ -124,24 +125,24 @@ def runs(data: bytes, length: int) -> tuple[np.ndarray, ...]:
 
 
 def run_rows(docs: DataFrame, length: int) -> DataFrame:
-    """name, digest, id, tag (hash of the text), at, n, off for every run."""
+    """name, digest, id, tag, at, n, off for every run; docs: id, text, tag (hash of the text)."""
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                owner, tags, columns = [], [], []
+            for part in slices(batch, 1, 64):
+                owner, columns = [], []
                 for k, text in enumerate(part.column(1).to_pylist()):
                     data = (text or "").encode("utf-8", "surrogatepass")
                     got = runs(data, length)
                     columns.append(got)
                     owner.append(np.full(len(got[0]), k, np.int64))
-                    tags.append(np.full(len(got[0]), xxhash.xxh3_64_intdigest(data) - 2**63, np.int64))
                 first, count, name, digest, off = (np.concatenate([c[k] for c in columns]) for k in range(5))
+                owner = pa.array(np.concatenate(owner))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(name), pa.array(digest), part.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(tags)), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(off.astype(np.int32))],
+                    [pa.array(name), pa.array(digest), part.column(0).take(owner), part.column(2).take(owner), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(off.astype(np.int32))],
                     names=["name", "digest", "id", "tag", "at", "n", "off"],
                 )
+        give_back()
 
     return docs.mapInArrow(run, f"name long, digest long, id {docs.schema['id'].dataType.simpleString()}, tag long, at int, n int, off int")
 
@@ -150,34 +151,31 @@ def looked_into(docs: DataFrame, spans: DataFrame, func, added: str) -> DataFram
     """Rows that func makes of the bytes of a document and each of its spans; spans: id, tag, at, n, off, single.
 
     func(bytes, span) returns a dict of equally long arrays, named and typed by the DDL string added; id, tag and single go
-    along. A span travels as one number: 30 bits of place, 16 of length, 16 of offset, 1 of single.
+    along. A span travels as one number: 30 bits of place, 16 of length, 16 of offset, 1 of single. Rows with one id and text have
+    the same spans, so a set of them is no larger for a row that is repeated.
     """
     packed = F.shiftleft(F.shiftleft(F.shiftleft(F.col("at").cast("long"), 16) + F.col("n"), 16) + F.col("off"), 1) + F.col("single").cast("long")
-    own = spans.groupBy("id", "tag").agg(F.collect_list(packed).alias("spans"))
-    own = sized(staged(own.select(F.col("id").alias("own"), "tag", "spans"), "spans"), weight=F.size("spans"))
-    work = docs.join(own, F.col("id").eqNullSafe(F.col("own"))).select("id", "text", "tag", "spans")
+    own = spans.groupBy("id", "tag").agg(F.collect_set(packed).alias("spans"))
+    own = sized(staged(own.select(F.col("id").alias("own"), F.col("tag").alias("own_tag"), "spans"), "spans"), weight=F.size("spans"))
+    work = docs.join(own, F.col("id").eqNullSafe(F.col("own")) & (F.col("tag") == F.col("own_tag"))).select("id", "text", "tag", "spans")
     new = to_arrow_schema(StructType.fromDDL(added))
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 32):
-                part = batch.slice(lo, 32)
-                made, owner, tags, single = [], [], [], []
-                for k, (text, tag, own) in enumerate(zip(*[part.column(c).to_pylist() for c in (1, 2, 3)], strict=True)):
-                    data = (text or "").encode("utf-8", "surrogatepass")
-                    if xxhash.xxh3_64_intdigest(data) - 2**63 != tag:
-                        continue  # another text with the same id
-                    data = np.frombuffer(data, np.uint8)
+            for part in slices(batch, 1, 32):
+                made, owner, single = [], [], []
+                for k, (text, own) in enumerate(zip(*[part.column(c).to_pylist() for c in (1, 3)], strict=True)):
+                    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
                     for x in own:
                         made.append(func(data, {"at": x >> 33, "n": x >> 17 & 0xFFFF, "off": x >> 1 & 0xFFFF}))
                         m = len(made[-1]["at"])
                         owner.append(np.full(m, k))
-                        tags.append(np.full(m, tag))
                         single.append(np.full(m, bool(x & 1)))
                 if made:
                     columns = [pa.array(np.concatenate([x[f.name] for x in made]).astype(f.type.to_pandas_dtype())) for f in new]
-                    ids = part.column(0).take(pa.array(np.concatenate(owner)))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(tags)), pa.array(np.concatenate(single)), *columns], names=["id", "tag", "single", *new.names])
+                    owner = pa.array(np.concatenate(owner))
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(owner), part.column(2).take(owner), pa.array(np.concatenate(single)), *columns], names=["id", "tag", "single", *new.names])
+        give_back()
 
     return work.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, tag long, single boolean, {added}")
 
@@ -233,17 +231,20 @@ def settled(rows: DataFrame, what: str) -> tuple[DataFrame, DataFrame]:
     differ = met.filter("not same")
     ways = staged(differ.groupBy("name", "digest").agg(F.count("*").alias("copies"), F.min(F.xxhash64("id", "tag", "at")).alias("pick")), f"{what}-ways")
     mixed_rows = staged(differ.join(ways, ["name", "digest"]).select(*PLACE, "off", "copies", "single", (F.xxhash64("id", "tag", "at") == F.col("pick")).alias("picked")), f"{what}-mixed")
+    unstaged(names, ways)
     hits = met.filter("same").select(*PLACE).unionByName(mixed_rows.filter("copies > 1").select(*PLACE))
     left = mixed_rows.filter("picked").select(*PLACE, "off", (F.col("single") & (F.col("copies") == 1)).alias("single"))
     return hits, left
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """id, tag, at, n: strings of that length that start at at ... at + n - 1 start elsewhere too. docs: id, text."""
-    found = staged(run_rows(docs, length), "runs").withColumn("single", F.lit(True))
-    whole, work = settled(found, "run")
-    parts = staged(looked_into(docs, work, stretches(length), "name long, digest long, at int, n int"), "parts").withColumn("off", F.lit(0))
-    partly, left = settled(parts, "part")
+    """id, tag, at, n: strings of that length that start at at ... at + n - 1 start elsewhere too. docs: id, text, tag."""
+    found = staged(run_rows(docs, length), "runs")
+    whole, work = settled(found.withColumn("single", F.lit(True)), "run")
+    unstaged(found)
+    parts = staged(looked_into(docs, work, stretches(length), "name long, digest long, at int, n int"), "parts")
+    partly, left = settled(parts.withColumn("off", F.lit(0)), "part")
+    unstaged(parts)
     strings = looked_into(docs, left, pairs_of_ranks(length), "p1 long, p2 long, at int")
     twice = staged(strings.groupBy("p1", "p2").agg(F.count("*").alias("c"), F.max("single").alias("any")).filter("c > 1 and any").select("p1", "p2"), "pairs")
     hits = strings.filter("single").join(twice, ["p1", "p2"]).select("id", "tag", "at", F.lit(1).alias("n"))
@@ -251,53 +252,52 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def covered(spans: DataFrame, length: int) -> DataFrame:
-    """id, cut: sorted disjoint byte ranges (tag, start, end) that the strings cover; touching ones are one."""
-    own = spans.groupBy("id", "tag").agg(F.collect_list(F.struct("at", "n")).alias("s"))
+    """id, tag, cut: sorted disjoint byte ranges (start, end) that the strings cover; touching ones are one."""
+    own = spans.groupBy("id", "tag").agg(F.collect_set(F.struct("at", "n")).alias("s"))
 
     def run(batches):
         for batch in batches:
             out = []
-            for tag, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for own in batch.column(2).to_pylist():
                 merged: list[dict] = []
                 for at, n in sorted((s["at"], s["n"]) for s in own):
                     end = at + n - 1 + length
                     if merged and at <= merged[-1]["end"]:
                         merged[-1]["end"] = max(merged[-1]["end"], end)
                     else:
-                        merged.append({"tag": tag, "start": at, "end": end})
+                        merged.append({"start": at, "end": end})
                 out.append(merged)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("tag", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])))], names=["id", "cut"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["id", "tag", "cut"])
 
     kind = spans.schema["id"].dataType.simpleString()
-    merged = own.select("id", "tag", "s").mapInArrow(run, f"id {kind}, cut array<struct<tag: long, start: int, end: int>>")
-    return staged(merged, "cuts").groupBy("id").agg(F.flatten(F.collect_list("cut")).alias("cut"))
+    merged = own.select("id", "tag", "s").mapInArrow(run, f"id {kind}, tag long, cut array<struct<start: int, end: int>>")
+    return staged(merged, "cuts")
 
 
 def repeats_removed(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, n_bytes, n_removed, spans (byte ranges removed) and kept (the remaining bytes) for every row of df."""
+    """id_col, n_bytes, n_removed, spans (byte ranges removed) and kept (the remaining bytes) for every row of df; no other column."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    cuts = covered(repeated_spans(docs, length), length).select(F.col("id").alias("own"), "cut")
-    both = docs.join(sized(cuts, weight=F.size("cut")), F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "cut")
+    docs = docs.withColumn("tag", F.xxhash64("text"))
+    cuts = covered(repeated_spans(docs, length), length).select(F.col("id").alias("own"), F.col("tag").alias("own_tag"), "cut")
+    both = docs.join(sized(cuts, weight=F.size("cut")), F.col("id").eqNullSafe(F.col("own")) & (F.col("tag") == F.col("own_tag")), "left").select("id", "text", "cut")
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in slices(batch, 1):
                 sizes, kept, spans = [], [], []
                 for text, cut in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     data = (text or "").encode("utf-8", "surrogatepass")
-                    tag = xxhash.xxh3_64_intdigest(data) - 2**63 if cut else 0
-                    own = [{"start": c["start"], "end": c["end"]} for c in cut or () if c["tag"] == tag]
                     last, rest = 0, []
-                    for c in own:
+                    for c in cut or ():
                         rest.append(data[last : c["start"]])
                         last = c["end"]
                     kept.append(b"".join([*rest, data[last:]]))
                     sizes.append(len(data))
-                    spans.append(own)
+                    spans.append(cut or [])
                 gone = [a - len(b) for a, b in zip(sizes, kept, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=[id_col, "n_bytes", "n_removed", "spans", "kept"])
+        give_back()
 
     return both.mapInArrow(run, f"`{id_col}` {docs.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, spans array<struct<start: int, end: int>>, kept binary")
 
