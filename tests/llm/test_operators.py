@@ -134,7 +134,8 @@ def test_block_index_is_exact():
     data = [tuple(sorted({rnd.randrange(30): rnd.randint(1, 4) for _ in range(rnd.randint(0, 6))}.items())) for _ in range(500)]
     index = toxicity.BlockIndex(names, np.linspace(1, 3, 30), data, list(range(500)), [i % 2 for i in range(500)])
     dense = np.zeros((500, 30))
-    for i, (t, w) in enumerate(index.vectors):
+    for i in range(500):
+        t, w = index.own(i)
         dense[i, t] = w
     for q in data[:80]:
         if q:

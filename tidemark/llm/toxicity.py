@@ -1,19 +1,23 @@
 """Operator 5: toxicity by the nearest labelled examples.
 
-Method: texts become TF-IDF vectors over words and word beginnings whose presence goes with the label (chi-square on the
-training rows; document frequencies over all documents). The K nearest training vectors by exact cosine come from an inverted
-index whose postings are cut into blocks with their largest weights: blocks are read in the order of their bounds until no
-bound can reach the K-th best. Neighbours vote with weights 1 / (1 - cosine + SOFT); the vote is calibrated by a logistic fit on
-the training rows, each scored without itself. The neighbours are returned as evidence.
+Method: texts become TF-IDF vectors over the words and word beginnings whose presence goes with the label (chi-square on the
+training rows of at least LEAST_CHI2, and found in LEAST_ROWS of them; document frequencies over all documents). The K nearest
+training vectors by exact cosine come from an inverted index whose postings are cut into blocks with their largest weights:
+blocks are read in the order of their bounds until no bound can reach the K-th best. Neighbours vote with weights
+1 / (1 - cosine + SOFT); the vote is calibrated by a logistic fit on the training rows, each scored without itself. The
+neighbours are returned as evidence. With all words as terms the neighbours of long texts are those that share their subject,
+and most toxic texts are missed (README), so terms are selected.
 
-Bounds: the index holds about TRAIN_ROWS labelled rows, taken by a hash of the id, and at most FEATURES features, so it can be
-sent to every task whatever the corpus. Everything else - document frequencies and scores - covers all documents.
+Bounds: the index holds about TRAIN_ROWS labelled rows, taken by a hash of the id, as flat arrays, so it can be sent to every
+task whatever the corpus. Everything else - document frequencies and scores - covers all documents.
 
 Plan: three scans of the texts (training rows, frequencies, scores), no shuffle of texts.
 
-Defined results: a text with no feature (null and empty ones too) gets the training rate of such texts; several labels of one
+Defined results: a text with no term (null and empty ones too) gets the training rate of such texts; several labels of one
 document: toxic if any says so; null labels and null ids are not learnt from; without any training row the score is 0; repeated
-rows are scored alike; input columns named as added ones are replaced. Only the text enters a score.
+rows and very long texts are scored like any others, whole; an empty table gives an empty one; ties of cosines go to the earlier
+row of the index; input columns named as added ones are replaced; held_out of a null id is null. Only the text enters a score:
+no row is told by its id, so a training row is among its own neighbours when it is scored (not when the vote is calibrated).
 """
 
 from __future__ import annotations
@@ -27,14 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, map_text, staged, table
+from tidemark.llm.common import fold, give_back, map_text, sized, slices, staged, table, unstaged
 
-#: Bounds of the sample of labelled rows and of the features.
-TRAIN_ROWS, FEATURES = 12_000, 1024
-#: Chi-square from which a feature is used, and the least number of training rows with it.
+#: About so many labelled rows are learnt from.
+TRAIN_ROWS = 12_000
+#: Chi-square from which a term is used, and the least number of training rows with it.
 LEAST_CHI2, LEAST_ROWS = 20.0, 3
 STEM = 5
 K, SOFT, BLOCK = 15, 0.05, 64
+#: Results that a worker keeps, of texts with few terms.
+MEMO = 4_000
 
 find_words = re.compile(r"[^\W\d_]+").findall
 
@@ -46,7 +52,7 @@ def terms(text: str | None) -> list[str]:
 
 
 class Terms:
-    """Counts of the chosen features in a text."""
+    """Counts of the chosen terms in a text."""
 
     def __init__(self, names: list[str]):
         self.word = {n: i for i, n in enumerate(names) if not n.startswith("~")}
@@ -63,28 +69,38 @@ class Terms:
 
 
 class BlockIndex:
-    """Exact K nearest by cosine over blocks of BLOCK training rows."""
+    """Exact K nearest by cosine over blocks of BLOCK training rows.
 
-    def __init__(self, names: list[str], idf: np.ndarray, rows: list[tuple], ids: list[int], toxic: list[int]):
+    The postings of term t in block b are places[first[t, b] : first[t, b + 1]] (rows of the block) with their weights.
+    """
+
+    def __init__(self, names: list[str], idf: np.ndarray, rows: list[tuple], ids: list, toxic: list[int]):
         self.terms, self.idf = Terms(names), idf
         order = sorted(range(len(rows)), key=lambda i: ([-c[0] for c in self.heaviest(rows[i])], ids[i]))
-        self.ids = np.array([ids[i] for i in order], np.int64)
+        self.ids = [ids[i] for i in order]
         self.toxic = np.array([toxic[i] for i in order], np.float64)
         self.width = max(1, -(-len(order) // BLOCK))
-        self.bound = np.zeros((len(names), self.width), np.float64)
-        posts: dict[tuple[int, int], list] = {}
-        self.vectors = []
-        for at, i in enumerate(order):
-            at_terms, weights = self.vector(rows[i])
-            self.vectors.append((at_terms, weights))
-            for t, w in zip(at_terms.tolist(), weights.tolist(), strict=True):
-                self.bound[t, at // BLOCK] = max(self.bound[t, at // BLOCK], w)
-                posts.setdefault((t, at // BLOCK), []).append((at % BLOCK, w))
-        self.posts = {k: (np.array([x[0] for x in v]), np.array([x[1] for x in v])) for k, v in posts.items()}
-        self.fit = (1.0, 0.0)
-        self.bare = 0.0
+        vectors = [self.vector(rows[i]) for i in order]
+        #: row n has the terms term[start[n] : start[n + 1]]
+        self.start = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors], dtype=np.int64)])
+        self.term = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]).astype(np.int32)
+        self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        row = np.repeat(np.arange(len(order)), np.diff(self.start))
+        cell = self.term.astype(np.int64) * self.width + row // BLOCK
+        sort = np.argsort(cell, kind="stable")
+        self.places, self.weights = (row[sort] % BLOCK).astype(np.int32), self.weight[sort]
+        cells = len(names) * self.width
+        self.first = np.searchsorted(cell[sort], np.arange(cells + 1)).astype(np.int64)
+        bound = np.zeros(cells)
+        np.maximum.at(bound, cell, self.weight)
+        self.bound = bound.reshape(len(names), self.width)
+        self.fit, self.bare, self.id_type = (1.0, 0.0), 0.0, "long"
         self.memo: dict[tuple, tuple] = {}
 
+    def own(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a row of the index."""
+        return self.term[self.start[n] : self.start[n + 1]], self.weight[self.start[n] : self.start[n + 1]]
+
     def heaviest(self, counts: tuple) -> list:
         return sorted(((self.idf[t] * (1 + math.log(n)), -t) for t, n in counts), reverse=True)[:3]
 
@@ -103,8 +119,8 @@ class BlockIndex:
                 break
             score = np.zeros(BLOCK)
             for x, y in zip(t.tolist(), w.tolist(), strict=True):
-                if (post := self.posts.get((x, b))) is not None:
-                    score[post[0]] += y * post[1]
+                lo, hi = self.first[x * self.width + b : x * self.width + b + 2]
+                score[self.places[lo:hi]] += y * self.weights[lo:hi]
             at = np.flatnonzero(score > 0)
             at = at[at + b * BLOCK != without]
             best_at, best = np.concatenate([best_at, at + b * BLOCK]), np.concatenate([best, score[at]])
@@ -119,7 +135,8 @@ class BlockIndex:
     def calibrate(self) -> None:
         """Logistic fit of label on vote, by Newton steps with a small ridge; and the rate of rows without features."""
         votes, labels, bare = [], [], []
-        for i, (t, w) in enumerate(self.vectors):
+        for i in range(len(self.ids)):
+            t, w = self.own(i)
             if not len(t):
                 bare.append(self.toxic[i])
                 continue
@@ -152,12 +169,13 @@ class BlockIndex:
             if len(at):
                 p = self.vote(at, cosine)
                 p = 1 / (1 + math.exp(-self.fit[0] * math.log(p / (1 - p)) - self.fit[1]))
-                hit = (p, self.ids[at].tolist(), cosine.tolist())
+                hit = (p, [self.ids[i] for i in at.tolist()], cosine.tolist())
             else:
                 hit = (self.bare, [], [])
-            if len(self.memo) > 20_000:
-                self.memo.clear()
-            self.memo[counts] = hit
+            if len(counts) <= 8:
+                if len(self.memo) >= MEMO:
+                    self.memo.clear()
+                self.memo[counts] = hit
         return hit
 
 
@@ -167,14 +185,15 @@ def term_rows(train: DataFrame) -> DataFrame:
     def run(batches):
         toxic, rows = Counter(), Counter()
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                here = set(terms(text))
-                rows.update(here)
-                if label:
-                    toxic.update(here)
+            for part in slices(batch, 0):
+                for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    here = set(terms(text))
+                    rows.update(here)
+                    if label:
+                        toxic.update(here)
         names = list(rows)
-        for lo in range(0, len(names), 50_000):
-            part = names[lo : lo + 50_000]
+        for lo in range(0, len(names), 20_000):
+            part = names[lo : lo + 20_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([toxic[n] for n in part], pa.int64()), pa.array([rows[n] for n in part], pa.int64())], names=["term", "p", "n"])
 
     return train.select("text", "toxic").mapInArrow(run, "term string, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
@@ -186,9 +205,11 @@ def frequencies(df: DataFrame, names: list[str], text_col: str) -> np.ndarray:
     def run(batches):
         t, n = Terms(names), np.zeros(len(names) + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                n[[c[0] for c in t.counts(text)]] += 1
+            for part in slices(batch, 0):
+                for text in part.column(0).to_pylist():
+                    n[[c[0] for c in t.counts(text)]] += 1
             n[-1] += batch.num_rows
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[np.flatnonzero(n)])], names=["i", "n"])
 
     out = np.zeros(len(names) + 1, np.int64)
@@ -203,28 +224,30 @@ def fitted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     keep = max(1, math.ceil(marks.count() / train_rows))
     marks = marks.filter(F.pmod(F.xxhash64("label_id", F.lit("toxicity")), F.lit(keep)) == 0)
     texts = df.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
-    train = staged(texts.join(F.broadcast(marks), "label_id"), "toxicity-train")  # about train_rows ids: a fixed bound
+    train = staged(texts.join(sized(marks), "label_id"), "toxicity-train")
     n, p = (train.select(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first() or (0, 0))[:2]
     share = F.lit(float(p) / max(n, 1))
     gap = F.col("p") - F.col("n") * share
     chi2 = gap * gap / (F.col("n") * share * (1 - share) + 1e-9)
     chosen = term_rows(train).filter(F.col("n") >= LEAST_ROWS).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-    names = sorted(r["term"] for r in chosen.orderBy(F.desc("chi2"), "term").limit(FEATURES).collect())
+    names = sorted(r["term"] for r in chosen.select("term").collect())  # of about train_rows texts
     df_counts = frequencies(df, names, text_col)
     idf = np.log((1 + df_counts[-1]) / (1 + df_counts[:-1])) + 1
 
     def run(batches):
         t = Terms(names)
         for batch in batches:
-            got = [t.counts(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([[c[0] for c in g] for g in got], pa.list_(pa.int32())), pa.array([[c[1] for c in g] for g in got], pa.list_(pa.int32())), batch.column(2)],
-                names=["id", "t", "c", "toxic"],
-            )
+            for part in slices(batch, 1):
+                got = [t.counts(x) for x in part.column(1).to_pylist()]
+                numbers = [pa.array([[c[k] for c in g] for g in got], pa.list_(pa.int32())) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *numbers, part.column(2)], names=["id", "t", "c", "toxic"])
 
-    rows = train.select(F.col("label_id").cast("long").alias("id"), "text", "toxic").mapInArrow(run, "id long, t array<int>, c array<int>, toxic int").collect()
+    kind = train.schema["label_id"].dataType
+    rows = train.select(F.col("label_id").alias("id"), "text", "toxic").mapInArrow(run, f"id {kind.simpleString()}, t array<int>, c array<int>, toxic int").collect()
     index = BlockIndex(names, idf, [tuple(zip(r["t"], r["c"], strict=True)) for r in rows], [r["id"] for r in rows], [r["toxic"] for r in rows])
     index.calibrate()
+    index.id_type = kind.simpleString()
+    unstaged(train)
     return index
 
 
@@ -239,7 +262,7 @@ def toxicity_scores(df: DataFrame, index: BlockIndex, text_col: str = "text", ke
 
         return run
 
-    return map_text(df, make, "score double, predicted int, neighbours array<long>, cosines array<double>", text_col, keep_text)
+    return map_text(df, make, f"score double, predicted int, neighbours array<{index.id_type}>, cosines array<double>", text_col, keep_text)
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
