@@ -5,7 +5,8 @@ average embedding of a text goes through a linear softmax. Embeddings and softma
 descent (AdaGrad steps) in numpy on the driver. A temperature is fitted on rows left out of the descent, and so is the confidence under which
 a prediction is marked rejected: the least at which accepted rows of the calibration part are right to ACCEPT.
 
-Bounds: training uses about TRAIN_ROWS rows, taken by a hash of the id, and of each the n-gram counts of the whole text, made
+Bounds: training uses about TRAIN_ROWS rows, taken by a hash of id and text (the smallest hashes, so that repeated rows don't make
+it more than twice that), and of each the n-gram counts of the whole text, made
 in tasks (6 bytes for each bucket that a text has, at most 2 ** BUCKETS_BITS); the model is a table of BUCKETS x languages.
 Predictions use whole texts.
 
@@ -13,7 +14,8 @@ Plan: one scan for the sample, one for the predictions; no shuffle.
 
 Defined results: a null text or one without a letter is `und` with score 0; so is everything if there is nothing to learn
 from; null languages are not learnt; equal scores go to the first language in the alphabet; repeated rows get the same result;
-input columns named as added ones are replaced. Only the text enters a prediction.
+an empty table gives an empty one; very long texts are read in whole; input columns named as added ones are replaced; a null id is
+held out or not as null (held_out is then null). Only the text enters a prediction.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, map_text, table
+from tidemark.llm.common import fold, give_back, map_text, slices, table
 
 TRAIN_ROWS = 6_000
 BUCKETS_BITS, DIMS = 15, 16
@@ -34,6 +36,8 @@ BUCKETS_BITS, DIMS = 15, 16
 EPOCHS, LEAST_STEPS, RATE, BATCH = 6, 600, 0.1, 32
 ACCEPT = 0.995
 GRAMS = (1, 2, 3, 4)
+#: n-grams whose weights are added at once.
+PART = 1 << 16
 
 not_letters = re.compile(r"[\W\d_]+")
 
@@ -73,9 +77,10 @@ class LanguageModel:
 
     def logits(self, data: bytes) -> np.ndarray:
         h = hashed_grams(data)
-        if len(h) > 4 << BUCKETS_BITS:  # as many additions, in fewer steps
-            return np.bincount(h, minlength=1 << BUCKETS_BITS) @ self.weights.astype(np.float64) / len(h) + self.bias
-        return self.weights[h].sum(axis=0, dtype=np.float64) / len(h) + self.bias
+        total = np.zeros(len(self.names))
+        for at in range(0, len(h), PART):
+            total += self.weights[h[at : at + PART]].sum(axis=0, dtype=np.float64)
+        return total / len(h) + self.bias
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -147,17 +152,18 @@ def fitted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     """A model from about train_rows of the given rows (all of them must be free to learn from)."""
     known = df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     keep = max(1, math.ceil(known.count() / train_rows))
-    h = F.xxhash64(F.col(id_col), F.lit("language"))
+    h = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("language"))
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
+            for part in slices(batch, 1, 64):
                 got = [gram_counts(d) if (d := cleaned(t)) else (np.zeros(0, np.uint16), np.zeros(0, np.uint32)) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([g[k].tobytes() for g in got], pa.binary()) for k in (0, 1))], names=["g", "at", "n"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), *(pa.array([g[k].tobytes() for g in got], pa.binary()) for k in (0, 1))], names=["g", "h", "at", "n"])
+        give_back()
 
-    sample = known.filter(F.pmod(h, F.lit(keep)) == 0).select(F.col(lang_col).cast("string").alias("g"), F.col(text_col).cast("string"))
-    rows = sorted(sample.mapInArrow(run, "g string, at binary, n binary").collect())
+    sample = known.filter(F.pmod(h, F.lit(keep)) == 0).select(F.col(lang_col).cast("string").alias("g"), F.col(text_col).cast("string"), h.alias("h"))
+    counted = sample.mapInArrow(run, "g string, h long, at binary, n binary")
+    rows = counted.orderBy("h", "g").limit(2 * train_rows).select("g", "at", "n").orderBy("g", "at", "n").collect()
     return trained([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["n"], np.uint32)) for r in rows], [r["g"] for r in rows])
 
 
