@@ -10,7 +10,7 @@ broadcast only up to a counted size and otherwise shuffled with skewed partition
 
 Defined results: a null or empty text is one empty line; lines under min_chars code points always stay; rows with one id and
 one text count as one document and get the same result; rows with a null id count as one document, which keeps a line only if
-all its holders are such; a document that loses all lines gets an empty text. Added columns replace those of the same name.
+all its holders are such; a document that loses all lines gets an empty text; an empty table gives an empty one. Added columns replace those of the same name.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, map_text, sized, staged, table, without
+from tidemark.llm.common import free_name, give_back, sized, slices, staged, table, without
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -42,24 +42,23 @@ def line_rows(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> Data
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                owner, tags, digests, places = [], [], [], []
+            for part in slices(batch, 1, 512):
+                owner, digests, places = [], [], []
                 for n, text in enumerate(part.column(1).to_pylist()):
-                    tag = xxhash.xxh3_64_intdigest(text or "") - 2**63
                     for digest, at in keyed_lines(text, min_chars).items():
                         owner.append(n)
-                        tags.append(tag)
                         digests.append(digest)
                         places.append(at)
                 h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                owner = pa.array(owner, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(pa.array(owner, pa.int64())), pa.array(tags, pa.int64()), pa.array(places, pa.list_(pa.int32()))],
+                    [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(owner), part.column(2).take(owner), pa.array(places, pa.list_(pa.int32()))],
                     names=["h1", "h2", "id", "tag", "at"],
                 )
+        give_back()
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"h1 long, h2 long, id {kind}, tag long, at array<int>")
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag")).mapInArrow(run, f"h1 long, h2 long, id {kind}, tag long, at array<int>")
 
 
 def line_dedup(df: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,14 +68,10 @@ def line_dedup(df: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DO
     common = lines.groupBy("h1", "h2").agg(holders.alias("n"), F.max("id").alias("keeper")).filter(F.col("n") >= min_docs)
     common = staged(common.select("h1", "h2", "keeper"), "common-lines")
     gone = lines.join(sized(common), ["h1", "h2"]).filter(~F.col("id").eqNullSafe(F.col("keeper")))
-    gone = gone.groupBy("id", "tag").agg(F.flatten(F.collect_list("at")).alias("at"))
+    gone = gone.groupBy("id", "tag").agg(F.flatten(F.collect_set("at")).alias("at"))  # a set: repeated rows have the same positions
     gone_col, tag_col, gone_id, gone_tag = (free_name(df, c) for c in ("gone_lines", "text_tag", "gone_id", "gone_tag"))
     rest = without(df, ["n_lines", "n_dropped"])
-
-    def tags():
-        return lambda texts: {tag_col: [xxhash.xxh3_64_intdigest(t or "") - 2**63 for t in texts]}
-
-    docs = map_text(df.select(*rest), tags, f"{tag_col} long", text_col)
+    docs = df.select(*[F.col(f"`{c}`") for c in rest], F.xxhash64(text_col).alias(tag_col))
     gone = gone.select(F.col("id").alias(gone_id), F.col("tag").alias(gone_tag), F.col("at").alias(gone_col))
     joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(tag_col) == F.col(gone_tag)), "left").drop(gone_id, gone_tag, tag_col)
     return rebuilt(joined, gone_col, text_col, rest)
@@ -89,8 +84,7 @@ def rebuilt(df: DataFrame, gone_col: str, text_col: str, order: list[str]) -> Da
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, 0, 512):
                 texts, n_lines, n_gone = [], [], []
                 for text, gone in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     text = text or ""
@@ -104,6 +98,7 @@ def rebuilt(df: DataFrame, gone_col: str, text_col: str, order: list[str]) -> Da
                     texts.append(text)
                 made = {text_col: pa.array(texts, pa.string())} | {c: part.column(2 + i) for i, c in enumerate(others)}
                 yield pa.RecordBatch.from_arrays([*(made[c] for c in order), pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())], names=[*order, "n_lines", "n_dropped"])
+        give_back()
 
     fields = [f"`{c}` {'string' if c == text_col else df.schema[c].dataType.simpleString()}" for c in order]
     return source.mapInArrow(run, ", ".join([*fields, "n_lines long", "n_dropped long"]))
