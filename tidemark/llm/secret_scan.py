@@ -4,23 +4,25 @@ Method: wide patterns find candidates: every value that is assigned to a secret'
 passwords in addresses; quoted strings of 8 or more without white space; and runs of 12 or more key characters and symbols, with
 what lies between their symbols, dots and slashes, so that a key in a path is met alone and a key with dots as a whole (findings
 may overlap). Outside names and addresses a candidate has a digit or changes from lower to upper case; letters of one case must
-be 12 or more in quotes or after an assignment, others are words. Each has the features: length; mean log-likelihood of its character transitions under a table made from the words of the corpus; shares of digits, upper-case
-letters and hexadecimal digits; number of character kinds; entropy; share covered by dictionary words (words of the corpus in at
-least DICTIONARY_DOCS documents); a known prefix; whether it is a password or a hook's key in an address; share of other symbols; whether the path (a column such as a source or a file name) looks like a test or
-sample; whether the word before it names a secret, whether an assignment or a quote stands before it, and hashed neighbouring
-words. A random forest trained on labelled findings gives the score; findings below the cutoff are dropped as false positives.
-
-Labelled findings: rows (kind of candidate and context as found by `candidates`, with a label). Where no such table is given the
-query labels findings of a fold of the corpus by rules that look at more than the forest is shown: an assignment to a secret's
-name, a password in an address or an issuer's prefix with the right length is a secret; a placeholder, a number, an e-mail
-address, a date or a version is none.
-
-Bounds: the dictionary has at most DICTIONARY_WORDS words, the transition table 40 x 40 cells, the training sample about
-TRAIN_ROWS findings by a hash of id and place; they go to the driver or are broadcast. Words and transitions are counted over
-all documents.
+be 12 or more in quotes or after an assignment, others are words. The forest's features are: length; mean log-likelihood of the
+character transitions under a table made from the words of the corpus; shares of digits, upper-case and hexadecimal letters and
+other symbols; number of character kinds; entropy; share covered by dictionary words; whether the path (a column such as a source
+or a file name) looks like a test or sample; and the neighbouring words and the marks that touch the candidate, hashed. A random
+forest trained on labelled findings gives the score; findings below the cutoff are dropped as false positives.
+
+Labelled findings: rows (the finding, its context on both sides, its path and a label). Where no such table is given, findings
+of a fold of the corpus are labelled by what the forest is not shown: issuers' prefixes with the right length, the shape of
+addresses and hooks, the whole pattern of a named assignment, placeholders, the check digit and other fixed formats of numbers,
+and in how many documents the string is found (a key is not in many). The forest must find the same verdict from the features
+above, on findings without such a mark as well.
+
+Bounds: the dictionary has at most DICTIONARY_WORDS words, those in the largest number of documents, each in a share of at least
+DICTIONARY_SHARE of all; the transition table has 40 x 40 cells; the training sample is about TRAIN_ROWS findings by a hash of
+their text and place; they go to the driver or are broadcast. Words, transitions and holders are counted over all documents.
 
 Defined results: null and empty texts have no findings; repeated rows give repeated findings; a null path counts as empty; with
-labels of one kind only every finding gets that label's rate. Only findings come back, with their place in the whole text.
+labels of one kind only every finding gets that label's rate; an empty table gives an empty one; very long texts are searched as
+a whole. Only findings come back, with their place in the whole text; no other column, so that none can clash.
 """
 
 from __future__ import annotations
@@ -36,12 +38,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, staged, table
+from tidemark.llm.common import fold, give_back, sized, slices, staged, table
 
-DICTIONARY_WORDS, DICTIONARY_DOCS, TRAIN_ROWS = 20_000, 20, 20_000
+DICTIONARY_WORDS, DICTIONARY_SHARE, TRAIN_ROWS = 20_000, 4e-4, 20_000
+#: Documents that a string must be found in to be taken as none, in the labels by rule.
+MANY = 5
 TREES, DEPTH, CUTOFF = 24, 8, 0.5
 LEAST = 12
 
@@ -69,7 +73,7 @@ address = re.compile(r"[\w.+-]+@[\w-]+(\.[\w-]+)+")
 word = re.compile(r"[^\W\d_]+")
 sample_path = re.compile(r"(?i)test|example|sample|mock|fixture")
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789_-+ "
-SLOTS = 12
+SLOTS = 96
 
 
 def kinds(c: str) -> int:
@@ -83,12 +87,14 @@ def word_counts(df: DataFrame) -> DataFrame:
     def run(batches):
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update({w for w in word.findall((text or "").lower()) if 3 <= len(w) <= 30})
-                if len(seen) > 300_000:
+            for part in slices(batch, 0):
+                for text in part.column(0).to_pylist():
+                    seen.update({w for w in word.findall((text or "").lower()) if 3 <= len(w) <= 30})
+                if len(seen) > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
                     seen = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+        give_back()
 
     return df.mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
@@ -164,8 +170,6 @@ class Features:
     def vector(self, text: str, left: str, right: str, path: str) -> list[float]:
         codes = [kinds(c) for c in text]
         n, counts = len(text), Counter(text)
-        login = right[:1] == "@" and user.search(left)
-        named = before.search(left) or login
         out = [
             float(n),
             float(self.table[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0,
@@ -175,21 +179,18 @@ class Features:
             float(sum(any(f(c) for c in text) for f in (str.isdigit, str.isupper, str.islower, lambda c: not c.isalnum()))),
             -sum(k / n * math.log2(k / n) for k in counts.values()),
             self.covered(text),
-            float(text.startswith(PREFIXES)),
             float(bool(sample_path.search(path))),
-            float(bool(named)),
-            float(bool(assigned.search(left))),
-            float(left[-1:] in ("'", '"', "`") and left[-1:] == right[:1]),
-            float(bool(login or hook.search(left + text))),
             sum(not c.isalnum() and c not in "_+/=-" for c in text) / n,
         ]
         slots = [0.0] * SLOTS
-        for w in word.findall(left.lower())[-2:] + word.findall(right.lower())[:1]:
-            slots[xxhash.xxh3_64_intdigest(w) % SLOTS] = 1.0
+        near = word.findall(left.lower())[-2:] + word.findall(right.lower())[:1]
+        for mark in (*near, "<" + left.rstrip(" \"'`")[-1:], "<" + left[-1:], ">" + right[:1]):
+            slots[xxhash.xxh3_64_intdigest(mark) % SLOTS] = 1.0
         return out + slots
 
 
 def luhn(digits: str) -> bool:
+    """Whether the last digit is the check digit of the others, as on payment cards."""
     total = 0
     for i, c in enumerate(reversed(digits)):
         d = int(c) * (1 + i % 2)
@@ -198,7 +199,7 @@ def luhn(digits: str) -> bool:
 
 
 def ruled(text: str, left: str, right: str = "") -> int | None:
-    """Label of a finding by rule; None: the rules do not know."""
+    """Label of a finding by rule; None: the rules do not know. A card number is personal data, not a key."""
     named = before.search(left)
     if named and assigned.search(left):
         if placeholder.fullmatch(text):
@@ -210,6 +211,8 @@ def ruled(text: str, left: str, right: str = "") -> int | None:
     if text.startswith(PREFIXES) and len(text) >= 20:
         return 1
     text = text.strip(SYMBOLS + ".-")
+    if 13 <= len(text) <= 19 and text.isdigit() and luhn(text):
+        return 0
     if text.isdigit() or re.fullmatch(r"[\d.+-]*", text) or address.fullmatch(text):
         return 0
     if re.fullmatch(r"[A-Za-z]+[\d_-]{1,4}", text) or re.fullmatch(r"(?i)v?\d+([._-]\d+)+", text):
@@ -226,8 +229,7 @@ def candidates(df: DataFrame, features: Features, id_col: str, text_col: str, pa
     def run(batches):
         f = shared.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, 1, 512):
                 owner, starts, ends, texts, xs, rules = [], [], [], [], [], []
                 for k, (text, where) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)):
                     for start, end, since in places(text):
@@ -242,11 +244,26 @@ def candidates(df: DataFrame, features: Features, id_col: str, text_col: str, pa
                     [part.column(0).take(pa.array(owner, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(texts, pa.string()), pa.array(xs, pa.list_(pa.float64())), pa.array(rules, pa.int32())],
                     names=["id", "start", "end", "secret", "x", "rule"],
                 )
+        give_back()
 
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, start int, end int, secret string, x array<double>, rule int")
 
 
+def rule_labels(found: DataFrame, id_col: str, fold_of: Column | None) -> DataFrame:
+    """features and label of about TRAIN_ROWS candidates of a fold that the rules know; found: rows of candidates."""
+    holders = found.groupBy(F.xxhash64("secret").alias("s")).agg(F.approx_count_distinct("id").alias("n")).filter(F.col("n") >= MANY)
+    common = staged(holders.select("s"), "common-strings")
+    known = found.withColumn("s", F.xxhash64("secret")).join(sized(common.withColumn("many", F.lit(True))), "s", "left")
+    # what many documents hold is none, unless a rule says that it is; what the rules don't know is not learnt from
+    known = known.withColumn("label", F.coalesce("rule", F.when(F.col("many"), 0))).filter("label is not null")
+    if fold_of is not None:
+        known = known.withColumnRenamed("id", id_col).filter(fold_of)
+    keep = max(1, math.ceil(known.count() / TRAIN_ROWS))
+    known = known.filter(F.pmod(F.xxhash64("start", "secret"), F.lit(keep)) == 0)
+    return known.select(array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"))
+
+
 def secrets(df: DataFrame, labelled: DataFrame | None = None, train_fold=None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", cutoff: float = CUTOFF) -> DataFrame:
     """Findings of df: id_col, start, end, secret, score, kept (score >= cutoff).
 
@@ -254,18 +271,14 @@ def secrets(df: DataFrame, labelled: DataFrame | None = None, train_fold=None, i
     (a condition on id_col) holds.
     """
     path_col = path_col if path_col in df.columns else None
-    rows = word_counts(df.select(F.col(text_col).alias("text"))).filter(F.col("n") >= DICTIONARY_DOCS).orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS).collect()
+    words = word_counts(df.select(F.col(text_col).alias("text"))).filter(F.col("n") >= max(5, DICTIONARY_SHARE * df.count()))
+    rows = words.orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS).collect()
     features = Features([(r["w"], r["n"]) for r in rows])
     found = staged(candidates(df, features, id_col, text_col, path_col), "candidates")
     if labelled is None:
-        known = found.filter(F.col("rule").isNotNull())
-        if train_fold is not None:
-            known = known.withColumnRenamed("id", id_col).filter(train_fold)
-        keep = max(1, math.ceil(known.count() / TRAIN_ROWS))
-        known = known.filter(F.pmod(F.xxhash64("start", "secret"), F.lit(keep)) == 0)
-        train = known.select(array_to_vector("x").alias("features"), F.col("rule").cast("double").alias("label"))
+        train = rule_labels(found, id_col, train_fold)
     else:
-        reviewed = labelled.limit(TRAIN_ROWS).collect()  # a table that people have made, bounded all the same
+        reviewed = labelled.orderBy(F.xxhash64("secret", "left", "right", "path"), "label").limit(TRAIN_ROWS).collect()  # made by people, bounded all the same
         spark = df.sparkSession
         made = [(features.vector(r["secret"], r["left"] or "", r["right"] or "", r["path"] or ""), float(r["label"])) for r in reviewed if r["secret"]]
         train = spark.createDataFrame(made, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
