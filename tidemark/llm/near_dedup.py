@@ -18,8 +18,9 @@ Chance of a lost link: a pair at similarity 0.8 misses all 40 bands of 5 with pr
 the slack of five standard errors allows with 3e-7.
 
 Defined results: null and empty texts have no shingles and are alone; a text with fewer words than a shingle is one shingle;
-words are as in the contract ([^\\x20\\x09-\\x0D]+, A-Z lower-cased); rows with one id are one document, whose set is that of any
-of them, and get the same component; a null id is linked with nothing, has a null component and is kept. Ids are integers.
+words are as in the contract ([^\\x20\\x09-\\x0D]+, A-Z lower-cased); rows with one id are one document, whose set is that of the
+text with the smallest hash, and get the same component, each with the size of its own set; a null id is linked with nothing,
+has a null component and is kept; an empty table gives an empty one. Ids are integers; no column but the results comes back.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import sized, staged, table
+from tidemark.llm.common import give_back, sized, slices, staged, table, unstaged
 from tidemark.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -123,12 +124,11 @@ def estimates(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketches(df: DataFrame, size: int) -> DataFrame:
-    """id, n (set size), s1, s2 (digest of the set), regs and bins; from id and text."""
+    """id, tag, n (set size), s1, s2 (digest of the set), regs and bins; from id, text and tag."""
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in slices(batch, 1):
                 n, digests, regs, bins = [], [], [], []
                 for text in part.column(1).to_pylist():
                     h = shingle_hashes(text, size)
@@ -137,9 +137,10 @@ def sketches(df: DataFrame, size: int) -> DataFrame:
                     regs.append(registers(h).tobytes() if len(h) else None)
                     bins.append(shared_out(h) if len(h) else None)
                 d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(regs, pa.binary()), pa.array(bins, pa.binary())], names=["id", "n", "s1", "s2", "regs", "bins"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(regs, pa.binary()), pa.array(bins, pa.binary())], names=["id", "tag", "n", "s1", "s2", "regs", "bins"])
+        give_back()
 
-    return df.select("id", "text").mapInArrow(run, "id long, n long, s1 long, s2 long, regs binary, bins binary")
+    return df.select("id", "text", "tag").mapInArrow(run, "id long, tag long, n long, s1 long, s2 long, regs binary, bins binary")
 
 
 def members_of(pairs: DataFrame) -> DataFrame:
@@ -164,6 +165,7 @@ def likely(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
                 n, m = (part.column(k).to_numpy().astype(float) for k in (2, 4))
                 keep = pa.array(np.flatnonzero(near_enough(p, q, n, m, threshold) & (estimates(x, y, n, m) >= threshold - slack)))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(keep), part.column(1).take(keep)], names=["a", "b"])
+        give_back()
 
     return both.select("a", "b", "n_a", "r_a", "n_b", "r_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
@@ -196,6 +198,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) ->
                         keep.append(k)
                 keep = pa.array(keep, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(keep), part.column(1).take(keep)], names=["a", "b"])
+        give_back()
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -213,15 +216,20 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row of df: id_col, n_shingles, component_id (smallest id reachable over links), kept (it is that id)."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag"))
     docs = rows.filter(F.col("id").isNotNull() & F.col("text").isNotNull())
     sketch = staged(sketches(rows, size), "sketches")
-    full = sketch.filter(F.col("id").isNotNull() & (F.col("n") > 0))
+    own = sketch.filter("id is not null")
+    again = staged(own.groupBy("id").agg(F.count("*").alias("c"), F.min("tag").alias("first")).filter("c > 1").select("id", "first"), "repeated-ids")
+    if again.limit(1).count():  # one text for each id, here and where links are confirmed
+        own = staged(one_of_id(own, again), "one-of-id")
+        docs = one_of_id(docs, again)
+    full = own.filter("n > 0")
 
     # classes of equal sets
     classes = staged(full.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.max("id").alias("last")).filter("rep < last").drop("last"), "classes")
     copies = staged(full.select("id", "s1", "s2").join(sized(classes), ["s1", "s2"]).filter("id > rep").select("id", "rep").distinct(), "copies")
-    reps = full.join(sized(copies.select("id")), "id", "left_anti").dropDuplicates(["id"])
+    reps = full.join(sized(copies.select("id")), "id", "left_anti")
 
     # classes that share a bucket
     bands = band_rows(reps)
@@ -231,16 +239,17 @@ def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: st
     pivots = members.select("id", "lo", "hi").distinct()
     pivots = pivots.select(F.col("id").alias("b"), F.col("lo").alias("a")).unionByName(pivots.select(F.col("id").alias("b"), F.col("hi").alias("a")))
     tested = staged(ordered(pivots), "pairs")
-    links = staged(confirmed(staged(likely(tested, sketch, threshold), "likely"), docs, size, threshold), "links")
+    links = staged(confirmed(staged(likely(tested, own, threshold), "likely"), docs, size, threshold), "links")
 
     label = components(links) if links.limit(1).count() else links.select(F.col("a").alias("id"), F.col("a").alias("c"))
-    own = members.select("key", "band", "id").join(sized(label), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    still = own.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).filter("x < y").select("key", "size")
-    still = staged(own.join(sized(staged(still, "open-buckets")), "key"), "open-members")
+    in_bucket = members.select("key", "band", "id").join(sized(label), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    still = in_bucket.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).filter("x < y").select("key", "size")
+    still = staged(in_bucket.join(sized(staged(still, "open-buckets")), "key"), "open-members")
     if still.limit(1).count():
         pairs = staged(crossed(still, reps, threshold).join(tested, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(staged(confirmed(pairs, docs, size, threshold), "links"))
         label = components(links) if links.limit(1).count() else label
+    unstaged(shared, members, tested, still)
 
     mapped = sketch.select("id", "n").join(sized(copies), "id", "left").withColumn("top", F.coalesce("rep", "id"))
     out = mapped.join(sized(label.select(F.col("id").alias("top"), "c")), "top", "left")
@@ -248,6 +257,13 @@ def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: st
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), found.alias("component_id"), (F.col("id").isNull() | (found == F.col("id"))).alias("kept"))
 
 
+def one_of_id(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """Of rows with an id of again only one with its first tag; the others are as they were."""
+    met = rows.join(sized(again), "id", "left")
+    one = met.filter("tag = first").dropDuplicates(["id"])
+    return met.filter("first is null").unionByName(one).drop("first")
+
+
 def crossed(still: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """Likely pairs of one open bucket in different components; still: key, band, id, c, size.
 
@@ -305,6 +321,7 @@ def crossed(still: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
         if group:
             a, b = pairs(group)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        give_back()
 
     return rows.select("key", "i", "j", "band", "id", "c", "mine", "n", "regs", "bins").mapInArrow(run, "a long, b long").distinct()
 
