@@ -7,11 +7,12 @@ no stratum loses more than ALPHA of its good documents. Among certified cutoffs
 is used, and only if it rejects surely more of the bad than of the good; a stratum with too few labels has no cutoff.
 
 Plan: the measures are array expressions over one row, without a shuffle of texts; labels meet only the measures. What comes
-to the driver is the table of counts per stratum, rule and grid step, whose size does not depend on the number of rows.
+to the driver is the table of counts per stratum, rule and grid step, of strata that have enough good labels for any bound to
+hold (some thousand each, so that they are few beside the labels). The cutoffs meet the measures as a table.
 
 Defined results: a null or empty text has 0 words and fails the base; a null stratum is a stratum of its own; several labels of
 one document: it counts as good only if all say so; documents without an id have no label. Input columns named as added ones
-are replaced. Repeated rows are measured each.
+are replaced. Repeated rows are measured each; an empty table gives an empty one; very long texts are whole arrays of one row.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE_CLASS, free_name, staged, table, without
+from tidemark.llm.common import SPACE_CLASS, free_name, sized, staged, table, without
 
 #: Share of good documents that may be rejected in a stratum, and the chance that any bound fails.
 ALPHA, DELTA = 0.02, 0.05
@@ -124,9 +125,22 @@ def upper_bound(k: int, n: int, error: float) -> float:
     return hi
 
 
-def certified(counts: dict, strata: list, alpha: float, delta: float) -> dict:
-    """(stratum, rule): cutoff. counts: (stratum, rule, step, good) -> documents whose measure lies above that many cutoffs of the grid."""
-    error = delta / max(1, 2 * len(strata) * len(RULES) * STEPS)
+def error_of_test(n_strata: int, delta: float) -> float:
+    """Chance of error that each of all tests may have: two bounds for each stratum, rule and grid step."""
+    return delta / max(1, 2 * n_strata * len(RULES) * STEPS)
+
+
+def least_labels(n_strata: int, alpha: float, delta: float) -> int:
+    """Good labels without which no bound of a stratum can hold, even if none of them is rejected."""
+    return math.ceil(math.log(error_of_test(n_strata, delta)) / math.log1p(-alpha / len(RULES)))
+
+
+def certified(counts: dict, strata: list, alpha: float, delta: float, n_strata: int | None = None) -> dict:
+    """(stratum, rule): cutoff. counts: (stratum, rule, step, good) -> documents whose measure lies above that many cutoffs of the grid.
+
+    n_strata: number of all strata, where those without enough labels were left out.
+    """
+    error = error_of_test(n_strata or len(strata), delta)
     chosen = {}
     for stratum in strata:
         for rule in RULES:
@@ -154,13 +168,24 @@ def quality_verdicts(df: DataFrame, labels: DataFrame, stratum: str = "lang", id
     step = {r: F.least(F.lit(STEPS), F.ceil(f(F.col) * STEPS / top) - 1).cast("int") for r, (f, top) in RULES.items()}
     step = {r: F.greatest(F.lit(0), s) for r, s in step.items()}
     marks = labels.groupBy(F.col(id_col).alias("label_id")).agg(F.min("quality").alias("good")).filter(F.col("good").isNotNull())
-    held = stats.filter(~base_failed()).join(marks, F.col(id_col) == F.col("label_id")).select(cell.alias("stratum"), "good", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), s.alias("step")) for r, s in step.items()])).alias("x"))
-    rows = held.groupBy("stratum", "x.rule", "x.step", "good").count().collect()
+    held = staged(stats.filter(~base_failed()).join(marks, F.col(id_col) == F.col("label_id")).select(cell.alias("stratum"), "good", *[s.alias(r) for r, s in step.items()]), "quality-labelled")
+    sizes = staged(held.groupBy("stratum").agg(F.count_if(F.col("good") != 0).alias("n")), "quality-strata")
+    n_strata = sizes.count()
+    fit = sizes.filter(F.col("n") >= least_labels(n_strata, alpha, delta)).select("stratum")
+    steps = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("step")) for r in RULES])).alias("x")
+    rows = held.join(sized(fit), "stratum", "left_semi").select("stratum", (F.col("good") != 0).cast("int").alias("good"), steps).groupBy("stratum", "x.rule", "x.step", "good").count().collect()
     counts = {(r["stratum"], r["rule"], r["step"], int(r["good"])): r["count"] for r in rows}
-    cutoffs = certified(counts, sorted({k[0] for k in counts}), alpha, delta)
-    failed = [F.when((cell == s) & (step[r] >= cut), F.lit(r)) for (s, r), cut in sorted(cutoffs.items())]
-    rules = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    out = stats.select(*without(stats, ["base_failed", "failed_rules", "kept"]), base_failed().alias("base_failed"), rules.alias("failed_rules"))
+    cutoffs = certified(counts, sorted({k[0] for k in counts}), alpha, delta, n_strata)
+    added = ["base_failed", "failed_rules", "kept"]
+    keep = [F.col(f"`{c}`") for c in without(stats, added)]
+    if not cutoffs:
+        return stats.select(*keep, base_failed().alias("base_failed"), F.array().cast("array<string>").alias("failed_rules"), (~base_failed()).alias("kept"))
+    cell_col, cuts_col = free_name(stats, "cell"), free_name(stats, "cuts")
+    rows = [F.struct(F.lit(s).alias(cell_col), F.array(*[F.lit(cutoffs.get((s, r))).cast("int") for r in RULES]).alias(cuts_col)) for s in sorted({s for s, _ in cutoffs})]
+    cuts = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    met = stats.withColumn(cell_col, cell).join(sized(cuts), cell_col, "left")
+    failed = F.array_compact(F.array(*[F.when(step[r] >= F.get(cuts_col, F.lit(i)), F.lit(r)) for i, r in enumerate(RULES)]))
+    out = met.select(*keep, base_failed().alias("base_failed"), failed.alias("failed_rules"))
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 
