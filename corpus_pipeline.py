@@ -3,6 +3,10 @@ of near duplicates, drop documents that hold benchmark items, encode the rest.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
 docs. All but the last return the columns of documents.
+
+Defined results, of every stage: an empty table gives an empty one; a null or empty text is a document without words and stays
+until its stage says otherwise; very long texts are used whole; extra columns go along unchanged until the last stage, which
+returns the columns that it names; rows are never told by their order.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import bpe_encode
-from tidemark.llm.common import fold, sized, staged, table
+from tidemark.llm.common import fold, sized, staged, table, unstaged
 from tidemark.llm.decontaminate import contaminated
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.near_dedup import near_groups
@@ -22,21 +26,24 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score under 0.5; labels of the fold that is held out are not learnt from."""
+    """Documents with a score under 0.5; labels of the fold that is held out are not learnt from. Rows with a null id have no
+    label and are scored like others; repeated rows go or stay together."""
     labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
     scored = toxicity_scores(docs, fitted(docs, labels))
     return scored.filter("predicted = 0").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines; n_chars follows the text."""
+    """All documents, without the lines that others hold; n_chars follows a text that changes. A null text becomes an empty one;
+    a document that loses all lines stays as an empty text; rows with a null id count as one document."""
     out = line_dedup(docs)
     columns = [F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return out.select(*columns)
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates (five words, 0.8); of rows with one id one stays."""
+    """The document with the smallest id of each group of near duplicates (five words, 0.8). Of rows with one id the smallest
+    stays, compared column by column; rows with a null id are in no group and stay."""
     groups = staged(near_groups(docs, size=5, threshold=0.8), "groups")
     out = docs.join(sized(groups.filter("not kept").select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
     again = staged(groups.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
@@ -48,13 +55,14 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Rows with a null id are not searched and stay; rows with one id go together."""
     found = staged(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "contaminated")
     return docs.join(sized(found), "doc_id", "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (packed little-endian uint32) and the digest of the text that they decode to."""
+    """doc_id, lang, source, token ids (packed little-endian uint32) and the digest of the text that they decode to. A null or
+    empty text has no ids; repeated rows are encoded each."""
     out = bpe_encode(docs, public_tokenizers.path(VOCABULARY), keep_text=False)
     return out.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
@@ -74,5 +82,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, before = staged(stage(spark, docs, sf_dir), f"pipeline-{name}"), docs
+        if name != STAGES[0][0]:
+            unstaged(before)
     return STAGES[-1][1](spark, docs, sf_dir)
