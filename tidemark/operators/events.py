@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import ZONE, growth, impact_label, join_quality
-from tidemark.operators.market import benchmark_index, indexed, session_returns
+from tidemark.operators.market import benchmark_index, indexed, session_order, session_returns
 from tidemark.operators.sessions import CLOSE_HOUR, known_session, reaction_session
 
 OFFSETS = (-5, -3, -2, -1, 0, 1, 2, 3, 5)
@@ -55,10 +55,9 @@ def session_windows(events: DataFrame, bars: DataFrame, benchmark: DataFrame, of
 
 def impacts(events: DataFrame, bars: DataFrame, benchmark: DataFrame, horizons: tuple[int, ...] = HORIZONS, threshold: float = 0.02) -> DataFrame:
     """Return from the last known close to so many sessions later, raw and less the benchmark's over the same dates."""
-    order = Window.partitionBy("ticker").orderBy("session_date")
+    order = session_order(bars)
     ahead = F.array(*[F.struct(F.lit(h).alias("horizon"), F.lead("close", h).over(order).alias("close"), F.lead("session_date", h).over(order).alias("date")) for h in horizons])
-    numbered = indexed(bars)
-    anchored = known_session(events, numbered).join(bars.select("ticker", F.col("session_date").alias("known_date"), ahead.alias("ahead")), ["ticker", "known_date"])
+    anchored = known_session(events, indexed(bars).withColumn("ahead", ahead), "ahead")
     rows = anchored.withColumn("x", F.explode("ahead")).filter(F.col("x.date").isNotNull()).select("*", F.col("x.horizon").alias("horizon_sessions"), F.col("x.close").alias("target_close"), F.col("x.date").alias("target_date")).drop("x", "ahead")
     at = lambda date, close: benchmark.select(F.col("session_date").alias(date), F.col("close").alias(close))
     rows = rows.join(at("known_date", "_b0"), "known_date", "left").join(at("target_date", "_b1"), "target_date", "left")

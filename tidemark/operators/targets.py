@@ -18,7 +18,7 @@ MASKED = -100
 def flagged(bars: DataFrame, jump: float = JUMP) -> DataFrame:
     """Numbered sessions with the running count of abnormal moves, so that a span's count is a difference."""
     out = indexed(bars).withColumn("jump", (F.abs("daily_return") > jump) & F.col("daily_return").isNotNull())
-    run = Window.partitionBy("ticker").orderBy("session_date").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("ticker").orderBy("session_index").rowsBetween(Window.unboundedPreceding, 0)
     return out.withColumn("jumps", F.sum(F.col("jump").cast("int")).over(run))
 
 
@@ -42,7 +42,8 @@ def targets_long(events: DataFrame, bars: DataFrame, jump: float = JUMP) -> Data
     first = reaction_session(base.withColumn("after_close", F.lit(True)), sessions).select(*key, "t0_index")
     wanted = F.array(*[F.struct(F.lit(h).alias("horizon"), (F.lit(None).cast("int") if o is None else F.lit(o)).alias("ahead"), F.lit(t).alias("threshold")) for h, (o, t) in HORIZONS.items()])
     rows = base.join(known, key, "left").join(first, key, "left").withColumn("w", F.explode(wanted)).select("*", "w.*").drop("w")
-    own = sessions.select("ticker", F.col("session_date").alias("event_date"), F.col("session_index").alias("own_index"))
+    firsts = sessions.filter(F.col("anchor_date").isNull() | (F.col("anchor_date") < F.col("session_date")))  # of a date
+    own = firsts.select("ticker", F.col("session_date").alias("event_date"), F.col("session_index").alias("own_index"))
     rows = rows.join(own, ["ticker", "event_date"], "left").withColumn("target_index", F.when(F.col("ahead").isNull(), F.when(F.col("intraday"), F.col("own_index"))).otherwise(F.col("t0_index") + F.col("ahead")))
     at = lambda i, c, j, g: sessions.select("ticker", F.col("session_index").alias(i), F.col("close").alias(c), F.col("jumps").alias(j), F.col("jump").alias(g))
     rows = rows.join(at("known_index", "_a", "_ja", "_ga"), ["ticker", "known_index"], "left").join(at("target_index", "_b", "_jb", "_gb"), ["ticker", "target_index"], "left")
