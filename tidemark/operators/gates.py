@@ -17,6 +17,15 @@ def _long(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return one.select(F.explode(F.map_from_arrays(F.array(*[F.lit(n) for n in checks]), F.array(*checks)))).toDF("check", "violations")
 
 
+#: Types of columns that are no strings.
+TYPES = {"is_valid": "boolean", "merged_tickers": "array<string>", "session_date": "date", "daily_return": "double"}
+
+
+def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with the columns that it lacks, as nulls, so that the other checks can be made."""
+    return df.select("*", *[F.lit(None).cast(TYPES.get(c, "string")).alias(c) for c in columns if c not in df.columns])
+
+
 def _missing(df: DataFrame, columns: list[str]) -> Column:
     return F.lit(len(set(columns) - set(df.columns)))
 
@@ -28,7 +37,7 @@ def _short(least: int, count: Column | None = None) -> Column:
 def gate_news(df: DataFrame, min_rows: int = 1, universe: list[str] | None = None, columns: list[str] = NEWS_COLUMNS) -> DataFrame:
     allowed = F.array(*[F.lit(t) for t in universe or BASKET])
     return _long(
-        df,
+        _complete(df, columns),
         {
             "missing_columns": _missing(df, columns), "too_few_rows": _short(min_rows),
             "duplicate_event_ids": F.count("*") - F.count_distinct(F.coalesce("event_id", F.lit(""))),
@@ -41,7 +50,7 @@ def gate_news(df: DataFrame, min_rows: int = 1, universe: list[str] | None = Non
 def gate_market(df: DataFrame, min_rows: int = 1, min_tickers: int = 1, jump: float = 0.5, columns: list[str] = MARKET_COLUMNS) -> DataFrame:
     key = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("ticker", "session_date", "interval", "source")])
     return _long(
-        df,
+        _complete(df, columns),
         {
             "missing_columns": _missing(df, columns), "too_few_rows": _short(min_rows), "too_few_tickers": _short(min_tickers, F.count_distinct("ticker")),
             "duplicate_keys": F.count("*") - F.count_distinct(key), "invalid_rows": F.count_if(~F.coalesce("is_valid", F.lit(False))),
@@ -71,6 +80,17 @@ def enforce(gate: DataFrame) -> None:
         raise ValueError("FAILED " + ", ".join(broken))
 
 
+TRAINING_COLUMNS = ["event_id", "ticker", "training_year", "mask_t1", "mask_t3", "mask_t5"]
+
+
+def gate_partitions(df: DataFrame, n: int, columns: list[str] = TRAINING_COLUMNS) -> DataFrame:
+    """Checks of a table dealt to n partitions: missing columns, rows that are lost or added, partitions more or less than n."""
+    dealt = df.repartition(n).withColumn("partition_id", F.spark_partition_id()).groupBy("partition_id").agg(F.count("*").alias("n"))
+    both = dealt.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("dealt"), F.count("*").alias("used")).crossJoin(F.broadcast(df.agg(F.count("*").alias("rows"))))  # one row each
+    checks = {"missing_columns": _missing(df, columns), "wrong_row_sum": F.abs(F.col("dealt") - F.col("rows")), "wrong_partitions": F.abs(F.col("used") - F.least(F.lit(n), F.col("rows")))}
+    return both.select(F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in checks]), F.array(*[c.cast("long") for c in checks.values()])))).toDF("check", "violations")
+
+
 def partition_profile(df: DataFrame, n: int, id_col: str, ticker_col: str, flags: dict[str, Column]) -> DataFrame:
     """Rows, distinct ids and tickers and flagged rows per partition after repartition(n)."""
     out = df.repartition(n).withColumn("partition_id", F.spark_partition_id())
