@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,7 +34,12 @@ class Lake:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder that all executors share: under spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -79,32 +84,48 @@ def manifest(df: DataFrame, date: str, label: str | None = None) -> DataFrame:
     return df.agg(*out)
 
 
+def pointer(spark: SparkSession, root: str, facts: str) -> None:
+    """Write a small file beside current.json and rename it over: readers meet the old one or the new one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, beside = (hadoop.Path(f"{root}/{name}") for name in ("current.json", f".current-{uuid.uuid4().hex}"))
+    conf = spark._jsc.hadoopConfiguration()
+    stream = target.getFileSystem(conf).create(beside)
+    stream.write(bytearray(facts.encode("utf-8")))
+    stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, overwrite)
+
+
 def publish(df: DataFrame, root: str, run_id: str, date: str, partition: str | None = None) -> dict:
-    """Write a run beside the earlier ones, compare it with what was meant to be written, then point current to it."""
-    spark, path = df.sparkSession, f"{root}/run_id={relative(run_id)}"
-    out = df.write.mode("error")
+    """Write a run beside the earlier ones, compare what can be read with what was written, then point current to it."""
+    spark, path, written = df.sparkSession, f"{root}/run_id={relative(run_id)}", Observation()
+    out = df.observe(written, F.count(F.lit(1)).alias("n")).write.mode("error")
     (out.partitionBy(partition) if partition else out).parquet(path)
-    meant, found = (x.agg(F.count("*")).first()[0] for x in (df, spark.read.parquet(path)))
-    if meant != found:
-        raise ValueError(f"FAILED rows={found} instead of {meant}")
-    facts = manifest(spark.read.parquet(path).select(*df.columns), date).withColumn("run_id", F.lit(run_id))
-    facts.coalesce(1).write.mode("overwrite").json(f"{root}/current")
-    return json.loads(facts.toJSON().first())
+    facts = manifest(spark.read.parquet(path).select(*df.columns), date).withColumn("run_id", F.lit(run_id)).toJSON().first()
+    if json.loads(facts)["rows"] != written.get["n"]:
+        raise ValueError(f"FAILED rows={json.loads(facts)['rows']} instead of {written.get['n']}")
+    pointer(spark, root, facts)
+    return json.loads(facts)
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:
     """The run that current points to."""
-    return spark.read.parquet(f"{root}/run_id={spark.read.json(f'{root}/current').first()['run_id']}")
+    return spark.read.parquet(f"{root}/run_id={spark.read.json(f'{root}/current.json').first()['run_id']}")
+
+
+# Event types and states of raw rows.
+COLLECTED, EXPORTED, DAILY = "news.collected", "news.historical.exported", "market.daily.collected"
 
 
-def bronze_news(df: DataFrame, collected_at: Column) -> DataFrame:
+def bronze_news(df: DataFrame, collected_at: Column, event_type: str = COLLECTED) -> DataFrame:
     """Stored news (id, title, summary, content, url, source, published, tickers) as raw events."""
     from tidemark.functions.text import FULL_TEXT_CHARS, event_key, local_text, utc_text
 
     body = F.trim(F.coalesce("content", F.lit("")))
     return df.filter(F.size("tickers") > 0).select(
-        event_key(F.col("url"), F.col("source"), F.col("title")).alias("event_id"), F.lit(1).alias("schema_version"), F.lit("news").alias("event_type"), "source", "url", "title", "summary", body.alias("content"),
-        F.col("tickers").alias("merged_tickers"), F.length(body).alias("content_length"), F.when(F.length(body) >= FULL_TEXT_CHARS, "success").otherwise("pending").alias("article_enrichment_status"),
+        event_key(F.col("url"), F.col("source"), F.col("title")).alias("event_id"), F.lit(1).alias("schema_version"), F.lit(event_type).alias("event_type"), "source", "url", "title", "summary", body.alias("content"),
+        F.col("tickers").alias("merged_tickers"), F.length(body).alias("content_length"), F.when(F.length(body) >= FULL_TEXT_CHARS, "success").otherwise("metadata_only").alias("article_enrichment_status"),
         F.col("published").alias("published_at_raw"), utc_text(F.col("published")).alias("published_at_utc"), local_text(F.col("published")).alias("published_at_vn"), collected_at.alias("collected_at_utc"),
         F.substring(collected_at, 1, 10).alias("ingest_date"),
     )
@@ -116,7 +137,7 @@ def bronze_market(df: DataFrame, provider: str, collected_at: Column) -> DataFra
 
     day = F.substring(F.col("date").cast("string"), 1, 10)
     return df.select(
-        market_key(F.col("ticker"), day, F.lit(provider)).alias("event_id"), F.lit(1).alias("schema_version"), F.lit("market_bar").alias("event_type"), "ticker", day.alias("session_date"), F.lit("1d").alias("interval"),
-        "open", "high", "low", "close", F.col("volume").cast("double").alias("volume"), F.lit("VND").alias("currency"), F.lit("adjusted" if provider.startswith("yahoo") else "raw").alias("price_adjustment"),
+        market_key(F.col("ticker"), day, F.lit(provider)).alias("event_id"), F.lit(1).alias("schema_version"), F.lit(DAILY).alias("event_type"), "ticker", day.alias("session_date"), F.lit("1d").alias("interval"),
+        "open", "high", "low", "close", F.col("volume").cast("double").alias("volume"), F.lit("VND").alias("currency"), F.lit("split_dividend_adjusted" if provider == "yahoo" else "provider_default").alias("price_adjustment"),
         F.lit(provider).alias("source"), collected_at.alias("collected_at_utc"), F.substring(collected_at, 1, 10).alias("ingest_date"),
     )

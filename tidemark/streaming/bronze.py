@@ -35,12 +35,13 @@ def stream_bronze(messages: DataFrame, sink: str, dead_letters: str, checkpoint:
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        good = batch.filter(~F.col("dead")) if strict else batch
-        good.drop("dead").write.mode("overwrite").option("compression", "gzip").json(f"{sink}/batch={number:020d}")
-        if strict:
-            batch.filter("dead").select("raw_payload", "kafka_timestamp").write.mode("overwrite").json(f"{dead_letters}/batch={number:020d}")
+        batch.persist()  # looked at three times; spills to disk
+        if not batch.isEmpty():
+            good = batch.filter(~F.col("dead")) if strict else batch
+            good.drop("dead").write.mode("overwrite").option("compression", "gzip").json(f"{sink}/batch={number:020d}")
+            if strict:
+                batch.filter("dead").select("raw_payload", "kafka_timestamp").write.mode("overwrite").json(f"{dead_letters}/batch={number:020d}")
+        batch.unpersist()
 
     out = parsed(messages).writeStream.queryName("bronze_news").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (out.trigger(processingTime=interval) if interval else out.trigger(availableNow=True)).start()
