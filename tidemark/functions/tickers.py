@@ -110,25 +110,26 @@ def tickers(text: Column, names: dict[str, list[str]] | None = None, keep: list[
     A ticker listed as in "AAA/BBB:" stands at its list; any other at the match of the first of its names, in dictionary order,
     that occurs at all. Ties keep lists first, then dictionary order. keep filters afterwards. Null gives an empty array.
     """
-    names = {t: [t, *more] for t, more in (names or NAMES).items()}
-    text = F.coalesce(text, F.lit(""))
+    every = {t: [t, *more] for t, more in (names or NAMES).items()}
+    # the text and its folded form, made once: a name's pattern runs only where its folded letters occur
+    once = F.array(F.struct(F.coalesce(text, F.lit("")).alias("text"), F.lower(F.upper(F.coalesce(text, F.lit("")))).alias("low")))
+    found = F.get(F.transform(once, lambda x: _in_order(x["text"], x["low"], every)), 0)
+    return F.array_intersect(found, F.array(*[F.lit(t) for t in keep])) if keep else found
+
+
+def _in_order(text: Column, low: Column, names: dict[str, list[str]]) -> Column:
     known = F.array(*[F.lit(t) for t in names])
-    lists = F.array_distinct(F.regexp_extract_all(text, F.lit(LISTED), F.lit(1)))
-    listed = F.flatten(
-        F.transform(lists, lambda g: F.transform(F.split(g, "/"), lambda t: F.struct(F.regexp_instr(text, F.concat(F.lit(r"(?U)(?<!\w)"), g, F.lit(":"))).alias("place"), F.lit(-1).alias("turn"), t.alias("ticker"))))
-    )
+    groups = F.when(text.contains(":"), F.array_distinct(F.regexp_extract_all(text, F.lit(LISTED), F.lit(1)))).otherwise(F.array().cast("array<string>"))
+    at = lambda g: F.regexp_instr(text, F.concat(F.lit(r"(?U)(?<!\w)"), g, F.lit(":")))
+    listed = F.flatten(F.transform(groups, lambda g: F.transform(F.split(g, "/"), lambda t: F.struct(at(g).alias("place"), F.lit(-1).alias("turn"), t.alias("ticker")))))
     listed = F.filter(listed, lambda x: F.array_contains(known, x["ticker"]))
-    any_name = "(?iuU)(?<!\\w)(?:" + "|".join(re.sub(r"([^\w\s])", r"\\\1", n) for all_ in names.values() for n in all_) + r")(?!\w)"
     named = []
     for turn, (ticker, own) in enumerate(names.items()):
-        place = F.coalesce(*[F.nullif(F.regexp_instr(text, F.lit(_whole_word(n))), F.lit(0)) for n in own])
+        place = F.coalesce(*[F.when(low.contains(n.upper().lower()), F.nullif(F.regexp_instr(text, F.lit(_whole_word(n))), F.lit(0))) for n in own])
         named.append(F.struct(place.alias("place"), F.lit(turn).alias("turn"), F.lit(ticker).alias("ticker")))
-    named = F.filter(F.array(*named), lambda x: x["place"].isNotNull())
-    listed_names = F.transform(listed, lambda x: x["ticker"])
-    named = F.filter(named, lambda x: ~F.array_contains(listed_names, x["ticker"]))
-    found = F.array_distinct(F.transform(F.array_sort(F.concat(listed, named)), lambda x: x["ticker"]))
-    found = F.when(text.rlike(LISTED) | text.rlike(any_name), found).otherwise(F.array().cast("array<string>"))
-    return F.array_intersect(found, F.array(*[F.lit(t) for t in keep])) if keep else found
+    taken = F.transform(listed, lambda x: x["ticker"])
+    named = F.filter(F.array(*named), lambda x: x["place"].isNotNull() & ~F.array_contains(taken, x["ticker"]))
+    return F.array_distinct(F.transform(F.array_sort(F.concat(listed, named)), lambda x: x["ticker"]))
 
 
 def merged(first: Column, second: Column) -> Column:

@@ -130,10 +130,11 @@ def on_balance(df: DataFrame) -> DataFrame:
 
 
 def corporate_actions(df: DataFrame) -> DataFrame:
-    """Flags of dividends and splits; df has dividends and stock_splits."""
+    """Flags and sizes of dividends and splits; df has dividends and stock_splits."""
     C, _, _, _, _ = prices()
     flag = lambda c: (F.coalesce(F.col(c), F.lit(0.0)) > 0).cast("int")
-    return df.withColumns({"has_dividend": flag("dividends"), "dividend_yield_proxy": F.try_divide(F.col("dividends"), lag(C)), "has_stock_split": flag("stock_splits")})
+    sizes = {"dividend_amount": F.col("dividends"), "stock_split_ratio": F.col("stock_splits")}
+    return df.withColumns({**sizes, "has_dividend": flag("dividends"), "dividend_yield_proxy": F.try_divide(F.col("dividends"), lag(C)), "has_stock_split": flag("stock_splits")})
 
 
 def calendar(df: DataFrame) -> DataFrame:
@@ -178,6 +179,21 @@ def forward(df: DataFrame, market: DataFrame | None = None) -> DataFrame:
     return out.withColumns({f"direction_t_plus_{n}": F.signum(f"forward_return_{n}d").cast("int") for n in (1, 3, 5)})
 
 
+def spikes(df: DataFrame, factor: float = 2.0) -> DataFrame:
+    """Labels, never features: whether the next session's volume, and the deviation of the next five returns, are at least factor
+    times that of the 20 sessions up to now; null without a full frame."""
+    C, _, _, _, V = prices()
+    out = df.withColumn("_r", change(C))
+    ahead = by_session().rowsBetween(1, 5)
+    coming = F.when(F.count("_r").over(ahead) == 5, F.stddev_samp("_r").over(ahead))
+    return out.withColumns(
+        {
+            "volume_spike_t_plus_1": (F.lead(V).over(by_session()) >= factor * rolling(F.avg, V, 20)).cast("int"),
+            "volatility_spike_t_plus_5": (coming >= factor * rolling(F.stddev_samp, F.col("_r"), 20)).cast("int"),
+        }
+    ).drop("_r")
+
+
 def model_features(df: DataFrame) -> DataFrame:
     """The eight market features of the training table; frames of means and deviations end before the session itself."""
     C, O, H, L, V = prices()

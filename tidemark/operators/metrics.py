@@ -30,18 +30,26 @@ def scores(df: DataFrame, label: str, prediction: str, classes: tuple = (0, 1))
     return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"), F.count("*").alias("n")).crossJoin(total)
 
 
-def ranking_scores(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One row: Brier score, ROC-AUC and PR-AUC, ties taken together. Counts per distinct score are ordered, not rows."""
+def ranking_scores(df: DataFrame, label: str, score: str, parts: int = 64) -> DataFrame:
+    """One row: Brier score, ROC-AUC and PR-AUC, ties taken together.
+
+    Running counts need the order of scores: they are cut into parts at approximate quantiles, counted in each, and run inside
+    a part from what the parts above hold, so that no task has all scores.
+    """
     per = df.groupBy(F.col(score).alias("s")).agg(F.sum(label).cast("double").alias("p"), F.count("*").cast("double").alias("m"))
-    down = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    run = per.withColumns({"tp": F.sum("p").over(down), "seen": F.sum("m").over(down)})
+    cuts = per.agg(F.percentile_approx("s", [i / parts for i in range(1, parts)]).alias("cuts"))
+    per = per.crossJoin(F.broadcast(cuts)).withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col("s")))).drop("cuts")
+    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
+    start = per.groupBy("part").agg(F.sum("p").alias("p"), F.sum("m").alias("m")).select("part", *[F.coalesce(F.sum(c).over(above), F.lit(0.0)).alias(f"{c}0") for c in ("p", "m")])
+    inside = Window.partitionBy("part").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    run = per.join(F.broadcast(start), "part").withColumns({"tp": F.col("p0") + F.sum("p").over(inside), "seen": F.col("m0") + F.sum("m").over(inside)})
     total = df.agg(F.sum(label).cast("double").alias("positive"), F.count("*").cast("double").alias("total"), F.avg(F.pow(F.col(score) - F.col(label), 2)).alias("brier"))
-    area = run.crossJoin(F.broadcast(total)).agg(
+    pairs = F.nullif(F.col("positive") * (F.col("total") - F.col("positive")), F.lit(0.0))
+    return run.crossJoin(F.broadcast(total)).agg(
         F.first("brier").alias("brier"),
-        (F.sum((F.col("m") - F.col("p")) * (F.col("tp") - F.col("p") / 2)) / F.first(F.nullif(F.col("positive") * (F.col("total") - F.col("positive")), F.lit(0.0)))).alias("roc_auc"),
+        (F.sum((F.col("m") - F.col("p")) * (F.col("tp") - F.col("p") / 2)) / F.first(pairs)).alias("roc_auc"),
         F.sum(F.col("p") / F.nullif(F.col("positive"), F.lit(0.0)) * F.col("tp") / F.col("seen")).alias("pr_auc"),
     )
-    return area
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -97,3 +105,11 @@ def baseline(train: DataFrame, features: list[str], label: str, vector: str | No
 
 def vector(c: str) -> Column:
     return array_to_vector(F.col(c).cast("array<double>"))
+
+
+def saved(model, path: str):
+    """Write a fitted pipeline and read it again, as scoring jobs do."""
+    from pyspark.ml import PipelineModel
+
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
