@@ -98,6 +98,21 @@ def test_calendar_equals_range_join(spark, sessions, asked):
     assert window.count() == len(t0) * len(ev.OFFSETS)
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 28), st.sampled_from("abc")), min_size=1, max_size=12, unique=True), st.lists(st.tuples(st.integers(1, 28), st.booleans()), min_size=1, max_size=6))
+def test_several_bars_a_day(spark, bars_of, asked):
+    bars = spark.createDataFrame([("A", day(d), float(d), None, s) for d, s in bars_of], BARS + ", source string")
+    events = spark.createDataFrame([(i, "A", day(d), a) for i, (d, a) in enumerate(asked)], "event_id int, ticker string, event_date date, after_close boolean")
+    order = sorted(bars_of)
+    t0 = ss.reaction_session(events, market.indexed(bars)).collect()
+    known = ss.known_session(events, market.indexed(bars)).collect()
+    assert len({r.event_id for r in t0}) == len(t0) and len({r.event_id for r in known}) == len(known)
+    t0, known = {r.event_id: r.t0_index for r in t0}, {r.event_id: r.known_index for r in known}
+    for i, (d, after) in enumerate(asked):
+        assert t0.get(i) == min((n for n, (x, _) in enumerate(order, 1) if x > d or x == d and not after), default=None)
+        assert known.get(i) == max((n for n, (x, _) in enumerate(order, 1) if x < d or x == d and after), default=None)
+
+
 def raw_bar(**kw):
     base = dict(event_id="e", schema_version=1, ticker="abc", session_date="2024-09-20", interval="1d", open=10.0, high=11.0, low=9.0, close=10.0, volume=1.0, source="S", collected_at_utc="2024-09-20T10:00:00Z") | kw
     return tuple(base.get(f.name) for f in MARKET)
@@ -126,9 +141,9 @@ def test_news_faults(spark):
 
 
 def test_upsert(spark):
-    rows = [(1, "u", "t", "s", "", ["A"], "rules"), (2, "u", "t", "s", "", ["B", "A"], "rules+entities")]
+    rows = [(1, "u", "t", "s", "", ["A"], "rulebased"), (2, "u", "t", "s", "", ["B", "A"], "hybrid"), (3, "u", "t", "s", "", None, "rulebased")]
     out = state.upserted(spark.createDataFrame(rows, "observed_at int, url string, title string, summary string, content string, tickers array<string>, strategy string")).collect()
-    assert len(out) == 1 and out[0].tickers == ["A", "B"] and out[0].strategy == "rules+entities"
+    assert len(out) == 1 and out[0].tickers == ["A", "B"] and out[0].strategy == "hybrid" and out[0].versions == 3
 
 
 def test_routes_and_attempts(spark):
@@ -167,6 +182,11 @@ def test_article(spark):
     long = "A paragraph that is long enough to be kept by the scope rule of the article. " * 2
     html = f'<html><head><title>T</title><meta name="author" content="N"></head><body><p>menu menu menu menu menu menu menu menu menu menu menu</p><article><div><p>{long}</p><p>{long}</p><p>short</p><p>{long[5:]}</p></div></article></body></html>'
     r = feeds.article(spark.createDataFrame([(html,), (None,)], "html string")).collect()
+    more = '<meta property="og:image" content="/i.png"><div id="article-1"><div><p>Tom &amp; Jerry %s<p>%s</div></div><p>%s</p>' % (long, long[3:], long[7:])
+    short = "<article><p>x</p></article><p>Tom &amp; <b>Jerry</b> %s</p>" % long
+    m = feeds.article(spark.createDataFrame([(more, "https://h/a/b"), (short, None)], "html string, url string")).collect()
+    assert m[0].article_text.split("\n") == ["Tom & Jerry " + long.strip(), long[3:].strip()] and m[0].article_image == "https://h/i.png"
+    assert m[1].article_text == "Tom & Jerry " + long.strip() and m[1].article_image is None
     assert r[0].article_title == "T" and r[0].article_author == "N" and r[0].article_text.count("\n") == 1 and "menu" not in r[0].article_text
     assert r[1].article_text == ""
 
@@ -175,8 +195,8 @@ def test_bodies(spark):
     import gzip
     import zlib
 
-    rows = [(gzip.compress(b"a"), "gzip"), (zlib.compress(b"b"), "deflate"), (b"c", "identity"), (b"\x1f\x8bbad", "gzip"), (None, None)]
-    assert [r.page for r in feeds.body_text(spark.createDataFrame(rows, "b binary, e string"), "b", "e").collect()] == ["a", "b", "c", None, None]
+    rows = [(gzip.compress(b"a"), "gzip"), (zlib.compress(b"b"), "deflate"), (b"c", "identity"), (b"\x1f\x8bbad", "gzip"), (None, None), (b"d", "br"), (gzip.compress(b"e" * 30_000_000), "gzip"), (gzip.compress(b"f") + gzip.compress(b"g"), "GZIP")]
+    assert [r.page for r in feeds.body_text(spark.createDataFrame(rows, "b binary, e string"), "b", "e").collect()] == ["a", "b", "c", None, None, None, None, "fg"]
 
 
 def test_paths(tmp_path, spark):

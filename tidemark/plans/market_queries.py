@@ -206,10 +206,13 @@ def return_describe(spark, sf_dir):
     return returns(bars_li(spark, sf_dir)).agg(F.count(v).alias("n"), F.round(F.avg(v), 4).alias("mean"), F.round(F.stddev_samp(v), 4).alias("std"), F.round(F.min(v), 4).alias("least"), *at, F.round(F.max(v), 4).alias("most"))
 
 
-@query(sql(BARS_LI, returns_sql("bars_li"), "q AS (SELECT * FROM bars_li_r WHERE CAST(ticker AS INTEGER) <= 40)", "SELECT a.ticker AS a, b.ticker AS b, round(corr(a.daily_return, b.daily_return), 6) AS correlation, count(*) AS overlaps FROM q a JOIN q b ON a.session_date = b.session_date AND a.ticker < b.ticker WHERE a.daily_return IS NOT NULL AND b.daily_return IS NOT NULL GROUP BY ALL HAVING count(*) >= 100"))
+@query(sql(BARS_LI, returns_sql("bars_li"), "q AS (SELECT ticker FROM bars_li_r GROUP BY ticker ORDER BY count(*) DESC, ticker LIMIT 5)",
+  "SELECT a.ticker AS a, b.ticker AS b, round(corr(a.daily_return, b.daily_return), 6) AS correlation, count(*) AS overlaps FROM bars_li_r a JOIN bars_li_r b ON a.session_date = b.session_date AND a.ticker <> b.ticker WHERE b.ticker IN (SELECT ticker FROM q) AND a.daily_return IS NOT NULL AND b.daily_return IS NOT NULL GROUP BY ALL HAVING count(*) >= 100"))
 def return_corr(spark, sf_dir):
-    """Of the first suppliers only: a correlation matrix is asked for a chosen basket, not for every pair of a market."""
-    return mk.pairwise_correlation(returns(bars_li(spark, sf_dir)).filter(F.col("ticker").cast("int") <= 40)).withColumn("correlation", F.round("correlation", 6))
+    """Every ticker against a basket: the five with the most sessions."""
+    bars = returns(bars_li(spark, sf_dir))
+    basket = bars.groupBy("ticker").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ticker").limit(5).select("ticker")
+    return mk.correlation_with(bars, basket).withColumn("correlation", F.round("correlation", 6))
 
 
 @query(sql(BARS_LI, returns_sql("bars_li"), "SELECT count(*) AS n_rows, count(DISTINCT ticker) AS tickers, count(DISTINCT session_date) AS sessions, count(*) - count(DISTINCT (ticker, session_date)) AS duplicate_keys, count(*) FILTER (dayofweek(session_date) IN (0, 6)) AS weekend_rows, count(*) FILTER (daily_return IS NULL) AS null_returns, count(*) FILTER (abs(daily_return) > 0.1) AS large_moves, min(session_date) AS first_session, max(session_date) AS last_session FROM bars_li_r"))

@@ -8,6 +8,7 @@ from tidemark.operators import indicators as ind
 from tidemark.operators import metrics as mt
 from tidemark.operators import targets as tg
 from tidemark.plans.fixtures import BARS_EV, BARS_LI, NEWS_EV, bars_ev, bars_li, news_ev, returns, returns_sql, sql, table
+from tidemark.sources import lake
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -148,7 +149,7 @@ RSI = f"(100 - 100 * {LO} / nullif({G} + {LO}, 0))"
 group("indicators_oscillators", li(ind.oscillators), "(SELECT *, CASE WHEN previous_close IS NOT NULL THEN greatest(close - previous_close, 0) END AS g, CASE WHEN previous_close IS NOT NULL THEN greatest(previous_close - close, 0) END AS l FROM bars_li_r)", {
     "rsi_14": RSI, "rsi_overbought": f"CAST(coalesce({RSI} > 70, false) AS INTEGER)", "rsi_oversold": f"CAST(coalesce({RSI} < 30, false) AS INTEGER)", "bollinger_width": f"4 * {SD} / nullif({MD}, 0)", "bollinger_position": f"(close - {MD} + 2 * {SD}) / nullif(4 * {SD}, 0)"})
 group("indicators_volume", li(ind.volume), "(SELECT *, close * volume AS tv FROM bars_li_r)", {
-    "volume_change_1d": f"volume / {lg('volume')} - 1", "volume_ma_5": roll("avg", "volume", 5), "volume_ratio_5": f"volume / nullif({roll('avg', 'volume', 5)}, 0)", "volume_ratio_20": f"volume / nullif({roll('avg', 'volume', 20)}, 0)",
+    "amihud_illiquidity": "abs(daily_return) / nullif(tv, 0)", "volume_change_1d": f"volume / {lg('volume')} - 1", "volume_ma_5": roll("avg", "volume", 5), "volume_ratio_5": f"volume / nullif({roll('avg', 'volume', 5)}, 0)", "volume_ratio_20": f"volume / nullif({roll('avg', 'volume', 20)}, 0)",
     "volume_zscore_20": f"(volume - ({roll('avg', 'volume', 20)})) / nullif({roll('stddev_samp', 'volume', 20)}, 0)", "trading_value": "tv", "trading_value_ratio_20": f"tv / nullif({roll('avg', 'tv', 20)}, 0)"})
 group("indicators_candles", li(ind.candles), "bars_li", {
     "body_size_pct": "abs(close - open) / nullif(open, 0)", "upper_shadow_pct": "(high - greatest(open, close)) / nullif(open, 0)", "lower_shadow_pct": "(least(open, close) - low) / nullif(open, 0)", "body_to_range": "abs(close - open) / nullif(high - low, 0)",
@@ -167,10 +168,30 @@ group("market_features", li(ind.model_features), "bars_li_r", {
     "market_momentum_5": f"close / {lg('close', 5)} - 1", "market_momentum_20": f"close / {lg('close', 20)} - 1", "market_volatility_20": roll("stddev_samp", "daily_return", 20, 1)})
 
 
+AHEAD5 = "(PARTITION BY ticker ORDER BY session_date ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"
+group("indicators_spikes", li(ind.spikes), "bars_li_r", {
+    "volume_spike_t_plus_1": f"CAST(lead(volume) OVER w >= 2 * ({roll('avg', 'volume', 20)}) AS INTEGER)",
+    "volatility_spike_t_plus_5": f"CAST(CASE WHEN count(daily_return) OVER {AHEAD5} = 5 THEN stddev_samp(daily_return) OVER {AHEAD5} END >= 2 * ({roll('stddev_samp', 'daily_return', 20)}) AS INTEGER)"})
+
+
+def with_actions(bars):
+    day = F.dayofmonth("session_date")
+    return bars.withColumns({"dividends": F.when(day == 7, F.col("open") / 100).when(day != 8, 0.0), "stock_splits": F.when(day == 20, 2.0).otherwise(0.0)})
+
+
+group("indicators_corporate", li(lambda bars: ind.corporate_actions(with_actions(bars))), "(SELECT *, CASE WHEN day(session_date) = 7 THEN open / 100 WHEN day(session_date) <> 8 THEN 0.0::DOUBLE END AS d, CASE WHEN day(session_date) = 20 THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS s FROM bars_li)", {
+    "has_dividend": "CAST(coalesce(d, 0) > 0 AS INTEGER)", "dividend_amount": "d", "dividend_yield_proxy": f"d / {lg('close')}", "has_stock_split": "CAST(s > 0 AS INTEGER)", "stock_split_ratio": "s"})
+
+
 def market_average(bars):
     return bars.groupBy("session_date").agg(F.avg("close").alias("market_close"))
 
 
+group("indicators_forward_excess", lambda spark, sf_dir: ind.forward(bars_li(spark, sf_dir), market_average(bars_li(spark, sf_dir))),
+  "(SELECT b.*, f1, f3, f5 FROM bars_li b LEFT JOIN (SELECT session_date, " + ", ".join(f"lead(mc, {n}) OVER (ORDER BY session_date) / nullif(mc, 0) - 1 AS f{n}" for n in (1, 3, 5)) + " FROM (SELECT session_date, avg(close) AS mc FROM bars_li GROUP BY session_date)) USING (session_date))", {
+    f"forward_excess_return_{n}d": f"lead(close, {n}) OVER w / nullif(close, 0) - 1 - f{n}" for n in (1, 3, 5)})
+
+
 FR = "(PARTITION BY ticker ORDER BY session_date ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
 PAIR = "CASE WHEN daily_return IS NOT NULL AND m1 IS NOT NULL THEN {c} END"
 
@@ -237,4 +258,5 @@ def baseline_model(spark, sf_dir):
     o = split_orders(spark, sf_dir).select("split", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_totalprice")).alias("price"), (F.col("o_custkey") % 10).cast("double").alias("cust"), (F.col("o_totalprice") > 2e5).cast("int").alias("y"))
     w = tg.class_weights(o.filter("split = 'train'"), "y").select("y", "weight")
     model = mt.baseline(o.filter("split = 'train'").join(F.broadcast(w), "y"), ["price", "cust"], "y", weight="weight")
+    model = mt.saved(model, lake.scratch(spark, "model"))
     return model.transform(o.filter("split = 'test'")).groupBy("y", "prediction").agg(F.count("*").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import clean_html
+from tidemark.functions.text import CATEGORIES, OTHER_CATEGORY, category, clean_html
 from tidemark.functions.tickers import merged, tickers
 from tidemark.operators import gates, market, news, state
 from tidemark.plans.fixtures import BRONZE_MARKET, NEWS_DOC, bronze_market, news_doc, sql, table
@@ -67,6 +67,11 @@ def found(*words):
     return "(" + " OR ".join(WORD.replace("{w}", w) for w in words) + ")"
 
 
+def in_news(*words):
+    """The same over the text of a silver row."""
+    return found(*words).replace("coalesce(text, '')", "text_for_extraction")
+
+
 RULED = f"d AS (SELECT doc_id, list_filter([CASE WHEN {found('and', 'thatre')} THEN 'AND' END, CASE WHEN {found('inn', 'pour')} THEN 'INN' END, CASE WHEN {found('que', 'nicht', 'elle')} THEN 'QUE' END, CASE WHEN {found('the', 'erenin')} THEN 'THE' END], lambda x: x IS NOT NULL) AS r, list_filter([CASE WHEN {found('inn', 'par')} THEN 'INN' END, CASE WHEN {found('que', 'nicht')} THEN 'QUE' END], lambda x: x IS NOT NULL) AS e FROM documents)"
 
 
@@ -106,9 +111,9 @@ def gate_sql(checks: dict[str, str], source: str) -> str:
     return GATE.format(n=names, v=values, q="SELECT " + ", ".join(f"{v} AS c{i}" for i, v in enumerate(checks.values())) + f" FROM {source}")
 
 
-@query(sql(NEWS_DOC, gate_sql({"missing_columns": "0", "too_few_rows": "greatest(0, 100000 - count(*))", "duplicate_event_ids": "count(*) - count(DISTINCT coalesce(event_id, ''))", "invalid_rows": "count(*) FILTER (len(errors) > 0)", "blank_titles": "count(*) FILTER (title = '')", "unknown_tickers": "0"}, "news")))
+@query(sql(NEWS_DOC, gate_sql({"missing_columns": "0", "too_few_rows": "greatest(0, 100000 - count(*))", "duplicate_event_ids": "count(*) - count(DISTINCT coalesce(event_id, ''))", "invalid_rows": "count(*) FILTER (len(errors) > 0)", "blank_titles": "count(*) FILTER (title = '')", "unknown_tickers": f"count(*) FILTER {in_news('que', 'nicht', 'elle')}"}, "news")))
 def gate_news(spark, sf_dir):
-    return gates.gate_news(silver(spark, sf_dir), min_rows=100_000, universe=list(COMPANIES))
+    return gates.gate_news(silver(spark, sf_dir), min_rows=100_000, universe=[t for t in COMPANIES if t != "QUE"])
 
 
 @query(sql(BRONZE_MARKET, gate_sql({"missing_columns": "0", "too_few_rows": "greatest(0, 1000 - count(*))", "too_few_tickers": "greatest(0, 1000 - count(DISTINCT ticker))", "duplicate_keys": "count(*) - count(DISTINCT (ticker, coalesce(CAST(session_date AS VARCHAR), ''), coalesce(\"interval\", ''), source))", "invalid_rows": "count(*) FILTER (len(errors) > 0)", "weekend_rows": "count(*) FILTER (dayofweek(session_date) IN (0, 6))", "jumps": "count(*) FILTER (abs(close / nullif(previous_close, 0) - 1) > 0.5)"}, "silver")))
@@ -129,7 +134,7 @@ def partition_profile(spark, sf_dir):
 
 ITEMS = """items AS (SELECT event_id, user_id, ts, CASE WHEN event_id % 5 = 0 THEN '' ELSE 'http://n/' || CAST(event_id % 700 AS VARCHAR) END AS url, 't' || CAST(event_id % 300 AS VARCHAR) AS title,
   CASE WHEN event_id % 2 = 0 THEN '' ELSE 'c' || CAST(event_id % 50 AS VARCHAR) END AS content, 's' || CAST(event_id % 40 AS VARCHAR) AS summary, ['A' || CAST(user_id % 7 AS VARCHAR), 'B' || CAST(event_id % 3 AS VARCHAR)] AS tickers,
-  CASE WHEN event_id % 4 = 0 THEN 'rules+entities' ELSE 'rules' END AS strategy FROM events)"""
+  ['A' || CAST(user_id % 7 AS VARCHAR)] AS rulebased_tickers, CASE WHEN event_id % 4 = 0 THEN ['B' || CAST(event_id % 3 AS VARCHAR), 'C'] ELSE [] END AS ner_tickers, CASE WHEN event_id % 4 = 0 THEN 'hybrid' || CAST(event_id % 3 AS VARCHAR) ELSE 'rulebased' END AS strategy FROM events)"""
 
 
 def items(spark, sf_dir):
@@ -138,17 +143,33 @@ def items(spark, sf_dir):
     return e.select(
         "event_id", "user_id", F.col("ts").alias("observed_at"), F.when(i % 5 == 0, "").otherwise(text("http://n/", 700)).alias("url"), text("t", 300).alias("title"),
         F.when(i % 2 == 0, "").otherwise(text("c", 50)).alias("content"), text("s", 40).alias("summary"),
-        F.array(F.concat(F.lit("A"), (F.col("user_id") % 7).cast("string")), text("B", 3)).alias("tickers"), F.when(i % 4 == 0, "rules+entities").otherwise("rules").alias("strategy"),
+        F.array(F.concat(F.lit("A"), (F.col("user_id") % 7).cast("string")), text("B", 3)).alias("tickers"), F.array(F.concat(F.lit("A"), (F.col("user_id") % 7).cast("string"))).alias("rulebased_tickers"),
+        F.when(i % 4 == 0, F.array(text("B", 3), F.lit("C"))).alias("ner_tickers"), F.when(i % 4 == 0, text("hybrid", 3)).otherwise("rulebased").alias("strategy"),
     )
 
 
 KEYED = "keyed AS (SELECT *, coalesce(nullif(url, ''), sha256(title || '|' || coalesce(nullif(content, ''), summary))) AS identity FROM items)"
 
 
-@query(sql(ITEMS, KEYED, "SELECT identity, count(*) AS versions, arg_min(event_id, (ts, event_id)) AS first_id, array_to_string(list_sort(list_distinct(flatten(list(tickers)))), ',') AS tickers, max(strategy) AS strategy FROM keyed GROUP BY identity"))
+def in_order(column: str) -> str:
+    """SQL of a ticker array merged over the rows of an identity, by first occurrence."""
+    return f"(SELECT coalesce(array_to_string(list(t ORDER BY o), ','), '') FROM (SELECT t, min((ts, event_id, i)) AS o FROM (SELECT ts, event_id, unnest({column}) AS t, generate_subscripts({column}, 1) AS i FROM keyed k WHERE k.identity = g.identity) GROUP BY t)) AS {column}"
+
+
+@query(sql(ITEMS, KEYED, "g AS (SELECT identity, count(*) AS versions, arg_min(event_id, (ts, event_id)) AS first_id, coalesce(arg_max(strategy, (ts, event_id)) FILTER (strategy <> 'rulebased'), arg_min(strategy, (ts, event_id))) AS strategy FROM keyed GROUP BY identity)",
+  f"SELECT identity, versions, first_id, strategy, {in_order('tickers')}, {in_order('rulebased_tickers')}, {in_order('ner_tickers')} FROM g"))
 def news_upsert_merge(spark, sf_dir):
-    out = state.upserted(items(spark, sf_dir))
-    return out.select("identity", "versions", F.col("event_id").alias("first_id"), F.array_join(F.array_sort("tickers"), ",").alias("tickers"), "strategy")
+    """Ticker arrays keep their order here and in the SQL."""
+    out = state.upserted(items(spark, sf_dir), order=("observed_at", "event_id"))
+    return out.select("identity", "versions", F.col("event_id").alias("first_id"), "strategy", *[F.array_join(c, ",").alias(c) for c in ("tickers", "rulebased_tickers", "ner_tickers")])
+
+
+@query(sql(ITEMS, "keyed AS (SELECT *, coalesce(nullif(url, ''), sha256(title || '|' || coalesce(nullif(content, ''), summary))) AS identity FROM (SELECT * FROM items ORDER BY ts, event_id LIMIT 900))", "SELECT substr(sha1(identity), 1, 16) AS annotation_id, event_id AS id FROM keyed QUALIFY row_number() OVER (PARTITION BY identity ORDER BY ts, event_id) = 1"))
+def annotation_first_rows(spark, sf_dir):
+    """The annotation set of the earliest rows only: the ordered limit is the feature."""
+    i = items(spark, sf_dir)
+    rows = i.select(F.col("event_id").alias("id"), F.col("observed_at").alias("published"), "title", "url", F.lit("").alias("content_hash"), F.concat_ws("|", "title", F.coalesce(F.nullif(F.col("content"), F.lit("")), F.col("summary"))).alias("text"))
+    return state.annotation_set(rows, limit=900).select("annotation_id", "id")
 
 
 @query(sql(ITEMS, KEYED, "SELECT substr(sha1(identity), 1, 16) AS annotation_id, event_id AS id FROM keyed QUALIFY row_number() OVER (PARTITION BY identity ORDER BY ts, event_id) = 1"))
@@ -174,33 +195,38 @@ def attempt_log(spark, sf_dir):
     return table(spark, sf_dir, "events").filter("event_type = 'click'").select(F.col("user_id").alias("id"), F.col("ts").alias("at"), F.when(v > 90, "rate_limited").when(v > 60, "failed").when(v > 40, "skipped").otherwise("success").alias("status"), F.when(v > 60, F.col("props")).alias("error"))
 
 
-@query(sql(LOG, "SELECT id, count(*) FILTER (status <> 'rate_limited') AS attempts, arg_max(status, tm) AS status, substr(arg_max_null(error, tm), 1, 500) AS last_error FROM log GROUP BY id"))
+@query(sql(LOG, "SELECT id, count(*) FILTER (status NOT IN ('rate_limited', 'skipped')) AS attempts, arg_max(status, tm) AS status, substr(arg_max_null(error, tm), 1, 500) AS last_error FROM log GROUP BY id"))
 def attempts_counter(spark, sf_dir):
     return state.attempts(attempt_log(spark, sf_dir))
 
 
-@query(sql(LOG, "a AS (SELECT id, count(*) FILTER (status <> 'rate_limited') AS attempts, arg_max(status, tm) AS status FROM log GROUP BY id)", "n AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS tickers, repeat('x', CAST(c_custkey % 400 AS INTEGER)) AS content, c_acctbal AS published FROM customer)",
-  "SELECT n.id, coalesce(attempts, 0) AS attempts FROM n LEFT JOIN a USING (id) WHERE tickers > 0 AND length(content) < 200 AND coalesce(status, '') NOT IN ('success', 'skipped') AND coalesce(attempts, 0) < 12 ORDER BY published DESC, n.id LIMIT 50"))
+@query(sql(LOG, "a AS (SELECT id, count(*) FILTER (status NOT IN ('rate_limited', 'skipped')) AS attempts, arg_max(status, tm) AS status FROM log GROUP BY id)", "n AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS tickers, repeat('x', CAST(c_custkey % 400 AS INTEGER)) AS content, c_acctbal AS published FROM customer)",
+  "SELECT n.id, coalesce(attempts, 0) AS attempts FROM n LEFT JOIN a USING (id) WHERE tickers > 0 AND length(content) < 200 AND coalesce(status, '') NOT IN ('success', 'skipped') AND coalesce(attempts, 0) < 12 ORDER BY n.id LIMIT 50"))
 def crawl_candidates(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     rows = c.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("X"))).alias("tickers"), F.expr("repeat('x', cast(c_custkey % 400 as int))").alias("content"), F.col("c_acctbal").alias("published"))
     return state.crawl_candidates(rows, state.attempts(attempt_log(spark, sf_dir)), 50, max_attempts=12).select("id", F.coalesce("attempts", F.lit(0)).alias("attempts"))
 
 
-@query(sql("n AS (SELECT *, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS turn FROM customer WHERE c_custkey % 4 <> 0)", "SELECT c.c_custkey AS id, CASE WHEN c.c_custkey % 4 = 0 THEN 'rejected' WHEN n.turn > 500 THEN 'deferred' WHEN c.c_custkey % 400 >= 200 THEN 'ready' ELSE 'failed' END AS route FROM customer c LEFT JOIN n USING (c_custkey)"))
+@query(sql("c AS (SELECT c_custkey AS id, c_acctbal, c_custkey % 4 = 0 AS bare, c_custkey % 6 AS attempts, c_custkey % 11 = 0 AS lost, c_custkey % 7 = 0 AS other, c_custkey % 400 AS chars FROM customer)", "n AS (SELECT id, row_number() OVER (ORDER BY c_acctbal, id) AS turn FROM c WHERE NOT bare AND attempts < 5)",
+  "SELECT c.id, CASE WHEN bare THEN 'rejected' WHEN turn IS NULL OR turn > 500 THEN 'deferred' WHEN lost OR chars < 200 THEN 'failed' WHEN other THEN 'rejected' ELSE 'ready' END AS route FROM c LEFT JOIN n USING (id)"))
 def ticker_gate_routes(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    rows = c.select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("X"))).alias("tickers"), F.expr("repeat('x', cast(c_custkey % 400 as int))").alias("content"), F.col("c_acctbal").alias("observed_at"))
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    none, one = F.array().cast("array<string>"), F.array(F.lit("X"))
+    rows = c.select(
+        k.alias("id"), F.when(k % 4 == 0, none).otherwise(one).alias("tickers"), F.expr("repeat('x', cast(c_custkey % 400 as int))").alias("content"), F.col("c_acctbal").alias("observed_at"),
+        (k % 6).alias("attempts"), F.when(k % 11 == 0, "").otherwise("https://x").alias("url"), F.when(k % 7 == 0, none).otherwise(one).alias("text_tickers"),
+    )
     return state.routed(rows, 500).select("id", "route")
 
 
 @query(sql("m AS (SELECT CAST(x AS DATE) AS m FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-06-19', INTERVAL 1 MONTH)) AS x))", "j AS (SELECT s_suppkey, CAST(s_suppkey AS VARCHAR) AS ticker, greatest(m, DATE '2024-01-15') AS \"from\", least(CAST(m + INTERVAL 1 MONTH AS DATE), DATE '2024-06-20') AS until FROM supplier, m)",
-  "SELECT ticker, \"from\", until FROM j WHERE NOT (s_suppkey % 3 = 0 AND month(\"from\") = 2) AND NOT (s_suppkey % 5 = 0 AND month(\"from\") = 4)"))
+  "SELECT ticker, \"from\", until FROM (SELECT *, row_number() OVER (ORDER BY ticker, \"from\") AS turn FROM j) WHERE turn > 7 AND NOT (s_suppkey % 3 = 0 AND month(\"from\") = 2) AND NOT (s_suppkey % 5 = 0 AND month(\"from\") = 4)"))
 def backfill_pending(spark, sf_dir):
     t = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("ticker"), "s_suppkey")
     done = t.filter("s_suppkey % 3 = 0").select("ticker", F.lit("2024-02-01").cast("date").alias("from"), F.lit("success").alias("status"))
     failed = t.filter("s_suppkey % 5 = 0").select("ticker", F.lit("2024-04-01").cast("date").alias("from"), F.lit("failed").alias("status"))
-    return state.pending_jobs(t.select("ticker"), "2024-01-15", "2024-06-20", done.unionByName(failed))
+    return state.pending_jobs(t.select("ticker"), "2024-01-15", "2024-06-20", done.unionByName(failed), offset=7)
 
 
 @query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN 'new' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'new' FROM orders WHERE o_orderkey % 10 = 5")
@@ -246,9 +272,19 @@ def news_quality(spark, sf_dir):
     return silver(spark, sf_dir).agg(F.count("*").alias("n"), F.count_if("has_full_text").alias("full_texts"), F.count_if(~F.col("is_valid")).alias("invalid"), (F.count("url") - F.count_distinct("url")).alias("duplicate_urls"), (F.count("*") - F.count_distinct("content_hash")).alias("duplicate_texts"), F.count_distinct("source").alias("sources"), F.min("published_date").alias("first_day"), F.max("published_date").alias("last_day"))
 
 
-@query("SELECT lang AS category, count(*) AS n FROM documents GROUP BY lang")
+#: Phrases of the fixed table and one that is in none, with the turn of their category.
+PHRASES = [(p, turn) for turn, phrases in enumerate(CATEGORIES.values()) for p in phrases] + [("khác", len(CATEGORIES))]
+NAMES_SQL = "[" + ", ".join(f"'{n}'" for n in [*CATEGORIES, OTHER_CATEGORY]) + "]"
+TURNS_SQL = "[" + ", ".join(str(t) for _, t in PHRASES) + "]"
+
+
+@query(f"SELECT {NAMES_SQL}[1 + least({TURNS_SQL}[1 + doc_id % {len(PHRASES)}], {TURNS_SQL}[1 + doc_id * 7 % {len(PHRASES)}])] AS category, lang, count(*) AS n FROM documents GROUP BY ALL")
 def category_counts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("category")).agg(F.count("*").alias("n"))
+    """Documents with two phrases of the fixed table each: the category that comes first in the table counts."""
+    phrases = F.array(*[F.lit(p) for p, _ in PHRASES])
+    at = lambda i: F.get(phrases, (i % len(PHRASES)).cast("int"))
+    d = table(spark, sf_dir, "documents").withColumn("t", F.concat_ws(" - ", F.upper(at(F.col("doc_id"))), F.lit("x"), at(F.col("doc_id") * 7)))
+    return d.groupBy(category(F.col("t")).alias("category"), "lang").agg(F.count("*").alias("n"))
 
 
 @query("SELECT CAST(LEAST(14, floor((v - lo) / ((hi - lo) / 15.0))) AS BIGINT) AS bin, count(*) AS n FROM (SELECT length(text) AS v, min(length(text)) OVER () AS lo, max(length(text)) OVER () AS hi FROM documents) GROUP BY bin")

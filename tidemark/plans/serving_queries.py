@@ -60,11 +60,11 @@ def event_counters(spark, sf_dir):
     return news_ev(spark, sf_dir).agg(F.count("*").alias("events"), F.count_if("after_close").alias("after_close"), F.count_distinct("ticker").alias("tickers"), F.count_if(F.col("published_precision") == "timestamp").alias("exact"))
 
 
-@query("SELECT CASE WHEN code = 429 THEN 'rate_limited' WHEN code < 200 OR code >= 300 THEN 'failed' WHEN chars < 200 THEN 'skipped' ELSE 'success' END AS status, count(*) AS n FROM (SELECT [200, 204, 301, 404, 429, 500][1 + event_id % 6] AS code, event_id % 400 AS chars FROM events) GROUP BY status")
+@query("SELECT CASE WHEN no_url THEN 'skipped' WHEN code = 429 THEN 'rate_limited' WHEN code < 200 OR code >= 300 OR chars < 200 THEN 'failed' ELSE 'success' END AS status, count(*) AS n FROM (SELECT [200, 204, 301, 404, 429, 500][1 + event_id % 6] AS code, event_id % 400 AS chars, event_id % 13 = 0 AS no_url FROM events) GROUP BY status")
 def crawl_outcomes(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     code = F.get(F.array(*[F.lit(c) for c in (200, 204, 301, 404, 429, 500)]), (F.col("event_id") % 6).cast("int"))
-    return e.groupBy(state.crawl_status(code, F.col("event_id") % 400).alias("status")).agg(F.count("*").alias("n"))
+    return e.groupBy(state.crawl_status(code, F.col("event_id") % 400, F.when(F.col("event_id") % 13 != 0, "https://x")).alias("status")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT key, arg_max(ticker, (n, -first_seen)) AS ticker FROM (SELECT lower(event_type) AS key, CAST(user_id % 5 AS VARCHAR) AS ticker, count(*) AS n, min(event_id) AS first_seen FROM events GROUP BY ALL) GROUP BY key")
