@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,7 +15,7 @@ from cases import PROSE, documents, empty, rows
 from compare import duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, language_id, line_dedup, near_dedup, quality, queries, repeat_dedup, secret_scan, token_count, toxicity
+from tidemark.llm import bpe, common, decontaminate, language_id, line_dedup, near_dedup, quality, queries, repeat_dedup, secret_scan, token_count, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -62,6 +63,47 @@ def test_bpe_odd(spark):
     assert bpe.bpe_encode(empty(spark), BPE).count() == 0
 
 
+def test_one_very_long_word():
+    import tokenizers
+
+    word = "".join(random.Random(1).choice("abcdefghijklmnop") for _ in range(400_000))
+    own, counter = bpe.WordBpe(BPE), token_count.PieceCounter(PIECES)
+    short = word[:20_000]
+    assert list(struct.unpack(f"<{len(own.encode(short)) // 4}I", own.encode(short))) == tokenizers.Tokenizer.from_file(BPE).encode(short, add_special_tokens=False).ids
+    assert len(own.encode(word)) >= 400_000
+    counter.count(word)
+    # what is kept does not grow with the word
+    assert counter.auto.size <= counter.auto.limit and len(own.tokens.merges.fits) <= 200_000 and len(own.memo) <= bpe.MEMO_WORDS
+
+
+def test_forgetting_changes_nothing():
+    import sentencepiece
+
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_count.PieceCounter(PIECES)
+    own.auto.limit = 50
+    for x in [*random_texts(60), "international understanding " * 400]:
+        assert own.count(x) == len(sp.encode(x))
+
+
+def test_chunk_maps_compose():
+    own = token_count.PieceCounter(PIECES)
+    rnd = random.Random(6)
+    for _ in range(40):
+        text = token_count.MARK + "".join(rnd.choice(["in", "ter", "nation", "al", token_count.MARK, "x", "0"]) for _ in range(300))
+        whole = token_count.ChunkMap(own.auto, text)[token_count.START]
+        cut = sorted(rnd.sample(range(1, len(text)), 2))
+        a, b, c = (token_count.ChunkMap(own.auto, text[i:j]) for i, j in zip([0, *cut], [*cut, len(text)], strict=True))
+        left = token_count.Composed(token_count.Composed(a, b), c)[token_count.START]
+        right = token_count.Composed(a, token_count.Composed(b, c))[token_count.START]
+        assert left == right == whole
+
+
+def test_decode_leaves_out_unknown_ids(spark):
+    ids = struct.pack("<3I", 320, 4_000_000, 321)
+    r = bpe.bpe_decode(spark.createDataFrame([(ids,), (None,)], "ids binary"), BPE).collect()
+    assert len(r[0].decoded.split(" ")) == 2 and r[1].decoded == ""
+
+
 def test_counts_are_the_library(spark):
     import sentencepiece
 
@@ -110,6 +152,21 @@ def test_repeats(spark):
     assert repeat_dedup.repeats_removed(documents(spark)).count() == len(rows()) and repeat_dedup.repeats_removed(empty(spark)).count() == 0
 
 
+def test_repeats_without_broadcast(spark, monkeypatch):
+    """The shuffled plans, with string ids, null ids, ids with two texts and equal rows."""
+    monkeypatch.setattr(common, "sized", lambda df, *a, **k: df)
+    for m in (repeat_dedup, near_dedup, line_dedup):
+        monkeypatch.setattr(m, "sized", lambda df, *a, **k: df)
+    rnd = random.Random(9)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(500)) for _ in range(3)]
+    data = [("a", base[0]), ("a", base[1]), (None, base[0]), (None, base[0]), (None, base[2][:300] + "!" + base[1][:250]), ("b", base[2]), ("b", "short"), ("c", None)]
+    out = repeat_dedup.repeats_removed(spark.createDataFrame(data, "doc_id string, text string").repartition(3)).collect()
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in out)
+    assert got == Counter((d[0], *x) for d, x in zip(data, repeats([t for _, t in data]), strict=True))
+    lines = line_dedup.line_dedup(spark.createDataFrame([("a", "x" * 30), ("b", "x" * 30), ("c", "x" * 30 + "\ny")], "doc_id string, text string")).collect()
+    assert {r.doc_id: r.text for r in lines} == {"a": "", "b": "", "c": "x" * 30 + "\ny"}
+
+
 def test_contaminated(spark):
     items = spark.createDataFrame([(0, PROSE), (1, "seven wizards boil"), (2, None), (3, ""), (None, "x y"), (0, PROSE), (4, "not in any text at all, ever")], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark), items).collect()}
@@ -128,6 +185,44 @@ def test_toxicity(spark):
         assert out.count() == df.count() and out.columns.count("score") == 1
 
 
+def test_toxicity_is_brute_force(spark):
+    """Scores and neighbours of all documents from dense vectors, with the index's own terms and calibration."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    index = toxicity.fitted(docs, labels.filter("doc_id % 5 <> 0"))
+    marks = {r.doc_id: int(r.t > 0) for r in labels.filter("doc_id % 5 <> 0").groupBy("doc_id").agg(F.max("toxic").alias("t")).collect()}
+    names = {**{w: i for w, i in index.terms.word.items()}, **{"~" + w: i for w, i in index.terms.stem.items()}}
+    all_ = texts(spark, "/root/testdata/sf0.01")
+
+    def dense(text):
+        v = np.zeros(len(names))
+        for t, n in Counter(toxicity.terms(text)).items():
+            if t in names:
+                v[names[t]] = (1 + math.log(n)) * index.idf[names[t]]
+        return v / (np.linalg.norm(v) or 1)
+
+    rows_ = np.stack([dense(all_[i]) for i in index.ids])
+    held = np.array([marks[i] for i in index.ids])
+    a, b = index.fit
+    for r in toxicity.toxicity_scores(docs, index).collect():
+        cosine = rows_ @ dense(r.text)
+        order = np.lexsort((np.arange(len(cosine)), -np.round(cosine, 12)))[: toxicity.K]
+        order = order[cosine[order] > 1e-12]
+        if not len(order):
+            assert r.score == index.bare
+            continue
+        assert np.allclose(cosine[order], r.cosines, atol=1e-9)
+        weight = 1 / (1 - np.minimum(cosine[order], 1) + toxicity.SOFT)
+        p = (weight @ held[[index.ids.index(i) for i in r.neighbours]] + 0.5) / (weight.sum() + 1)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-a * math.log(p / (1 - p)) - b)), abs=1e-6)
+
+
+def test_toxicity_of_string_ids(spark):
+    df = spark.createDataFrame([(f"d{i}", ("vile " if i % 2 else "fair ") + "word " * (i % 7)) for i in range(200)], "doc_id string, text string")
+    labels = df.select("doc_id", F.col("text").startswith("vile").cast("int").alias("toxic")).limit(150)
+    out = toxicity.toxicity_scores(df, toxicity.fitted(df, labels)).collect()
+    assert all(r.predicted == r.text.startswith("vile") for r in out) and all(isinstance(i, str) for r in out for i in r.neighbours)
+
+
 def test_block_index_is_exact():
     rnd = random.Random(3)
     names = [f"t{i}" for i in range(30)]
@@ -156,6 +251,32 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_id.languages(documents(spark), language_id.fitted(empty(spark))).collect()} == {"und"}
 
 
+def test_languages_by_brute_force(spark):
+    """Predictions from a plain sum over the n-grams of each text."""
+    model = language_id.fitted(spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id % 4 <> 2"))
+    for text in list(texts(spark).values())[:60]:
+        data = language_id.cleaned(text)
+        if not data:
+            continue
+        total, n = np.zeros(len(model.names)), 0
+        for size in language_id.GRAMS:
+            for i in range(len(data) - size + 1):
+                h = 0
+                for k, c in enumerate(data[i : i + size], 1):
+                    h = (h * 0x01000193 + c + k) % 2**32
+                total += model.weights[(h * 0x9E3779B1 % 2**32) >> (32 - language_id.BUCKETS_BITS)]
+                n += 1
+        z = (total / n + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        name, score, _ = model.predict(text)
+        assert name == model.names[int(p.argmax())] and score == pytest.approx(float(p.max()), abs=1e-6)
+
+
+def test_language_sample_is_bounded(spark):
+    df = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same words again").alias("text"), F.lit("en").alias("lang"))
+    assert language_id.fitted(df, train_rows=10).names in (["en"], [])
+
+
 def test_language_rows_are_whole(spark):
     shared, own = "zzyx qwv jjk " * 100, {"aa": "lorem dolor amat ", "bb": "huska pikki tunto "}
     texts_ = {g: shared + (w * 40)[:600] for g, w in own.items()}
@@ -206,6 +327,21 @@ def test_secret_shapes(spark):
     assert not any(r.kept for r in out if r.secret.isdigit() or "example.com" in r.secret)
 
 
+def test_secrets_held_out(spark):
+    """Verdicts on the fold that was not learnt from, against the rules; and all candidates against a plain loop."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = secret_scan.secrets(docs, train_fold=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).collect()
+    all_ = texts(spark, sf)
+    assert Counter((r.doc_id, r.start, r.end) for r in out) == Counter((i, a, b) for i, t in all_.items() for a, b, _ in secret_scan.places(t or ""))
+    held = [r for r in out if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    ruled = [(secret_scan.ruled(r.secret, all_[r.doc_id][max(0, r.start - 48) : r.start], all_[r.doc_id][r.end : r.end + 32]), r.kept) for r in held]
+    true = sum(1 for y, k in ruled if y == 1 and k)
+    wrong, lost = sum(1 for y, k in ruled if y == 0 and k), sum(1 for y, k in ruled if y == 1 and not k)
+    print("secrets held out: found", true, "false", wrong, "lost", lost)
+    assert true / max(1, true + wrong) > 0.9 and true / max(1, true + lost) > 0.9
+
+
 def groups(pairs, size=4, percent=80):
     sets = {i: near_dedup.shingle_set(t, size) for i, t in pairs}
     top = {i: i for i in sets}
@@ -249,6 +385,19 @@ def test_near(spark):
     assert near_dedup.near_groups(empty(spark)).count() == 0
 
 
+def test_near_with_repeated_ids(spark):
+    """An id with two texts is the one with the smaller hash, whatever the order of the rows."""
+    a, b = (" ".join(f"{p}{i}" for i in range(60)) for p in "ab")
+    data = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, a), (4, a), (None, a)]
+    for seed in range(2):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+        first = df.filter("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+        out = Counter((r.doc_id, r.component_id) for r in near_dedup.near_groups(df, size=4).collect())
+        linked = {2: 1, 4: 1, 3: 3} if first == a else {3: 1, 2: 2, 4: 2}
+        assert out == Counter([(1, 1), (1, 1), (2, linked[2]), (3, linked[3]), (4, linked[4]), (4, linked[4]), (None, None)])
+
+
 def test_sketch_estimates():
     rnd = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):
@@ -293,6 +442,39 @@ def test_certified_cutoffs():
     assert set(chosen) == {("en", "symbols")} and 1 <= chosen["en", "symbols"] <= 30
 
 
+def test_verdicts_by_brute_force(spark):
+    """Cutoffs found again from the measures by sums of binomial terms, and the verdicts that follow."""
+    rnd = random.Random(8)
+    data = []
+    for i in range(9000):
+        good = i % 3 > 0
+        noise = "### " * (rnd.randrange(30) if not good else rnd.random() < 0.001)
+        data.append((i, noise + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(60)), "en" if i % 10 else "fr", int(good)))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, good int").repartition(4)
+    out = {r.doc_id: r for r in quality.quality_verdicts(df.drop("good"), df.select("doc_id", F.col("good").alias("quality"))).collect()}
+
+    def upper(k, n, error):
+        lo, hi = k / n, 1.0
+        for _ in range(50):
+            p = (lo + hi) / 2
+            tail = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)) for j in range(k + 1))
+            lo, hi = (p, hi) if tail > error else (lo, p)
+        return hi
+
+    error = quality.DELTA / (2 * 2 * len(quality.RULES) * quality.STEPS)
+    value = lambda r: r.n_symbols / max(r.word_chars, 1)
+    own = {g: [value(out[i]) for i, _, lang, y in data if lang == "en" and y == g and not out[i].base_failed] for g in (0, 1)}
+    best = None
+    for cut in range(1, quality.STEPS + 1):
+        over = {g: sum(v > cut * 0.64 / quality.STEPS + 1e-12 for v in own[g]) for g in own}
+        if over[0] and upper(over[1], len(own[1]), error) <= quality.ALPHA / len(quality.RULES) and 1 - upper(len(own[0]) - over[0], len(own[0]), error) > upper(over[1], len(own[1]), error):
+            best = max(best or (0, 0), (over[0], -cut))
+    assert best
+    for i, _, lang, _ in data:
+        bad = lang == "en" and value(out[i]) > -best[1] * 0.64 / quality.STEPS + 1e-12
+        assert ("symbols" in out[i].failed_rules) == bad and out[i].kept == (not out[i].base_failed and not out[i].failed_rules)
+
+
 def test_binomial_tail():
     for n, k, p in ((50, 3, 0.1478), (50, 40, 0.2), (7, 0, 0.3), (9, 8, 0.5), (40, 39, 0.99), (3000, 20, 0.01), (5000, 2500, 0.5)):
         exact = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1))

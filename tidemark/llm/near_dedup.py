@@ -330,3 +330,23 @@ def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles have a Jaccard similarity of at least 0.8."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_groups(docs, size=4, threshold=0.8)
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i : i + 3], ' '))) AS s FROM w WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+), r AS (
+  SELECT doc_id AS id, doc_id AS c FROM w UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id WHERE r.c < l.b
+), m AS (
+  SELECT id, min(c) AS component_id FROM r GROUP BY id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM w LEFT JOIN n USING (doc_id) JOIN m ON m.id = doc_id
+"""

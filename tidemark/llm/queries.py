@@ -15,4 +15,4 @@ QUERIES = {
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
-ORACLES = {"op4_decontaminate": decontaminate.OP4_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
+ORACLES = {"op3_repeat_dedup": repeat_dedup.OP3_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op7_line_dedup": line_dedup.OP7_SQL, "op9_near_dedup": near_dedup.OP9_SQL}

@@ -306,3 +306,25 @@ def op3_repeat_dedup(spark, sf_dir: str) -> DataFrame:
     """Every byte that lies in a 200-byte string found elsewhere is removed."""
     out = repeats_removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), b AS (  -- pieces of 1000 starts, so that cutting strings out of long texts stays cheap
+  SELECT r, base, substr(h, 2 * base + 1, 2 * 1199) AS h FROM (SELECT r, unnest(range(0, length(h) // 2, 1000)) AS base, h FROM d)
+), s AS (
+  SELECT r, base + o AS p, substr(h, 2 * o + 1, 2) AS byte, CASE WHEN 2 * o + 400 <= length(h) THEN hash(substr(h, 2 * o + 1, 400)) END AS k
+  FROM (SELECT r, base, h, unnest(range(0, least(1000, length(h) // 2))) AS o FROM b)
+), n AS (
+  SELECT k FROM s WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1
+), c AS (
+  SELECT r, p, byte, CAST(coalesce(p - max(CASE WHEN n.k IS NOT NULL THEN p END) OVER (PARTITION BY r ORDER BY p) < 200, false) AS INTEGER) AS gone FROM s LEFT JOIN n USING (k)
+), g AS (
+  SELECT r, p, byte, gone, gone = 1 AND lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY p) = 0 AS opens FROM c
+), m AS (
+  SELECT r, sum(gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(byte, '' ORDER BY p) FILTER (gone = 0) AS kept FROM g GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN m USING (r)
+"""
