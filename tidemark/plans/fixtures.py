@@ -89,7 +89,7 @@ BRONZE_MARKET = """bronze AS (
     CASE WHEN event_id % 53 <> 0 THEN CAST(user_id AS DOUBLE) END AS volume, CASE WHEN event_id % 2 = 0 THEN 'feed_a' ELSE 'feed_b' END AS source,
     CASE WHEN event_id % 47 <> 0 THEN ts END AS collected, event_id AS raw_id
   FROM events), latest AS (
-  SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY ticker, session_date, "interval", source ORDER BY collected DESC NULLS LAST) = 1), silver AS (
+  SELECT * FROM bronze QUALIFY row_number() OVER (PARTITION BY ticker, session_date, "interval", source ORDER BY collected DESC NULLS LAST, raw_id) = 1), silver AS (
   SELECT *, list_filter([
     CASE WHEN event_id IS NULL THEN 'missing_event_id' END, CASE WHEN NOT regexp_matches(ticker, '^[A-Z0-9]{2,10}$') THEN 'invalid_ticker' END, CASE WHEN session_date IS NULL THEN 'invalid_session_date' END,
     CASE WHEN "interval" <> '1d' THEN 'unsupported_interval' END, CASE WHEN open IS NULL OR open <= 0 THEN 'invalid_open' END, CASE WHEN high IS NULL OR high <= 0 THEN 'invalid_high' END,

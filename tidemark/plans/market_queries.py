@@ -115,17 +115,17 @@ def skip_counters(spark, sf_dir):
 
 @query(sql(BRONZE_MARKET, "SELECT raw_id, ticker, session_date, source, round(previous_close, 6) AS previous_close, round(close / nullif(previous_close, 0) - 1, 6) AS daily_return, round(CASE WHEN close / nullif(previous_close, 0) > 0 THEN ln(close / nullif(previous_close, 0)) END, 6) AS log_return, strftime(session_date, '%Y-%m') AS session_year_month FROM silver WHERE len(errors) = 0"))
 def market_silver(spark, sf_dir):
-    return mk.market_silver(bronze_market(spark, sf_dir)).filter("is_valid").select("raw_id", "ticker", "session_date", "source", r6("previous_close"), r6("daily_return"), r6("log_return"), "session_year_month")
+    return mk.market_silver(bronze_market(spark, sf_dir), tie=("raw_id",)).filter("is_valid").select("raw_id", "ticker", "session_date", "source", r6("previous_close"), r6("daily_return"), r6("log_return"), "session_year_month")
 
 
 @query(sql(BRONZE_MARKET, "SELECT e AS error, count(*) AS bars FROM (SELECT unnest(errors) AS e FROM silver) GROUP BY e"))
 def market_quality_errors(spark, sf_dir):
-    return mk.market_silver(bronze_market(spark, sf_dir)).select(F.explode("data_quality_errors").alias("error")).groupBy("error").agg(F.count("*").alias("bars"))
+    return mk.market_silver(bronze_market(spark, sf_dir), tie=("raw_id",)).select(F.explode("data_quality_errors").alias("error")).groupBy("error").agg(F.count("*").alias("bars"))
 
 
 @query(sql(BRONZE_MARKET, "SELECT raw_id, ticker, array_to_string(errors, ',') AS errors FROM silver WHERE len(errors) > 0"))
 def market_quarantine(spark, sf_dir):
-    return mk.quarantined(mk.market_silver(bronze_market(spark, sf_dir))).select("raw_id", "ticker", F.array_join("data_quality_errors", ",").alias("errors"))
+    return mk.quarantined(mk.market_silver(bronze_market(spark, sf_dir), tie=("raw_id",))).select("raw_id", "ticker", F.array_join("data_quality_errors", ",").alias("errors"))
 
 
 @query(sql(BARS_EV, returns_sql("bars_ev"), BENCH, "SELECT session_date, round(benchmark_daily_return, 6) AS benchmark_daily_return, benchmark_constituents, round(benchmark_index, 6) AS benchmark_index FROM bench"))

@@ -118,7 +118,7 @@ def gate_news(spark, sf_dir):
 
 @query(sql(BRONZE_MARKET, gate_sql({"missing_columns": "0", "too_few_rows": "greatest(0, 1000 - count(*))", "too_few_tickers": "greatest(0, 1000 - count(DISTINCT ticker))", "duplicate_keys": "count(*) - count(DISTINCT (ticker, coalesce(CAST(session_date AS VARCHAR), ''), coalesce(\"interval\", ''), source))", "invalid_rows": "count(*) FILTER (len(errors) > 0)", "weekend_rows": "count(*) FILTER (dayofweek(session_date) IN (0, 6))", "jumps": "count(*) FILTER (abs(close / nullif(previous_close, 0) - 1) > 0.5)"}, "silver")))
 def gate_market(spark, sf_dir):
-    return gates.gate_market(market.market_silver(bronze_market(spark, sf_dir)), min_rows=1000, min_tickers=1000)
+    return gates.gate_market(market.market_silver(bronze_market(spark, sf_dir), tie=("raw_id",)), min_rows=1000, min_tickers=1000)
 
 
 @query(sql(*GOLD_PARTS, gate_sql({"too_few_pairs": "greatest(0, 10 - count(DISTINCT (event_id, ticker)))", "duplicate_keys": "count(*) - count(DISTINCT (event_id, ticker, relative_session))", "wrong_offsets": "CASE WHEN list_sort(list(DISTINCT relative_session)) = [-5, -3, -2, -1, 0, 1, 2, 3, 5] THEN 0 ELSE 1 END", "wrong_row_count": "abs(count(*) - 9 * count(DISTINCT (event_id, ticker)))", "look_ahead": "count(*) FILTER (t0_date < event_date OR (after_close AND t0_date = event_date))", "close_without_data": "count(*) FILTER (NOT has_market_data AND close IS NOT NULL)"}, "gold")))
