@@ -90,9 +90,9 @@ def test_chunk_maps_compose():
     rnd = random.Random(6)
     for _ in range(40):
         text = token_count.MARK + "".join(rnd.choice(["in", "ter", "nation", "al", token_count.MARK, "x", "0"]) for _ in range(300))
-        whole = token_count.ChunkMap(own.auto, text)[token_count.START]
+        whole = token_count.ChunkMap(own.words, own.cut, text)[token_count.START]
         cut = sorted(rnd.sample(range(1, len(text)), 2))
-        a, b, c = (token_count.ChunkMap(own.auto, text[i:j]) for i, j in zip([0, *cut], [*cut, len(text)], strict=True))
+        a, b, c = (token_count.ChunkMap(own.words, own.cut, text[i:j]) for i, j in zip([0, *cut], [*cut, len(text)], strict=True))
         left = token_count.Composed(token_count.Composed(a, b), c)[token_count.START]
         right = token_count.Composed(a, token_count.Composed(b, c))[token_count.START]
         assert left == right == whole

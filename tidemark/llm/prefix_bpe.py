@@ -109,7 +109,7 @@ class CountingTransducer:
     Nothing merges across two symbols that no token holds side by side, so there a step is that of the start state.
     """
 
-    def __init__(self, tokens: dict[int, str], weights: dict[int, int], rank: Callable[[str, str], float | None], limit: int = 150_000):
+    def __init__(self, tokens: dict[int, str], weights: dict[int, int], rank: Callable[[str, str], float | None], limit: int = 400_000):
         self.merges, self.weights, self.limit = Merges(tokens, rank), weights, limit
         self.adjacent = {t[i : i + 2] for t in tokens.values() for i in range(len(t) - 1)}
         self.edges: dict[int, int] = {}  # node * 2 ** 21 + symbol: node

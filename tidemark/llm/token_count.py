@@ -4,7 +4,8 @@ Method: the tokenizer is compiled to a deterministic transducer whose transition
 (prefix_bpe.py; states are made when first met). Every text is cut into chunks. A chunk's map says for an entry state in which
 state the chunk is left and how many tokens it adds; maps of neighbours are composed pairwise, level by level, and the map of
 the whole text at the start state is the count. A map is made from a run from the start state; another entry state runs only
-until it meets that run in one state at one place, which then holds for the rest of the chunk, or else to the end.
+until it meets that run in one state at one place, which then holds for the rest of the chunk, or else to the end. Words are
+entered as from the start state, since no token holds the end of one and the start of the next; their transitions are kept.
 
 One pass, no shuffle. Texts are used whole. The transducer's tables are bounded, within a text too.
 
@@ -14,32 +15,64 @@ one; an input column named as an added one is replaced.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import map_text, table
-from tidemark.llm.prefix_bpe import START, CountingTransducer
+from tidemark.llm.prefix_bpe import START, CountingTransducer, State
 
 #: Code points of a chunk, and places at its head where runs from two entry states are compared.
 CHUNK, HEAD = 4096, 64
+#: Words whose transitions are kept.
+WORDS = 300_000
 LIMIT = 4096
 MARK = "▁"
+LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+
+
+class Words(dict):
+    """Change of the count over a word that is entered from the start state: a transition over all its symbols at once."""
+
+    def __init__(self, auto: CountingTransducer):
+        super().__init__()
+        self.auto = auto
+
+    def __missing__(self, word: str) -> int:
+        n = self.auto.run(word, self.auto.state(START))[1]
+        if len(word) <= 64:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = n
+        return n
 
 
 class ChunkMap(dict):
     """Entry state: (exit state, tokens), of one chunk. States are told by their paths, which outlive the transducer's tables."""
 
-    def __init__(self, auto: CountingTransducer, text: str):
+    def __init__(self, words: Words, cut, text: str):
         super().__init__()
-        self.auto, self.text, self.head = auto, text, []
-        s, n = auto.state(START), 0
+        self.words, self.auto, self.cut, self.text, self.head = words, words.auto, cut, text, []
+        s, n = self.auto.state(START), 0
         for c in text[:HEAD]:
             s, change = s[c]
             n += change
             self.head.append((s.paths, n))
-        s, rest = auto.run(text[HEAD:], s)
-        self[START] = (s.paths, n + rest)
+        exit_, rest = self.to_end(s)
+        self[START] = (exit_, n + rest)
+
+    def to_end(self, s: State) -> tuple[tuple, int]:
+        """From state s behind the head: symbol by symbol to the first word start, word by word, and through the last word."""
+        parts = self.cut(self.text, HEAD)
+        if not parts:
+            return s.paths, 0
+        s, n = self.auto.run(parts[0], s)
+        if len(parts) > 1:
+            n += sum(map(self.words.__getitem__, parts[1:-1]))
+            s, rest = self.auto.run(parts[-1], self.auto.state(START))
+            n += rest
+        return s.paths, n
 
     def __missing__(self, entry: tuple) -> tuple[tuple, int]:
         s, n = self.auto.state(entry), 0
@@ -50,8 +83,8 @@ class ChunkMap(dict):
                 exit_, all_ = self[START]
                 self[entry] = (exit_, n + all_ - m)
                 return self[entry]
-        s, rest = self.auto.run(self.text[HEAD:], s)
-        self[entry] = (s.paths, n + rest)
+        exit_, rest = self.to_end(s)
+        self[entry] = (exit_, n + rest)
         return self[entry]
 
 
@@ -86,12 +119,19 @@ class PieceCounter:
         weights = {i: 1 for i, _ in pieces.values()} | {spare + n: len(c.encode()) for n, c in enumerate(bare)}
         rank = {p: r for p, (_, r) in pieces.items()}
         self.auto = CountingTransducer(tokens, weights, lambda a, b: rank.get(a + b))
+        self.words = Words(self.auto)
+        # parts of a text between places where no token holds both neighbours, so that each is entered as from the start
+        feed = "" if any("\n" in pair for pair in self.auto.adjacent) else "\n"
+        stops = "".join(re.escape(c) for c in ".,;:!?)" if not any(pair[1] == c and re.match(LETTER, pair[0]) for pair in self.auto.adjacent))
+        before_stop = f"{MARK}*{LETTER}+(?=[{stops}])|" if stops else ""
+        starts = all(pair[1] != MARK or pair[0] == MARK for pair in self.auto.adjacent)
+        self.cut = re.compile(before_stop + f"{MARK}+[^{MARK}{feed}]*|[^{MARK}{feed}]+" + ("|\n" if feed else "")).findall if starts else re.compile("(?s).+").findall
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
         text = (MARK + text).replace(" ", MARK)
-        maps: list[dict] = [ChunkMap(self.auto, text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)]
+        maps: list[dict] = [ChunkMap(self.words, self.cut, text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)]
         while len(maps) > 1:  # one level of the scan: neighbours are composed
             maps = [Composed(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
         return maps[0][START][1]
