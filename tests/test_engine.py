@@ -171,6 +171,44 @@ def test_bio(spark):
     assert ent.indel("abcd", "abxd") == 75.0
 
 
+def test_token_features(spark):
+    def title(w):
+        return w.istitle()
+
+    text = "CTCP Hòa-Phát tăng 12 % A1B 1a x²"
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "forms long, t string").withColumn("w", ent.tokens(F.col("t")))
+    rows = {r.forms: r for r in ent.token_features(df, "w").select("forms", "w", "features").collect()}
+    assert rows[2].features == rows[3].features == []
+    words = [w.token for w in rows[1].w]
+    for i, (w, f) in enumerate(zip(words, rows[1].features, strict=True)):
+        low = w.casefold()
+        assert (f.lower, f.last3, f.last2, f.first3) == (low, low[-3:], low[-2:], low[:3])
+        assert (f.is_upper, f.is_title, f.is_digit, f.has_digit) == (w.isupper(), title(w), w.isdigit(), any(c.isdigit() for c in w))
+        assert f.length == min(len(w), 20) and (f.first, f.last) == (i == 0, i == len(words) - 1)
+        back, ahead = words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None
+        for side, v in (("back", back), ("ahead", ahead)):
+            assert (f[f"{side}_lower"], f[f"{side}_is_upper"], f[f"{side}_is_title"]) == ((v.casefold(), v.isupper(), title(v)) if v else (None, None, None))
+
+
+def test_linking_is_all_pairs(spark):
+    import random
+
+    draw = random.Random(5)
+    names = sorted({"".join(draw.choice("abcd ") for _ in range(draw.randint(3, 24))).strip() for _ in range(150)} - {""})
+    names = [n for n in {" ".join(n.split()) for n in names} if len(n) > 2]
+
+    def changed(n):
+        k = draw.randrange(len(n))
+        return draw.choice([n[:k] + n[k + 1 :], n[:k] + draw.choice("abcdz") + n[k:], n[:k] + draw.choice("abcdz") + n[k + 1 :]])
+
+    mentions = sorted({" ".join(changed(changed(n) if draw.random() < 0.4 else n).split()) for n in names} - {""})
+    known = spark.createDataFrame([(n, f"T{i}") for i, n in enumerate(names)], "key string, ticker string")
+    got = ent.linked(spark.createDataFrame([(m,) for m in mentions], "mention string"), known, known.limit(0)).collect()
+    best = {m: max(ent.indel(m, n) for n in names) for m in mentions}
+    assert {r.mention: r.link_confidence for r in got} == {m: round(b / 100, 3) if m in names or (b >= 90 and len(m) > 2) else 0.0 for m, b in best.items()}
+    assert any(90 <= b < 100 for b in best.values())
+
+
 def test_feed(spark):
     xml = "<rss><channel><item><title>HPG chia cổ tức</title><link>https://x</link><pubDate>Mon, 20 Jul 2026 09:00:00 +0700</pubDate></item><item><title> </title></item></channel></rss>"
     rows = feeds.feed_items(spark.createDataFrame([(xml,)], "xml string")).collect()

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -26,6 +26,39 @@ def tokens(text: Column) -> Column:
     return cut(text)
 
 
+#: A title-cased token: each letter after a start or a sign that has no case is a capital, each other one is small.
+TITLE = r"^[^\p{Lu}\p{Lt}\p{Ll}]*(?:[\p{Lu}\p{Lt}]\p{Ll}*(?:[^\p{Lu}\p{Lt}\p{Ll}]+|$))+$"
+DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
+LONGEST = 20
+
+
+def token_features(df: DataFrame, words: str, out: str = "features") -> DataFrame:
+    """df with an array of what a sequence labeller sees of each token of the array words (as from tokens): the token in small
+    letters, its ends, its case, its digits, its length up to LONGEST, and small letters and case of the neighbours (null at the
+    ends of the text, where first or last is true). A null array gives null."""
+    form = lambda w: F.struct(F.lower(w).alias("lower"), ((F.upper(w) == w) & (F.lower(w) != w)).alias("is_upper"), F.rlike(w, F.lit(TITLE)).alias("is_title"))
+    forms, n = free(df, "forms"), F.size(words)
+    nothing = F.array(F.lit(None).cast("struct<lower: string, is_upper: boolean, is_title: boolean>"))
+    sides = df.withColumn(forms, F.transform(words, lambda t: form(t["token"])))
+    own = F.col(forms)
+    zipped = F.arrays_zip(F.col(words).alias("t"), own.alias("own"), F.concat(nothing, F.slice(own, 1, F.greatest(n - 1, F.lit(0)))).alias("back"), F.concat(F.slice(own, 2, F.greatest(n - 1, F.lit(0))), nothing).alias("ahead"))
+
+    def features(z: Column, i: Column) -> Column:
+        w, lower = z["t"]["token"], z["own"]["lower"]
+        mine = [lower.alias("lower"), F.right(lower, F.lit(3)).alias("last3"), F.right(lower, F.lit(2)).alias("last2"), F.left(lower, F.lit(3)).alias("first3"), z["own"]["is_upper"].alias("is_upper"), z["own"]["is_title"].alias("is_title")]
+        mine += [F.rlike(w, F.lit(f"^{DIGIT}+$")).alias("is_digit"), F.rlike(w, F.lit(DIGIT)).alias("has_digit"), F.least(F.length(w), F.lit(LONGEST)).alias("length")]
+        near = [z[side][c].alias(f"{side}_{c}") for side in ("back", "ahead") for c in ("lower", "is_upper", "is_title")]
+        return F.struct(*mine, *near, (i == 0).alias("first"), (i == n - 1).alias("last"))
+
+    return sides.withColumn(out, F.when(n > 0, F.transform(F.slice(zipped, 1, F.greatest(n, F.lit(1))), features)).when(n == 0, F.array())).drop(forms)
+
+
+def free(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(stem + "_" * k for k in range(len(taken) + 1) if stem + "_" * k not in taken)
+
+
 def bio(words: Column, spans: Column) -> Column:
     """Labels of tokens: the first that overlaps a span begins it, the others are inside."""
     overlaps = lambda t, s: (t["start"] < s["end"]) & (t["end"] > s["start"])
@@ -68,20 +101,24 @@ def indel(a: str, b: str) -> float:
     """Similarity in per cent by insertions and deletions: twice the longest common subsequence over both lengths."""
     if not a and not b:
         return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = open_ = (1 << len(a)) - 1  # one row of the table as bits: those that are 0 are steps of the subsequence
+    for y in b:
+        met = open_ & places.get(y, 0)
+        open_ = (open_ + met | open_ - met) & full
+    return 200.0 * (len(a) - open_.bit_count()) / (len(a) + len(b))
 
 
 def linked(mentions: DataFrame, known: DataFrame, aliases: DataFrame, cutoff: float = 90.0) -> DataFrame:
     """mentions (mention, ...) with ticker and link_confidence: an exact known mention, else an exact alias, else the nearest at
     cutoff per cent for keys of three characters or more.
 
-    known and aliases: key, ticker. Exact links are joins. For the others candidates share their first or last two characters
-    or have the same first letters in order; their lengths must allow the cutoff.
+    known and aliases: key, ticker. Exact links are joins. For the others candidates share one of the key's rarest pairs of
+    letters: a key that reaches the cutoff differs from a name by at most so many insertions and deletions, each of which undoes
+    two pairs, so of one pair more than that some are left. Lengths must allow the cutoff too. For cutoffs under about 65 that is
+    all pairs of the key, and names that share none are not compared.
     """
     m = mentions.withColumn("key", mention_key(F.col("mention")))
     exact = m.join(known.select("key", F.col("ticker").alias("_t1")).dropDuplicates(["key"]), "key", "left").join(aliases.select("key", F.col("ticker").alias("_t2")).dropDuplicates(["key"]), "key", "left")
@@ -89,8 +126,12 @@ def linked(mentions: DataFrame, known: DataFrame, aliases: DataFrame, cutoff: fl
     names = known.select("key", "ticker", F.lit(0).alias("turn")).unionByName(aliases.select("key", "ticker", F.lit(1).alias("turn"))).groupBy("key").agg(F.min_by("ticker", "turn").alias("ticker"))
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(2))))
     open_keys = exact.filter(F.col("_t").isNull() & (F.length("key") >= 3)).select("key").distinct()
-    left = open_keys.select("key", F.explode(grams(F.col("key"))).alias("g"))
     right = names.select(F.col("key").alias("name"), "ticker", F.explode(grams(F.col("key"))).alias("g"))
+    common = right.groupBy("g").agg(F.count("*").alias("c"))  # keys have 37 characters, so at most 37 * 37 rows
+    edits = F.floor((1 - cutoff / 100) * 2 * F.length("key") / (cutoff / 100) + 1e-9)
+    rarest = Window.partitionBy("key").orderBy(F.coalesce("c", F.lit(0)), "g")
+    left = open_keys.select("key", F.explode(grams(F.col("key"))).alias("g")).join(F.broadcast(common), "g", "left")
+    left = left.withColumn("turn", F.row_number().over(rarest)).filter(F.col("turn") <= 2 * edits + 1).select("key", "g")
     near = left.join(right, "g").filter(2 * F.least(F.length("key"), F.length("name")) >= cutoff / 100 * (F.length("key") + F.length("name"))).select("key", "name", "ticker").distinct()
 
     def scored(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -168,7 +168,20 @@ def token_places(spark, sf_dir):
     return t.select("p_partkey", F.size("t").cast("long").alias("tokens"), F.element_at("t", -1)["end"].cast("long").alias("last_end"))
 
 
-ANY = in_news("and", "thatre", "inn", "pour", "que", "nicht", "elle", "the", "erenin")
+TOKENS = r"t AS (SELECT p_partkey, regexp_extract_all(p_brand || ' ' || p_type || ' ' || p_name, '[A-Za-z0-9_]+(?:[.-][A-Za-z0-9_]+)*|[^A-Za-z0-9_\s]') AS w FROM part), u AS (SELECT p_partkey, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM t)"
+SEEN = "v AS (SELECT p_partkey, i, w, lower(w) AS lower, upper(w) = w AND lower(w) <> w AS is_upper, regexp_full_match(w, '[^A-Za-z]*([A-Z][a-z]*([^A-Za-z]+|$))+') AS is_title FROM u)"
+SIDES = ", ".join(f"{f}({c}) OVER s AS {side}_{c}" for f, side in (("lag", "back"), ("lead", "ahead")) for c in ("lower", "is_upper", "is_title"))
+
+
+@query(sql(TOKENS, SEEN, f"SELECT p_partkey, i - 1 AS place, lower, right(lower, 3) AS last3, right(lower, 2) AS last2, left(lower, 3) AS first3, is_upper, is_title, regexp_full_match(w, '[0-9]+') AS is_digit, regexp_matches(w, '[0-9]') AS has_digit, least(length(w), 20) AS length, {SIDES}, lag(i) OVER s IS NULL AS first, lead(i) OVER s IS NULL AS last FROM v WINDOW s AS (PARTITION BY p_partkey ORDER BY i)"))
+def token_features(spark, sf_dir):
+    """What a sequence labeller sees of each token of brand, type and name."""
+    t = table(spark, sf_dir, "part").select("p_partkey", ent.tokens(F.concat_ws(" ", "p_brand", "p_type", "p_name")).alias("t"))
+    seen = ent.token_features(t, "t").select("p_partkey", F.posexplode("features").alias("place", "f"))
+    return seen.select("p_partkey", F.col("place").cast("long").alias("place"), "f.*").withColumn("length", F.col("length").cast("long"))
+
+
+ANY = in_news("and","thatre", "inn", "pour", "que", "nicht", "elle", "the", "erenin")
 SECOND = [in_news("inn", "par"), in_news("que", "nicht")]
 FIRST = [in_news("inn", "pour"), in_news("que", "nicht", "elle")]
 
