@@ -209,6 +209,14 @@ def test_linking_is_all_pairs(spark):
     assert any(90 <= b < 100 for b in best.values())
 
 
+def test_link_ties(spark):
+    asked = spark.createDataFrame([("abcdefghijkl",), ("mnopqrstuvwx",)], "mention string")
+    known = spark.createDataFrame([("abcdefghijklz", "K2"), ("abcdefghijkla", "K1")], "key string, ticker string")
+    aliases = spark.createDataFrame([("aabcdefghijkl", "A1"), ("mnopqrstuvwxy", "A2")], "key string, ticker string")
+    got = {r.mention: (r.ticker, r.link_confidence) for r in ent.linked(asked, known, aliases).collect()}
+    assert got == {"abcdefghijkl": ("K1", 0.96), "mnopqrstuvwx": ("A2", 0.96)}
+
+
 def test_feed(spark):
     xml = "<rss><channel><item><title>HPG chia cổ tức</title><link>https://x</link><pubDate>Mon, 20 Jul 2026 09:00:00 +0700</pubDate></item><item><title> </title></item></channel></rss>"
     rows = feeds.feed_items(spark.createDataFrame([(xml,)], "xml string")).collect()
