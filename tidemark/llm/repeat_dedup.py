@@ -1,7 +1,7 @@
 """Operator 3: byte strings of a given length that repeat anywhere in the corpus.
 
-Method: prefix doubling over a sample. Ranking every byte of a corpus at lengths 1, 2, 4 ... would move each position about eight
-times; here only content decides which positions are ranked first. Of the starts of ANCHOR-byte strings inside any LENGTH-byte
+Method: anchor and fingerprint matching, in place of prefix doubling over every byte, which at lengths 1, 2, 4 ... would move each
+position about eight times; here only content decides which positions are looked at first. Of the starts of ANCHOR-byte strings inside any LENGTH-byte
 string that with the smallest hash is its anchor, so equal strings have equal anchors at equal places, and about one position
 in 70 is one. Strings with one anchor form a run. The rounds, each of which drops what has become unique:
 1. ranks of the anchors (ANCHOR bytes); runs equal as a whole are settled by their hash, so long copies are never expanded.
