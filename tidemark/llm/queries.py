@@ -1,6 +1,6 @@
 """Registered queries of this folder, one for each operator, and their SQL where SQL can express them."""
 
-from tidemark.llm import bpe, decontaminate, language_id, line_dedup, near_dedup, neighbours, quality, repeat_dedup, resample, secret_scan, token_count, toxicity
+from tidemark.llm import bpe, decontaminate, language_id, line_dedup, near_dedup, neighbours, prefix_trie, quality, repeat_dedup, resample, secret_scan, token_count, toxicity
 
 QUERIES = {
     "op1_bpe_roundtrip": bpe.op1_bpe_roundtrip,
@@ -13,8 +13,9 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
-    "op13_nearest": neighbours.op13_nearest,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_importance_resample": resample.op12_importance_resample,
+    "op13_nearest": neighbours.op13_nearest,
 }
 
-ORACLES = {"op3_repeat_dedup": repeat_dedup.OP3_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op7_line_dedup": line_dedup.OP7_SQL, "op9_near_dedup": near_dedup.OP9_SQL, "op12_importance_resample": resample.OP12_SQL, "op13_nearest": neighbours.OP13_SQL}
+ORACLES = {"op3_repeat_dedup": repeat_dedup.OP3_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op7_line_dedup": line_dedup.OP7_SQL, "op9_near_dedup": near_dedup.OP9_SQL, "op11_prefix_trie": prefix_trie.OP11_SQL, "op12_importance_resample": resample.OP12_SQL, "op13_nearest": neighbours.OP13_SQL}
