@@ -11,7 +11,7 @@ Plan: turns are sorted by range, so that a conversation with a third of all turn
 names are windows inside (conversation, part), carried over the parts of the few conversations that span them. After that only
 digests of turns travel, not texts. A prefix is named by two 64-bit sums (exclusive or) of hashes of the positions and SHA-256
 digests of its turns, so a node's parent is named by leaving out its last turn. Members are counted by partial aggregates: a
-first turn that many share is one row per task. The digest of the ids that end in a node, which SHA-256 must take in one
+first turn that many share is one row per task. Shards are cut at a bounded sample, two for each core. The digest of the ids that end in a node, which SHA-256 must take in one
 order, is fed in blocks of ids made beforehand, in bounded memory.
 
 Defined results: turns are ordered by turn (null first), then role, then text; a null role or text is empty; repeated rows are
@@ -27,6 +27,7 @@ import hashlib
 import heapq
 import pickle
 import tempfile
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,8 +42,9 @@ RUN_STEP = 4_096
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-def numbered(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv, part, pos, d1, d2, chars, last): turns numbered from 1 in each conversation, with digests for role and text."""
+def numbered(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, list[int]]:
+    """(conv, part, pos, d1, d2, chars, last): turns numbered from 1 in each conversation, with digests for role and text; and the
+    conversations that lie in several parts."""
     role, text = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (role_col, text_col))
     rows = df.filter(F.col(f"`{conv_col}`").isNotNull()).select(F.col(f"`{conv_col}`").cast("long").alias("conv"), F.col(f"`{turn_col}`").alias("turn"), role.alias("role"), text.alias("text"))
     dealt = rows.repartitionByRange("conv", "turn", "role", "text").sortWithinPartitions("conv", "turn", "role", "text")
@@ -50,53 +52,58 @@ def numbered(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     sixty = lambda at: F.conv(F.substring("digest", at, 15), 16, 10).cast("long")
     kept = dealt.select("conv", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), digest.alias("digest"), F.length("text").cast("long").alias("chars"))
     parts = staged(kept.select("conv", "part", "at", sixty(1).alias("d1"), sixty(16).alias("d2"), "chars"), "turns")
-    spans = spanning(parts)
-    before = parts.join(spans, "conv").groupBy("conv", "part", "p1").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = before.select("conv", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), (F.col("part") == F.col("p1")).alias("ends"))
+    ends = parts.groupBy("part").agg(F.min("conv").alias("low"), F.max("conv").alias("high")).collect()  # one row per part
+    held = Counter(c for r in ends for c in {r.low, r.high})
+    spans = [c for c, n in held.items() if n > 1]
+    counted = F.count("*").alias("n")
+    carry = carried(parts, spans, [counted], lambda before, own: (before[0] + own.n,), (0,))
     own = Window.partitionBy("conv", "part")
-    counted = parts.withColumn("in_part", F.row_number().over(own.orderBy("at"))).withColumn("n", F.count("*").over(own))
-    out = counted.join(sized(carry), ["conv", "part"], "left")
+    turns = parts.withColumn("in_part", F.row_number().over(own.orderBy("at"))).withColumn("n", F.count("*").over(own))
+    turns = turns.join(carry.toDF("conv", "part", "before", "ends"), ["conv", "part"], "left")
     last = (F.col("in_part") == F.col("n")) & F.coalesce("ends", F.lit(True))
-    out = staged(out.select("conv", "part", (F.col("in_part") + F.coalesce("before", F.lit(0))).cast("long").alias("pos"), "d1", "d2", "chars", last.alias("last")), "numbered")
+    out = staged(turns.select("conv", "part", (F.col("in_part") + F.coalesce("before", F.lit(0))).cast("long").alias("pos"), "d1", "d2", "chars", last.alias("last")), "numbered")
     unstaged(parts)
-    return out
+    return out, spans
 
 
-def spanning(parts: DataFrame) -> DataFrame:
-    """(conv, p1): conversations in several parts, at most one for each border between parts, and the last part of each."""
-    ends = parts.groupBy("conv").agg(F.min("part").alias("p0"), F.max("part").alias("p1"))
-    return sized(staged(ends.filter("p0 < p1").select("conv", "p1"), "spanning"))
+def carried(parts: DataFrame, spans: list[int], sums: list[Column], add, start: tuple) -> DataFrame:
+    """(conv, part, sums over the parts before it ..., whether it is the last part) of conversations in several parts. Each border
+    between parts cuts one conversation at most, so these are at most two rows per part; they are summed on the driver."""
+    rows = parts.filter(F.col("conv").isin(spans)).groupBy("conv", "part").agg(*sums).orderBy("conv", "part").collect() if spans else []
+    out, before = [], start
+    for i, r in enumerate(rows):
+        before = before if i and rows[i - 1].conv == r.conv else start
+        out.append((r.conv, r.part, *before, i + 1 == len(rows) or rows[i + 1].conv != r.conv))
+        before = add(before, r)
+    names = ", ".join(["conv long, part int", *(f"b{i} long" for i in range(len(start))), "ends boolean"])
+    return F.broadcast(parts.sparkSession.createDataFrame(out, names))
 
 
 def with_shared_heads(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Conversations rebuilt, as rows of turns, and the ids of all (conv): the first h turns of conversation c - c % 100, then the
-    turns of c after its own first h; h is crc32 of c in decimals, modulo 6."""
-    lengths = staged(turns.groupBy("conv").agg(F.max("pos").alias("n"), F.min("part").alias("part")), "lengths")
+    """Conversations rebuilt, as rows of turns, and all of them, as (conv, silent): the first h turns of conversation c - c % 100,
+    then the turns of c after its own first h; h is crc32 of c in decimals, modulo 6. A silent one has no turn."""
+    lengths = turns.groupBy("conv").agg(F.max("pos").alias("n"), F.min("part").alias("part"), F.sort_array(F.collect_list(F.when(F.col("pos") <= 5, F.struct("pos", "d1", "d2", "chars")))).alias("firsts"))
+    lengths = staged(lengths, "lengths")
     h = (F.crc32(F.encode(F.col("conv").cast("string"), "utf-8")) % 6).cast("long")
-    bases = lengths.filter("conv % 100 = 0").select(F.col("conv").alias("base"), F.col("n").alias("base_n"))
-    convs = lengths.withColumn("h", h).withColumn("base", F.col("conv") - F.col("conv") % 100).join(bases, "base", "left")
-    convs = staged(convs.select("conv", "part", "n", "h", "base", F.least("h", F.coalesce("base_n", F.lit(0))).alias("g")), "heads")
-    firsts = turns.filter("conv % 100 = 0 AND pos <= 5").select(F.col("conv").alias("base"), "pos", "d1", "d2", "chars")
-    heads = convs.filter("g > 0").join(firsts, "base").filter("pos <= g")
-    heads = heads.select("conv", "part", "pos", "d1", "d2", "chars", ((F.col("pos") == F.col("g")) & (F.col("n") <= F.col("h"))).alias("last"))
-    own = turns.filter(F.col("pos") > h).join(convs.select("conv", (F.col("g") - F.col("h")).alias("shift")), "conv")
+    bases = lengths.filter("conv % 100 = 0").select(F.col("conv").alias("base"), F.col("n").alias("base_n"), "firsts")
+    convs = lengths.drop("firsts").withColumn("h", h).withColumn("base", F.col("conv") - F.col("conv") % 100).join(bases, "base", "left")
+    taken = F.least("h", F.coalesce("base_n", F.lit(0)))
+    convs = staged(convs.select("conv", "part", "n", "h", taken.alias("g"), F.slice(F.coalesce("firsts", F.array().cast(lengths.schema["firsts"].dataType)), F.lit(1), taken.cast("int")).alias("firsts")), "heads")
+    heads = convs.select("*", F.explode("firsts").alias("x"))
+    heads = heads.select("conv", "part", "x.pos", "x.d1", "x.d2", "x.chars", ((F.col("x.pos") == F.col("g")) & (F.col("n") <= F.col("h"))).alias("last"))
+    own = turns.filter(F.col("pos") > h).join(sized(convs.select("conv", (F.col("g") - F.col("h")).alias("shift"))), "conv")
     own = own.select("conv", "part", (F.col("pos") + F.col("shift")).alias("pos"), "d1", "d2", "chars", "last")
     out = staged(heads.unionByName(own), "rebuilt")
     unstaged(lengths)
-    return out, convs.select("conv")
+    return out, convs.select("conv", ((F.col("g") == 0) & (F.col("n") <= F.col("h"))).alias("silent"))
 
 
-def prefixes(turns: DataFrame) -> DataFrame:
+def prefixes(turns: DataFrame, spans: list[int]) -> DataFrame:
     """turns with the name of the prefix that each ends (k1, k2) and of the prefix before it (p1, p2)."""
-    tags = {"t1": F.xxhash64("pos", "d1", "d2"), "t2": F.xxhash64(F.lit("second"), "pos", "d1", "d2")}
-    rows = turns.withColumns(tags)
-    spans = spanning(turns)
-    sums = rows.join(spans, "conv").groupBy("conv", "part").agg(F.bit_xor("t1").alias("c1"), F.bit_xor("t2").alias("c2"))
-    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = sums.select("conv", "part", *[F.coalesce(F.bit_xor(c).over(earlier), F.lit(0)).alias(c) for c in ("c1", "c2")])
+    rows = turns.withColumns({"t1": F.xxhash64("pos", "d1", "d2"), "t2": F.xxhash64(F.lit("second"), "pos", "d1", "d2")})
+    carry = carried(rows, spans, [F.bit_xor("t1").alias("x"), F.bit_xor("t2").alias("y")], lambda before, own: (before[0] ^ own.x, before[1] ^ own.y), (0, 0))
     own = Window.partitionBy("conv", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({"r1": F.bit_xor("t1").over(own), "r2": F.bit_xor("t2").over(own)}).join(sized(carry), ["conv", "part"], "left")
+    rows = rows.withColumns({"r1": F.bit_xor("t1").over(own), "r2": F.bit_xor("t2").over(own)}).join(carry.toDF("conv", "part", "c1", "c2", "ends"), ["conv", "part"], "left")
     name = lambda i: F.col(f"r{i}").bitwiseXOR(F.coalesce(F.col(f"c{i}"), F.lit(0)))
     rows = rows.withColumns({"k1": name(1), "k2": name(2)})
     return rows.select("conv", "pos", "chars", "last", "k1", "k2", F.col("k1").bitwiseXOR(F.col("t1")).alias("p1"), F.col("k2").bitwiseXOR(F.col("t2")).alias("p2"))
@@ -131,28 +138,25 @@ def batch_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n == "ends_sha256" else pa.int64()) for c, n in zip(columns, names, strict=True)], names=names)
 
 
-def nodes_of(turns: DataFrame, convs: DataFrame) -> DataFrame:
+def nodes_of(turns: DataFrame, convs: DataFrame, spans: list[int]) -> DataFrame:
     """(conv_id, depth, parent_conv_id, n_convs, n_ends, chars, ends_sha256) of every node, the root included."""
-    rows = staged(prefixes(turns), "prefixes")
+    rows = staged(prefixes(turns, spans), "prefixes")
     key = [F.col("pos").alias("depth"), "k1", "k2"]
     nodes = rows.groupBy(*key).agg(
         F.min("conv").alias("conv_id"), F.count("*").alias("n_convs"), F.count_if("last").alias("n_ends"), F.min("chars").alias("chars"), F.min("p1").alias("p1"), F.min("p2").alias("p2")
     )
     nodes = staged(nodes, "nodes")
-    silent = convs.join(rows.filter("pos = 1").select("conv"), "conv", "left_anti")
-    silent = staged(silent, "silent")
     zero = [F.lit(0).cast("long").alias(c) for c in ("depth", "k1", "k2")]
-    ends = rows.filter("last").select(*key, "conv").unionByName(silent.select(*zero, "conv"))
-    digests = staged(ends_digests(ends), "ends")
-    total, first, quiet = convs.agg(F.count("*"), F.min("conv")).first() + silent.agg(F.count("*")).first()
-    root = silent.sparkSession.createDataFrame([(0, 0, 0, first, None, total, quiet, 0)] if total else [], "depth long, k1 long, k2 long, conv_id long, parent_conv_id long, n_convs long, n_ends long, chars long")
+    digests = ends_digests(rows.filter("last").select(*key, "conv").unionByName(convs.filter("silent").select(*zero, "conv")))
+    total, first, quiet = convs.agg(F.count("*"), F.min("conv"), F.count_if("silent")).first()
+    root = rows.sparkSession.createDataFrame([(0, 0, 0, first, None, total, quiet, 0)] if total else [], "depth long, k1 long, k2 long, conv_id long, parent_conv_id long, n_convs long, n_ends long, chars long")
     above = nodes.select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent_conv_id"))
     deep = nodes.filter("depth > 1").join(above, ["depth", "p1", "p2"])
     top = nodes.filter("depth = 1").withColumn("parent_conv_id", F.lit(first).cast("long"))
     columns = root.columns
     every = root.unionByName(top.select(columns)).unionByName(deep.select(columns)).join(digests, ["depth", "k1", "k2"], "left")
     out = staged(every.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_ends", "chars", F.coalesce("ends_sha256", F.lit(EMPTY_SHA)).alias("ends_sha256")), "trie")
-    unstaged(rows, nodes, silent, digests)
+    unstaged(rows, nodes)
     return out
 
 
@@ -235,25 +239,40 @@ def forwarded(rows: DataFrame, lows: list[tuple[int, int]], room: int) -> DataFr
     return rows.mapInArrow(run, "conv_id long, depth long, leaves long, saved long, shard long")
 
 
+def sharded(nodes: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """nodes with their shard, and the lower bounds of the shards: ranges of (conv_id, depth) of about equal size, cut at a
+    bounded sample (the smallest hashes), two for each core."""
+    wanted = 2 * nodes.sparkSession.sparkContext.defaultParallelism
+    sample = nodes.select("conv_id", "depth").orderBy(F.xxhash64("conv_id", "depth")).limit(32 * wanted).collect()
+    found = sorted({(r.conv_id, r.depth) for r in sample})
+    lows = [(-(2**63), 0), *found[len(found) // wanted :: max(1, len(found) // wanted)][: wanted - 1]]
+    names = nodes.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [bisect.bisect_right(lows, x) - 1 for x in zip(batch.column("conv_id").to_pylist(), batch.column("depth").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64())], names=[*names, "shard"])
+
+    return nodes.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "shard"])), lows
+
+
 def subtree_totals(nodes: DataFrame, room: int = QUEUE_ROOM) -> DataFrame:
     """(conv_id, depth, n_children, n_leaves, saved_tokens) of every node of nodes_of."""
     own = nodes.select("conv_id", "depth", "parent_conv_id", (F.col("n_convs") == F.col("n_ends")).cast("long").alias("leaves"), ((F.col("n_convs") - 1) * F.col("chars")).alias("saved"))
-    dealt = staged(own.repartitionByRange("conv_id", "depth").withColumn("part", F.spark_partition_id()), "trie-shards")
-    first = dealt.groupBy("part").agg(F.min(F.struct("conv_id", "depth")).alias("low")).orderBy("part").collect()  # one row per shard
-    lows = [tuple(r.low) for r in first]
-    shard_of = F.create_map(*[F.lit(x) for i, r in enumerate(first) for x in (r.part, i)]) if first else F.create_map(F.lit(0), F.lit(0))
-    shards = dealt.withColumn("shard", shard_of[F.col("part")].cast("long"))
+    dealt, lows = sharded(own)
+    shards = staged(dealt, "trie-shards")
     node = lambda df: df.select("shard", "depth", "conv_id", F.lit(1).cast("long").alias("node"), "parent_conv_id", "leaves", "saved")
     rows, rounds = node(shards), []
     while True:
         ordered = rows.repartition("shard").sortWithinPartitions("shard", F.desc("depth"), "conv_id", "node")
         out = staged(forwarded(ordered, lows, room), "trie-round")
         rounds.append(out)
-        sent = out.filter("shard IS NOT NULL").groupBy("shard", "depth", "conv_id").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
-        reached = [r.shard for r in sent.select("shard").distinct().collect()]  # at most all shards
+        sent = out.filter("shard IS NOT NULL")
+        reached = [r.shard for r in sent.groupBy("shard").count().collect()]  # at most all shards
         if not reached:
             break
         quiet = shards.filter(F.col("shard").isin(reached)).withColumns({c: F.lit(0).cast("long") for c in ("leaves", "saved")})
+        sent = sent.groupBy("shard", "depth", "conv_id").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
         rows = node(quiet).unionByName(sent.select("shard", "depth", "conv_id", F.lit(0).cast("long").alias("node"), F.lit(None).cast("long").alias("parent_conv_id"), "leaves", "saved"))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     parts = [r.filter("shard IS NULL").select("conv_id", "depth", zero.alias("children"), "leaves", "saved") for r in rounds]
@@ -261,7 +280,7 @@ def subtree_totals(nodes: DataFrame, room: int = QUEUE_ROOM) -> DataFrame:
     every = functools.reduce(DataFrame.unionByName, parts)
     out = every.groupBy("conv_id", "depth").agg(F.sum("children").alias("n_children"), F.sum("leaves").alias("n_leaves"), F.sum("saved").alias("saved_tokens"))
     out = staged(out, "trie-totals")
-    unstaged(dealt, *rounds)
+    unstaged(shards, *rounds)
     return out
 
 
@@ -269,11 +288,10 @@ def prefix_trie(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     """A row for each distinct sequence of first turns of the conversations in df: conv_id (smallest member), depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens and ends_sha256. With shared_heads conversations are rebuilt
     first, as with_shared_heads says."""
-    turns = numbered(df, conv_col, turn_col, role_col, text_col)
-    convs = staged(turns.filter("pos = 1").select("conv"), "conversations")
-    if shared_heads:
-        turns, convs = with_shared_heads(turns)
-    nodes = nodes_of(turns, convs)
+    turns, spans = numbered(df, conv_col, turn_col, role_col, text_col)
+    convs = turns.filter("pos = 1").select("conv", F.lit(False).alias("silent"))
+    rebuilt, convs = with_shared_heads(turns) if shared_heads else (turns, convs)
+    nodes = nodes_of(rebuilt, convs, spans)
     totals = subtree_totals(nodes)
     return nodes.join(totals, ["conv_id", "depth"]).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
