@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tidemark.functions.text import mention_key
 
@@ -26,6 +26,12 @@ def tokens(text: Column) -> Column:
     return cut(text)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def folded(words: pd.Series) -> pd.Series:
+    """Each word in small letters as for comparing: case-folded."""
+    return words.map(lambda w: None if w is None else [x if x is None else x.casefold() for x in w])
+
+
 #: A title-cased token: each letter after a start or a sign that has no case is a capital, each other one is small.
 TITLE = r"^[^\p{Lu}\p{Lt}\p{Ll}]*(?:[\p{Lu}\p{Lt}]\p{Ll}*(?:[^\p{Lu}\p{Lt}\p{Ll}]+|$))+$"
 DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
@@ -33,13 +39,14 @@ LONGEST = 20
 
 
 def token_features(df: DataFrame, words: str, out: str = "features") -> DataFrame:
-    """df with an array of what a sequence labeller sees of each token of the array words (as from tokens): the token in small
-    letters, its ends, its case, its digits, its length up to LONGEST, and small letters and case of the neighbours (null at the
+    """df with an array of what a sequence labeller sees of each token of the array words (as from tokens): the token
+    case-folded, its ends, its case, its digits, its length up to LONGEST, and folded form and case of the neighbours (null at the
     ends of the text, where first or last is true). A null array gives null."""
-    form = lambda w: F.struct(F.lower(w).alias("lower"), ((F.upper(w) == w) & (F.lower(w) != w)).alias("is_upper"), F.rlike(w, F.lit(TITLE)).alias("is_title"))
+    form = lambda w, low: F.struct(low.alias("lower"), ((F.upper(w) == w) & (F.lower(w) != w)).alias("is_upper"), F.rlike(w, F.lit(TITLE)).alias("is_title"))
     forms, n = free(df, "forms"), F.size(words)
     nothing = F.array(F.lit(None).cast("struct<lower: string, is_upper: boolean, is_title: boolean>"))
-    sides = df.withColumn(forms, F.transform(words, lambda t: form(t["token"])))
+    plain = F.transform(words, lambda t: t["token"])
+    sides = df.withColumn(forms, folded(plain)).withColumn(forms, F.zip_with(plain, forms, form))
     own = F.col(forms)
     zipped = F.arrays_zip(F.col(words).alias("t"), own.alias("own"), F.concat(nothing, F.slice(own, 1, F.greatest(n - 1, F.lit(0)))).alias("back"), F.concat(F.slice(own, 2, F.greatest(n - 1, F.lit(0))), nothing).alias("ahead"))
 

@@ -37,12 +37,12 @@ def html_text(c: Column | str) -> Column:
 
 @F.pandas_udf(StringType())
 def mention_key(s: pd.Series) -> pd.Series:
-    """Case-folded letters and digits without combining marks; anything else is one space."""
+    """Case-folded letters and digits without marks that take no room (category Mn); anything else is one space."""
 
     def key(text):
         if text is None:
             return None
-        plain = "".join(ch for ch in unicodedata.normalize("NFD", text.casefold()) if not unicodedata.combining(ch))
+        plain = "".join(ch for ch in unicodedata.normalize("NFD", text.casefold()) if unicodedata.category(ch) != "Mn")
         return re.sub(r"[^a-z0-9]+", " ", plain).strip()
 
     return s.map(key)
@@ -76,8 +76,12 @@ def short_key(c: Column) -> Column:
     return F.substring(F.sha1(c), 1, 16)
 
 
-def instant(c: Column | str, naive_zone: str = "UTC") -> Column:
-    """Timestamp of ISO text; text without an offset is in naive_zone; bad text is null."""
+#: Where texts and sessions come from.
+LOCAL_ZONE = "Asia/Ho_Chi_Minh"
+
+
+def instant(c: Column | str, naive_zone: str = LOCAL_ZONE) -> Column:
+    """Timestamp of ISO text; text without an offset is local time; bad text is null."""
     c = F.col(c) if isinstance(c, str) else c
     parsed = F.try_to_timestamp(c)
     has_offset = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
