@@ -46,7 +46,7 @@ def session_windows(events: DataFrame, bars: DataFrame, benchmark: DataFrame, of
     numbered = indexed(session_returns(bars))
     t0 = reaction_session(events, numbered).drop("anchor_close_t_minus_1", "anchor_date_t_minus_1")
     wanted = t0.withColumn("relative_session", F.explode(F.array(*[F.lit(o) for o in offsets]))).withColumn("session_index", F.col("t0_index") + F.col("relative_session"))
-    rows = wanted.join(numbered.select("ticker", "session_index", "session_date", "close", "session_return"), ["ticker", "session_index"])
+    rows = wanted.join(numbered.select("ticker", "session_index", "session_date", *["source"] * ("source" in bars.columns), "close", "session_return"), ["ticker", "session_index"])
     own = session_returns(benchmark.withColumn("ticker", F.lit("benchmark"))).select("session_date", F.col("session_return").alias("benchmark_session_return"))
     rows = rows.join(own, "session_date", "left").withColumn("abnormal_session_return", F.col("session_return") - F.col("benchmark_session_return"))
     value = F.coalesce("abnormal_session_return", "session_return")

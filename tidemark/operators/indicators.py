@@ -1,15 +1,29 @@
 """Technical indicators. Each group maps bars (ticker, session_date, open, high, low, close, volume) to columns by frames of
-sessions; a frame that is not full gives null, as does a zero base."""
+sessions; a frame that is not full gives null, as does a zero base. Bars of one ticker and date are in the order of their source,
+where there is one, and each is a session."""
 
 from __future__ import annotations
 
-import pandas as pd
+import functools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def in_turn(f):
+    """f over bars with the column _turn, which orders several bars of one date, and which goes again afterwards."""
+
+    @functools.wraps(f)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        turn = F.col("source").cast("string") if "source" in df.columns else F.lit(None).cast("string")
+        return f(df.withColumn("_turn", turn), *args, **options).drop("_turn")
+
+    return run
+
+
 def by_session():
-    return Window.partitionBy("ticker").orderBy("session_date")
+    return Window.partitionBy("ticker").orderBy("session_date", "_turn")
 
 
 def prices() -> list[Column]:
@@ -30,6 +44,7 @@ def rolling(agg, c: Column, n: int, skip: int = 0) -> Column:
     return F.when(F.count(c).over(frame) == n, agg(c).over(frame))
 
 
+@in_turn
 def returns(df: DataFrame) -> DataFrame:
     C, O, H, L, _ = prices()
     prev = lag(C)
@@ -42,6 +57,7 @@ def returns(df: DataFrame) -> DataFrame:
     )
 
 
+@in_turn
 def trend(df: DataFrame) -> DataFrame:
     C, _, _, _, _ = prices()
     out = df.withColumns({f"sma_{n}": rolling(F.avg, C, n) for n in (5, 10, 20, 50, 100, 200)})
@@ -49,21 +65,42 @@ def trend(df: DataFrame) -> DataFrame:
     return out.withColumns({**{f"price_to_sma_{n}": ratio(C, F.col(f"sma_{n}")) for n in (5, 20, 50)}, "sma_5_to_20": ratio(F.col("sma_5"), F.col("sma_20"))})
 
 
-def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    """Recursive averages need the sessions of a ticker in order: one pandas group per ticker, as long as its calendar."""
-    fields = ["ema_fast", "ema_slow", "macd", "macd_signal", "macd_histogram", "macd_pct"]
-    schema = f"ticker {df.schema['ticker'].dataType.simpleString()}, session_date date, " + ", ".join(f"{f} double" for f in fields)
+#: Sessions that are composed into one step of an exponential average.
+BLOCK = 64
+
+
+def ema(df: DataFrame, value: str, span: int, out: str) -> DataFrame:
+    """df, as in_turn gives it, with the exponential average of a column: the first value, then kept parts of the average and parts
+    of the new value. A null value leaves the average as it is.
 
-    def one(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("session_date")
-        a, b = (p["close"].ewm(span=n, adjust=False).mean() for n in (fast, slow))
-        m = a - b
-        s = m.ewm(span=signal, adjust=False).mean()
-        return pd.DataFrame({"ticker": p["ticker"], "session_date": p["session_date"], "ema_fast": a, "ema_slow": b, "macd": m, "macd_signal": s, "macd_histogram": m - s, "macd_pct": (m / p["close"]).where(p["close"] != 0)})
+    Each session maps the average to keep * average + part * value, and such maps compose. Inside a block the composed maps are
+    a running sum of values that are weighted by powers of keep; blocks hand on their last maps in a frame of as many blocks as
+    can still be seen in a double (what lies before weighs less than 2 ** -60).
+    """
+    keep, n = 1 - 2 / (span + 1), F.col("_n")
+    if keep <= 0:
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(by_session()))
+    seen = math.ceil(60 * math.log(2) / (BLOCK * -math.log(keep))) + 1
+    power = lambda e: F.pow(F.lit(keep), e)
+    rows = df.withColumn("_n", F.count(value).over(by_session())).withColumns({"_block": F.floor((n - 1) / BLOCK), "_place": (n - 1) % BLOCK})
+    part = F.when(n == 1, F.col(value)).otherwise(F.col(value) * (1 - keep))
+    inside = Window.partitionBy("ticker", "_block").orderBy("session_date", "_turn")
+    rows = rows.withColumns({"_own": power(F.col("_place")) * F.sum(part * power(-F.col("_place"))).over(inside), "_last": F.lead("_n").over(inside).isNull()})
+    step = F.when(F.col("_last"), F.struct(power(F.col("_place") + 1).alias("keep"), F.col("_own").alias("add")))
+    before = F.collect_list(step).over(Window.partitionBy("ticker").orderBy("_block").rangeBetween(-seen, -1))
+    carried = F.aggregate(before, F.lit(0.0), lambda y, s: y * s["keep"] + s["add"])
+    return rows.withColumn(out, F.col("_own") + power(F.col("_place") + 1) * carried).drop("_n", "_block", "_place", "_own", "_last")
 
-    return df.join(df.select("ticker", "session_date", "close").groupBy("ticker").applyInPandas(one, schema), ["ticker", "session_date"])
+
+@in_turn
+def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+    out = ema(ema(df, "close", fast, "ema_fast"), "close", slow, "ema_slow")
+    out = out.withColumn("macd", F.col("ema_fast") - F.col("ema_slow")).withColumn("_m", F.when(F.col("close").isNotNull(), F.col("macd")))
+    out = ema(out, "_m", signal, "macd_signal").drop("_m")
+    return out.withColumns({"macd_histogram": F.col("macd") - F.col("macd_signal"), "macd_pct": F.try_divide("macd", "close")})
 
 
+@in_turn
 def volatility(df: DataFrame) -> DataFrame:
     C, _, H, L, _ = prices()
     prev = lag(C)
@@ -72,6 +109,7 @@ def volatility(df: DataFrame) -> DataFrame:
     return out.withColumns({"volatility_ratio_5_20": F.try_divide("volatility_5d", "volatility_20d"), "atr_14_pct": F.try_divide(F.col("atr_14"), C)}).drop("_r", "_tr")
 
 
+@in_turn
 def oscillators(df: DataFrame) -> DataFrame:
     """RSI of plain rolling means, and Bollinger bands of two deviations."""
     C, _, _, _, _ = prices()
@@ -89,6 +127,7 @@ def oscillators(df: DataFrame) -> DataFrame:
     ).drop("_g", "_l", "_m", "_s")
 
 
+@in_turn
 def volume(df: DataFrame) -> DataFrame:
     C, _, _, _, V = prices()
     out = df.withColumns({"volume_change_1d": change(V), "volume_ma_5": rolling(F.avg, V, 5), "volume_ma_20": rolling(F.avg, V, 20), "_sd": rolling(F.stddev_samp, V, 20), "trading_value": C * V, "_r": change(C)})
@@ -113,6 +152,7 @@ def candles(df: DataFrame) -> DataFrame:
     )
 
 
+@in_turn
 def extremes(df: DataFrame) -> DataFrame:
     C, _, H, L, _ = prices()
     out = {}
@@ -122,6 +162,7 @@ def extremes(df: DataFrame) -> DataFrame:
     return df.withColumns(out | {"drawdown_60d": F.try_divide(C, rolling(F.max, C, 60)) - 1})
 
 
+@in_turn
 def on_balance(df: DataFrame) -> DataFrame:
     C, _, _, _, V = prices()
     out = df.withColumn("_d", F.coalesce(F.signum(C - lag(C)), F.lit(0.0)) * V)
@@ -129,6 +170,7 @@ def on_balance(df: DataFrame) -> DataFrame:
     return out.withColumns({"obv_change_5d": F.col("obv") - lag(F.col("obv"), 5), "obv_slope_20d": (F.col("obv") - lag(F.col("obv"), 20)) / 20})
 
 
+@in_turn
 def corporate_actions(df: DataFrame) -> DataFrame:
     """Flags and sizes of dividends and splits; df has dividends and stock_splits."""
     C, _, _, _, _ = prices()
@@ -147,6 +189,7 @@ def calendar(df: DataFrame) -> DataFrame:
     )
 
 
+@in_turn
 def against_market(df: DataFrame, market: DataFrame) -> DataFrame:
     """Excess returns, rolling beta (covariance over variance) and correlation; market: session_date, market_close."""
     C, _, _, _, _ = prices()
@@ -164,10 +207,11 @@ def against_market(df: DataFrame, market: DataFrame) -> DataFrame:
 
     cov = lambda f: F.covar_samp(r, x).over(f)
     betas = {f"rolling_beta_{n}d": full(n, lambda f: F.try_divide(cov(f), F.var_samp(F.when(r.isNotNull(), x)).over(f))) for n in (20, 60)}
-    out = out.withColumns(betas | {"correlation_with_market_20d": full(20, lambda f: F.corr(r, x).over(f)), "abnormal_return": r - x})
+    out = out.withColumns(betas | {"correlation_with_market_20d": full(20, lambda f: F.try_divide(F.covar_pop(r, x).over(f), F.stddev_pop(F.when(x.isNotNull(), r)).over(f) * F.stddev_pop(F.when(r.isNotNull(), x)).over(f))), "abnormal_return": r - x})
     return out.withColumn("cumulative_abnormal_return", F.sum("abnormal_return").over(by_session().rowsBetween(Window.unboundedPreceding, 0))).drop("_r1", "_r5")
 
 
+@in_turn
 def forward(df: DataFrame, market: DataFrame | None = None) -> DataFrame:
     """Returns of the next 1, 3, 5 sessions, less the market's if given, and direction: labels only, never features."""
     C, _, _, _, _ = prices()
@@ -179,6 +223,7 @@ def forward(df: DataFrame, market: DataFrame | None = None) -> DataFrame:
     return out.withColumns({f"direction_t_plus_{n}": F.signum(f"forward_return_{n}d").cast("int") for n in (1, 3, 5)})
 
 
+@in_turn
 def spikes(df: DataFrame, factor: float = 2.0) -> DataFrame:
     """Labels, never features: whether the next session's volume, and the deviation of the next five returns, are at least factor
     times that of the 20 sessions up to now; null without a full frame."""
@@ -194,6 +239,7 @@ def spikes(df: DataFrame, factor: float = 2.0) -> DataFrame:
     ).drop("_r")
 
 
+@in_turn
 def model_features(df: DataFrame) -> DataFrame:
     """The eight market features of the training table; frames of means and deviations end before the session itself."""
     C, O, H, L, V = prices()

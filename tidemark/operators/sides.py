@@ -1,4 +1,4 @@
-"""Sides of joins that are broadcast only after they were counted."""
+"""Sides of joins that are broadcast only after they were counted, and tables between steps."""
 
 from __future__ import annotations
 
@@ -11,3 +11,12 @@ ROWS = 200_000
 def sized(df: DataFrame, limit: int = ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most limit rows, else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: it is computed once, and lost executors do not matter."""
+    from tidemark.sources.lake import scratch
+
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

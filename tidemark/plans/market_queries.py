@@ -8,6 +8,8 @@ from tidemark.functions.text import category
 from tidemark.operators import events as ev
 from tidemark.operators import market as mk
 from tidemark.operators import sessions as ss
+from tidemark.operators.quantiles import quantiles
+from tidemark.operators.sides import kept
 from tidemark.plans.fixtures import BARS_EV, BARS_LI, BRONZE_MARKET, NEWS_EV, bars_ev, bars_li, bronze_market, news_ev, returns, returns_sql, sql, table
 
 QUERIES: dict = {}
@@ -162,12 +164,14 @@ STATS = "count(v) AS n, round(avg(v), 6) AS mean, round(median(v), 6) AS median,
 
 def stats(c):
     se = F.stddev_samp(c) / F.sqrt(F.count(c))
-    return [F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.median(c), 6).alias("median"), F.round(F.stddev_samp(c), 6).alias("std"), F.round(se, 6).alias("se"), F.round(1.96 * se, 6).alias("ci95")]
+    return [F.count(c).alias("n"), F.round(F.avg(c), 6).alias("mean"), F.round(F.stddev_samp(c), 6).alias("std"), F.round(se, 6).alias("se"), F.round(1.96 * se, 6).alias("ci95")]
 
 
 @query(sql(*GOLD_PARTS, f"SELECT relative_session, {STATS} FROM (SELECT relative_session, stock_return - bench_return AS v FROM gold) GROUP BY relative_session"))
 def abnormal_stats(spark, sf_dir):
-    return gold(spark, sf_dir).groupBy("relative_session").agg(*stats("abnormal_return"))
+    g = kept(gold(spark, sf_dir).select("relative_session", "abnormal_return"), "abnormal-returns")
+    middle = quantiles(g, "abnormal_return", {"median": 0.5}, ["relative_session"]).withColumn("median", F.round("median", 6))
+    return g.groupBy("relative_session").agg(*stats("abnormal_return")).join(middle, "relative_session", "left")
 
 
 @query(sql(*GOLD_PARTS, "SELECT after_close, relative_session, count(stock_return - bench_return) AS n, round(avg(stock_return - bench_return), 6) AS mean FROM gold WHERE relative_session IN (0, 1, 3, 5) GROUP BY ALL"))
@@ -196,14 +200,17 @@ def market_coverage(spark, sf_dir):
 
 @query(sql(BARS_LI, returns_sql("bars_li"), "SELECT ticker, round(avg(daily_return), 6) AS mean_return, round(stddev_samp(daily_return), 6) AS std_return, round(median(volume), 6) AS median_volume FROM bars_li_r GROUP BY ticker"))
 def ticker_risk(spark, sf_dir):
-    return returns(bars_li(spark, sf_dir)).groupBy("ticker").agg(F.round(F.avg("daily_return"), 6).alias("mean_return"), F.round(F.stddev_samp("daily_return"), 6).alias("std_return"), F.round(F.median("volume"), 6).alias("median_volume"))
+    bars = kept(returns(bars_li(spark, sf_dir)).select("ticker", "daily_return", "volume"), "risk")
+    middle = quantiles(bars, "volume", {"median_volume": 0.5}, ["ticker"]).withColumn("median_volume", F.round("median_volume", 6))
+    return bars.groupBy("ticker").agg(F.round(F.avg("daily_return"), 6).alias("mean_return"), F.round(F.stddev_samp("daily_return"), 6).alias("std_return")).join(middle, "ticker", "left")
 
 
 @query(sql(BARS_LI, returns_sql("bars_li"), "SELECT count(v) AS n, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS least, round(quantile_cont(v, 0.01), 4) AS p01, round(quantile_cont(v, 0.05), 4) AS p05, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.95), 4) AS p95, round(quantile_cont(v, 0.99), 4) AS p99, round(max(v), 4) AS most FROM (SELECT daily_return * 100 AS v FROM bars_li_r)"))
 def return_describe(spark, sf_dir):
-    v = F.col("daily_return") * 100
-    at = [F.round(F.percentile(v, F.lit(p)), 4).alias(n) for n, p in (("p01", 0.01), ("p05", 0.05), ("p50", 0.5), ("p95", 0.95), ("p99", 0.99))]
-    return returns(bars_li(spark, sf_dir)).agg(F.count(v).alias("n"), F.round(F.avg(v), 4).alias("mean"), F.round(F.stddev_samp(v), 4).alias("std"), F.round(F.min(v), 4).alias("least"), *at, F.round(F.max(v), 4).alias("most"))
+    rows, v = kept(returns(bars_li(spark, sf_dir)).select((F.col("daily_return") * 100).alias("v")), "returns"), F.col("v")
+    at = {"p01": 0.01, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+    whole = rows.agg(F.count(v).alias("n"), F.round(F.avg(v), 4).alias("mean"), F.round(F.stddev_samp(v), 4).alias("std"), F.round(F.min(v), 4).alias("least"), F.round(F.max(v), 4).alias("most"))
+    return whole.join(quantiles(rows, "v", at).select(*[F.round(c, 4).alias(c) for c in at]), how="left")
 
 
 @query(sql(BARS_LI, returns_sql("bars_li"), "q AS (SELECT ticker FROM bars_li_r GROUP BY ticker ORDER BY count(*) DESC, ticker LIMIT 5)",

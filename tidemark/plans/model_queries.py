@@ -122,19 +122,33 @@ def lg(c, n=1):
     return f"nullif(lag({c}, {n}) OVER w, 0)"
 
 
+#: Bars of which every other ticker has a second source on some days, and sessions in the order of dates and sources.
+BARS_BOTH = """bars_li AS (SELECT *, 'a' AS source FROM one_li UNION ALL SELECT ticker, session_date, open, high + 1, low, close + 1, volume + 1, 'b' FROM one_li WHERE CAST(ticker AS BIGINT) % 2 = 0 AND day(session_date) % 3 > 0)"""
+
+
+def bars_both(spark, sf_dir):
+    a = bars_li(spark, sf_dir).withColumn("source", F.lit("a"))
+    b = a.filter((F.col("ticker").cast("long") % 2 == 0) & (F.dayofmonth("session_date") % 3 > 0))
+    return a.unionByName(b.withColumns({"high": F.col("high") + 1, "close": F.col("close") + 1, "volume": F.col("volume") + 1, "source": F.lit("b")}))
+
+
+def both_sql(*parts: str) -> str:
+    return sql(BARS_LI.replace("bars_li AS", "one_li AS"), BARS_BOTH, *parts).replace("PARTITION BY ticker ORDER BY session_date", "PARTITION BY ticker ORDER BY session_date, source")
+
+
 def group(name, make, source, columns: dict[str, str]):
-    """An indicator group: its columns as SQL over fixture source `li` (or the given FROM clause)."""
+    """An indicator group over bars of two sources: its columns as SQL over `bars_li` (or the given FROM clause)."""
     body = ", ".join(f"round({e}, 6) AS {c}" for c, e in columns.items())
 
     def run(spark, sf_dir):
-        return make(spark, sf_dir).select("ticker", "session_date", *[F.round(c, 6).alias(c) for c in columns])
+        return make(spark, sf_dir).select("ticker", "session_date", "source", *[F.round(c, 6).alias(c) for c in columns])
 
     run.__name__ = name
-    query(sql(BARS_LI, returns_sql("bars_li"), f"SELECT ticker, session_date, {body} FROM {source} {W}"))(run)
+    query(both_sql(returns_sql("bars_li"), f"SELECT ticker, session_date, source, {body} FROM {source} {W}"))(run)
 
 
 def li(f):
-    return lambda spark, sf_dir: f(bars_li(spark, sf_dir))
+    return lambda spark, sf_dir: f(bars_both(spark, sf_dir))
 
 
 group("indicators_returns", li(ind.returns), "bars_li", {
@@ -187,7 +201,7 @@ def market_average(bars):
     return bars.groupBy("session_date").agg(F.avg("close").alias("market_close"))
 
 
-group("indicators_forward_excess", lambda spark, sf_dir: ind.forward(bars_li(spark, sf_dir), market_average(bars_li(spark, sf_dir))),
+group("indicators_forward_excess", lambda spark, sf_dir: ind.forward(bars_both(spark, sf_dir), market_average(bars_both(spark, sf_dir))),
   "(SELECT b.*, f1, f3, f5 FROM bars_li b LEFT JOIN (SELECT session_date, " + ", ".join(f"lead(mc, {n}) OVER (ORDER BY session_date) / nullif(mc, 0) - 1 AS f{n}" for n in (1, 3, 5)) + " FROM (SELECT session_date, avg(close) AS mc FROM bars_li GROUP BY session_date)) USING (session_date))", {
     f"forward_excess_return_{n}d": f"lead(close, {n}) OVER w / nullif(close, 0) - 1 - f{n}" for n in (1, 3, 5)})
 
@@ -201,17 +215,17 @@ def over(n, expr):
     return f"CASE WHEN count({PAIR.format(c='1')}) OVER {f} = {n} THEN {expr.format(f=f, r=PAIR.format(c='daily_return'), m=PAIR.format(c='m1'))} END"
 
 
-group("indicators_benchmark", lambda spark, sf_dir: ind.against_market(bars_li(spark, sf_dir), market_average(bars_li(spark, sf_dir))),
+group("indicators_benchmark", lambda spark, sf_dir: ind.against_market(bars_both(spark, sf_dir), market_average(bars_both(spark, sf_dir))),
   "(SELECT r.*, m1, m5 FROM bars_li_r r LEFT JOIN (SELECT session_date, mc / nullif(lag(mc) OVER (ORDER BY session_date), 0) - 1 AS m1, mc / nullif(lag(mc, 5) OVER (ORDER BY session_date), 0) - 1 AS m5 FROM (SELECT session_date, avg(close) AS mc FROM bars_li GROUP BY session_date)) USING (session_date))", {
     "market_return_1d": "m1", "market_return_5d": "m5", "excess_return_1d": "daily_return - m1", "excess_return_5d": f"close / {lg('close', 5)} - 1 - m5",
     **{f"rolling_beta_{n}d": over(n, "covar_samp({r}, {m}) OVER {f} / nullif(var_samp({m}) OVER {f}, 0)") for n in (20, 60)}, "correlation_with_market_20d": over(20, "corr({r}, {m}) OVER {f}"), "cumulative_abnormal_return": "sum(daily_return - m1) OVER w"})
 
 
-@query(sql("RECURSIVE " + BARS_LI, "nb AS (SELECT ticker, session_date, close, row_number() OVER (PARTITION BY ticker ORDER BY session_date) AS i FROM bars_li)",
-  "rec AS (SELECT ticker, session_date, close, i, close AS f, close AS s, CAST(0 AS DOUBLE) AS g FROM nb WHERE i = 1 UNION ALL SELECT nb.ticker, nb.session_date, nb.close, nb.i, nb.close * 2 / 13.0 + rec.f * 11 / 13.0, nb.close * 2 / 27.0 + rec.s * 25 / 27.0, ((nb.close * 2 / 13.0 + rec.f * 11 / 13.0) - (nb.close * 2 / 27.0 + rec.s * 25 / 27.0)) * 0.2 + rec.g * 0.8 FROM rec JOIN nb ON nb.ticker = rec.ticker AND nb.i = rec.i + 1)",
-  "SELECT ticker, session_date, round(f - s, 4) AS macd, round(g, 4) AS macd_signal, round(f - s - g, 4) AS macd_histogram, round((f - s) / nullif(close, 0), 6) AS macd_pct FROM rec"))
+@query(both_sql("nb AS (SELECT ticker, session_date, source, close, row_number() OVER (PARTITION BY ticker ORDER BY session_date) AS i FROM bars_li)",
+  "rec AS (SELECT ticker, session_date, source, close, i, close AS f, close AS s, CAST(0 AS DOUBLE) AS g FROM nb WHERE i = 1 UNION ALL SELECT nb.ticker, nb.session_date, nb.source, nb.close, nb.i, nb.close * 2 / 13.0 + rec.f * 11 / 13.0, nb.close * 2 / 27.0 + rec.s * 25 / 27.0, ((nb.close * 2 / 13.0 + rec.f * 11 / 13.0) - (nb.close * 2 / 27.0 + rec.s * 25 / 27.0)) * 0.2 + rec.g * 0.8 FROM rec JOIN nb ON nb.ticker = rec.ticker AND nb.i = rec.i + 1)",
+  "SELECT ticker, session_date, source, round(f - s, 4) AS macd, round(g, 4) AS macd_signal, round(f - s - g, 4) AS macd_histogram, round((f - s) / nullif(close, 0), 6) AS macd_pct FROM rec").replace('WITH one_li', 'WITH RECURSIVE one_li', 1))
 def indicators_macd(spark, sf_dir):
-    return ind.macd(bars_li(spark, sf_dir)).select("ticker", "session_date", *[F.round(c, 4).alias(c) for c in ("macd", "macd_signal", "macd_histogram")], F.round("macd_pct", 6).alias("macd_pct"))
+    return ind.macd(bars_both(spark, sf_dir)).select("ticker", "session_date", "source", *[F.round(c, 4).alias(c) for c in ("macd", "macd_signal", "macd_histogram")], F.round("macd_pct", 6).alias("macd_pct"))
 
 
 M = """m AS (SELECT count(*) AS n, count(*) FILTER (quality = 1 AND toxic = 1) AS tp, count(*) FILTER (quality = 0 AND toxic = 0) AS tn, count(*) FILTER (quality = 0 AND toxic = 1) AS fp, count(*) FILTER (quality = 1 AND toxic = 0) AS fn FROM labels),

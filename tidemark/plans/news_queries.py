@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import CATEGORIES, OTHER_CATEGORY, category, clean_html
 from tidemark.functions.tickers import merged, tickers
 from tidemark.operators import gates, market, news, state
+from tidemark.operators.quantiles import quantiles
+from tidemark.operators.sides import kept
 from tidemark.plans.fixtures import BRONZE_MARKET, NEWS_DOC, bronze_market, news_doc, sql, table
 from tidemark.plans.market_queries import GOLD_PARTS, gold
 
@@ -256,9 +258,10 @@ def content_status(spark, sf_dir):
 
 @query("SELECT count(*) AS n, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, CAST(min(v) AS BIGINT) AS least, round(quantile_cont(v, 0.25), 4) AS q25, round(quantile_cont(v, 0.5), 4) AS q50, round(quantile_cont(v, 0.75), 4) AS q75, CAST(max(v) AS BIGINT) AS most FROM (SELECT length(text) AS v FROM documents WHERE length(text) >= 200)")
 def length_describe(spark, sf_dir):
-    v = F.col("v")
-    d = table(spark, sf_dir, "documents").select(F.length("text").alias("v")).filter("v >= 200")
-    return d.agg(F.count("*").alias("n"), F.round(F.avg(v), 4).alias("mean"), F.round(F.stddev_samp(v), 4).alias("std"), F.min(v).cast("long").alias("least"), *[F.round(F.percentile(v, F.lit(q)), 4).alias(f"q{round(100 * q)}") for q in (0.25, 0.5, 0.75)], F.max(v).cast("long").alias("most"))
+    v, at = F.col("v"), {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    d = kept(table(spark, sf_dir, "documents").select(F.length("text").alias("v")).filter("v >= 200"), "lengths")
+    whole = d.agg(F.count("*").alias("n"), F.round(F.avg(v), 4).alias("mean"), F.round(F.stddev_samp(v), 4).alias("std"), F.min(v).cast("long").alias("least"), F.max(v).cast("long").alias("most"))
+    return whole.join(quantiles(d, "v", at).select(*[F.round(c, 4).alias(c) for c in at]), how="left")
 
 
 @query("SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m') AS month, count(*) AS n, min(ts) AS first_event, max(ts) AS last_event FROM events GROUP BY month")

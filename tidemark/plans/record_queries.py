@@ -55,6 +55,19 @@ def two_source_asof(spark, sf_dir):
     return e.select("event_id").join(t0, "event_id", "left").join(known, "event_id", "left")
 
 
+TWO_RETURNS = "sr AS (SELECT *, close / nullif(lag(close) OVER (PARTITION BY ticker ORDER BY i), 0) - 1 AS r FROM ix2), br AS (SELECT session_date, avg(close) / nullif(lag(avg(close)) OVER (ORDER BY session_date), 0) - 1 AS b FROM two GROUP BY session_date)"
+
+
+@query(sql(BARS_EV, BARS_TWO, TWO, NEWS_EV, TWO_RETURNS, "t AS (SELECT e.event_id, e.ticker, min(i) AS i FROM news_ev e JOIN ix2 x ON e.ticker = x.ticker AND x.session_date >= e.event_date + CAST(e.after_close AS INTEGER) GROUP BY ALL)",
+  "SELECT t.event_id, o AS relative_session, s.session_date, s.source, round(s.r, 6) AS session_return, round(s.r - b, 6) AS abnormal_session_return FROM t CROSS JOIN (SELECT unnest([-5, -3, -2, -1, 0, 1, 2, 3, 5]) AS o) JOIN sr s ON s.ticker = t.ticker AND s.i = t.i + o LEFT JOIN br ON br.session_date = s.session_date"))
+def two_source_windows(spark, sf_dir):
+    """Sessions around events where a date has bars of two sources: each bar is a session, in the order of its source."""
+    bars = bars_two(spark, sf_dir)
+    average = bars.groupBy("session_date").agg(F.avg("close").alias("close"))
+    out = ev.session_windows(news_ev(spark, sf_dir), bars, average)
+    return out.select("event_id", "relative_session", "session_date", "source", F.round("session_return", 6).alias("session_return"), F.round("abnormal_session_return", 6).alias("abnormal_session_return"))
+
+
 FEATURES = ("market_return_1d", "market_momentum_5")
 FEATURE_SQL = "ft AS (SELECT ticker, session_date, daily_return AS market_return_1d, close / nullif(lag(close, 5) OVER (PARTITION BY ticker ORDER BY session_date), 0) - 1 AS market_momentum_5 FROM bars_ev_r)"
 
@@ -134,9 +147,9 @@ def page_texts(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", tx.html_text(html).alias("plain"))
 
 
-@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) - INTERVAL 7 HOUR WHEN 2 THEN date_trunc('second', ts) END AS at FROM events")
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) - INTERVAL 7 HOUR WHEN 2 THEN date_trunc('second', ts) - INTERVAL 7 HOUR END AS at FROM events")
 def instants(spark, sf_dir):
-    """Times with Z, with another offset, without one, and text that is none."""
+    """Times with Z, with another offset, without one (local times), and text that is none."""
     i, iso = F.col("event_id") % 4, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     raw = F.when(i == 0, F.concat(iso, F.lit("Z"))).when(i == 1, F.concat(iso, F.lit("+07:00"))).when(i == 2, iso).otherwise("soon")
     return table(spark, sf_dir, "events").select("event_id", tx.instant(raw).cast("timestamp_ntz").alias("at"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import lake_queries, market_queries, model_queries, news_queries, record_queries, sequence_queries, serving_queries
+from tidemark.plans import lake_queries, market_queries, model_queries, news_queries, record_queries, sequence_queries, serving_queries, stream_queries
 
-MODULES = [market_queries, news_queries, model_queries, lake_queries, serving_queries, record_queries, sequence_queries]
+MODULES = [market_queries, news_queries, model_queries, lake_queries, serving_queries, record_queries, sequence_queries, stream_queries]
 
 
 def queries() -> dict:

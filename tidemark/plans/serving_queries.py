@@ -11,6 +11,7 @@ from tidemark.operators import state
 from tidemark.plans.fixtures import BARS_EV, NEWS_EV, returns_sql, sql, table
 from tidemark.plans.market_queries import GOLD_PARTS, IMPACT_PARTS, gold, impact_rows
 from tidemark.plans.news_queries import COMPANIES, RULED
+from tidemark.sources import lake
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -73,15 +74,18 @@ def mention_table(spark, sf_dir):
     return ent.mention_table(e.select(F.col("event_type").alias("mention"), (F.col("user_id") % 5).cast("string").alias("ticker"), F.col("event_id").alias("seen")))
 
 
-@query()
+@query("SELECT count(*) AS n, 0::BIGINT AS different FROM orders")
 def model_parity(spark, sf_dir):
-    """Predictions from a fitted model's coefficients by plain expressions, against the model's own."""
+    """Predictions from a fitted model's coefficients by plain expressions, against those of the model saved and read again."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 1e5).alias("price"), (F.col("o_custkey") % 10).cast("double").alias("cust"), (F.col("o_totalprice") > 2e5).cast("int").alias("y"))
-    model = mt.baseline(o, ["price", "cust"], "y")
+    path = lake.scratch(spark, "parity-model")
+    mt.baseline(o, ["price", "cust"], "y").write().overwrite().save(path)  # the fitted one holds its training summary
+    model = PipelineModel.load(path)
     lr = model.stages[-1]  # a coefficient matrix of two rows
     own = mt.linear_prediction(F.col("x"), lr.coefficientMatrix.toArray().tolist(), list(lr.interceptVector))
-    from pyspark.ml.functions import vector_to_array
-
     out = model.transform(o).withColumn("x", vector_to_array("features")).withColumn("own", own)
     return out.agg(F.count("*").alias("n"), F.count_if(F.col("own") != F.col("prediction")).alias("different"))
 
