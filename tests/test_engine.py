@@ -273,3 +273,19 @@ def test_targets_mask(spark):
     assert out[1, "t0"].mask and out[1, "t0"].label == 2
     assert not out[2, "t0"].mask and out[2, "t0"].label == tg.MASKED and out[2, "t0"].stock_return is None
     assert out[1, "t1"].mask and not out[1, "t3"].mask  # a jump lies before the third session
+
+
+ODD = ["İVNM ıSSI ſsi SSI", "ß VCB-ẞ", "hÒA pHÁT hòa phát", "AAA/HPG: hpg HPG/AAA:", "DIC DIC Corp", "fpt retail FPT Retail_", "VIC1 1VIC _VIC VIC", "Kdh KDH", "vietjet air Vietjet", "nt2 NT2:", "ngân hàng á châu Á Châu ACB"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_tickers_by_plain_patterns(spark, text):
+    assert one(spark, tickers(F.col("t")), t=text) == found(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"aA İıſK_1-/:. ", "HPG", "hpg", "VCB", "DIC", "DIC Corp", "Hòa Phát", "FPT", "FPT Retail", "Vietjet Air", "MASAN", "/", ":"]), max_size=14).map("".join))
+def test_places_by_plain_patterns(text):
+    from tidemark.functions.tickers import in_order
+
+    assert in_order(text, tuple((t, (t, *more)) for t, more in NAMES.items())) == found(text)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Tickers and further names of each (the symbol itself is always a name), in the order that settles ties.
 NAMES = {
@@ -96,12 +100,65 @@ BASKET = [
     "TCB", "TPB", "VCB", "VIB", "VHM", "VIC", "VJC", "VNM", "VPB", "VRE",
 ]
 
-LISTED = r"(?U)(?<!\w)([A-Z]{2,4}(?:/[A-Z]{2,4})+):"
-
-
-def _whole_word(name: str) -> str:
-    """Pattern of a name between Unicode word boundaries, whatever its case."""
-    return r"(?iuU)(?<!\w)" + re.sub(r"([^\w\s])", r"\\\1", name) + r"(?!\w)"
+LISTED = re.compile(r"(?<!\w)([A-Z]{2,4}(?:/[A-Z]{2,4})+):")
+
+
+class Fold(dict):
+    """Code point of a letter: the one that stands for all its cases. Always one for one, so that places stay."""
+
+    def __missing__(self, code: int) -> int:
+        c = chr(code)
+        out = next((x for x in ("i" if c in "İı" else c.casefold(), c.lower(), c) if len(x) == 1), c)
+        self[code] = ord(out)
+        return self[code]
+
+
+FOLD = Fold()
+
+
+def folded(text: str) -> str:
+    if text.isascii():
+        return text.lower()
+    out = text.casefold()  # one for one where it is as long as the text, as it never shortens
+    return out if len(out) == len(text) and "ı" not in text else text.translate(FOLD)
+
+
+@functools.lru_cache(maxsize=16)
+def automaton(names: tuple[tuple[str, tuple[str, ...]], ...]) -> ahocorasick.Automaton:
+    """All names of all tickers in one automaton over folded letters; a name holds (ticker's turn, name's rank) of each ticker."""
+    held: dict[str, list[tuple[int, int]]] = {}
+    for turn, (_, own) in enumerate(names):
+        for rank, name in enumerate(own):
+            held.setdefault(folded(name), []).append((turn, rank))
+    out = ahocorasick.Automaton()
+    for name, whose in held.items():
+        out.add_word(name, (len(name), whose))
+    out.make_automaton()
+    return out
+
+
+def in_order(text: str, names: tuple[tuple[str, tuple[str, ...]], ...]) -> list[str]:
+    """Tickers of a text by place. One pass of the automaton finds every name; a name counts between word boundaries, and of a
+    ticker's names the first that occurs at all, where it first does."""
+    place: dict[str, int] = {}
+    if ":" in text:
+        known = {ticker for ticker, _ in names}
+        for m in LISTED.finditer(text):
+            for ticker in m.group(1).split("/"):
+                if ticker in known:
+                    place.setdefault(ticker, m.start())
+    best: dict[int, tuple[int, int]] = {}
+    end_of_text = len(text)
+    for last, (length, whose) in automaton(names).iter(folded(text)):
+        first, after = last - length + 1, last + 1
+        if (first and ((c := text[first - 1]).isalnum() or c == "_")) or (after < end_of_text and ((c := text[after]).isalnum() or c == "_")):
+            continue
+        for turn, rank in whose:
+            if turn not in best or (rank, first) < best[turn]:
+                best[turn] = (rank, first)
+    for turn in sorted(best):
+        place.setdefault(names[turn][0], best[turn][1])
+    return sorted(place, key=place.__getitem__)  # ties stay as they came in: lists first, then dictionary order
 
 
 def tickers(text: Column, names: dict[str, list[str]] | None = None, keep: list[str] | None = None) -> Column:
@@ -110,26 +167,14 @@ def tickers(text: Column, names: dict[str, list[str]] | None = None, keep: list[
     A ticker listed as in "AAA/BBB:" stands at its list; any other at the match of the first of its names, in dictionary order,
     that occurs at all. Ties keep lists first, then dictionary order. keep filters afterwards. Null gives an empty array.
     """
-    every = {t: [t, *more] for t, more in (names or NAMES).items()}
-    # the text and its folded form, made once: a name's pattern runs only where its folded letters occur
-    once = F.array(F.struct(F.coalesce(text, F.lit("")).alias("text"), F.lower(F.upper(F.coalesce(text, F.lit("")))).alias("low")))
-    found = F.get(F.transform(once, lambda x: _in_order(x["text"], x["low"], every)), 0)
-    return F.array_intersect(found, F.array(*[F.lit(t) for t in keep])) if keep else found
+    every = tuple((t, (t, *more)) for t, more in (names or NAMES).items())
 
+    @F.arrow_udf(ArrayType(StringType()))
+    def find(column: pa.Array) -> pa.Array:
+        return pa.array([in_order(x.as_py() or "", every) for x in column], pa.list_(pa.string()))
 
-def _in_order(text: Column, low: Column, names: dict[str, list[str]]) -> Column:
-    known = F.array(*[F.lit(t) for t in names])
-    groups = F.when(text.contains(":"), F.array_distinct(F.regexp_extract_all(text, F.lit(LISTED), F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    at = lambda g: F.regexp_instr(text, F.concat(F.lit(r"(?U)(?<!\w)"), g, F.lit(":")))
-    listed = F.flatten(F.transform(groups, lambda g: F.transform(F.split(g, "/"), lambda t: F.struct(at(g).alias("place"), F.lit(-1).alias("turn"), t.alias("ticker")))))
-    listed = F.filter(listed, lambda x: F.array_contains(known, x["ticker"]))
-    named = []
-    for turn, (ticker, own) in enumerate(names.items()):
-        place = F.coalesce(*[F.when(low.contains(n.upper().lower()), F.nullif(F.regexp_instr(text, F.lit(_whole_word(n))), F.lit(0))) for n in own])
-        named.append(F.struct(place.alias("place"), F.lit(turn).alias("turn"), F.lit(ticker).alias("ticker")))
-    taken = F.transform(listed, lambda x: x["ticker"])
-    named = F.filter(F.array(*named), lambda x: x["place"].isNotNull() & ~F.array_contains(taken, x["ticker"]))
-    return F.array_distinct(F.transform(F.array_sort(F.concat(listed, named)), lambda x: x["ticker"]))
+    found = find(text)
+    return F.array_intersect(found, F.array(*[F.lit(t) for t in keep])) if keep else found
 
 
 def merged(first: Column, second: Column) -> Column:
