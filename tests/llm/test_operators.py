@@ -461,13 +461,15 @@ def test_verdicts_by_brute_force(spark):
             lo, hi = (p, hi) if tail > error else (lo, p)
         return hi
 
-    error = quality.DELTA / (2 * 2 * len(quality.RULES) * quality.STEPS)
+    error = quality.DELTA / (2 * len(quality.RULES))
     value = lambda r: r.n_symbols / max(r.word_chars, 1)
     own = {g: [value(out[i]) for i, _, lang, y in data if lang == "en" and y == g and not out[i].base_failed] for g in (0, 1)}
     best = None
-    for cut in range(1, quality.STEPS + 1):
+    for cut in range(quality.STEPS, 0, -1):  # from the loosest inward, up to the first that fails
         over = {g: sum(v > cut * 0.64 / quality.STEPS + 1e-12 for v in own[g]) for g in own}
-        if over[0] and upper(over[1], len(own[1]), error) <= quality.ALPHA / len(quality.RULES) and 1 - upper(len(own[0]) - over[0], len(own[0]), error) > upper(over[1], len(own[1]), error):
+        if upper(over[1], len(own[1]), error) > quality.ALPHA / len(quality.RULES):
+            break
+        if over[0] and 1 - upper(len(own[0]) - over[0], len(own[0]), error) > upper(over[1], len(own[1]), error):
             best = max(best or (0, 0), (over[0], -cut))
     assert best
     for i, _, lang, _ in data:
@@ -487,3 +489,56 @@ def test_binomial_tail():
         density = math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
         tail = math.erfc(-z / math.sqrt(2)) / 2 - (1 - 2 * p) / deviation * (z * z - 1) * density / 6
         assert math.exp(quality.log_tail(k, n, p)) == pytest.approx(tail, rel=1e-3)
+
+
+def test_cutoffs_of_a_given_table(spark):
+    """sf0.1: some stratum is large enough for cutoffs, and they are those that the definition gives."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = quality.quality_verdicts(docs, labels).toPandas().merge(labels.groupBy("doc_id").agg(F.min("quality").alias("good")).toPandas(), on="doc_id", how="left")
+    able = out[~out.base_failed & out.good.notna()]
+    sizes = able[able.good != 0].groupby(able.lang.fillna("")).size()
+    n_strata = able.lang.fillna("").nunique()
+    fit = [s for s, n in sizes.items() if n >= quality.least_labels(n_strata, quality.ALPHA, quality.DELTA)]
+    assert fit
+    failed = out.failed_rules.map(len) > 0
+    assert failed.sum() > 0 and set(out[failed].lang.fillna("")) <= set(fit)
+    for s in fit:
+        good = able[(able.lang.fillna("") == s) & (able.good != 0)]
+        for rule in quality.RULES:
+            lost = good.failed_rules.map(lambda x, rule=rule: rule in x).sum()
+            assert quality.upper_bound(int(lost), len(good), quality.error_of_test(n_strata, quality.DELTA)) <= quality.ALPHA / len(quality.RULES)
+    bad = able[(able.good == 0) & able.lang.fillna("").isin(fit)]
+    assert (bad.failed_rules.map(len) > 0).mean() > 0.02 > (able[(able.good != 0)].failed_rules.map(len) > 0).mean()
+
+
+def test_guarantee_by_simulation():
+    """Labels drawn anew: cutoffs that reject more good documents than allowed are chosen in at most a share DELTA of the draws."""
+    rng = np.random.default_rng(3)
+    rates = np.concatenate([[0.9], 0.1 * np.exp(-0.15 * np.arange(quality.STEPS))])
+    rates /= rates.sum()
+    above = np.array([rates[c:].sum() for c in range(quality.STEPS + 1)])
+    wrong, chosen, draws = 0, 0, 150
+    for _ in range(draws):
+        counts = {}
+        for rule in quality.RULES:
+            good, bad = rng.multinomial(3000, rates), rng.multinomial(400, np.full(quality.STEPS + 1, 1 / (quality.STEPS + 1)))
+            counts |= {("x", rule, s, 1): int(k) for s, k in enumerate(good)} | {("x", rule, s, 0): int(k) for s, k in enumerate(bad)}
+        cuts = quality.certified(counts, ["x"], quality.ALPHA, quality.DELTA, 1)
+        chosen += len(cuts)
+        wrong += any(above[c] > quality.ALPHA / len(quality.RULES) for c in cuts.values())
+    assert chosen > draws and wrong <= 0.1 * draws
+
+
+def test_secrets_without_a_name(spark):
+    """Bare keys in documents that were not learnt from are kept, whatever their shape; little else is."""
+    out = {r["shape"]: r for r in secret_scan.secret_planted_recall(spark, "/root/testdata/sf0.01").collect()}
+    rest = out.pop("others")
+    assert len(out) == 4 and all(r.planted > 0 and r.kept >= 0.9 * r.planted for r in out.values())
+    assert rest.kept <= 0.35 * rest.found
+
+
+def test_made_strings():
+    rnd = random.Random(1)
+    keys, others = [secret_scan.made_key(rnd) for _ in range(300)], [secret_scan.made_string(rnd, ["river", "stone", "über"]) for _ in range(300)]
+    assert all(len(k) >= secret_scan.LEAST and " " not in k for k in keys + others) and len(set(keys)) == 300

@@ -1,14 +1,16 @@
 """Operator 10: quality rules with cutoffs that are certified to reject few good documents. Built-in functions only.
 
-Method: each rule is a measure of the text and a cutoff. On labelled documents every cutoff of a fixed grid is tested in every
-stratum (a language): the exact binomial (Clopper-Pearson) upper bound of the share of good documents that it rejects must stay
-under ALPHA / number of rules, at confidence 1 - DELTA / number of all tests (Bonferroni), so that with probability 1 - DELTA
-no stratum loses more than ALPHA of its good documents. Among certified cutoffs the one that rejects most bad labelled documents
-is used, and only if it rejects surely more of the bad than of the good; a stratum with too few labels has no cutoff.
+Method: each rule is a measure of the text and a cutoff. On labelled documents the cutoffs of a fixed grid are tested in every
+stratum (a language): the exact binomial (Clopper-Pearson) upper bound of the share of good documents that a cutoff rejects must
+stay under ALPHA / number of rules. Multiple tests: strata and rules share DELTA (Bonferroni); the cutoffs of one rule and stratum
+are tested in a fixed sequence from the loosest inward, each at the full level, up to the first that fails, which needs no
+correction. So with probability 1 - DELTA no stratum loses more than ALPHA of its good documents. Among certified cutoffs the one
+that rejects most bad labelled documents is used, if it rejects surely more of the bad than of the good; a stratum with too few
+labels (least_labels) has no cutoff.
 
 Plan: the measures are array expressions over one row, without a shuffle of texts; labels meet only the measures. What comes
 to the driver is the table of counts per stratum, rule and grid step, of strata that have enough good labels for any bound to
-hold (some thousand each, so that they are few beside the labels). The cutoffs meet the measures as a table.
+hold (over a thousand each with four strata, so that they are few beside the labels). The cutoffs meet the measures as a table.
 
 Defined results: a null or empty text has 0 words and fails the base; a null stratum is a stratum of its own; several labels of
 one document: it counts as good only if all say so; documents without an id have no label. Input columns named as added ones
@@ -126,8 +128,8 @@ def upper_bound(k: int, n: int, error: float) -> float:
 
 
 def error_of_test(n_strata: int, delta: float) -> float:
-    """Chance of error that each of all tests may have: two bounds for each stratum, rule and grid step."""
-    return delta / max(1, 2 * n_strata * len(RULES) * STEPS)
+    """Chance of error of each stratum and rule; the cutoffs of one are tested in sequence and share it."""
+    return delta / max(1, n_strata * len(RULES))
 
 
 def least_labels(n_strata: int, alpha: float, delta: float) -> int:
@@ -147,14 +149,13 @@ def certified(counts: dict, strata: list, alpha: float, delta: float, n_strata:
             over = {good: [counts.get((stratum, rule, s, good), 0) for s in range(STEPS + 1)] for good in (0, 1)}
             n_good, n_bad = sum(over[1]), sum(over[0])
             best = None
-            for cut in range(1, STEPS + 1):  # rejected: a measure over cutoff number cut
+            for cut in range(STEPS, 0, -1):  # rejected: a measure over cutoff number cut; the next cutoff rejects no less
                 good, bad = sum(over[1][cut:]), sum(over[0][cut:])
-                if not n_good or not bad:
-                    continue
                 upper = upper_bound(good, n_good, error)
-                if upper > alpha / len(RULES) or 1 - upper_bound(n_bad - bad, n_bad, error) <= upper:
-                    continue
-                if best is None or bad > best[0]:
+                if upper > alpha / len(RULES):
+                    break
+                surely = bad and 1 - upper_bound(n_bad - bad, n_bad, error) > upper  # a choice, no part of the guarantee
+                if surely and (best is None or bad > best[0]):
                     best = (bad, cut)
             if best:
                 chosen[stratum, rule] = best[1]

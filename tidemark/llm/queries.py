@@ -11,6 +11,7 @@ QUERIES = {
     "op6_language_id": language_id.op6_language_id,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_secret_scan": secret_scan.op8_secret_scan,
+    "secret_planted_recall": secret_scan.secret_planted_recall,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,

@@ -13,23 +13,26 @@ forest trained on labelled findings gives the score; findings below the cutoff a
 Labelled findings: rows (the finding, its context on both sides, its path and a label). Where no such table is given, findings
 of a fold of the corpus are labelled by what the forest is not shown: issuers' prefixes with the right length, the shape of
 addresses and hooks, the whole pattern of a named assignment, placeholders, the check digit and other fixed formats of numbers,
-and in how many documents the string is found (a key is not in many). The forest must find the same verdict from the features
-above, on findings without such a mark as well.
+and in how many documents the string is found (a key is not in many). These marks are names and prefixes for the most part, so
+keys that no rule knows are made: in texts of the same fold, between words, generated keys of usual shapes and, as many, strings
+spelled from the text's own words with numbers and signs. Their contexts are alike, so only the string tells them apart.
 
 Bounds: the dictionary has at most DICTIONARY_WORDS words, those in the largest number of documents, each in a share of at least
 DICTIONARY_SHARE of all; the transition table has 40 x 40 cells; the training sample is about TRAIN_ROWS findings by a hash of
-their text and place; they go to the driver or are broadcast. Words, transitions and holders are counted over all documents.
+their text and place, besides PLANT_TEXTS texts by hash for the made ones; they go to the driver or are broadcast. Words, transitions and holders are counted over all documents.
 
 Defined results: null and empty texts have no findings; repeated rows give repeated findings; a null path counts as empty; with
-labels of one kind only every finding gets that label's rate; an empty table gives an empty one; very long texts are searched as
+labels of one kind only (no text to learn from, or a reviewed table) every finding gets that label's rate; an empty table gives an empty one; very long texts are searched as
 a whole. Only findings come back, with their place in the whole text; no other column, so that none can clash.
 """
 
 from __future__ import annotations
 
+import base64
 import bisect
 import itertools
 import math
+import random
 import re
 from collections import Counter
 
@@ -41,9 +44,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, give_back, sized, slices, staged, table
+from tidemark.llm.common import fold, give_back, sized, slices, staged, table, unstaged
 
 DICTIONARY_WORDS, DICTIONARY_SHARE, TRAIN_ROWS = 20_000, 4e-4, 20_000
+#: About so many texts, by a hash of id and text, that keys and other strings are made in, and how many of either in each.
+PLANT_TEXTS, PLANTS = 1_500, 3
 #: Documents that a string must be found in to be taken as none, in the labels by rule.
 MANY = 5
 TREES, DEPTH, CUTOFF = 24, 8, 0.5
@@ -250,6 +255,61 @@ def candidates(df: DataFrame, features: Features, id_col: str, text_col: str, pa
     return source.mapInArrow(run, f"id {kind}, start int, end int, secret string, x array<double>, rule int")
 
 
+def made_key(rnd: random.Random) -> str:
+    """A key of a usual shape."""
+    hexadecimal, letters = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    of = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    shape = rnd.randrange(6)
+    if shape == 0:
+        return of(hexadecimal, rnd.choice([32, 40, 40, 64]))
+    if shape == 1:
+        return base64.b64encode(rnd.randbytes(rnd.choice([15, 20, 24, 30, 32, 33]))).decode()
+    if shape == 2:
+        return of(letters + "-_", rnd.choice([22, 32, 43]))
+    if shape == 3:
+        return "-".join(of(hexadecimal, n) for n in (8, 4, 4, 4, 12))
+    return of(letters, rnd.choice([16, 20, 24, 24, 32, 40])) if shape == 4 else of(letters[26:], rnd.choice([24, 32, 40]))
+
+
+def made_string(rnd: random.Random, words: list[str]) -> str:
+    """What looks like a key and is none: words with numbers and signs."""
+    w = [rnd.choice(words) for _ in range(3)]
+    number = str(rnd.randrange(10 ** rnd.randrange(1, 6)))
+    shapes = [
+        f"{w[0]}{w[1].title()}{w[2].title()}{number}", f"{w[0]}-{w[1]}-{number}", f"{w[0]}_{w[1]}_{w[2]}", f"/{w[0]}/{w[1]}{number}.html", f"v{number}.{len(w[0])}.{len(w[1])}-rc{len(w[2])}",
+        f"20{rnd.randrange(10, 30)}-0{rnd.randrange(1, 10)}-1{rnd.randrange(10)}T0{rnd.randrange(10)}:{rnd.randrange(10, 60)}", f"{w[0]}@{w[1]}.{w[2][:3]}", f"{w[0].upper()}-{number}-{w[1].upper()}", "".join(rnd.choice("0123456789") for _ in range(rnd.randrange(12, 20))), f"{w[0]}{w[1]}{w[2]}{number}",
+    ]
+    out = rnd.choice(shapes)
+    return out if len(out) >= LEAST else out + "-" + "-".join(w)
+
+
+def planted(df: DataFrame, features: Features) -> DataFrame:
+    """(features, label) of keys and other strings made between words of some texts; df: id, t, p (path)."""
+    shared = df.sparkSession.sparkContext.broadcast(features)
+
+    def run(batches):
+        f = shared.value
+        for batch in batches:
+            for part in slices(batch, 0):
+                xs, labels = [], []
+                for text, where in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    rnd = random.Random(xxhash.xxh3_64_intdigest(text))
+                    gaps, words = [m.end() for m in re.finditer(r"\S+", text)], [w.lower() for w in word.findall(text) if len(w) > 2]
+                    if not gaps or not words:
+                        continue
+                    for label in [0, 1] * PLANTS:
+                        at, made = rnd.choice(gaps), made_key(rnd) if label else made_string(rnd, words)
+                        mark = rnd.choice([" ", " ", " ", ' "', " (", ": ", "="])
+                        xs.append(f.vector(made, text[max(0, at - 48) : at] + mark, rnd.choice([" ", mark[-1:], ",", "."]) + text[at : at + 31], where))
+                        labels.append(float(label))
+                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.list_(pa.float64())), pa.array(labels, pa.float64())], names=["x", "label"])
+        give_back()
+
+    keep = max(1, math.ceil(df.count() / PLANT_TEXTS))
+    some = df.filter(F.col("t").isNotNull() & (F.pmod(F.xxhash64("id", "t"), F.lit(keep)) == 0))
+    return some.select("t", "p").mapInArrow(run, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
+
+
 def rule_labels(found: DataFrame, id_col: str, fold_of: Column | None) -> DataFrame:
     """features and label of about TRAIN_ROWS candidates of a fold that the rules know; found: rows of candidates."""
     holders = found.groupBy(F.xxhash64("secret").alias("s")).agg(F.approx_count_distinct("id").alias("n")).filter(F.col("n") >= MANY)
@@ -276,13 +336,15 @@ def secrets(df: DataFrame, labelled: DataFrame | None = None, train_fold=None, i
     features = Features([(r["w"], r["n"]) for r in rows])
     found = staged(candidates(df, features, id_col, text_col, path_col), "candidates")
     if labelled is None:
-        train = rule_labels(found, id_col, train_fold)
+        path = F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")) if path_col else F.lit("")
+        texts = (df if train_fold is None else df.filter(train_fold)).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), path.alias("p"))
+        train = rule_labels(found, id_col, train_fold).unionByName(planted(texts, features))
     else:
         reviewed = labelled.orderBy(F.xxhash64("secret", "left", "right", "path"), "label").limit(TRAIN_ROWS).collect()  # made by people, bounded all the same
         spark = df.sparkSession
         made = [(features.vector(r["secret"], r["left"] or "", r["right"] or "", r["path"] or ""), float(r["label"])) for r in reviewed if r["secret"]]
         train = spark.createDataFrame(made, "x array<double>, label double").select(array_to_vector("x").alias("features"), "label")
-    train = staged(train, "secret-train")
+    train = staged(train, "secret-train")  # read by the forest, deleted below
     n, positive = train.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     vectors = found.withColumn("features", array_to_vector("x"))
     if 0 < positive < n:
@@ -290,6 +352,7 @@ def secrets(df: DataFrame, labelled: DataFrame | None = None, train_fold=None, i
         scored = forest.transform(vectors).withColumn("score", F.get(vector_to_array("probability"), 1))
     else:
         scored = vectors.withColumn("score", F.lit(positive / n if n else 0.0))
+    unstaged(train)
     return scored.select(F.col("id").alias(id_col), "start", "end", "secret", "score", (F.col("score") >= cutoff).alias("kept"))
 
 
@@ -298,3 +361,25 @@ def op8_secret_scan(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = secrets(docs, train_fold=fold("doc_id", 5) != 0)
     return out.select("doc_id", "start", "end", F.sha2("secret", 256).alias("secret_sha256"), F.round("score", 6).alias("score"), "kept")
+
+
+def secret_planted_recall(spark, sf_dir: str) -> DataFrame:
+    """Of one bare key put between the words of every document that the forest did not learn from, how many it finds and keeps,
+    by shape; and what else it keeps there. Names, prefixes and signs are in none of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    digest = F.sha2(F.concat(F.lit("planted:"), F.col("doc_id").cast("string")), 512)
+    raw = F.base64(F.unhex(F.substring(digest, 1, 96)))
+    shape = F.pmod(F.xxhash64("doc_id"), F.lit(4)).cast("int")
+    key = F.when(shape == 0, F.substring(digest, 1, 40)).when(shape == 1, F.substring(F.regexp_replace(raw, "[+/=]", ""), 1, 24)).when(shape == 2, F.substring(raw, 1, 40)).otherwise(F.substring(digest, 1, 64))
+    words = F.split(F.coalesce("text", F.lit("")), " ", -1)
+    middle = F.floor(F.size(words) / 2).cast("int")
+    with_key = F.concat_ws(" ", F.slice(words, 1, middle), F.array("key"), F.slice(words, middle + 1, F.size(words)))
+    held = docs.filter(fold("doc_id", 5) == 0).withColumns({"key": key, "shape": F.get(F.array(*[F.lit(x) for x in ("hex40", "letters24", "base64_40", "hex64")]), shape)})
+    rows = docs.filter(fold("doc_id", 5) != 0).unionByName(held.withColumn("text", with_key).select("doc_id", "text", "source"))
+    found = staged(secrets(rows, train_fold=fold("doc_id", 5) != 0).filter(fold("doc_id", 5) == 0), "planted-findings")
+    own = found.join(held.select(F.col("doc_id").alias("d"), "key"), (F.col("doc_id") == F.col("d")) & (F.col("secret") == F.col("key")))
+    own = own.groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    out = held.join(own, "doc_id", "left").groupBy("shape").agg(F.count("*").alias("planted"), F.count("kept").alias("found"), F.count_if("kept").alias("kept"))
+    others = found.join(held.select(F.col("doc_id").alias("d"), "key"), (F.col("doc_id") == F.col("d")) & F.col("key").contains(F.col("secret")), "left_anti")
+    rest = others.agg(F.lit("others").alias("shape"), F.lit(0).cast("long").alias("planted"), F.count("*").alias("found"), F.count_if("kept").alias("kept"))
+    return out.unionByName(rest)
