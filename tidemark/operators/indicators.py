@@ -75,18 +75,18 @@ def ema(df: DataFrame, value: str, span: int, out: str) -> DataFrame:
 
     Each session maps the average to keep * average + part * value, and such maps compose. Inside a block the composed maps are
     a running sum of values that are weighted by powers of keep; blocks hand on their last maps in a frame of as many blocks as
-    can still be seen in a double (what lies before weighs less than 2 ** -60).
+    can still be seen in a double (what lies before weighs less than 2 ** -100).
     """
     keep, n = 1 - 2 / (span + 1), F.col("_n")
     if keep <= 0:
         return df.withColumn(out, F.last(value, ignorenulls=True).over(by_session()))
-    seen = math.ceil(60 * math.log(2) / (BLOCK * -math.log(keep))) + 1
+    seen = math.ceil(100 * math.log(2) / (BLOCK * -math.log(keep))) + 1
     power = lambda e: F.pow(F.lit(keep), e)
     rows = df.withColumn("_n", F.count(value).over(by_session())).withColumns({"_block": F.floor((n - 1) / BLOCK), "_place": (n - 1) % BLOCK})
     part = F.when(n == 1, F.col(value)).otherwise(F.col(value) * (1 - keep))
     inside = Window.partitionBy("ticker", "_block").orderBy("session_date", "_turn")
     rows = rows.withColumns({"_own": power(F.col("_place")) * F.sum(part * power(-F.col("_place"))).over(inside), "_last": F.lead("_n").over(inside).isNull()})
-    step = F.when(F.col("_last"), F.struct(power(F.col("_place") + 1).alias("keep"), F.col("_own").alias("add")))
+    step = F.when(F.col("_last") & (n > 0), F.struct(power(F.col("_place") + 1).alias("keep"), F.col("_own").alias("add")))
     before = F.collect_list(step).over(Window.partitionBy("ticker").orderBy("_block").rangeBetween(-seen, -1))
     carried = F.aggregate(before, F.lit(0.0), lambda y, s: y * s["keep"] + s["add"])
     return rows.withColumn(out, F.col("_own") + power(F.col("_place") + 1) * carried).drop("_n", "_block", "_place", "_own", "_last")

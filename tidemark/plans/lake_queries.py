@@ -51,13 +51,29 @@ def snapshot_manifest(spark, sf_dir):
     return lake.manifest(o, "d", "o_orderstatus").select(F.col("rows").alias("n_rows"), "first_date", "last_date", F.element_at("labels", "F").alias("f_rows"))
 
 
-@query("SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderkey % 2 = 0")
+@query("SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, 2::BIGINT AS version, 1::BIGINT AS conflicts, 1::BIGINT AS expired FROM orders WHERE o_orderkey % 2 = 0")
 def versioned_publish(spark, sf_dir):
-    """Two runs are published; readers see the second."""
+    """Two runs are published, a third that was made from the first is refused; readers see the second, whose checksum holds."""
     root, o = lake.scratch(spark, "published"), table(spark, sf_dir, "orders")
     lake.publish(o, root, "first", "o_orderdate")
     lake.publish(o.filter("o_orderkey % 2 = 0"), root, "second", "o_orderdate")
-    return lake.published(spark, root).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    conflicts = 0
+    try:
+        lake.publish(o.filter("o_orderkey % 3 = 0"), root, "third", "o_orderdate", based_on=1)
+    except lake.PublishConflict:
+        conflicts = 1
+    rows = lake.published(spark, root, verify=True)
+    gone = lake.expire(spark, root, older_than_ms=1 << 60)
+    facts = [F.lit(x).cast("long").alias(n) for n, x in (("version", lake.manifest_of(spark, root)["version"]), ("conflicts", conflicts), ("expired", len(gone)))]
+    return rows.agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"), *facts)
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def rebalanced_write(spark, sf_dir):
+    """By status, of which three hold all rows: large values are written by several tasks."""
+    path = lake.scratch(spark, "by-status")
+    lake.write_partitioned(table(spark, sf_dir, "orders"), path, "o_orderstatus", file_mb=1)
+    return spark.read.parquet(path).groupBy(F.col("o_orderstatus").cast("string").alias("o_orderstatus")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, trim(regexp_replace(p_name, '\\s+', ' ', 'g')) || ' & co' AS title, 'http://x/' || CAST(p_partkey AS VARCHAR) AS url, TIMESTAMP '2024-03-05 02:00:00' + to_minutes(CAST(p_partkey % 60 AS INTEGER)) AS published, 'timestamp' AS published_precision FROM part WHERE p_partkey % 9 <> 0")

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import CATEGORIES, OTHER_CATEGORY, category, clean_html
 from tidemark.functions.tickers import NAMES, merged, tickers
 from tidemark.operators import gates, market, news, state
+from tidemark.operators.keyed import KeyedState
 from tidemark.operators.quantiles import quantiles
 from tidemark.operators.sides import kept
 from tidemark.plans.fixtures import BRONZE_MARKET, NEWS_DOC, bronze_market, news_doc, sql, table
 from tidemark.plans.market_queries import GOLD_PARTS, gold
+from tidemark.sources import lake
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -190,6 +193,21 @@ def news_upsert_merge(spark, sf_dir):
     return out.select("identity", "versions", F.col("event_id").alias("first_id"), "strategy", *[F.array_join(c, ",").alias(c) for c in ("tickers", "rulebased_tickers", "ner_tickers")])
 
 
+@query(sql(ITEMS, KEYED, "g AS (SELECT identity, count(*) AS versions, arg_min(event_id, (ts, event_id)) AS first_id, coalesce(arg_max(strategy, (ts, event_id)) FILTER (strategy <> 'rulebased'), arg_min(strategy, (ts, event_id))) AS strategy FROM keyed GROUP BY identity)",
+  f"SELECT identity, versions, first_id, strategy, {in_order('tickers')}, {in_order('ner_tickers')} FROM g"))
+def keyed_upsert(spark, sf_dir):
+    """The same merge into a stored table in three steps of time; each rewrites only the slots that its keys fall into."""
+    rows = items(spark, sf_dir)
+    low, high = rows.agg(F.min(F.unix_micros(F.col("observed_at").cast("timestamp"))), F.max(F.unix_micros(F.col("observed_at").cast("timestamp")))).first()
+    third = F.least(F.lit(2), ((F.unix_micros(F.col("observed_at").cast("timestamp")) - low) * 3 / max(1, high - low)).cast("int"))
+    steps = [state.upserted(rows.filter(third == i), order=("observed_at", "event_id")).select("identity", "event_id", "strategy", "tickers", "ner_tickers", "versions") for i in range(3)]
+    table_ = KeyedState(spark, f"news_state_{uuid.uuid4().hex}", "identity", 8)
+    table_.create(steps[0], lake.scratch(spark, "news-state"))
+    for step in steps[1:]:
+        table_.upsert(step)
+    return table_.rows().select("identity", "versions", F.col("event_id").alias("first_id"), "strategy", *[F.array_join(c, ",").alias(c) for c in ("tickers", "ner_tickers")])
+
+
 @query(sql(ITEMS, "keyed AS (SELECT *, coalesce(nullif(url, ''), sha256(title || '|' || coalesce(nullif(content, ''), summary))) AS identity FROM (SELECT * FROM items ORDER BY ts, event_id LIMIT 900))", "SELECT substr(sha1(identity), 1, 16) AS annotation_id, event_id AS id FROM keyed QUALIFY row_number() OVER (PARTITION BY identity ORDER BY ts, event_id) = 1"))
 def annotation_first_rows(spark, sf_dir):
     """The annotation set of the earliest rows only: the ordered limit is the feature."""

@@ -6,6 +6,8 @@ import json
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -56,10 +58,28 @@ def write_json(df: DataFrame, path: str, partition: list[str] | None = None, row
     (out.partitionBy(*partition) if partition else out).json(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition: str, files: int | None = None, mode: str = "overwrite") -> None:
-    """Parquet with one folder per value; rows of a value are brought together first, and only folders that occur are replaced."""
-    dealt = df.repartition(files, partition) if files else df.repartition(partition)
-    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings for as long as the block runs; underscores stand for dots."""
+    names = {k.replace("_", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def write_partitioned(df: DataFrame, path: str, partition: str, file_mb: int = 128, mode: str = "overwrite") -> None:
+    """Parquet with one folder per value; only folders that occur are replaced.
+
+    Rows are rebalanced by value: small values share a task, and the rows of a large one are dealt to as many tasks, and so
+    files, as hold about file_mb of shuffled rows each.
+    """
+    with settings(df.sparkSession, **{"spark_sql_adaptive_advisoryPartitionSizeInBytes": f"{file_mb}m"}):
+        df.hint("rebalance", partition).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def write_valid(df: DataFrame, path: str, partition: str, quarantine: str | None = None) -> None:
@@ -84,34 +104,93 @@ def manifest(df: DataFrame, date: str, label: str | None = None) -> DataFrame:
     return df.agg(*out)
 
 
-def pointer(spark: SparkSession, root: str, facts: str) -> None:
-    """Write a small file beside current.json and rename it over: readers meet the old one or the new one."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target, beside = (hadoop.Path(f"{root}/{name}") for name in ("current.json", f".current-{uuid.uuid4().hex}"))
-    conf = spark._jsc.hadoopConfiguration()
-    stream = target.getFileSystem(conf).create(beside)
-    stream.write(bytearray(facts.encode("utf-8")))
-    stream.close()
-    overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, overwrite)
+class PublishConflict(Exception):
+    """Another run was published in between."""
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def publish(df: DataFrame, root: str, run_id: str, date: str, partition: str | None = None) -> dict:
-    """Write a run beside the earlier ones, compare what can be read with what was written, then point current to it."""
+def versions(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """Numbers of the published manifests with the times they were written at (milliseconds), oldest first."""
+    at, fs = _files(spark, f"{root}/manifests")
+    names = [(x.getPath().getName(), x.getModificationTime()) for x in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted((int(n[:-5]), when) for n, when in names if re.fullmatch(r"\d{20}\.json", n))
+
+
+def claim(spark: SparkSession, root: str, number: int, facts: str) -> None:
+    """Write the manifest of a number, unless there is one: a file beside it is renamed, which fails where the name is taken."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target, fs = _files(spark, f"{root}/manifests/{number:020d}.json")
+    beside = hadoop.Path(f"{root}/manifests/.{uuid.uuid4().hex}")
+    stream = fs.create(beside)
+    stream.write(bytearray(facts.encode("utf-8")))
+    stream.close()
+    plain = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    plain[0] = getattr(hadoop, "Options$Rename").NONE
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, plain)
+    except Exception as e:
+        fs.delete(beside, False)
+        if "FileAlreadyExists" in str(e) or fs.exists(target):
+            raise PublishConflict(f"version {number} was published by another writer") from e
+        raise
+
+
+def publish(df: DataFrame, root: str, run_id: str, date: str, partition: str | None = None, based_on: int | None = None) -> dict:
+    """Write a run beside the earlier ones, compare what can be read with what was written, then publish it as the next version.
+
+    based_on: the version that the rows were made from (0: none); the one that is current at the start, if it is not given. If
+    there is another by the end, nothing is published, the run's files go and PublishConflict is raised.
+    """
     spark, path, written = df.sparkSession, f"{root}/run_id={relative(run_id)}", Observation()
+    if based_on is None:
+        based_on = max((n for n, _ in versions(spark, root)), default=0)
     out = df.observe(written, F.count(F.lit(1)).alias("n")).write.mode("error")
     (out.partitionBy(partition) if partition else out).parquet(path)
-    facts = manifest(spark.read.parquet(path).select(*df.columns), date).withColumn("run_id", F.lit(run_id)).toJSON().first()
+    facts = manifest(spark.read.parquet(path).select(*df.columns), date).withColumns({"run_id": F.lit(run_id), "date": F.lit(date), "columns": F.array(*[F.lit(c) for c in df.columns])}).toJSON().first()
     if json.loads(facts)["rows"] != written.get["n"]:
         raise ValueError(f"FAILED rows={json.loads(facts)['rows']} instead of {written.get['n']}")
-    pointer(spark, root, facts)
-    return json.loads(facts)
-
-
-def published(spark: SparkSession, root: str) -> DataFrame:
-    """The run that current points to."""
-    return spark.read.parquet(f"{root}/run_id={spark.read.json(f'{root}/current.json').first()['run_id']}")
+    try:
+        claim(spark, root, based_on + 1, facts)
+    except PublishConflict:
+        at, fs = _files(spark, path)
+        fs.delete(at, True)
+        raise
+    return json.loads(facts) | {"version": based_on + 1}
+
+
+def manifest_of(spark: SparkSession, root: str, version: int | None = None) -> dict:
+    """What is known of a version, the last one without a number."""
+    number = version or max((n for n, _ in versions(spark, root)), default=None)
+    if number is None:
+        raise ValueError(f"nothing is published in {root}")
+    return json.loads(spark.read.text(f"{root}/manifests/{number:020d}.json", wholetext=True).first()[0]) | {"version": number}
+
+
+def published(spark: SparkSession, root: str, version: int | None = None, verify: bool = False) -> DataFrame:
+    """The rows of a version, the last one without a number. verify reads them once and compares rows and checksum with the manifest."""
+    facts = manifest_of(spark, root, version)
+    rows = spark.read.parquet(f"{root}/run_id={facts['run_id']}").select(*facts["columns"])
+    if verify:
+        now = json.loads(manifest(rows, facts["date"]).toJSON().first())
+        wrong = {k: (facts.get(k), now.get(k)) for k in ("rows", "checksum") if facts.get(k) != now.get(k)}
+        if wrong:
+            raise ValueError(f"FAILED version {facts['version']}: " + ", ".join(f"{k}={b} instead of {a}" for k, (a, b) in wrong.items()))
+    return rows
+
+
+def expire(spark: SparkSession, root: str, older_than_ms: int) -> list[int]:
+    """Delete versions written before a time (milliseconds), but never the last one; their numbers."""
+    gone = [n for n, when in versions(spark, root)[:-1] if when < older_than_ms]
+    for n in gone:
+        run = manifest_of(spark, root, n)["run_id"]
+        for path in (f"{root}/manifests/{n:020d}.json", f"{root}/run_id={run}"):  # first out of sight, then the rows
+            at, fs = _files(spark, path)
+            fs.delete(at, True)
+    return gone
 
 
 # Event types and states of raw rows.
