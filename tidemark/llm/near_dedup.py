@@ -216,6 +216,8 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row of df: id_col, n_shingles, component_id (smallest id reachable over links), kept (it is that id)."""
+    if df.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        return by_numbers(df, size, threshold, id_col, text_col)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag"))
     docs = rows.filter(F.col("id").isNotNull() & F.col("text").isNotNull())
     sketch = staged(sketches(rows, size), "sketches")
@@ -257,6 +259,18 @@ def near_groups(df: DataFrame, size: int = 5, threshold: float = 0.8, id_col: st
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), found.alias("component_id"), (F.col("id").isNull() | (found == F.col("id"))).alias("kept"))
 
 
+def by_numbers(df: DataFrame, size: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """near_groups of ids that are no whole numbers: each gets a number in their order, under which the work is done."""
+    rows = df.select(F.col(f"`{id_col}`").alias("name"), F.col(f"`{text_col}`").alias("text"))
+    names = rows.select("name").filter("name is not null").distinct()
+    numbers = staged(names.repartitionByRange("name").sortWithinPartitions("name").select("name", F.monotonically_increasing_id().alias("id")), "numbers")
+    groups = near_groups(rows.join(sized(numbers), "name", "left").select("id", "text"), size, threshold, "id")
+    out = groups.join(sized(numbers), "id", "left").withColumnRenamed("name", "own")
+    tops = numbers.select(F.col("id").alias("component_id"), F.col("name").alias("top"))
+    out = out.join(sized(tops), "component_id", "left")
+    return out.select(F.col("own").alias(id_col), "n_shingles", F.col("top").alias("component_id"), "kept")
+
+
 def one_of_id(rows: DataFrame, again: DataFrame) -> DataFrame:
     """Of rows with an id of again only one with its first tag; the others are as they were."""
     met = rows.join(sized(again), "id", "left")

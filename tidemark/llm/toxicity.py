@@ -220,11 +220,15 @@ def frequencies(df: DataFrame, names: list[str], text_col: str) -> np.ndarray:
 
 def fitted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> BlockIndex:
     """The index over about train_rows of the given labelled rows (all of them must be free to learn from)."""
-    marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
+    same = df.schema[id_col].dataType == labels.schema[id_col].dataType
+    own = (F.col(id_col) if same else F.col(id_col).cast("string")).alias("label_id")  # ids of two types meet as texts
+    marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(own).agg((F.max(label_col) > 0).cast("int").alias("toxic"))
     keep = max(1, math.ceil(marks.count() / train_rows))
     marks = marks.filter(F.pmod(F.xxhash64("label_id", F.lit("toxicity")), F.lit(keep)) == 0)
-    texts = df.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
-    train = staged(texts.join(sized(marks), "label_id"), "toxicity-train")
+    texts = df.select(own, F.col(text_col).alias("text"))
+    # of an id with several texts the one with the smallest hash, so that the bound holds whatever is repeated
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    train = staged(texts.join(sized(marks), "label_id").groupBy("label_id", "toxic").agg(one).select("label_id", "text", "toxic"), "toxicity-train")
     n, p = (train.select(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first() or (0, 0))[:2]
     share = F.lit(float(p) / max(n, 1))
     gap = F.col("p") - F.col("n") * share
