@@ -241,6 +241,25 @@ def test_block_index_is_exact():
             assert index.nearest(t, w)[0].tolist() == order.tolist()
 
 
+def test_votes_without_itself(spark):
+    """Votes of the calibration, made once for all copies of a vector, against each row on its own; 300 of 500 rows are copies."""
+    rnd = random.Random(5)
+    data = [((1, 2), (4, 1), (7, 3)) if rnd.random() < 0.6 else tuple(sorted({rnd.randrange(12): rnd.randint(1, 3) for _ in range(rnd.randint(0, 4))}.items())) for _ in range(500)]
+    index = toxicity.BlockIndex([f"t{i}" for i in range(12)], np.linspace(1, 3, 12), data, list(range(500)), [int(rnd.random() < 0.3) for _ in range(500)])
+    dense = np.zeros((500, 12))
+    for i in range(500):
+        t, w = index.own(i)
+        dense[i, t] = w
+    want = {}
+    for i in range(500):
+        cosine = dense @ dense[i]
+        order = np.array([j for j in np.lexsort((np.arange(500), -np.round(cosine, 12))) if j != i and cosine[j] > 0][: toxicity.K], np.int64)
+        if len(order):
+            want[i] = index.vote(order, np.minimum(cosine[order], 1))
+    got = toxicity.own_votes(spark, index)
+    assert [i for i, _ in got] == sorted(want) and all(p == pytest.approx(want[i], abs=1e-9) for i, p in got)
+
+
 def test_languages(spark):
     sf = "/root/testdata/sf0.01"
     held = language_id.op6_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null").collect()

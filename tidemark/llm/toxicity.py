@@ -4,8 +4,8 @@ Method: texts become TF-IDF vectors over the words and word beginnings whose pre
 training rows of at least LEAST_CHI2, and found in LEAST_ROWS of them; document frequencies over all documents). The K nearest
 training vectors by exact cosine come from an inverted index whose postings are cut into blocks with their largest weights:
 blocks are read in the order of their bounds until no bound can reach the K-th best. Neighbours vote with weights
-1 / (1 - cosine + SOFT); the vote is calibrated by a logistic fit on the training rows, each scored without itself. The
-neighbours are returned as evidence. With all words as terms the neighbours of long texts are those that share their subject,
+1 / (1 - cosine + SOFT); the vote is calibrated by a logistic fit on the training rows, each scored without itself (in tasks,
+equal vectors once). The neighbours are returned as evidence. With all words as terms the neighbours of long texts are those that share their subject,
 and most toxic texts are missed (README), so terms are selected.
 
 Bounds: the index holds about TRAIN_ROWS labelled rows, taken by a hash of the id, as flat arrays, so it can be sent to every
@@ -28,7 +28,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, give_back, map_text, sized, slices, staged, table, unstaged
@@ -110,41 +110,76 @@ class BlockIndex:
         norm = math.sqrt(float(w @ w))
         return t, w / norm if norm else w
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the K nearest rows with a cosine over 0; ties by position."""
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and cosines of the k nearest rows with a cosine over 0; ties by position.
+
+        Blocks are read by twos, fours and so on in the order of their bounds. A block whose bound only ties with the k-th best
+        is read if it may hold an earlier row, so a large group of copies does not have to be read to its end.
+        """
         bounds = w @ self.bound[t]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
         best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) >= K and bounds[b] < best[K - 1] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for x, y in zip(t.tolist(), w.tolist(), strict=True):
-                lo, hi = self.first[x * self.width + b : x * self.width + b + 2]
-                score[self.places[lo:hi]] += y * self.weights[lo:hi]
-            at = np.flatnonzero(score > 0)
-            at = at[at + b * BLOCK != without]
-            best_at, best = np.concatenate([best_at, at + b * BLOCK]), np.concatenate([best, score[at]])
-            order = np.lexsort((best_at, -np.round(best, 12)))[:K]
-            best_at, best = best_at[order], best[order]
+        at, step = 0, 2
+        while at < len(order):
+            blocks = order[at : at + step]
+            at, step = at + step, min(2 * step, 32)
+            if len(best) == k:
+                reach = bounds[blocks]
+                if reach[0] < best[-1] - 1e-12:
+                    break
+                over = np.round(reach + 1e-13, 12) > np.round(best[-1], 12)
+                blocks = blocks[(reach >= best[-1] - 1e-12) & (over | (blocks * BLOCK < best_at[-1]))]
+                if not len(blocks):
+                    continue
+            row, score = self.scores(t, w, blocks)
+            best_at, best = np.concatenate([best_at, row]), np.concatenate([best, score])
+            first = np.lexsort((best_at, -np.round(best, 12)))[:k]
+            best_at, best = best_at[first], best[first]
         return best_at, np.minimum(best, 1.0)
 
+    def scores(self, t: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of some blocks with a cosine over 0, and the cosines; weights are added in the order of the terms."""
+        cell = (t[:, None] * self.width + blocks[None, :]).ravel()
+        n = self.first[cell + 1] - self.first[cell]
+        posting = np.repeat(self.first[cell] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        slot = np.repeat(np.tile(np.arange(len(blocks)) * BLOCK, len(t)), n) + self.places[posting]
+        score = np.bincount(slot, np.repeat(np.repeat(w, len(blocks)), n) * self.weights[posting], len(blocks) * BLOCK)
+        found = np.flatnonzero(score > 0)
+        return blocks[found // BLOCK] * BLOCK + found % BLOCK, score[found]
+
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
         weight = 1 / (1 - cosine + SOFT)
         return float((weight @ self.toxic[at] + 0.5) / (weight.sum() + 1))  # half a vote each way
 
-    def calibrate(self) -> None:
-        """Logistic fit of label on vote, by Newton steps with a small ridge; and the rate of rows without features."""
-        votes, labels, bare = [], [], []
-        for i in range(len(self.ids)):
+    def groups(self) -> list[list[int]]:
+        """Rows of the index with terms, those of one vector together."""
+        same: dict[tuple, list[int]] = {}
+        for i in np.flatnonzero(np.diff(self.start)).tolist():
             t, w = self.own(i)
-            if not len(t):
-                bare.append(self.toxic[i])
-                continue
-            at, cosine = self.nearest(t, w, i)
-            if len(at):
-                p = self.vote(at, cosine)
-                votes.append(math.log(p / (1 - p)))
-                labels.append(self.toxic[i])
+            same.setdefault((t.tobytes(), w.tobytes()), []).append(i)
+        return list(same.values())
+
+    def votes(self, rows: list[int]) -> list[tuple[int, float]]:
+        """Row and vote of each of some rows of one vector, without itself: the K + 1 nearest are the same for all of them."""
+        at, cosine = self.nearest(*self.own(rows[0]), K + 1)
+        most = self.vote(at[:K], cosine[:K]) if len(at) else 0.5
+        near = set(at.tolist())
+        out = []
+        for i in rows:
+            if i not in near:
+                out.append((i, most))
+            elif len(at) > 1:
+                other = at != i
+                out.append((i, self.vote(at[other], cosine[other])))
+        return out
+
+    def calibrate(self, voted: list[tuple[int, float]]) -> None:
+        """Logistic fit of label on the votes of all rows, by Newton steps with a small ridge; and the rate of rows without
+        features."""
+        votes = [math.log(p / (1 - p)) for _, p in voted]
+        labels = [self.toxic[i] for i, _ in voted]
+        bare = self.toxic[np.diff(self.start) == 0].tolist()
         self.bare = (sum(bare) + 0.5 * float(np.mean(self.toxic)) if len(self.toxic) else 0.0) / (len(bare) + 1)
         if len(set(labels)) < 2:
             return
@@ -218,6 +253,25 @@ def frequencies(df: DataFrame, names: list[str], text_col: str) -> np.ndarray:
     return out
 
 
+def own_votes(spark: SparkSession, index: BlockIndex) -> list[tuple[int, float]]:
+    """The vote of each row of the index without itself, made in tasks; one row each comes back, in the order of the rows."""
+    groups = index.groups()
+    if not groups:
+        return []
+    shared = spark.sparkContext.broadcast((index, groups))
+
+    def run(batches):
+        known, rows = shared.value
+        for batch in batches:
+            got = [v for n in batch.column(0).to_pylist() for v in known.votes(rows[n])]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64())], names=["row", "vote"])
+
+    parts = min(len(groups), 2 * spark.sparkContext.defaultParallelism)
+    out = sorted((r["row"], r["vote"]) for r in spark.range(0, len(groups), 1, parts).mapInArrow(run, "row long, vote double").collect())
+    shared.destroy()
+    return out
+
+
 def fitted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> BlockIndex:
     """The index over about train_rows of the given labelled rows (all of them must be free to learn from)."""
     same = df.schema[id_col].dataType == labels.schema[id_col].dataType
@@ -249,7 +303,7 @@ def fitted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
     kind = train.schema["label_id"].dataType
     rows = train.select(F.col("label_id").alias("id"), "text", "toxic").mapInArrow(run, f"id {kind.simpleString()}, t array<int>, c array<int>, toxic int").collect()
     index = BlockIndex(names, idf, [tuple(zip(r["t"], r["c"], strict=True)) for r in rows], [r["id"] for r in rows], [r["toxic"] for r in rows])
-    index.calibrate()
+    index.calibrate(own_votes(df.sparkSession, index))
     index.id_type = kind.simpleString()
     unstaged(train)
     return index
