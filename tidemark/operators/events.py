@@ -80,3 +80,16 @@ def skip_counts(events: DataFrame, bars: DataFrame, offsets: tuple[int, ...] = O
         F.count_if(F.col("t0_index").isNull()).alias("no_t0"), F.sum(outside).alias("outside_history"),
         F.count_if(F.col("known_index").isNull()).alias("no_anchor"), F.sum(ahead).alias("no_future"),
     )
+
+
+def event_choices(gold: DataFrame, news: DataFrame) -> DataFrame:
+    """One row per ticker and event that a reader may pick: event_id, ticker, title and the sessions with market data."""
+    known = gold.groupBy("event_id", "ticker").agg(F.count_if("has_market_data").alias("sessions"))
+    return known.join(news.select("event_id", "title"), "event_id")
+
+
+def windows_with_news(gold: DataFrame, news: DataFrame, session: int, limit: int = 100) -> DataFrame:
+    """The limit rows of one relative session with the largest abnormal return (else return) of either sign, with their news."""
+    moved = F.abs(F.coalesce("abnormal_return", "stock_cumulative_return"))
+    rows = gold.filter(F.col("relative_session") == session).orderBy(moved.desc_nulls_last(), "event_id", "ticker").limit(limit)
+    return F.broadcast(rows).join(news.select("event_id", "title", "source"), "event_id")  # limit rows

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -9,6 +12,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sides import kept
+
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
@@ -62,29 +67,36 @@ def linear_prediction(features: Column, weights: list[list[float]], intercepts:
     return (F.array_position(z, F.array_max(z)) - 1).cast("int")
 
 
+def numbered(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
+    """df with `number`, 0 to n - 1 in the order of a seeded hash of key: by the counts of 1,024 ranges of hashes, so no task
+    sorts the whole."""
+    rows = df.withColumn("_h", F.xxhash64(key, F.lit(seed))).withColumn("_range", F.shiftright("_h", 54))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_m"))  # at most 1,024 rows
+    sizes = sizes.select("_range", (F.sum("_m").over(Window.orderBy("_range")) - F.col("_m")).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_h", key))
+    return rows.withColumn("_place", place).join(F.broadcast(sizes), "_range").withColumn("number", F.col("_start") + F.col("_place") - 1).drop("_h", "_range", "_place", "_start")
+
+
 def permutation_importance(df: DataFrame, groups: dict[str, list[str]], predict, label: str, repeats: int = 30, seed: int = 42) -> DataFrame:
     """Mean and deviation of the drop of macro-F1 and accuracy when the columns of a group are permuted together.
 
-    df: id, label and feature columns; predict maps a function from name to Column to the prediction. A permutation is a
-    shift in the order of a seeded hash: rows in that order get numbers, by the counts of hash ranges rather than by one
-    ordered task, and number i takes the group's columns of number i + 1. All groups and repeats are one Spark job.
+    df: id, label and feature columns; predict maps a function from name to Column to the prediction. Rows get numbers in the
+    order of a hash, once. In a run, row i gives its values of the group's columns to row (a i + c) mod n, with a and c drawn
+    for the run and a prime to n: a bijection, so each value is used once. Rows stay where their number puts them and only the
+    permuted columns travel; all groups and repeats are one join.
     """
-    runs = F.explode(F.array(*[F.struct(F.lit(g).alias("grp"), F.lit(r).alias("rep")) for g in groups for r in range(repeats)])).alias("run")
     columns = sorted({c for cols in groups.values() for c in cols})
-    rows = df.select("id", label, *columns, runs).select("*", "run.*").drop("run").withColumn("h", F.xxhash64("id", "grp", "rep", F.lit(seed)))
-    rows = rows.withColumn("part", F.shiftright("h", 56))
-    inside = Window.partitionBy("grp", "rep", "part").orderBy("h", "id")
-    rows = rows.withColumn("place", F.row_number().over(inside))
-    sizes = rows.groupBy("grp", "rep", "part").agg(F.count("*").alias("m"))
-    before = Window.partitionBy("grp", "rep").orderBy("part")
-    sizes = sizes.withColumns({"start": F.sum("m").over(before) - F.col("m"), "all": F.sum("m").over(Window.partitionBy("grp", "rep"))})
-    rows = rows.join(F.broadcast(sizes.drop("m")), ["grp", "rep", "part"]).withColumn("number", F.col("start") + F.col("place") - 1)
-    donor = rows.select("grp", "rep", F.pmod(F.col("number") - 1, F.col("all")).alias("number"), *[F.col(c).alias(f"{c}_p") for c in columns])
-    both = rows.join(donor, ["grp", "rep", "number"])
-    member = {c: F.array(*[F.lit(g) for g, cols in groups.items() if c in cols]) for c in columns}
-    shown = lambda c: F.when(F.array_contains(member[c], F.col("grp")), F.col(f"{c}_p")).otherwise(F.col(c))
-    done = both.select("grp", "rep", F.col(label).alias("y"), predict(shown).alias("z"))
-    base = df.select(F.col(label).alias("y"), predict(F.col).alias("z"))
+    rows = kept(numbered(df.select("id", F.col(label).alias("y"), *columns), "id", seed), "importance-rows")
+    n, rnd = max(rows.count(), 1), random.Random(seed)
+    factors = lambda: next(a for a in iter(lambda: rnd.randrange(1, 1 << 20), 0) if math.gcd(a, n) == 1)
+    runs = [F.struct(F.lit(g).alias("grp"), F.lit(r).alias("rep"), F.lit(factors()).cast("long").alias("a"), F.lit(rnd.randrange(n)).cast("long").alias("c")) for g in groups for r in range(repeats)]
+    member = {c: [g for g, cols in groups.items() if c in cols] for c in columns}
+    given = [F.when(F.col("run.grp").isin(member[c]), F.col(c)).alias(f"{c}_p") for c in columns]
+    to = F.pmod(F.col("number") * F.col("run.a") + F.col("run.c"), F.lit(n).cast("long")).alias("number")
+    sent = rows.select("number", *columns, F.explode(F.array(*runs)).alias("run")).select("run.grp", "run.rep", to, *given)
+    shown = lambda c: F.when(F.col("grp").isin(member[c]), F.col(f"{c}_p")).otherwise(F.col(c))
+    done = sent.join(rows, "number").select("grp", "rep", "y", predict(shown).alias("z"))
+    base = rows.select("y", predict(F.col).alias("z"))
 
     def quality() -> tuple[Column, Column]:
         f1 = [F.coalesce(F.try_divide(2 * F.count_if((F.col("y") == k) & (F.col("z") == k)), F.count_if(F.col("y") == k) + F.count_if(F.col("z") == k)), F.lit(0.0)) for k in (0, 1)]

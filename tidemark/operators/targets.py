@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import growth
 from tidemark.operators.market import indexed
 from tidemark.operators.sessions import known_session, reaction_session
+from tidemark.operators.sides import sized
 
 # Horizon, sessions after the first one past the event's day (None: that day itself), and label threshold.
 HORIZONS = {"t0": (None, 0.010), "t1": (0, 0.010), "t3": (2, 0.015), "t5": (4, 0.020)}
@@ -63,6 +66,11 @@ def direction(value: Column, mask: Column) -> Column:
     return F.when(mask & (value > 0), 1).when(mask & (value < 0), 0)
 
 
+def eligible(split: Column, wanted: str, mask: Column, value: Column) -> Column:
+    """Whether a row enters the measures of a split: of that split, not masked, with a return that is known and not 0."""
+    return F.coalesce((split == wanted) & mask & value.isNotNull() & (value != 0), F.lit(False))
+
+
 def temporal_split(date: Column, train_until: str, validation_until: str) -> Column:
     return F.when(date <= F.lit(train_until).cast("date"), "train").when(date <= F.lit(validation_until).cast("date"), "validation").when(date.isNotNull(), "test")
 
@@ -100,21 +108,68 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def history(df: DataFrame, days: int = 14, low: float = 0.30, high: float = 0.85, top: int = 5) -> DataFrame:
+#: Angles are exact to this: near 0 and a half turn a cosine's last digit is some 1e-8 of an angle.
+SLACK = 1e-6
+#: Rows of one ticker and block that a task compares with; a block of more is dealt out over several.
+SHARE = 2_000
+
+
+def pivot_vectors(df: DataFrame, n: int) -> list[list[float]]:
+    """Unit vectors of n rows, those with the smallest hashes of their ids; equal rows are pivots once."""
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    found = df.withColumn("_n", norm).filter((F.col("_n") > 0) & (F.col("_n") < float("inf")))
+    unit = F.transform("vector", lambda x: x.cast("double") / F.col("_n"))
+    rows = found.orderBy(F.xxhash64("id"), "id").limit(n).select(unit.alias("v")).collect()
+    return [list(v) for v in dict.fromkeys(tuple(r["v"]) for r in rows)]
+
+
+def near_pairs(df: DataFrame, days: int, low: float, high: float, pivots: int, share: int) -> DataFrame:
+    """Rows with the rows of their ticker of 1 to days days before, and `possible`: whether angles to pivots leave room for a
+    cosine in [low, high].
+
+    The angle of two vectors lies between the difference of their angles to a pivot and the sum of these (or what the sum lacks
+    to a full turn), so pairs are told apart by a few numbers of each row. Days are cut into blocks of that length: a row meets
+    two blocks by an equi-join. A block of more than share rows of a ticker is dealt out by a hash, and rows meet each part.
+    """
+    fixed = pivot_vectors(df, pivots)
+    names = [f"_a{i}" for i in range(len(fixed))]
+    to = lambda p: cosine(F.col("vector"), F.array(*map(F.lit, p)))
+    angle = lambda p: F.when(to(p).isNotNull(), F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), to(p)))))  # null: another length
+    rows = df.select("ticker", "id", "day", "vector", F.floor(F.col("day") / days).alias("block"), *[angle(p).alias(c) for p, c in zip(fixed, names, strict=True)])
+    hot = rows.groupBy("ticker", "block").agg(F.count("*").alias("_n")).filter(F.col("_n") > share)
+    hot = sized(hot.select("ticker", "block", F.ceil(F.col("_n") / share).alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1)).cast("int")
+    past = rows.join(hot, ["ticker", "block"], "left").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int")).drop("_parts")
+    past = past.withColumnsRenamed({c: f"past_{c}" for c in ("id", "day", "vector", *names)})
+    now = rows.withColumn("block", F.explode(F.array("block", F.col("block") - 1))).join(hot, ["ticker", "block"], "left")
+    now = now.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    near = now.join(past, ["ticker", "block", "part"]).filter((F.col("past_day") < F.col("day")) & (F.col("past_day") >= F.col("day") - days))
+    possible = F.lit(True)
+    for c in names:
+        a, b = F.col(c), F.col(f"past_{c}")
+        inside = (F.abs(a - b) <= math.acos(low) + SLACK) & (F.least(a + b, 2 * math.pi - a - b) >= math.acos(high) - SLACK)
+        possible = possible & F.coalesce(inside, F.lit(True))
+    return near.withColumn("possible", possible).drop(*names, *[f"past_{c}" for c in names], "block", "part")
+
+
+def history(df: DataFrame, days: int = 14, low: float = 0.30, high: float = 0.85, top: int = 5, pivots: int = 6, share: int = SHARE) -> DataFrame:
     """Up to top earlier rows of the same ticker, 1 to days days back, with a cosine in [low, high]; the most similar first.
 
-    df: id, ticker, day (int), vector. Days are cut into blocks of that length, so a row meets two blocks by an equi-join
-    instead of a range of all earlier days.
+    df: id, ticker, day (int), vector. Cosines are taken of pairs only that near_pairs holds possible.
     """
-    block = F.floor(F.col("day") / days)
-    now = df.select("ticker", F.col("id"), F.col("day"), "vector", F.explode(F.array(block, block - 1)).alias("block"))
-    past = df.select("ticker", F.col("id").alias("past_id"), F.col("day").alias("past_day"), F.col("vector").alias("past_vector"), block.alias("block"))
-    near = now.join(past, ["ticker", "block"]).filter((F.col("past_day") < F.col("day")) & (F.col("past_day") >= F.col("day") - days))
+    near = near_pairs(df, days, low, high, pivots, share).filter("possible")
     near = near.select("ticker", "id", "day", "past_id", "past_day", cosine(F.col("vector"), F.col("past_vector")).alias("similarity")).filter(F.col("similarity").between(low, high))
     order = Window.partitionBy("id", "ticker").orderBy(F.desc("similarity"), "past_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
+def history_pairs(df: DataFrame, days: int = 14, low: float = 0.30, high: float = 0.85, pivots: int = 6, share: int = SHARE) -> DataFrame:
+    """One row: pairs within the days, those whose cosine is taken, and those with a cosine in [low, high]."""
+    near = near_pairs(df, days, low, high, pivots, share)
+    inside = F.when(F.col("possible"), cosine(F.col("vector"), F.col("past_vector"))).between(low, high)
+    return near.agg(F.count("*").alias("pairs"), F.count_if("possible").alias("looked_at"), F.count_if(inside).alias("in_range"))
+
+
 def history_features(df: DataFrame, **kw) -> DataFrame:
     """Per row: whether there is history, how much, days since the last, mean and largest similarity."""
     h = history(df, **kw).groupBy("id", "ticker").agg(F.count("*").alias("history_count"), F.min(F.col("day") - F.col("past_day")).alias("days_since_last_history"), F.avg("similarity").alias("history_mean_similarity"), F.max("similarity").alias("history_max_similarity"))

@@ -39,6 +39,18 @@ def long_targets(spark, sf_dir):
     return tg.targets_long(news_ev(spark, sf_dir), returns(bars_ev(spark, sf_dir)))
 
 
+PART = "CASE WHEN event_date <= DATE '2024-01-10' THEN 'train' WHEN event_date <= DATE '2024-01-20' THEN 'validation' ELSE 'test' END"
+
+
+@query(sql(*TARGET_PARTS, f"SELECT horizon, {PART} AS split, count(*) AS n, round(avg(r), 6) AS mean_return FROM (SELECT l.*, n.event_date FROM lab l JOIN news_ev n USING (event_id, ticker)) WHERE mask AND r IS NOT NULL AND r <> 0 GROUP BY ALL"))
+def eligible_targets(spark, sf_dir):
+    """Rows that enter the measures of each split: not masked, with a return other than 0."""
+    rows = long_targets(spark, sf_dir).withColumn("split", tg.temporal_split(F.col("event_date"), "2024-01-10", "2024-01-20"))
+    own = F.col("split")
+    entering = [tg.eligible(own, s, F.col("mask"), F.col("stock_return")) for s in ("train", "validation", "test")]
+    return rows.filter(entering[0] | entering[1] | entering[2]).groupBy("horizon", "split").agg(F.count("*").alias("n"), F.round(F.avg("stock_return"), 6).alias("mean_return"))
+
+
 @query(sql(*TARGET_PARTS, "SELECT event_id, ticker, horizon, round(r, 6) AS stock_return, label, mask FROM lab"))
 def training_targets(spark, sf_dir):
     return long_targets(spark, sf_dir).select("event_id", "ticker", "horizon", F.round("stock_return", 6).alias("stock_return"), "label", "mask")
@@ -108,6 +120,12 @@ def history_features(spark, sf_dir):
     return out.select("id", "history_count", "history_available", "days_since_last_history", F.round("history_mean_similarity", 6).alias("mean_similarity"), F.round("history_max_similarity", 6).alias("max_similarity"))
 
 
+@query(sql(VECTORS, HIST, "SELECT count(*) AS pairs, count(*) FILTER (similarity BETWEEN 0.0 AND 0.85) AS in_range FROM h"))
+def history_pairs(spark, sf_dir):
+    """Pairs within 14 days, and those in range, none of which the pivots may lose."""
+    return tg.history_pairs(vectors(spark, sf_dir), low=0.0).select("pairs", "in_range")
+
+
 @query()
 def history_pooled(spark, sf_dir):
     return tg.history_pooled(vectors(spark, sf_dir), low=0.0)

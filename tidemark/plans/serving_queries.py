@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import entities as ent
 from tidemark.functions.tickers import tickers
+from tidemark.operators import events as ev
 from tidemark.operators import metrics as mt
 from tidemark.operators import state
 from tidemark.plans.fixtures import BARS_EV, NEWS_EV, returns_sql, sql, table
@@ -54,6 +55,31 @@ def one_event_window(spark, sf_dir):
     return rows.select("relative_session", "session_date", pct("stock_cumulative_return", "stock_pct"), pct("benchmark_cumulative_return", "benchmark_pct"), pct("abnormal_return", "abnormal_pct"))
 
 
+def event_news(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("title"), F.col("user_id").cast("string").alias("source"))
+
+
+@query(sql(*GOLD_PARTS, "SELECT event_id, g.ticker, e.event_type AS title, count(*) FILTER (has_market_data) AS sessions FROM gold g JOIN events e USING (event_id) GROUP BY ALL"))
+def event_choices(spark, sf_dir):
+    return ev.event_choices(gold(spark, sf_dir), event_news(spark, sf_dir))
+
+
+@query(sql(*GOLD_PARTS, "SELECT event_id, g.ticker, g.session_date, round(coalesce(stock_return - bench_return, stock_return) * 100, 3) AS moved_pct, e.event_type AS title, CAST(e.user_id AS VARCHAR) AS source FROM gold g JOIN events e USING (event_id) WHERE relative_session = 1 ORDER BY abs(coalesce(stock_return - bench_return, stock_return)) DESC NULLS LAST, event_id, g.ticker LIMIT 100"))
+def windows_with_news(spark, sf_dir):
+    rows = ev.windows_with_news(gold(spark, sf_dir), event_news(spark, sf_dir), 1)
+    moved = F.round(F.coalesce("abnormal_return", "stock_cumulative_return") * 100, 3).alias("moved_pct")
+    return rows.select("event_id", "ticker", "session_date", moved, "title", "source")
+
+
+@query("SELECT user_id AS k, CASE WHEN a IS NULL THEN o ELSE a END AS v FROM (SELECT user_id, min(event_id) AS o, max(event_id * 10) FILTER (event_type = 'purchase') AS a FROM events GROUP BY user_id)")
+def upsert_by_arrival(spark, sf_dir):
+    """Old state: a user's first event. New rows: all purchases, of which the last to arrive stays."""
+    e = table(spark, sf_dir, "events")
+    old = e.groupBy(F.col("user_id").alias("k")).agg(F.min("event_id").alias("v"))
+    new = e.filter("event_type = 'purchase'").select(F.col("user_id").alias("k"), (F.col("event_id") * 10).alias("v"), F.col("event_id").alias("arrival"))
+    return state.replaced(old, new, ["k"]).select("k", "v")
+
+
 @query(sql(BARS_EV, returns_sql("bars_ev"), NEWS_EV, "SELECT count(*) AS events, count(*) FILTER (after_close) AS after_close, count(DISTINCT ticker) AS tickers, count(*) FILTER (published_precision = 'timestamp') AS exact FROM news_ev"))
 def event_counters(spark, sf_dir):
     from tidemark.plans.fixtures import news_ev
