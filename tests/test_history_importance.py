@@ -87,3 +87,11 @@ def test_each_value_is_used_once(spark):
 def test_rows_of_a_split(spark):
     df = spark.createDataFrame([("train", True, 0.1), ("train", True, 0.0), ("train", True, None), ("train", False, 0.1), ("test", True, 0.1), ("train", None, 0.1), (None, True, 0.1)], "s string, m boolean, r double")
     assert [r.k for r in df.select(tg.eligible(F.col("s"), "train", F.col("m"), F.col("r")).alias("k")).collect()] == [True] + [False] * 6
+
+
+def test_importance_broadcasts_no_rows(spark):
+    """The values sent are many for each row, whatever the planner takes them for."""
+    df = spark.range(500).selectExpr("id", "CAST(id % 2 AS INT) AS y", "CAST(id AS DOUBLE) AS x")
+    out = mt.permutation_importance(df, {"x": ["x"]}, lambda c: (c("x") > 10).cast("int"), "y", repeats=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [number" in plan and "BroadcastHashJoin" not in plan

@@ -83,7 +83,8 @@ def permutation_importance(df: DataFrame, groups: dict[str, list[str]], predict,
     df: id, label and feature columns; predict maps a function from name to Column to the prediction. Rows get numbers in the
     order of a hash, once. In a run, row i gives its values of the group's columns to row (a i + c) mod n, with a and c drawn
     for the run and a prime to n: a bijection, so each value is used once. Rows stay where their number puts them and only the
-    permuted columns travel; all groups and repeats are one join.
+    permuted columns travel; all groups and repeats are one join. It is a merge join: the planner takes the values sent, of which
+    there are groups x repeats for each row, for as few as the rows and would broadcast them.
     """
     columns = sorted({c for cols in groups.values() for c in cols})
     rows = kept(numbered(df.select("id", F.col(label).alias("y"), *columns), "id", seed), "importance-rows")
@@ -95,7 +96,7 @@ def permutation_importance(df: DataFrame, groups: dict[str, list[str]], predict,
     to = F.pmod(F.col("number") * F.col("run.a") + F.col("run.c"), F.lit(n).cast("long")).alias("number")
     sent = rows.select("number", *columns, F.explode(F.array(*runs)).alias("run")).select("run.grp", "run.rep", to, *given)
     shown = lambda c: F.when(F.col("grp").isin(member[c]), F.col(f"{c}_p")).otherwise(F.col(c))
-    done = sent.join(rows, "number").select("grp", "rep", "y", predict(shown).alias("z"))
+    done = sent.hint("merge").join(rows, "number").select("grp", "rep", "y", predict(shown).alias("z"))
     base = rows.select("y", predict(F.col).alias("z"))
 
     def quality() -> tuple[Column, Column]:
