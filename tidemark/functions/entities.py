@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tidemark.functions.text import mention_key
+from tidemark.operators.sides import kept
 
 token = re.compile(r"\w+(?:[.-]\w+)*|[^\w\s]")
 SPAN = "array<struct<start: int, end: int>>"
@@ -122,11 +123,12 @@ def linked(mentions: DataFrame, known: DataFrame, aliases: DataFrame, cutoff: fl
     """mentions (mention, ...) with ticker and link_confidence: an exact known mention, else an exact alias, else the nearest at
     cutoff per cent for keys of three characters or more.
 
-    known and aliases: key, ticker. Exact links are joins. For the others candidates share one of the key's rarest pairs of
-    letters: a key that reaches the cutoff differs from a name by at most so many insertions and deletions, each of which undoes
-    two pairs, so of one pair more than that some are left. Lengths must allow the cutoff too. For cutoffs under about 65 that is
-    all pairs of the key, and names that share none are not compared. Ties go to known mentions before aliases, then to
-    the smallest name.
+    known and aliases: key, ticker. Exact links are joins. So are those of names that differ from a key by one character put in
+    or left out, which no other name can beat: such pairs are equal once each character in turn is left out of one of them. For
+    the keys that have none candidates share one of the key's rarest pairs of letters: a key that reaches the cutoff differs from
+    a name by at most so many insertions and deletions, each of which undoes two pairs, so of one pair more than that some are
+    left. Lengths must allow the cutoff too. For cutoffs under about 65 that is all pairs of the key, and names that share none
+    are not compared. Ties go to known mentions before aliases, then to the smallest name.
     """
     m = mentions.withColumn("key", mention_key(F.col("mention")))
     exact = m.join(known.select("key", F.col("ticker").alias("_t1")).dropDuplicates(["key"]), "key", "left").join(aliases.select("key", F.col("ticker").alias("_t2")).dropDuplicates(["key"]), "key", "left")
@@ -134,13 +136,13 @@ def linked(mentions: DataFrame, known: DataFrame, aliases: DataFrame, cutoff: fl
     names = known.select("key", "ticker", F.lit(0).alias("turn")).unionByName(aliases.select("key", "ticker", F.lit(1).alias("turn"))).groupBy("key").agg(F.min_by("ticker", "turn").alias("ticker"), F.min("turn").alias("turn"))
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(2))))
     open_keys = exact.filter(F.col("_t").isNull() & (F.length("key") >= 3)).select("key").distinct()
-    right = names.select(F.col("key").alias("name"), "ticker", F.col("turn").alias("list"), F.explode(grams(F.col("key"))).alias("g"))
-    common = right.groupBy("g").agg(F.count("*").alias("c"))  # keys have 37 characters, so at most 37 * 37 rows
-    edits = F.floor((1 - cutoff / 100) * 2 * F.length("key") / (cutoff / 100) + 1e-9)
-    rarest = Window.partitionBy("key").orderBy(F.coalesce("c", F.lit(0)), "g")
-    left = open_keys.select("key", F.explode(grams(F.col("key"))).alias("g")).join(F.broadcast(common), "g", "left")
-    left = left.withColumn("turn", F.row_number().over(rarest)).filter(F.col("turn") <= 2 * edits + 1).select("key", "g")
-    near = left.join(right, "g").filter(2 * F.least(F.length("key"), F.length("name")) >= cutoff / 100 * (F.length("key") + F.length("name"))).select("key", "name", "ticker", "list").distinct()
+    less = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.left(c, i - 1), F.substr(c, i + 1))))
+    named = names.select(F.col("key").alias("name"), "ticker", F.col("turn").alias("list"))
+    pair = ["key", "name", "ticker", "list"]
+    longer = open_keys.select("key", F.explode(less(F.col("key"))).alias("name")).join(named.hint("merge"), "name").select(*pair)
+    shorter = named.filter(F.length("name") > 0).select("*", F.explode(less(F.col("name"))).alias("key")).join(open_keys.hint("merge"), "key").select(*pair)
+    same = open_keys.withColumn("name", F.col("key")).join(named.hint("merge"), "name").select(*pair)
+    close = longer.unionByName(shorter).unionByName(same)
 
     def scored(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -148,6 +150,19 @@ def linked(mentions: DataFrame, known: DataFrame, aliases: DataFrame, cutoff: fl
             yield p[p["score"] >= cutoff]
 
     kind = names.schema["ticker"].dataType.simpleString()
-    best = near.mapInPandas(scored, f"key string, name string, ticker {kind}, list int, score double").groupBy("key").agg(F.min_by(F.struct("ticker", "score"), F.struct(-F.col("score"), "list", "name")).alias("b"))
-    out = exact.join(best, "key", "left")
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        found = pairs.mapInPandas(scored, f"key string, name string, ticker {kind}, list int, score double")
+        return found.groupBy("key").agg(F.min_by(F.struct("ticker", "score"), F.struct(-F.col("score"), "list", "name")).alias("b"))
+
+    won = kept(nearest(close), "nearest-names")
+    right = names.select(F.col("key").alias("name"), "ticker", F.col("turn").alias("list"), F.explode(grams(F.col("key"))).alias("g"))
+    common = right.groupBy("g").agg(F.count("*").alias("c"))  # keys have 37 characters, so at most 37 * 37 rows
+    edits = F.floor((1 - cutoff / 100) * 2 * F.length("key") / (cutoff / 100) + 1e-9)
+    rarest = Window.partitionBy("key").orderBy(F.coalesce("c", F.lit(0)), "g")
+    rest = open_keys.join(won.select("key").hint("merge"), "key", "left_anti")
+    left = rest.select("key", F.explode(grams(F.col("key"))).alias("g")).join(F.broadcast(common), "g", "left")
+    left = left.withColumn("turn", F.row_number().over(rarest)).filter(F.col("turn") <= 2 * edits + 1).select("key", "g")
+    near = left.join(right, "g").filter(2 * F.least(F.length("key"), F.length("name")) >= cutoff / 100 * (F.length("key") + F.length("name"))).select("key", "name", "ticker", "list").distinct()
+    out = exact.join(won.unionByName(nearest(near)), "key", "left")
     return out.withColumns({"ticker": F.coalesce("_t", "b.ticker"), "link_confidence": F.round(F.when(F.col("_t").isNotNull(), 1.0).otherwise(F.coalesce(F.col("b.score") / 100, F.lit(0.0))), 3)}).drop("_t", "b")
