@@ -145,9 +145,11 @@ BARS_BOTH = """bars_li AS (SELECT *, 'a' AS source FROM one_li UNION ALL SELECT
 
 
 def bars_both(spark, sf_dir):
-    a = bars_li(spark, sf_dir).withColumn("source", F.lit("a"))
-    b = a.filter((F.col("ticker").cast("long") % 2 == 0) & (F.dayofmonth("session_date") % 3 > 0))
-    return a.unionByName(b.withColumns({"high": F.col("high") + 1, "close": F.col("close") + 1, "volume": F.col("volume") + 1, "source": F.lit("b")}))
+    """Each bar, and the other source's beside it: bars are made once."""
+    own = [F.struct(F.lit(n).alias("source"), *[(F.col(c) + more).alias(c) for c in ("high", "close", "volume")]) for n, more in (("a", 0), ("b", 1))]
+    two = (F.col("ticker").cast("long") % 2 == 0) & (F.dayofmonth("session_date") % 3 > 0)
+    bars = bars_li(spark, sf_dir).withColumn("bar", F.explode(F.when(two, F.array(*own)).otherwise(F.array(own[0]))))
+    return bars.select("ticker", "session_date", "open", "bar.high", "low", "bar.close", "bar.volume", "bar.source")
 
 
 def both_sql(*parts: str) -> str:
