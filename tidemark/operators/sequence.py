@@ -1,16 +1,22 @@
 """A linear-chain sequence model of token labels: trained with gradients summed in tasks, decoded by Viterbi.
 
 Tokens are seen through hashed features (array<array<int>>), a row is one sequence. A label's score is the sum of the weights of
-the token's features and of the step from the label before. Training maximises the likelihood less l2 / 2 times the squared
-weights: each evaluation is one job in which tasks run forward and backward over their sequences, all sequences of a batch at
-once, and send one row per feature that they met; the sums, bounded by the number of hashed features, meet the weights on the
-driver, which takes a quasi-Newton step with a bounded history. Rows to learn from are counted and, beyond a stated number,
-chosen by hash; decoding covers all rows.
+the token's features and of the step from the label before; features that training did not meet weigh nothing, but that a form
+is one of them is a feature. Training maximises
+the likelihood less l2 / 2 times the squared weights: each evaluation is one job in which tasks run forward and backward over their
+sequences, all sequences of a batch at once, and send one row per feature that they met; the sums, bounded by the features of the
+sample, meet the weights on the driver, which takes a quasi-Newton step with a bounded history. Rows to learn from are counted and,
+beyond a stated number, chosen by hash; decoding covers all rows.
+
+Whole texts are labelled in the task that reads them (spans): tokens, features and labels never leave it, only the entities do.
+What a token adds to the scores, its own and those of its neighbours, is summed once for each distinct token of a slice of texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,44 +25,98 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.entities import free, ranges, token_features, tokens
+from tidemark.functions.entities import LONGEST, ranges, token, tokens
 
 LABELS = ["O", "B-ORG", "I-ORG"]
-DIMS = 1 << 16
+#: Features are numbered by hash. There are so many numbers that two features hardly ever share one.
+DIMS = 1 << 31
+#: The number of a form that training did not meet.
+UNSEEN = -1
 #: Tokens that are scored together, padded to the longest sequence of a batch.
 BATCH_TOKENS = 1 << 16
 #: Training takes sequences in pieces of so many tokens, and so many pieces at most. Decoding takes whole sequences.
 PIECE_TOKENS, MOST_PIECES = 128, 8_000
+#: Characters of texts that a task cuts into tokens at a time (at least one whole text).
+SLICE_CHARS = 2_000_000
+SPANS = "array<struct<start: int, end: int, first_char: int, end_char: int>>"
 
 
-def hashed_features(features: Column, dims: int = DIMS) -> Column:
-    """Numbers of each token's features (as from token_features): name and value of those that are not null or false, and one
-    that every token has."""
-    texts = ["lower", "last3", "last2", "first3", "back_lower", "ahead_lower"]
-    flags = ["is_upper", "is_title", "is_digit", "has_digit", "back_is_upper", "back_is_title", "ahead_is_upper", "ahead_is_title", "first", "last"]
+def own_features(w: str) -> list[str]:
+    """What a token says of its own label: the features of entities.token_features that are not null or false, and one that every
+    token has."""
+    low = w.casefold()
+    return [f"lower={low}", f"last3={low[-3:]}", f"last2={low[-2:]}", f"first3={low[:3]}", f"length={min(len(w), LONGEST)}", "bias", *cases(w), *["is_digit"] * w.isdigit(), *["has_digit"] * any(c.isdigit() for c in w)]
 
-    def numbers(f: Column) -> Column:
-        named = [F.concat(F.lit(f"{c}="), f[c]) for c in texts] + [F.when(f[c], F.lit(c)) for c in flags]
-        named += [F.concat(F.lit("length="), f["length"].cast("string")), F.lit("bias")]
-        return F.transform(F.array_compact(F.array(*named)), lambda x: F.pmod(F.xxhash64(x), F.lit(dims)).cast("int"))
 
-    return F.transform(features, numbers)
+def side_features(w: str, side: str) -> list[str]:
+    """What a token says of the label after it (side back) or before it (ahead)."""
+    return [f"{side}_lower={w.casefold()}", *[f"{side}_{c}" for c in cases(w)]]
+
+
+def cases(w: str) -> list[str]:
+    return ["is_upper"] * (w.upper() == w and w.lower() != w) + ["is_title"] * w.istitle()
+
+
+def numbered(features: list[str], dims: int) -> list[int]:
+    return [zlib.crc32(f.encode()) % dims for f in features]
+
+
+class Vocabulary:
+    """Numbers of the features of tokens, each token looked at once; forgets all when it is full."""
+
+    def __init__(self, dims: int = DIMS, room: int = 100_000):
+        self.dims, self.room, self.seen = dims, room, {}
+        self.ends = [numbered(["first"], dims), numbered(["last"], dims)]
+
+    def __call__(self, w: str) -> tuple[list[int], list[int], list[int]]:
+        """Features of the token itself, those that it gives the token after it and those that it gives the token before it."""
+        out = self.seen.get(w)
+        if out is None:
+            if len(self.seen) >= self.room:
+                self.seen.clear()
+            out = self.seen[w] = tuple(numbered(f, self.dims) for f in (own_features(w), side_features(w, "back"), side_features(w, "ahead")))
+        return out
+
+    def ids(self, words: list[str], begin: int = 0, end: int | None = None) -> list[list[int]]:
+        """Features of the tokens from begin to end of a sequence."""
+        n, out = len(words), []
+        for i in range(begin, n if end is None else min(end, n)):
+            row = list(self(words[i])[0])
+            row += self(words[i - 1])[1] if i else self.ends[0]
+            row += self(words[i + 1])[2] if i < n - 1 else self.ends[1]
+            out.append(row)
+        return out
 
 
 def seen_tokens(df: DataFrame, text: str, words: str = "words", ids: str = "ids", dims: int = DIMS) -> DataFrame:
     """df with the tokens of a text (words) and their hashed features (ids)."""
-    held = free(df, "features")
-    cut = df.withColumn(words, tokens(F.col(text)))
-    return token_features(cut, words, held).withColumn(ids, hashed_features(F.col(held), dims)).drop(held)
+    vocabulary = Vocabulary(dims)
+
+    @F.pandas_udf("array<array<int>>")
+    def hashed(column: pd.Series) -> pd.Series:
+        return column.map(lambda row: None if row is None else vocabulary.ids(list(row)))
+
+    return df.withColumn(words, tokens(F.col(text))).withColumn(ids, hashed(F.transform(words, lambda t: t["token"])))
 
 
 @dataclass
 class SequenceModel:
-    """weights: features x labels; steps: label before x label."""
+    """weights: features x labels; steps: label before x label; known: the sorted numbers of the features, if these are not the rows
+    of weights themselves."""
 
     weights: np.ndarray
     steps: np.ndarray
     labels: list[str]
+    known: np.ndarray | None = None
+
+    def sums(self, flat: np.ndarray, counts: np.ndarray, tokens: bool = True) -> np.ndarray:
+        """Summed weights of groups of features, one group after another."""
+        if self.known is not None:
+            flat, counts = compacted(flat, counts, self.known, tokens)
+        out, full = np.zeros((len(counts), len(self.labels))), counts > 0
+        if len(flat):
+            out[full] = np.add.reduceat(self.weights[flat], (np.cumsum(counts) - counts)[full], axis=0)
+        return out
 
     def scores(self, sequences: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Scores of all tokens, sequence after sequence, lengths, the flat feature numbers and how many each token has."""
@@ -64,36 +124,94 @@ class SequenceModel:
         tokens = sequences.flatten()
         counts = tokens.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         flat = tokens.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        out = np.zeros((len(counts), len(self.labels)))
-        full = counts > 0
-        if len(flat):
-            starts = (np.cumsum(counts) - counts)[full]
-            out[full] = np.add.reduceat(self.weights[flat], starts, axis=0)
-        return out, lengths, flat, counts
+        return self.sums(flat, counts), lengths, flat, counts
 
     def best(self, sequences: pa.ListArray) -> list[list[str]]:
         """The most likely labels of each sequence; ties go to the label that comes first."""
         out: list = [None] * len(sequences)
         for batch in batches_of(sequences):
             score, lengths, _, _ = self.scores(sequences.take(pa.array(batch)))
-            u = padded(score, lengths)
-            back, best = np.zeros(u.shape, np.int8), u[:, 0]
-            ends = best.copy()
-            for t in range(1, u.shape[1]):
-                step = best[:, :, None] + self.steps
-                back[:, t] = step.argmax(1)
-                best = step.max(1) + u[:, t]
-                ends = np.where((lengths > t)[:, None], best, ends)
-            label = ends.argmax(1)
-            path = np.zeros(u.shape[:2], np.int8)
-            for t in range(u.shape[1] - 1, -1, -1):
-                inside = lengths > t
-                path[inside, t] = label[inside]
-                label = np.where(inside, back[np.arange(len(label)), t, label], label)
-            for i, row, n in zip(batch, path, lengths, strict=True):
-                out[i] = [self.labels[k] for k in row[:n]]
+            path, ends = self.path(score, lengths), np.cumsum(lengths)
+            for i, n, end in zip(batch, lengths.tolist(), ends.tolist(), strict=True):
+                out[i] = [self.labels[k] for k in path[end - n : end].tolist()]
         return out
 
+    def path(self, u: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The most likely labels, from the scores of tokens, sequence after sequence.
+
+        Where a token's best label leads by more than all that its neighbours' labels can change, they are what they are without
+        it; only the runs between such tokens need a search, and they are short.
+        """
+        n, steps = len(u), self.steps
+        label = u.argmax(1).astype(np.int8)
+        if not n:
+            return label
+        into = np.maximum(0.0, (steps[:, None, :] - steps[:, :, None]).max(0))  # [y, k]: gain of k for y by the step into it
+        out_of = np.maximum(0.0, (steps[None, :, :] - steps[:, None, :]).max(2))
+        lead = u[np.arange(n), label][:, None] - u - (into + out_of)[label]
+        lead[np.arange(n), label] = np.inf
+        sure = lead.min(1) > 1e-9
+        first = np.zeros(n, bool)
+        first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+        last = np.append(first[1:], True)
+        open_ = ~sure
+        begins = np.flatnonzero(open_ & (first | np.append(True, sure[:-1])))
+        ends = np.flatnonzero(open_ & (last | np.append(sure[1:], True)))
+        runs = ends - begins + 1
+        order = np.argsort(runs, kind="stable")
+        at = 0
+        while at < len(order):
+            many = max(1, BATCH_TOKENS // int(runs[order[at]]))
+            part = order[at : at + many]
+            while len(part) > 1 and len(part) * runs[part[-1]] > BATCH_TOKENS:
+                part = part[: max(1, len(part) // 2)]
+            at += len(part)
+            size, begin, end = runs[part], begins[part], ends[part]
+            flat = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            x = padded(u[flat], size)
+            left, right = ~first[begin], ~last[end]
+            x[left, 0] += steps[label[begin[left] - 1]]
+            rows = np.arange(len(part))
+            x[rows[right], size[right] - 1] += steps[:, label[end[right] + 1]].T
+            label[flat] = self.searched(x, size)[np.arange(x.shape[1]) < size[:, None]]
+        return label
+
+    def searched(self, u: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Viterbi over padded sequences of one token or more."""
+        back, best = np.zeros(u.shape, np.int8), u[:, 0]
+        ends = best.copy()
+        for t in range(1, u.shape[1]):
+            step = best[:, :, None] + self.steps
+            back[:, t] = step.argmax(1)
+            best = step.max(1) + u[:, t]
+            ends = np.where((lengths > t)[:, None], best, ends)
+        label = ends.argmax(1)
+        path = np.zeros(u.shape[:2], np.int8)
+        for t in range(u.shape[1] - 1, -1, -1):
+            inside = lengths > t
+            path[inside, t] = label[inside]
+            label = np.where(inside, back[np.arange(len(label)), t, label], label)
+        return path
+
+    def labelled(self, rows: list[list[str]], vocabulary: Vocabulary) -> np.ndarray:
+        """The most likely labels of tokens, sequence after sequence."""
+        flat, lengths = [w for row in rows for w in row], np.array([len(row) for row in rows], np.int64)
+        if not flat:
+            return np.zeros(0, np.int8)
+        codes, words = pd.factorize(np.array(flat, dtype=object))
+        parts = list(zip(*[vocabulary(w) for w in words], strict=True))
+        summed = lambda groups, tokens=False: self.sums(np.array([i for g in groups for i in g], np.int64), np.array([len(g) for g in groups], np.int64), tokens)
+        own, back, ahead = summed(parts[0], True), summed(parts[1]), summed(parts[2])
+        u, ends = own[codes], np.cumsum(lengths)
+        inner = np.ones(len(flat), bool)
+        inner[(ends - lengths)[lengths > 0]] = False  # tokens with one before them
+        u[inner] += back[codes[np.flatnonzero(inner) - 1]]
+        u[np.flatnonzero(inner) - 1] += ahead[codes[inner]]
+        edge = summed(vocabulary.ends)
+        u[~inner] += edge[0]
+        u[ends[lengths > 0] - 1] += edge[1]
+        return self.path(u, lengths)
+
     def gradient(self, sequences: pa.ListArray, gold: pa.ListArray) -> tuple[float, np.ndarray, np.ndarray]:
         """Log-likelihood of the labels, its gradient in the weights, and in the steps."""
         total, by_weight, by_step = 0.0, np.zeros_like(self.weights), np.zeros_like(self.steps)
@@ -128,6 +246,19 @@ class SequenceModel:
         return total, by_weight, by_step
 
 
+def compacted(flat: np.ndarray, counts: np.ndarray, known: np.ndarray, tokens: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Places of features among the known ones, without the others, and how many each group has left. In groups that are tokens
+    the first feature, the token's form, counts as UNSEEN where it is not known."""
+    at = np.searchsorted(known, flat)
+    held = at < len(known)
+    held[held] = known[at[held]] == flat[held]
+    if tokens and len(flat):
+        forms = (np.cumsum(counts) - counts)[counts > 0]
+        forms = forms[~held[forms]]
+        at[forms], held[forms] = np.searchsorted(known, UNSEEN), True
+    return at[held], np.bincount(np.repeat(np.arange(len(counts)), counts)[held], minlength=len(counts))
+
+
 def batches_of(sequences: pa.ListArray) -> Iterator[list[int]]:
     """Places of sequences of similar length, a bounded number of padded tokens at a time."""
     lengths = sequences.value_lengths().to_pylist()
@@ -145,7 +276,8 @@ def batches_of(sequences: pa.ListArray) -> Iterator[list[int]]:
 def padded(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Rows of tokens, one sequence after another, as sequences x longest x columns."""
     out = np.zeros((len(lengths), max(1, int(lengths.max(initial=0))), flat.shape[1]), flat.dtype)
-    out[np.repeat(np.arange(len(lengths)), lengths), np.concatenate([np.arange(n) for n in lengths]).astype(np.int64)] = flat
+    ends = np.cumsum(lengths)
+    out[np.repeat(np.arange(len(lengths)), lengths), np.arange(len(flat)) - np.repeat(ends - lengths, lengths)] = flat
     return out
 
 
@@ -173,11 +305,100 @@ def summed(rows: DataFrame, model: SequenceModel) -> tuple[float, np.ndarray, np
 def trained(df: DataFrame, gold: str = "gold", ids: str = "ids", labels: list[str] = LABELS, dims: int = DIMS, l2: float = 0.1, rounds: int = 30, most: int = MOST_PIECES, tolerance: float = 1e-4) -> SequenceModel:
     """A model of the label arrays in gold, from at most `most` pieces of sequences (those with the smallest hashes of their
     features; all, if there are no more). Rows without tokens teach nothing; a label that is not among labels is an error."""
-    known = F.array(*[F.lit(x) for x in labels])
-    rows = df.filter(F.size(ids) > 0).select(F.col(ids).alias("ids"), F.transform(gold, lambda x: F.when(F.array_contains(known, x), F.array_position(known, x) - 1).otherwise(F.raise_error(F.lit("unknown label"))).cast("int")).alias("gold"))
+    rows = df.filter(F.size(ids) > 0).select(F.col(ids).alias("ids"), F.col(gold).alias("gold"))
     at = F.explode(F.sequence(F.lit(1), F.size("ids"), F.lit(PIECE_TOKENS))).alias("at")
     pieces = rows.select("ids", "gold", at).select(*[F.slice(c, F.col("at"), F.lit(PIECE_TOKENS)).alias(c) for c in ("ids", "gold")])
-    rows = pieces.orderBy(F.xxhash64("ids", "gold")).limit(most).repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
+    pieces = pieces.withColumn("h", F.xxhash64("ids", "gold"))
+    edge = pieces.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]  # of hashes alone: pieces are large
+    return fitted(pieces.filter(F.col("h") <= edge).orderBy("h").limit(most), labels, dims, l2, rounds, tolerance)
+
+
+def labeller(names: list[str]) -> Callable[[list[str]], list[str]]:
+    """Labels of tokens by a list of names in small letters, each of one or more tokens between spaces: the longest name that
+    begins at a token counts, and its tokens begin no other."""
+    known: dict[str, list[list[str]]] = {}
+    for name in sorted(names, key=lambda n: -len(n.split())):
+        known.setdefault(name.split()[0], []).append(name.split())
+
+    def labels(words: list[str]) -> list[str]:
+        low, out, at = [x.casefold() for x in words], ["O"] * len(words), 0
+        while at < len(low):
+            n = next((len(x) for x in known.get(low[at], ()) if low[at : at + len(x)] == x), 0)
+            out[at : at + n] = ["B-ORG"] * (n > 0) + ["I-ORG"] * (n - 1)
+            at += n or 1
+        return out
+
+    return labels
+
+
+def sampled(df: DataFrame, text: str, label: Callable[[list[str]], list[str]], most: int = MOST_PIECES, dims: int = DIMS) -> DataFrame:
+    """At most `most` different pieces (ids, gold) of the texts, labelled as whole texts: those with the smallest hashes of their
+    tokens and the tokens beside them. All pieces are hashed first; only those that are chosen leave their task, each once."""
+    size, vocabulary = PIECE_TOKENS, Vocabulary(dims)
+
+    def hashes(words: list[str]) -> list[int]:
+        seen = ["\n".join([str(at > 0), *words[max(0, at - 1) : at + size + 1]]) for at in range(0, len(words), size)]
+        return [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big", signed=True) for x in seen]
+
+    @F.arrow_udf("array<bigint>")
+    def hashed(column: pa.Array) -> pa.Array:
+        return pa.array([hashes(token.findall(t.as_py() or "")) for t in column], pa.list_(pa.int64()))
+
+    edge = df.select(F.explode(hashed(text)).alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
+        for batch in batches:
+            for texts in slices(batch.column(0)):
+                out = []
+                for t in texts:
+                    words = token.findall(t)
+                    new = [(i * size, h) for i, h in enumerate(hashes(words)) if edge is not None and h <= edge and h not in done]
+                    labels = label(words) if new else []
+                    for at, h in new:
+                        if h not in done:
+                            done.add(h)
+                            out.append((h, vocabulary.ids(words, at, at + size), labels[at : at + size]))
+                h, ids, gold = zip(*out, strict=True) if out else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(ids, pa.list_(pa.list_(pa.int32()))), pa.array(gold, pa.list_(pa.string()))], names=["h", "ids", "gold"])
+
+    return df.select(text).mapInArrow(chosen, "h long, ids array<array<int>>, gold array<string>").dropDuplicates(["h"]).select("ids", "gold")
+
+
+def fitted(pieces: DataFrame, labels: list[str] = LABELS, dims: int = DIMS, l2: float = 0.1, rounds: int = 30, tolerance: float = 1e-4) -> SequenceModel:
+    """A model of a bounded number of pieces (ids, gold). A feature that one token only has is not learned; if it is the token's
+    form (its first feature), the token teaches instead what is to be thought of forms that were not learned."""
+    known = F.array(*[F.lit(x) for x in labels])
+    number = F.transform("gold", lambda x: F.when(F.array_contains(known, x), F.array_position(known, x) - 1).otherwise(F.raise_error(F.lit("unknown label"))).cast("int"))
+    spark = pieces.sparkSession
+    raw = pieces.select("ids", number.alias("gold")).repartition(spark.sparkContext.defaultParallelism).persist()
+    rows = None
+    try:
+        met = raw.select(F.explode(F.flatten("ids")).alias("i")).groupBy("i").count().filter("count > 1").select("i").toArrow()
+        features = np.append(UNSEEN, np.sort(met.column("i").to_numpy().astype(np.int64)))
+
+        def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sequences = batch.column(0)
+                words = sequences.flatten()
+                flat, counts = compacted(words.flatten().to_numpy(zero_copy_only=False), words.value_lengths().to_numpy(zero_copy_only=False), features)
+                ends = lambda n: pa.array(np.append(0, np.cumsum(n)), pa.int32())
+                inner = pa.ListArray.from_arrays(ends(counts), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends(sequences.value_lengths().to_numpy(zero_copy_only=False)), inner), batch.column(1)], names=["ids", "gold"])
+
+        rows = raw.mapInArrow(compact, "ids array<array<int>>, gold array<int>").persist()
+        rows.count()
+        raw.unpersist()
+        weights, steps = maximised(rows, len(features), labels, l2, rounds, tolerance)
+    finally:
+        raw.unpersist()
+        if rows is not None:
+            rows.unpersist()
+    return SequenceModel(weights, steps, list(labels), features)
+
+
+def maximised(rows: DataFrame, dims: int, labels: list[str], l2: float, rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and steps of the greatest penalised likelihood; rows: ids under dims, gold as numbers of labels."""
     k = len(labels)
     model = SequenceModel(np.zeros((dims, k)), np.zeros((k, k)), list(labels))
 
@@ -186,11 +407,8 @@ def trained(df: DataFrame, gold: str = "gold", ids: str = "ids", labels: list[st
         total, by_weight, by_step = summed(rows, at)
         return -total + l2 / 2 * float(x @ x), l2 * x - np.concatenate([by_weight.ravel(), by_step.ravel()])
 
-    try:
-        x = descended(loss, np.zeros(dims * k + k * k), rounds, tolerance)
-    finally:
-        rows.unpersist()
-    return SequenceModel(x[: dims * k].reshape(dims, k), x[dims * k :].reshape(k, k), list(labels))
+    x = descended(loss, np.zeros(dims * k + k * k), rounds, tolerance)
+    return x[: dims * k].reshape(dims, k), x[dims * k :].reshape(k, k)
 
 
 def descended(loss, x: np.ndarray, rounds: int, tolerance: float, memory: int = 6) -> np.ndarray:
@@ -241,26 +459,67 @@ def predicted(df: DataFrame, model: SequenceModel, ids: str = "ids", out: str =
     return df.withColumn(out, decode(F.col(ids)))
 
 
+def slices(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts (null: empty), a bounded number of characters or one text at a time."""
+    part, room = [], SLICE_CHARS
+    for t in texts:
+        t = t.as_py() or ""
+        if part and len(t) > room:
+            yield part
+            part, room = [], SLICE_CHARS
+        part.append(t)
+        room -= len(t)
+    if part:
+        yield part
+
+
+def entity_spans(text: Column, labels: Callable[[list[list[str]]], np.ndarray]) -> Column:
+    """The entities of whole texts (SPANS), as places of tokens and of characters, ends excluded; as from entities.ranges. labels
+    gives the numbers (in LABELS) of the labels of token sequences, one after another."""
+
+    @F.arrow_udf(SPANS)
+    def run(column: pa.Array) -> pa.Array:
+        counts, found = [np.zeros(0, np.int64)], [np.zeros((0, 4), np.int64)]
+        for texts in slices(column):
+            cut = [[m.span() for m in token.finditer(t)] for t in texts]
+            y = labels([[t[a:b] for a, b in places] for t, places in zip(texts, cut, strict=True)])
+            lengths = np.array([len(places) for places in cut], np.int64)
+            offset = np.cumsum(lengths) - lengths
+            first = np.zeros(len(y), bool)
+            first[offset[lengths > 0]] = True
+            begin = np.flatnonzero((y == 1) | ((y == 2) & (first | (np.append(0, y[:-1]) == 0))))
+            stops = np.append(np.flatnonzero((y != 2) | first), len(y))
+            end = stops[np.searchsorted(stops, begin, side="right")]
+            row = np.searchsorted(offset + lengths, begin, side="right")
+            flat = [p for places in cut for p in places]
+            chars = [(flat[a][0], flat[b - 1][1]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            counts.append(np.bincount(row, minlength=len(texts)))
+            found.append(np.column_stack([begin - offset[row], end - offset[row], np.array(chars, np.int64).reshape(-1, 2)]))
+        fields = [pa.array(c, pa.int32()) for c in np.concatenate(found).T]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.concatenate(counts))), pa.int32()), pa.StructArray.from_arrays(fields, names=["start", "end", "first_char", "end_char"]))
+
+    return run(text)
+
+
+def by_model(model: SequenceModel, dims: int = DIMS) -> Callable[[list[list[str]]], np.ndarray]:
+    """Labels as entity_spans takes them."""
+    number, vocabulary = np.array([LABELS.index(x) for x in model.labels], np.int8), Vocabulary(dims)
+    return lambda rows: number[model.labelled(rows, vocabulary)]
+
+
+def by_names(names: list[str]) -> Callable[[list[list[str]]], np.ndarray]:
+    """Labels as entity_spans takes them."""
+    label, number = labeller(names), {x: i for i, x in enumerate(LABELS)}
+    return lambda rows: np.array([number[x] for words in rows for x in label(words)], np.int8)
+
+
 def name_labels(words: Column, names: list[str]) -> Column:
-    """Labels of tokens by a list of names in small letters, each of one or more tokens between spaces: the longest name that
-    begins at a token counts, and its tokens begin no other."""
-    known: dict[str, list[list[str]]] = {}
-    for name in sorted(names, key=lambda n: -len(n.split())):
-        known.setdefault(name.split()[0], []).append(name.split())
+    """Labels of tokens by a list of names (labeller)."""
+    one = labeller(names)
 
     @F.pandas_udf("array<string>")
     def label(column: pd.Series) -> pd.Series:
-        def one(tokens):
-            if tokens is None:
-                return None
-            low, out, at = [x.casefold() for x in tokens], ["O"] * len(tokens), 0
-            while at < len(low):
-                n = next((len(x) for x in known.get(low[at], ()) if low[at : at + len(x)] == x), 0)
-                out[at : at + n] = ["B-ORG"] * (n > 0) + ["I-ORG"] * (n - 1)
-                at += n or 1
-            return out
-
-        return column.map(one)
+        return column.map(lambda words: None if words is None else one(words))
 
     return label(F.transform(words, lambda w: w["token"]))
 

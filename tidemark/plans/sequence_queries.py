@@ -26,9 +26,12 @@ def query(oracle: str | None = None):
     return add
 
 
-def labelled(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sq.seen_tokens(docs, "text").withColumn("gold", sq.name_labels(F.col("words"), KNOWN))
+def documents(spark, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def learned(docs: DataFrame) -> sq.SequenceModel:
+    return sq.fitted(sq.sampled(docs.filter("doc_id % 5 <> 0"), "text", sq.labeller(KNOWN)))
 
 
 TOKENS = r"t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN_]+(?:[.-][\pL\pN_]+)*|[^\pL\pN_\s]') AS w FROM documents)"
@@ -38,15 +41,16 @@ NAMED = "n AS (SELECT doc_id, name FROM (SELECT doc_id, w, unnest(range(1, len(w
 @query(sql(TOKENS, NAMED, "SELECT 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, count(*) AS true_positive, 0::BIGINT AS false_positive, 0::BIGINT AS false_negative FROM n WHERE doc_id % 5 = 0"))
 def sequence_f1(spark, sf_dir):
     """Spans of documents that the model did not learn from; the SQL counts what the extractor that labels them finds."""
-    rows = labelled(spark, sf_dir)
-    model = sq.trained(rows.filter("doc_id % 5 <> 0"))
-    return ent.span_scores(sq.predicted(rows.filter("doc_id % 5 = 0"), model), "gold", "predicted")
+    docs = documents(spark, sf_dir)
+    held_out, model = docs.filter("doc_id % 5 = 0"), learned(docs)
+    found = held_out.select(sq.entity_spans(F.col("text"), sq.by_names(KNOWN)).alias("gold"), sq.entity_spans(F.col("text"), sq.by_model(model)).alias("predicted"))
+    return ent.range_scores(found, "gold", "predicted")
 
 
 @query(sql(TOKENS, NAMED, "SELECT name AS mention, count(*) AS n, count(DISTINCT doc_id) AS docs FROM n GROUP BY name"))
 def sequence_mentions(spark, sf_dir):
     """What the model finds in all documents, as linked mentions."""
-    rows = labelled(spark, sf_dir)
-    model = sq.trained(rows.filter("doc_id % 5 <> 0"))
-    found = sq.mentions(sq.predicted(rows.select("doc_id", "text", "words", "ids"), model), "text")
-    return found.groupBy(F.lower("mention").alias("mention")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
+    docs = documents(spark, sf_dir)
+    found = docs.select("doc_id", "text", F.explode(sq.entity_spans(F.col("text"), sq.by_model(learned(docs)))).alias("s"))
+    mention = F.substr("text", F.col("s.first_char") + 1, F.col("s.end_char") - F.col("s.first_char"))
+    return found.groupBy(F.lower(mention).alias("mention")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
