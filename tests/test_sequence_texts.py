@@ -1,4 +1,4 @@
-"""The sequence model on whole texts: the same labels as on arrays of features, bounded samples."""
+"""The sequence model on whole texts: the same labels as on arrays of features, bounded samples, mentions across lines."""
 
 import numpy as np
 import pytest
@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import entities as ent
 from tidemark.operators import sequence as sq
+from tidemark.plans import sequence_queries
 
 WORDS = ["red", "Fox", "sees", "the", "DOG", "bank", "of", "north", "and", "12", "Hòa", "ﬁx", "😀", "weiß", "grund"]
 
@@ -67,3 +68,10 @@ def test_features_are_those_of_the_feature_table(spark):
         seen = f.asDict()
         mine = set(sq.own_features(w)) | (set(sq.side_features(words[i - 1], "back")) if i else {"first"}) | (set(sq.side_features(words[i + 1], "ahead")) if i < len(words) - 1 else {"last"})
         assert mine == {"bias"} | {f"{k}={v}" for k, v in seen.items() if v is not None and not isinstance(v, bool)} | {k for k, v in seen.items() if v is True}
+
+
+def test_mentions_across_lines_are_one_name(spark, tmp_path):
+    rows = [(i, "the dog in the house und of the garden que " * 6) for i in range(1, 9)] + [(10, "in\nthe OF \u0009 the")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.mention: (r.n, r.docs) for r in sequence_queries.sequence_mentions(spark, str(tmp_path)).collect()}
+    assert got == {"in the": (49, 9), "of the": (49, 9), "und": (48, 8), "que": (48, 8)}

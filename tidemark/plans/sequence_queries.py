@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import entities as ent
+from tidemark.functions.text import mention_key
 from tidemark.operators import sequence as sq
 from tidemark.plans.fixtures import sql, table
 
@@ -53,4 +54,4 @@ def sequence_mentions(spark, sf_dir):
     docs = documents(spark, sf_dir)
     found = docs.select("doc_id", "text", F.explode(sq.entity_spans(F.col("text"), sq.by_model(learned(docs)))).alias("s"))
     mention = F.substr("text", F.col("s.first_char") + 1, F.col("s.end_char") - F.col("s.first_char"))
-    return found.groupBy(F.lower(mention).alias("mention")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
+    return found.groupBy(mention_key(mention).alias("mention")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
