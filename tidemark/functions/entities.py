@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.functions.text import mention_key
 from tidemark.operators.sides import kept
@@ -27,36 +29,44 @@ def tokens(text: Column) -> Column:
     return cut(text)
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def folded(words: pd.Series) -> pd.Series:
-    """Each word in small letters as for comparing: case-folded."""
-    return words.map(lambda w: None if w is None else [x if x is None else x.casefold() for x in w])
+LONGEST = 20
+FORM = "struct<lower: string, last3: string, last2: string, first3: string, is_upper: boolean, is_title: boolean, is_digit: boolean, has_digit: boolean, length: int>"
 
 
-#: A title-cased token: each letter after a start or a sign that has no case is a capital, each other one is small.
-TITLE = r"^[^\p{Lu}\p{Lt}\p{Ll}]*(?:[\p{Lu}\p{Lt}]\p{Ll}*(?:[^\p{Lu}\p{Lt}\p{Ll}]+|$))+$"
-DIGIT = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉]"
-LONGEST = 20
+def form(w: str) -> tuple:
+    """A token case-folded, its ends, its case, its digits and its length up to LONGEST."""
+    low = w.casefold()
+    return low, low[-3:], low[-2:], low[:3], w.upper() == w and w.lower() != w, w.istitle(), w.isdigit(), any(c.isdigit() for c in w), min(len(w), LONGEST)
+
+
+def forms_of(words: Column) -> Column:
+    """The form of each word of an array; each distinct word of a batch is looked at once."""
+    names = ["lower", "last3", "last2", "first3", "is_upper", "is_title", "is_digit", "has_digit", "length"]
+    types = [pa.string()] * 4 + [pa.bool_()] * 4 + [pa.int32()]
+
+    @F.arrow_udf(f"array<{FORM}>")
+    def run(column: pa.Array) -> pa.Array:
+        flat = column.flatten().dictionary_encode()
+        columns = list(zip(*[form(w) for w in flat.dictionary.to_pylist()], strict=True)) or [()] * len(names)
+        distinct = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+        ends = np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), distinct.take(flat.indices), mask=column.is_null())
+
+    return run(words)
 
 
 def token_features(df: DataFrame, words: str, out: str = "features") -> DataFrame:
-    """df with an array of what a sequence labeller sees of each token of the array words (as from tokens): the token
-    case-folded, its ends, its case, its digits, its length up to LONGEST, and folded form and case of the neighbours (null at the
-    ends of the text, where first or last is true). A null array gives null."""
-    form = lambda w, low: F.struct(low.alias("lower"), ((F.upper(w) == w) & (F.lower(w) != w)).alias("is_upper"), F.rlike(w, F.lit(TITLE)).alias("is_title"))
+    """df with an array of what a sequence labeller sees of each token of the array words (as from tokens): the token's form, and
+    folded form and case of the neighbours (null at the ends of the text, where first or last is true). A null array gives null."""
     forms, n = free(df, "forms"), F.size(words)
-    nothing = F.array(F.lit(None).cast("struct<lower: string, is_upper: boolean, is_title: boolean>"))
-    plain = F.transform(words, lambda t: t["token"])
-    sides = df.withColumn(forms, folded(plain)).withColumn(forms, F.zip_with(plain, forms, form))
+    nothing = F.array(F.lit(None).cast(FORM))
+    sides = df.withColumn(forms, forms_of(F.transform(words, lambda t: t["token"])))
     own = F.col(forms)
-    zipped = F.arrays_zip(F.col(words).alias("t"), own.alias("own"), F.concat(nothing, F.slice(own, 1, F.greatest(n - 1, F.lit(0)))).alias("back"), F.concat(F.slice(own, 2, F.greatest(n - 1, F.lit(0))), nothing).alias("ahead"))
+    zipped = F.arrays_zip(own.alias("own"), F.concat(nothing, F.slice(own, 1, F.greatest(n - 1, F.lit(0)))).alias("back"), F.concat(F.slice(own, 2, F.greatest(n - 1, F.lit(0))), nothing).alias("ahead"))
 
     def features(z: Column, i: Column) -> Column:
-        w, lower = z["t"]["token"], z["own"]["lower"]
-        mine = [lower.alias("lower"), F.right(lower, F.lit(3)).alias("last3"), F.right(lower, F.lit(2)).alias("last2"), F.left(lower, F.lit(3)).alias("first3"), z["own"]["is_upper"].alias("is_upper"), z["own"]["is_title"].alias("is_title")]
-        mine += [F.rlike(w, F.lit(f"^{DIGIT}+$")).alias("is_digit"), F.rlike(w, F.lit(DIGIT)).alias("has_digit"), F.least(F.length(w), F.lit(LONGEST)).alias("length")]
         near = [z[side][c].alias(f"{side}_{c}") for side in ("back", "ahead") for c in ("lower", "is_upper", "is_title")]
-        return F.struct(*mine, *near, (i == 0).alias("first"), (i == n - 1).alias("last"))
+        return F.struct(*[z["own"][c].alias(c) for c in ("lower", "last3", "last2", "first3", "is_upper", "is_title", "is_digit", "has_digit", "length")], *near, (i == 0).alias("first"), (i == n - 1).alias("last"))
 
     return sides.withColumn(out, F.when(n > 0, F.transform(F.slice(zipped, 1, F.greatest(n, F.lit(1))), features)).when(n == 0, F.array())).drop(forms)
 

@@ -13,6 +13,7 @@ from tidemark.functions import text as tx
 from tidemark.functions.tickers import tickers
 from tidemark.operators import events as ev
 from tidemark.operators import gates, indicators, market, news, sessions, state
+from tidemark.operators.sides import spread
 from tidemark.plans.fixtures import BARS_EV, NEWS_DOC, NEWS_EV, bars_ev, news_doc, news_ev, returns_sql, sql, table
 from tidemark.plans.news_queries import COMPANIES, LOG, RULED, attempt_log, entity, gate_sql, in_news, silver
 from tidemark.schemas import MARKET, NEWS
@@ -177,7 +178,7 @@ def absolute_links(spark, sf_dir):
 
 @query("SELECT p_partkey, len(string_split(p_name, ' ')) AS tokens, length(p_name) AS last_end FROM part")
 def token_places(spark, sf_dir):
-    t = table(spark, sf_dir, "part").select("p_partkey", ent.tokens(F.col("p_name")).alias("t"))
+    t = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name")).select("p_partkey", ent.tokens(F.col("p_name")).alias("t"))
     return t.select("p_partkey", F.size("t").cast("long").alias("tokens"), F.element_at("t", -1)["end"].cast("long").alias("last_end"))
 
 
@@ -189,7 +190,8 @@ SIDES = ", ".join(f"{f}({c}) OVER s AS {side}_{c}" for f, side in (("lag", "back
 @query(sql(TOKENS, SEEN, f"SELECT p_partkey, i - 1 AS place, lower, right(lower, 3) AS last3, right(lower, 2) AS last2, left(lower, 3) AS first3, is_upper, is_title, regexp_full_match(w, '[0-9]+') AS is_digit, regexp_matches(w, '[0-9]') AS has_digit, least(length(w), 20) AS length, {SIDES}, lag(i) OVER s IS NULL AS first, lead(i) OVER s IS NULL AS last FROM v WINDOW s AS (PARTITION BY p_partkey ORDER BY i)"))
 def token_features(spark, sf_dir):
     """What a sequence labeller sees of each token of brand, type and name."""
-    t = table(spark, sf_dir, "part").select("p_partkey", ent.tokens(F.concat_ws(" ", "p_brand", "p_type", "p_name")).alias("t"))
+    texts = spread(table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_brand", "p_type", "p_name").alias("text")))
+    t = texts.select("p_partkey", ent.tokens(F.col("text")).alias("t"))
     seen = ent.token_features(t, "t").select("p_partkey", F.posexplode("features").alias("place", "f"))
     return seen.select("p_partkey", F.col("place").cast("long").alias("place"), "f.*").withColumn("length", F.col("length").cast("long"))
 
