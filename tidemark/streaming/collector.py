@@ -7,9 +7,9 @@ watermark allows. State is one small row per item, which ends with the item.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +23,6 @@ FIRST_PAUSE, LONGEST_PAUSE, RETRY_PAUSE = 120, 900, 3
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 REQUESTS = "key string, at timestamp, action string, attempts int, pauses int"
 STATE = StructType([StructField("attempts", IntegerType()), StructField("pauses", IntegerType()), StructField("due", LongType()), StructField("over", BooleanType())])
-EPOCH = dt.datetime(1970, 1, 1)
 
 
 def pause(pauses: int) -> int:
@@ -31,6 +30,14 @@ def pause(pauses: int) -> int:
     return min(FIRST_PAUSE * 2 ** min(pauses, 10), LONGEST_PAUSE)
 
 
+def frame(rows: list[tuple]) -> list[pd.DataFrame]:
+    """Requests (times in microseconds) as a table; none, if there are none."""
+    if not rows:
+        return []
+    key, at, action, attempts, pauses = zip(*rows, strict=True)
+    return [pd.DataFrame({"key": list(key), "at": np.array(at, "datetime64[us]"), "action": list(action), "attempts": list(attempts), "pauses": list(pauses)})]
+
+
 class Collector(StatefulProcessor):
     """Rows (key, at, status): status is seen, success, failed, rate_limited or skipped.
 
@@ -45,47 +52,46 @@ class Collector(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("item", STATE)
 
-    def fetched(self, key: str, due: int, attempts: int, pauses: int) -> tuple:
-        return key, EPOCH + dt.timedelta(milliseconds=due), "fetch", attempts, pauses
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         name, out = key[0], []
-        events = pd.concat(rows).sort_values(["at", "turn"], kind="stable")
-        new = not self.state.exists()
-        attempts, pauses, due, over = (0, 0, 0, False) if new else self.state.get()
-        armed = due
-        for at, status in zip(events["at"], events["status"], strict=True):
-            now = int((at.to_pydatetime() - EPOCH) / dt.timedelta(milliseconds=1))
+        parts = [(r["at"].to_numpy("datetime64[us]").astype("int64"), r["turn"].to_numpy("int64"), r["status"].to_numpy(object)) for r in rows]
+        micros, turn, status = (np.concatenate(c) if len(parts) > 1 else c[0] for c in zip(*parts, strict=True))
+        order = np.lexsort((turn, micros))
+        old = self.state.get()  # a call out of the process: each is made only where it changes something
+        attempts, pauses, due, over = before = old or (0, 0, 0, False)
+        new, armed = old is None, due
+        for at, what in zip(micros[order].tolist(), status[order].tolist(), strict=True):
+            now = at // 1000
             if new:
-                out.append((name, at.to_pydatetime(), "publish", 0, 0))
+                out.append((name, at, "publish", 0, 0))
                 new = False
             if over:
                 break
             if due and due <= now:
-                out.append(self.fetched(name, due, attempts, pauses))
+                out.append((name, due * 1000, "fetch", attempts, pauses))
                 due = 0
-            if status == "rate_limited":
+            if what == "rate_limited":
                 due, pauses = now + 1000 * pause(pauses), pauses + 1
-            elif status == "failed":
+            elif what == "failed":
                 attempts, due = attempts + 1, now + 1000 * RETRY_PAUSE
                 if attempts >= self.limit:
                     over, due = True, 0
-                    out.append((name, at.to_pydatetime(), "give_up", attempts, pauses))
-            elif status in ("success", "skipped"):
+                    out.append((name, at, "give_up", attempts, pauses))
+            elif what in ("success", "skipped"):
                 over, due = True, 0
         if armed and armed != due:
             self.handle.deleteTimer(armed)
         if due and armed != due:
             self.handle.registerTimer(due)
-        self.state.update((attempts, pauses, due, over))
-        yield pd.DataFrame(out, columns=["key", "at", "action", "attempts", "pauses"])
+        if old is None or (attempts, pauses, due, over) != tuple(before):
+            self.state.update((attempts, pauses, due, over))
+        yield from frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         attempts, pauses, due, over = self.state.get()
-        fires = due == expiredTimerInfo.getExpiryTimeInMs()
-        if fires:
+        if due == expiredTimerInfo.getExpiryTimeInMs():
             self.state.update((attempts, pauses, 0, over))
-        yield pd.DataFrame([self.fetched(key[0], due, attempts, pauses)] if fires else [], columns=["key", "at", "action", "attempts", "pauses"])
+            yield from frame([(key[0], due * 1000, "fetch", attempts, pauses)])
 
     def close(self) -> None:
         pass
