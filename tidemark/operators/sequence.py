@@ -4,9 +4,13 @@ Tokens are seen through hashed features (array<array<int>>), a row is one sequen
 the token's features and of the step from the label before; features that training did not meet weigh nothing, but that a form
 is one of them is a feature. Training maximises
 the likelihood less l2 / 2 times the squared weights: each evaluation is one job in which tasks run forward and backward over their
-sequences, all sequences of a batch at once, and send one row per feature that they met; the sums, bounded by the features of the
-sample, meet the weights on the driver, which takes a quasi-Newton step with a bounded history. Rows to learn from are counted and,
-beyond a stated number, chosen by hash; decoding covers all rows.
+sequences, all sequences of a batch at once, and send one row per feature that they met; the sums meet the weights on the driver,
+which takes a quasi-Newton step with a bounded history.
+
+There are two ways to learn. learned takes all tokens of all texts, however many. So that the weights stay few, l1 times their
+sizes is taken off as well: most are 0 then, and only features with a weight, or whose slope over all tokens exceeds l1, so that
+they must get one, are with the driver and in the evaluations. trained and fitted take label arrays or pieces of a bounded number
+and weigh every feature that two tokens have.
 
 Whole texts are labelled in the task that reads them (spans): tokens, features and labels never leave it, only the entities do.
 What a token adds to the scores, its own and those of its neighbours, is summed once for each distinct token of a slice of texts.
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.entities import LONGEST, ranges, token, tokens
+from tidemark.operators.sides import spread
 
 LABELS = ["O", "B-ORG", "I-ORG"]
 #: Features are numbered by hash. There are so many numbers that two features hardly ever share one.
@@ -34,8 +39,12 @@ DIMS = 1 << 31
 UNSEEN = -1
 #: Tokens that are scored together, padded to the longest sequence of a batch.
 BATCH_TOKENS = 1 << 16
-#: Training takes sequences in pieces of so many tokens, and so many pieces at most. Decoding takes whole sequences.
+#: Training takes sequences in pieces of so many tokens; trained takes so many pieces at most. Decoding takes whole sequences.
 PIECE_TOKENS, MOST_PIECES = 128, 8_000
+#: Characters of texts whose tokens learned holds in one row, and tokens that it goes through at a time.
+LEARN_CHARS, LEARN_TOKENS = 8_000_000, 1 << 17
+#: So many features at most begin to be weighed at a time, the steepest of those outside.
+MOST_NEW = 2_000
 #: Characters of texts that a task cuts into tokens at a time (at least one whole text).
 SLICE_CHARS = 2_000_000
 SPANS = "array<struct<start: int, end: int, first_char: int, end_char: int>>"
@@ -61,11 +70,15 @@ def numbered(features: list[str], dims: int) -> list[int]:
     return [zlib.crc32(f.encode()) % dims for f in features]
 
 
+#: The hashes so far of features that go on with a token or an end of it.
+BEGINS = [zlib.crc32(f"{x}=".encode()) for x in ("lower", "last3", "last2", "first3", "back_lower", "ahead_lower")]
+
+
 class Vocabulary:
     """Numbers of the features of tokens, each token looked at once; forgets all when it is full."""
 
     def __init__(self, dims: int = DIMS, room: int = 100_000):
-        self.dims, self.room, self.seen = dims, room, {}
+        self.dims, self.room, self.seen, self.shared = dims, room, {}, {}
         self.ends = [numbered(["first"], dims), numbered(["last"], dims)]
 
     def __call__(self, w: str) -> tuple[list[int], list[int], list[int]]:
@@ -74,9 +87,23 @@ class Vocabulary:
         if out is None:
             if len(self.seen) >= self.room:
                 self.seen.clear()
-            out = self.seen[w] = tuple(numbered(f, self.dims) for f in (own_features(w), side_features(w, "back"), side_features(w, "ahead")))
+            out = self.seen[w] = self.looked_at(w)
         return out
 
+    def looked_at(self, w: str) -> tuple[list[int], list[int], list[int]]:
+        """The numbers of own_features and of side_features of both sides. Those that many tokens share are looked up, and what
+        begins alike is hashed from there on."""
+        low, case = w.casefold(), tuple(cases(w))
+        shared = (case, min(len(w), LONGEST), w.isdigit(), any(map(str.isdigit, w)))
+        if shared not in self.shared:
+            _, length, digit, has_digit = shared
+            rest = [[f"length={length}", "bias", *case, *["is_digit"] * digit, *["has_digit"] * has_digit], [f"back_{c}" for c in case], [f"ahead_{c}" for c in case]]
+            self.shared[shared] = [numbered(f, self.dims) for f in rest]
+        own, back, ahead = self.shared[shared]
+        whole, dims = low.encode(), self.dims
+        after = [zlib.crc32(x, begin) % dims for x, begin in zip((whole, low[-3:].encode(), low[-2:].encode(), low[:3].encode(), whole, whole), BEGINS, strict=True)]
+        return after[:4] + own, after[4:5] + back, after[5:] + ahead
+
     def ids(self, words: list[str], begin: int = 0, end: int | None = None) -> list[list[int]]:
         """Features of the tokens from begin to end of a sequence."""
         n, out = len(words), []
@@ -248,11 +275,11 @@ class SequenceModel:
 
 def compacted(flat: np.ndarray, counts: np.ndarray, known: np.ndarray, tokens: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Places of features among the known ones, without the others, and how many each group has left. In groups that are tokens
-    the first feature, the token's form, counts as UNSEEN where it is not known."""
+    the first feature, the token's form, counts as UNSEEN where it is not known, if UNSEEN is."""
     at = np.searchsorted(known, flat)
     held = at < len(known)
     held[held] = known[at[held]] == flat[held]
-    if tokens and len(flat):
+    if tokens and len(flat) and len(known) and known[0] == UNSEEN:
         forms = (np.cumsum(counts) - counts)[counts > 0]
         forms = forms[~held[forms]]
         at[forms], held[forms] = np.searchsorted(known, UNSEEN), True
@@ -321,11 +348,12 @@ def labeller(names: list[str]) -> Callable[[list[str]], list[str]]:
         known.setdefault(name.split()[0], []).append(name.split())
 
     def labels(words: list[str]) -> list[str]:
-        low, out, at = [x.casefold() for x in words], ["O"] * len(words), 0
-        while at < len(low):
-            n = next((len(x) for x in known.get(low[at], ()) if low[at : at + len(x)] == x), 0)
-            out[at : at + n] = ["B-ORG"] * (n > 0) + ["I-ORG"] * (n - 1)
-            at += n or 1
+        low, out, end = [x.casefold() for x in words], ["O"] * len(words), 0
+        for at in [i for i, x in enumerate(low) if x in known]:
+            n = next((len(x) for x in known[low[at]] if low[at : at + len(x)] == x), 0) if at >= end else 0
+            if n:
+                end = at + n
+                out[at:end] = ["B-ORG"] + ["I-ORG"] * (n - 1)
         return out
 
     return labels
@@ -411,12 +439,21 @@ def maximised(rows: DataFrame, dims: int, labels: list[str], l2: float, rounds:
     return x[: dims * k].reshape(dims, k), x[dims * k :].reshape(k, k)
 
 
-def descended(loss, x: np.ndarray, rounds: int, tolerance: float, memory: int = 6) -> np.ndarray:
-    """A minimum by limited-memory quasi-Newton steps; a step is halved until it lowers the loss enough."""
+def descended(loss, x: np.ndarray, rounds: int, tolerance: float, memory: int = 6, l1: float = 0.0, history: list | None = None) -> np.ndarray:
+    """A minimum of the loss and l1 times the sizes of x, by limited-memory quasi-Newton steps; a step is halved until it lowers
+    the sum enough. With l1 a step goes by the side on which the sum falls at 0, and what would change its sign becomes 0. history,
+    where it is given, holds the last steps of an earlier call and takes those of this one."""
+
+    def side(x: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        at_zero = np.sign(slope) * np.maximum(np.abs(slope) - l1, 0.0)
+        return np.where(x == 0, at_zero, slope + l1 * np.sign(x)) if l1 else slope
+
+    history = [] if history is None else history
     value, slope = loss(x)
-    history: list[tuple[np.ndarray, np.ndarray, float]] = []
+    value += l1 * float(np.abs(x).sum())
     for _ in range(rounds):
-        way, kept = -slope, []
+        steep = side(x, slope)
+        way, kept = -steep, []
         for s, y, r in reversed(history):
             kept.append(r * (s @ way))
             way = way - kept[-1] * y
@@ -424,27 +461,336 @@ def descended(loss, x: np.ndarray, rounds: int, tolerance: float, memory: int =
             s, y, r = history[-1]
             way = way / (r * (y @ y))
         else:
-            way = way / max(1.0, float(np.linalg.norm(slope)))
+            way = way / max(1.0, float(np.linalg.norm(steep)))
         for (s, y, r), a in zip(history, reversed(kept), strict=True):
             way = way + (a - r * (y @ way)) * s
-        fall, size = float(slope @ way), 1.0
+        if l1:
+            way = np.where(way * steep < 0, way, 0.0)
+        sign, size = np.where(x == 0, -np.sign(steep), np.sign(x)), 1.0
         while True:
-            after, after_slope = loss(x + size * way)
-            if after <= value + 1e-4 * size * fall or size < 1e-6:
+            to = x + size * way
+            to = np.where(to * sign > 0, to, 0.0) if l1 else to
+            after, after_slope = loss(to)
+            after += l1 * float(np.abs(to).sum())
+            if after <= value + 1e-4 * float(steep @ (to - x)) or size < 1e-6:
                 break
             size /= 2
         if size < 1e-6:
             break
-        s, y = size * way, after_slope - slope
+        s, y = to - x, after_slope - slope
         if s @ y > 1e-12:
-            history = [*history, (s, y, 1.0 / float(s @ y))][-memory:]
+            history[:] = [*history, (s, y, 1.0 / float(s @ y))][-memory:]
         done = value - after <= tolerance * max(1.0, abs(value))
-        x, value, slope = x + s, after, after_slope
+        x, value, slope = to, after, after_slope
         if done:
             break
     return x
 
 
+#: What rows of learned hold: the tokens of texts (begin and end of a text are 0 and 1) and their labels, the places and lengths of the
+#: pieces, the features of each distinct token and how many it has for itself, the token after and the token before it.
+CUT = {"codes": np.int32, "gold": np.int8, "starts": np.int32, "lengths": np.int32, "ids": np.int32, "counts": np.uint8}
+#: The same by contexts, which are sets of weighed features: that of each token, piece by piece (in_order), the features of each
+#: context and how often it has each label, how often a label follows another.
+MET = {"at": np.int32, "lengths": np.int32, "flat": np.int32, "counts": np.int32, "gold": np.int32, "pairs": np.int64}
+#: The same without the order of the tokens.
+APART = {c: MET[c] for c in ("flat", "counts", "gold")}
+
+
+def ddl(kinds: dict) -> str:
+    return ", ".join(f"{c} binary" for c in kinds)
+
+
+def stored(kinds: dict, parts: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(parts[c], kind).tobytes()], pa.binary()) for c, kind in kinds.items()], names=list(kinds))
+
+
+def loaded(kinds: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: np.frombuffer(batch.column(j)[i].as_py(), kind) for j, (c, kind) in enumerate(kinds.items())}
+
+
+def cut(texts: list[str], label: Callable[[list[str]], list[str]], labels: list[str], dims: int) -> dict | None:
+    """CUT of some texts; None if they have no tokens."""
+    known, number, vocabulary = {}, {x: i for i, x in enumerate(labels)}, Vocabulary(dims, 1)
+    codes, gold, starts, lengths, at = [], [], [], [], 0
+    for t in texts:
+        words = token.findall(t)
+        if words:
+            codes.append(np.array([0, *[known.setdefault(w, len(known) + 2) for w in words], 1], np.int32))
+            gold.append(np.array([0, *[number[y] for y in label(words)], 0], np.int8))
+            begins = np.arange(0, len(words), PIECE_TOKENS)
+            starts.append(at + 1 + begins)
+            lengths.append(np.minimum(PIECE_TOKENS, len(words) - begins))
+            at += len(words) + 2
+    if not codes:
+        return None
+    first, last = vocabulary.ends
+    own, back, ahead = zip(([], first, []), ([], [], last), *[vocabulary(w) for w in known], strict=True)
+    ids = [i for groups in (own, back, ahead) for g in groups for i in g]
+    lengths, order = np.concatenate(lengths), np.argsort(-np.concatenate(lengths), kind="stable")
+    return {"codes": np.concatenate(codes), "gold": np.concatenate(gold), "starts": np.concatenate(starts)[order], "lengths": lengths[order], "ids": ids, "counts": [len(g) for groups in (own, back, ahead) for g in groups]}
+
+
+def parted(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of pieces, the longest first, with a bounded number of tokens."""
+    ends, a = np.cumsum(lengths), 0
+    while a < len(lengths):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - lengths[a] + LEARN_TOKENS, side="right")))
+        yield a, b
+        a = b
+
+
+def in_order(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of the tokens of pieces: part by part (parted), in a part all first tokens, then all second ones, and so on."""
+    out = []
+    for a, b in parted(lengths):
+        step = np.arange(lengths[a])[:, None]
+        out.append((starts[a:b] + step)[step < lengths[a:b]])
+    return np.concatenate(out)
+
+
+def weighed(ids: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which features are among the known ones (sorted), and their places there."""
+    near = np.zeros(1 << 16, bool)
+    near[known & 0xFFFF] = True  # most others are seen by their last bits
+    hit = np.flatnonzero(near[ids & 0xFFFF])
+    at = np.minimum(np.searchsorted(known, ids[hit]), len(known) - 1)
+    same = known[at] == ids[hit]
+    return hit[same], at[same]
+
+
+def contexts(part: dict, known: np.ndarray, k: int) -> dict:
+    """MET of CUT: tokens with the same weighed features, their own and those by their neighbours, are one context."""
+    n = len(part["counts"]) // 3
+    hit, at = weighed(part["ids"], known)
+    size = np.bincount(np.repeat(np.arange(3 * n), part["counts"])[hit], minlength=3 * n)
+    begin = np.cumsum(size) - size
+    mark = np.zeros(3 * n, np.uint64)  # of a set of features, by 64 bits of each
+    mixed = np.frombuffer(b"".join(hashlib.blake2b(x.tobytes(), digest_size=8).digest() for x in known), np.uint64)
+    if len(at):
+        mark[size > 0] = np.add.reduceat(mixed[at], begin[size > 0])
+    sets = [np.unique(mark[r * n : r * n + n], return_index=True, return_inverse=True)[1:] for r in range(3)]
+    places = in_order(part["starts"], part["lengths"])
+    key = np.zeros(len(places), np.int64)
+    for r, (firsts, of) in enumerate(sets):
+        key = key * len(firsts) + of[part["codes"][places + (0, -1, 1)[r]]]
+    token_at, keys = pd.factorize(key)
+    groups = []
+    for r in (2, 1, 0):
+        keys, left = np.divmod(keys, len(sets[r][0]))
+        groups.append(sets[r][0][left] + r * n)
+    groups = np.stack(groups, 1).ravel()
+    sizes = size[groups]
+    flat = at[np.repeat(begin[groups] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+    y = part["gold"][places].astype(np.int64)
+    pairs, at_token = np.zeros(k * k, np.int64), 0
+    for a, b in parted(part["lengths"]):
+        for before, after in steps_of(part["lengths"][a:b], at_token):
+            pairs += np.bincount(y[before] * k + y[after], minlength=k * k)
+        at_token += int(part["lengths"][a:b].sum())
+    d = len(groups) // 3
+    return {"at": token_at, "lengths": part["lengths"], "flat": flat, "counts": sizes.reshape(d, 3).sum(1), "gold": np.bincount(token_at * k + y, minlength=d * k), "pairs": pairs}
+
+
+def steps_of(lengths: np.ndarray, at: int = 0) -> list[tuple[slice, slice]]:
+    """Places of tokens of a part that begins at a place, and of those that follow them, step by step."""
+    live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+    begin = at + np.cumsum(live) - live
+    return [(slice(a, a + n), slice(b, b + n)) for a, b, n in zip(begin[:-1].tolist(), begin[1:].tolist(), live[1:].tolist(), strict=True)]
+
+
+def chances(part: dict, score: np.ndarray, steps: np.ndarray) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
+    """Of each part of MET: where it begins, the logarithm of the sum over all label sequences, the chances of each token's labels
+    (labels x tokens) and the expected steps. score: labels x contexts."""
+    high = score.max(0)
+    table, move, begin = np.exp(score - high), np.exp(steps), 0
+    for a, b in parted(part["lengths"]):
+        lengths = part["lengths"][a:b]
+        at = part["at"][begin : begin + int(lengths.sum())]
+        e = table[:, at]
+        forward, scale, follow = np.empty_like(e), np.empty(len(at)), steps_of(lengths)
+        first = b - a
+        scale[:first] = e[:, :first].sum(0)
+        forward[:, :first] = e[:, :first] / scale[:first]
+        for before, after in follow:
+            x = (move.T @ forward[:, before]) * e[:, after]
+            scale[after] = x.sum(0)
+            np.divide(x, scale[after], out=forward[:, after])
+        e /= scale
+        backward = np.ones_like(e)
+        for before, after in reversed(follow):
+            backward[:, before] = move @ (backward[:, after] * e[:, after])
+        p = forward * backward
+        by_step = np.zeros_like(steps)
+        if follow:
+            backward *= e
+            by_step = move * (np.concatenate([forward[:, before] for before, _ in follow], 1) @ backward[:, first:].T)
+        yield begin, float(np.log(scale).sum() + high[at].sum()), p, by_step
+        begin += len(at)
+
+
+def scored(part: dict, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of the contexts of MET (labels x contexts), and the context of each of its features."""
+    of = np.repeat(np.arange(len(part["counts"])), part["counts"])
+    return np.stack([np.bincount(of, w[part["flat"]], len(part["counts"])) for w in weights.T]), of
+
+
+def slopes(part: dict, weights: np.ndarray, steps: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood of the labels of MET, its slope in the weights, and in the steps."""
+    k, n = len(steps), len(part["counts"])
+    score, of = scored(part, weights)
+    gold, pairs = part["gold"].reshape(n, k).T, part["pairs"].reshape(k, k)
+    total, away, by_step = float((gold * score).sum() + (pairs * steps).sum()), gold.astype(float), pairs.astype(float)
+    for begin, log_sum, p, expected in chances(part, score, steps):
+        at = part["at"][begin : begin + p.shape[1]]
+        for y in range(1, k):
+            away[y] -= np.bincount(at, p[y], n)
+        total, by_step = total - log_sum, by_step - expected
+    away[0] = -away[1:].sum(0)  # chances sum to 1
+    return total, np.stack([np.bincount(part["flat"], x[of], len(weights)) for x in away], 1), by_step
+
+
+def slopes_apart(part: dict, weights: np.ndarray) -> tuple[float, np.ndarray]:
+    """slopes of APART without steps: tokens of one context are alike."""
+    k, n = weights.shape[1], len(part["counts"])
+    score, of = scored(part, weights)
+    gold, high = part["gold"].reshape(n, k).T.astype(float), score.max(0)
+    e, many = np.exp(score - high), gold.sum(0)
+    z = e.sum(0)
+    away = gold - e * (many / z)
+    away[0] = -away[1:].sum(0)
+    return float((gold * (score - high)).sum() - (many * np.log(z)).sum()), np.stack([np.bincount(part["flat"], x[of], len(weights)) for x in away], 1)
+
+
+def steep_features(part: dict, known: np.ndarray, weights: np.ndarray, steps: np.ndarray, least: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood of the labels of CUT, and all features with a slope over least in a label, with their slopes."""
+    k, n = len(steps), len(part["counts"]) // 3
+    met, places = contexts(part, known, k), in_order(part["starts"], part["lengths"])
+    score, _ = scored(met, weights)
+    total = float((met["gold"].reshape(-1, k).T * score).sum() + (met["pairs"].reshape(k, k) * steps).sum())
+    away = np.zeros((k, 3 * n))
+    for begin, log_sum, p, _ in chances(met, score, steps):
+        at = places[begin : begin + p.shape[1]]
+        np.negative(p, out=p)
+        p[part["gold"][at], np.arange(len(at))] += 1
+        for r, near in enumerate((0, -1, 1)):
+            code = part["codes"][at + near]
+            for y in range(k):
+                away[y, r * n : r * n + n] += np.bincount(code, p[y], n)
+        total -= log_sum
+    of = np.repeat(np.arange(3 * n), part["counts"])
+    numbers, place = np.unique(part["ids"], return_inverse=True)
+    sums = np.stack([np.bincount(place, x[of], len(numbers)) for x in away], 1)
+    steep = np.abs(sums).max(1) > least
+    return total, numbers[steep], sums[steep]
+
+
+def learned(df: DataFrame, text: str, label: Callable[[list[str]], list[str]], labels: list[str] = LABELS, dims: int = DIMS, l1: float = 0.1, l2: float = 0.1, rounds: int = 60, tolerance: float = 1e-2) -> SequenceModel:
+    """A model of all tokens of all texts, each as often as it occurs: the greatest likelihood of the labels that label gives, less
+    l1 times the sizes of the weights and l2 / 2 times their squares.
+
+    The texts are cut into tokens once. The features whose slope exceeds a thousandth of the tokens come first, and are weighed
+    without steps first, which looks at each context once however many tokens it has; from there on whole sequences count. Then
+    features outside whose slope exceeds l1 over all texts come in. The others have none over l1, so their best weight is 0. It ends
+    when there is none left to come in, or when those that came in last changed the sum by no more than the tolerance."""
+    k = len(labels)
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, room = [], LEARN_CHARS
+        for batch in batches:
+            for t in batch.column(0):
+                t = t.as_py() or ""
+                if texts and len(t) > room:
+                    if part := cut(texts, label, labels, dims):
+                        yield stored(CUT, part)
+                    texts, room = [], LEARN_CHARS
+                texts.append(t)
+                room -= len(t)
+        if texts and (part := cut(texts, label, labels, dims)):
+            yield stored(CUT, part)
+
+    raw = spread(df.select(text)).mapInArrow(cut_up, ddl(CUT)).persist()
+    try:
+        parts, tokens = raw.agg(F.count("*"), F.coalesce(F.sum(F.length("gold")), F.lit(0))).first()
+        known, x, history, before = np.array(numbered(["bias"], dims)), np.zeros((k + 1) * k), [], np.inf
+        if parts:
+            known = np.append(known, outside(raw, known, x[k * k :].reshape(-1, k), x[: k * k].reshape(k, k), max(l1, tokens / 1000), parts)[1])
+            x = lowered(raw, known, np.zeros((len(known) + k) * k), k, l1, l2, rounds, tolerance, history, chained=False)
+            kept = np.append(np.ones(k, bool), x[k * k :].reshape(-1, k).any(1))
+            known, kept = known[kept[k:]], np.repeat(kept, k)
+            x, history = x[kept], [(s[kept], y[kept], r) for s, y, r in history]
+        while parts:
+            x = lowered(raw, known, x, k, l1, l2, rounds, tolerance, history)
+            order = np.argsort(known)
+            total, new = outside(raw, known[order], x[k * k :].reshape(-1, k)[order], x[: k * k].reshape(k, k), l1, parts)
+            value = -total + l1 * float(np.abs(x).sum()) + l2 / 2 * float(x @ x)
+            if not len(new) or before - value <= tolerance * max(1.0, value):
+                break
+            known, before = np.append(known, new), value
+            longer = lambda v: np.append(v, np.zeros((len(known) + k) * k - len(v)))
+            x, history = longer(x), [(longer(s), longer(y), r) for s, y, r in history]
+    finally:
+        raw.unpersist()
+    weights, order = x[k * k :].reshape(-1, k), np.argsort(known)
+    order = order[weights[order].any(1)]
+    return SequenceModel(weights[order], x[: k * k].reshape(k, k), list(labels), known[order])
+
+
+def outside(raw: DataFrame, known: np.ndarray, weights: np.ndarray, steps: np.ndarray, bound: float, parts: int) -> tuple[float, np.ndarray]:
+    """Log-likelihood over all rows, and the features, steepest first, that are not known and whose slope exceeds the bound in a
+    label. A row leaves out slopes that over all rows can't add up to a tenth of the bound, so one of nine tenths counts."""
+    k = len(steps)
+    names = [f"g{j}" for j in range(k)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in loaded(CUT, batches):
+            total, numbers, sums = steep_features(part, known, weights, steps, bound / 10 / parts)
+            rest = ~np.isin(numbers, known)
+            numbers, sums = np.append(numbers[rest].astype(np.int64), -1), np.vstack([sums[rest], [total] + [0.0] * (k - 1)])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), *(pa.array(c) for c in sums.T)], names=["i", *names])
+
+    sums = raw.mapInArrow(run, "i long, " + ", ".join(f"{c} double" for c in names)).groupBy("i").agg(*[F.sum(c).alias(c) for c in names])
+    steep = F.greatest(*[F.abs(c) for c in names])
+    found = sums.select("i", "g0", F.when(F.col("i") < 0, float("inf")).otherwise(steep).alias("steep")).filter(F.col("steep") > 0.9 * bound).orderBy(F.desc("steep"), "i").limit(MOST_NEW + 1).toArrow()
+    return float(found.column("g0")[0].as_py()), found.column("i").to_numpy()[1:]
+
+
+def lowered(raw: DataFrame, known: np.ndarray, x: np.ndarray, k: int, l1: float, l2: float, rounds: int, tolerance: float, history: list, chained: bool = True) -> np.ndarray:
+    """Steps and weights (by feature, as known has them) of the greatest penalised likelihood, from x on; without chained the steps
+    are left at 0. Each evaluation is one job with a task for each core; a task sends one sum of its rows."""
+    order, kinds = np.argsort(known), MET if chained else APART
+    ordered, cores = known[order], raw.sparkSession.sparkContext.defaultParallelism
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in loaded(CUT, batches):
+            yield stored(kinds, contexts(part, ordered, k))
+
+    met = raw.mapInArrow(meet, ddl(kinds)).persist()
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        weights, steps = x[k * k :].reshape(-1, k)[order], x[: k * k].reshape(k, k)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((1 + k + len(weights), k))
+            for part in loaded(kinds, batches):
+                total, by_weight, by_step = slopes(part, weights, steps) if chained else (*slopes_apart(part, weights), np.zeros((k, k)))
+                sums += np.vstack([[total] + [0.0] * (k - 1), by_step, by_weight])
+            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+        sums = met.coalesce(cores).mapInArrow(run, "sums binary").toArrow().column("sums")
+        out = sum(np.frombuffer(one.as_py()) for one in sums).reshape(-1, k)
+        by_weight = np.empty_like(weights)
+        by_weight[order] = out[1 + k :]
+        return -float(out[0, 0]) + l2 / 2 * float(x @ x), l2 * x - np.concatenate([out[1 : 1 + k].ravel(), by_weight.ravel()])
+
+    try:
+        return descended(loss, x, rounds, tolerance, memory=20, l1=l1, history=history)
+    finally:
+        met.unpersist()
+
+
 def predicted(df: DataFrame, model: SequenceModel, ids: str = "ids", out: str = "predicted") -> DataFrame:
     """df with the most likely labels of each token; an empty array for a row without tokens, null for null."""
 

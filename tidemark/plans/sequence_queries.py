@@ -32,7 +32,8 @@ def documents(spark, sf_dir: str) -> DataFrame:
 
 
 def learned(docs: DataFrame) -> sq.SequenceModel:
-    return sq.fitted(sq.sampled(docs.filter("doc_id % 5 <> 0"), "text", sq.labeller(KNOWN)))
+    """A model of all documents that are not held out."""
+    return sq.learned(docs.filter("doc_id % 5 <> 0"), "text", sq.labeller(KNOWN))
 
 
 TOKENS = r"t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN_]+(?:[.-][\pL\pN_]+)*|[^\pL\pN_\s]') AS w FROM documents)"
