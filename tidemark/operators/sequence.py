@@ -490,11 +490,12 @@ def descended(loss, x: np.ndarray, rounds: int, tolerance: float, memory: int =
 #: What rows of learned hold: the tokens of texts (begin and end of a text are 0 and 1) and their labels, the places and lengths of the
 #: pieces, the features of each distinct token and how many it has for itself, the token after and the token before it.
 CUT = {"codes": np.int32, "gold": np.int8, "starts": np.int32, "lengths": np.int32, "ids": np.int32, "counts": np.uint8}
-#: The same by contexts, which are sets of weighed features: that of each token, piece by piece (in_order), the features of each
-#: context and how often it has each label, how often a label follows another.
-MET = {"at": np.int32, "lengths": np.int32, "flat": np.int32, "counts": np.int32, "gold": np.int32, "pairs": np.int64}
+#: The same by contexts: that of each token, piece by piece (in_order), the sets of weighed features that make a context (a token's own
+#: and those by its neighbours) and how many tokens it has; the features of each set and how often it has each label, and how often a
+#: label follows another.
+MET = {"at": np.int32, "lengths": np.int32, "sets": np.int32, "many": np.int32, "flat": np.int32, "counts": np.int32, "gold": np.int32, "pairs": np.int64}
 #: The same without the order of the tokens.
-APART = {c: MET[c] for c in ("flat", "counts", "gold")}
+APART = {c: MET[c] for c in ("sets", "many", "flat", "counts", "gold")}
 
 
 def ddl(kinds: dict) -> str:
@@ -577,21 +578,22 @@ def contexts(part: dict, known: np.ndarray, k: int) -> dict:
     for r, (firsts, of) in enumerate(sets):
         key = key * len(firsts) + of[part["codes"][places + (0, -1, 1)[r]]]
     token_at, keys = pd.factorize(key)
-    groups = []
-    for r in (2, 1, 0):
-        keys, left = np.divmod(keys, len(sets[r][0]))
-        groups.append(sets[r][0][left] + r * n)
-    groups = np.stack(groups, 1).ravel()
-    sizes = size[groups]
-    flat = at[np.repeat(begin[groups] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
-    y = part["gold"][places].astype(np.int64)
+    y, gold, in_sets, words, at_set = part["gold"][places].astype(np.int64), [], [], [], sum(len(firsts) for firsts, _ in sets)
+    for r, (firsts, of) in reversed(list(enumerate(sets))):
+        keys, mine = np.divmod(keys, len(firsts))
+        at_set -= len(firsts)
+        in_sets.append(mine + at_set)
+        words.append(firsts + r * n)
+        gold.append(np.bincount(mine[token_at] * k + y, minlength=len(firsts) * k))
+    words, gold = np.concatenate(words[::-1]), np.concatenate(gold[::-1])
+    sizes = size[words]
+    flat = at[np.repeat(begin[words] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
     pairs, at_token = np.zeros(k * k, np.int64), 0
     for a, b in parted(part["lengths"]):
         for before, after in steps_of(part["lengths"][a:b], at_token):
             pairs += np.bincount(y[before] * k + y[after], minlength=k * k)
         at_token += int(part["lengths"][a:b].sum())
-    d = len(groups) // 3
-    return {"at": token_at, "lengths": part["lengths"], "flat": flat, "counts": sizes.reshape(d, 3).sum(1), "gold": np.bincount(token_at * k + y, minlength=d * k), "pairs": pairs}
+    return {"at": token_at, "lengths": part["lengths"], "sets": np.concatenate(in_sets[::-1]), "many": np.bincount(token_at), "flat": flat, "counts": sizes, "gold": gold, "pairs": pairs}
 
 
 def steps_of(lengths: np.ndarray, at: int = 0) -> list[tuple[slice, slice]]:
@@ -631,45 +633,53 @@ def chances(part: dict, score: np.ndarray, steps: np.ndarray) -> Iterator[tuple[
         begin += len(at)
 
 
-def scored(part: dict, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores of the contexts of MET (labels x contexts), and the context of each of its features."""
-    of = np.repeat(np.arange(len(part["counts"])), part["counts"])
-    return np.stack([np.bincount(of, w[part["flat"]], len(part["counts"])) for w in weights.T]), of
+def scored(part: dict, weights: np.ndarray) -> tuple[np.ndarray, float]:
+    """Scores of the contexts of MET (labels x contexts), and the summed scores of the labels that its tokens have."""
+    of, n = np.repeat(np.arange(len(part["counts"])), part["counts"]), len(part["counts"])
+    by_set = np.stack([np.bincount(of, w[part["flat"]], n) for w in weights.T])
+    own, back, ahead = part["sets"].reshape(3, -1)
+    return by_set[:, own] + by_set[:, back] + by_set[:, ahead], float((part["gold"].reshape(n, -1).T * by_set).sum())
+
+
+def by_feature(part: dict, expected: np.ndarray, features: int) -> np.ndarray:
+    """Slopes in the weights, from how often each context of MET is expected to have each label but the first."""
+    k, n = len(expected) + 1, len(part["counts"])
+    of, away = np.repeat(np.arange(n), part["counts"]), part["gold"].reshape(n, k).T.astype(float)
+    for sets in part["sets"].reshape(3, -1):
+        for y in range(1, k):
+            away[y] -= np.bincount(sets, expected[y - 1], n)
+    away[0] = -away[1:].sum(0)  # chances sum to 1
+    return np.stack([np.bincount(part["flat"], x[of], features) for x in away], 1)
 
 
 def slopes(part: dict, weights: np.ndarray, steps: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Log-likelihood of the labels of MET, its slope in the weights, and in the steps."""
-    k, n = len(steps), len(part["counts"])
-    score, of = scored(part, weights)
-    gold, pairs = part["gold"].reshape(n, k).T, part["pairs"].reshape(k, k)
-    total, away, by_step = float((gold * score).sum() + (pairs * steps).sum()), gold.astype(float), pairs.astype(float)
-    for begin, log_sum, p, expected in chances(part, score, steps):
+    k, n, pairs = len(steps), len(part["many"]), part["pairs"].reshape(steps.shape)
+    score, total = scored(part, weights)
+    total, expected, by_step = total + float((pairs * steps).sum()), np.zeros((k - 1, n)), pairs.astype(float)
+    for begin, log_sum, p, moves in chances(part, score, steps):
         at = part["at"][begin : begin + p.shape[1]]
         for y in range(1, k):
-            away[y] -= np.bincount(at, p[y], n)
-        total, by_step = total - log_sum, by_step - expected
-    away[0] = -away[1:].sum(0)  # chances sum to 1
-    return total, np.stack([np.bincount(part["flat"], x[of], len(weights)) for x in away], 1), by_step
+            expected[y - 1] += np.bincount(at, p[y], n)
+        total, by_step = total - log_sum, by_step - moves
+    return total, by_feature(part, expected, len(weights)), by_step
 
 
 def slopes_apart(part: dict, weights: np.ndarray) -> tuple[float, np.ndarray]:
     """slopes of APART without steps: tokens of one context are alike."""
-    k, n = weights.shape[1], len(part["counts"])
-    score, of = scored(part, weights)
-    gold, high = part["gold"].reshape(n, k).T.astype(float), score.max(0)
-    e, many = np.exp(score - high), gold.sum(0)
+    score, total = scored(part, weights)
+    high = score.max(0)
+    e = np.exp(score - high)
     z = e.sum(0)
-    away = gold - e * (many / z)
-    away[0] = -away[1:].sum(0)
-    return float((gold * (score - high)).sum() - (many * np.log(z)).sum()), np.stack([np.bincount(part["flat"], x[of], len(weights)) for x in away], 1)
+    return total - float((part["many"] * (np.log(z) + high)).sum()), by_feature(part, e[1:] * (part["many"] / z), len(weights))
 
 
 def steep_features(part: dict, known: np.ndarray, weights: np.ndarray, steps: np.ndarray, least: float) -> tuple[float, np.ndarray, np.ndarray]:
     """Log-likelihood of the labels of CUT, and all features with a slope over least in a label, with their slopes."""
     k, n = len(steps), len(part["counts"]) // 3
     met, places = contexts(part, known, k), in_order(part["starts"], part["lengths"])
-    score, _ = scored(met, weights)
-    total = float((met["gold"].reshape(-1, k).T * score).sum() + (met["pairs"].reshape(k, k) * steps).sum())
+    score, total = scored(met, weights)
+    total += float((met["pairs"].reshape(k, k) * steps).sum())
     away = np.zeros((k, 3 * n))
     for begin, log_sum, p, _ in chances(met, score, steps):
         at = places[begin : begin + p.shape[1]]
@@ -711,7 +721,7 @@ def learned(df: DataFrame, text: str, label: Callable[[list[str]], list[str]], l
         if texts and (part := cut(texts, label, labels, dims)):
             yield stored(CUT, part)
 
-    raw = spread(df.select(text)).mapInArrow(cut_up, ddl(CUT)).persist()
+    raw = spread(df.select(text), 2).mapInArrow(cut_up, ddl(CUT)).persist()
     try:
         parts, tokens = raw.agg(F.count("*"), F.coalesce(F.sum(F.length("gold")), F.lit(0))).first()
         known, x, history, before = np.array(numbered(["bias"], dims)), np.zeros((k + 1) * k), [], np.inf

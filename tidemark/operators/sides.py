@@ -13,11 +13,11 @@ def sized(df: DataFrame, limit: int = ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df over all cores, if it has fewer partitions than there are: a few compressed megabytes are one task of a scan, though
+def spread(df: DataFrame, each: int = 1) -> DataFrame:
+    """df over all cores, if it has fewer than so many partitions for each: a few compressed megabytes are one task of a scan, though
     what is made of their rows may be large. Its rows are shuffled then, so it is for narrow ones."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < each * cores else df
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
