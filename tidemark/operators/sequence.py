@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ BATCH_TOKENS = 1 << 16
 #: Training takes sequences in pieces of so many tokens; trained takes so many pieces at most. Decoding takes whole sequences.
 PIECE_TOKENS, MOST_PIECES = 128, 8_000
 #: Characters of texts whose tokens learned holds in one row, and tokens that it goes through at a time.
-LEARN_CHARS, LEARN_TOKENS = 8_000_000, 1 << 17
+LEARN_CHARS, LEARN_TOKENS = 4_000_000, 1 << 17
 #: So many features at most begin to be weighed at a time, the steepest of those outside.
 MOST_NEW = 2_000
 #: Characters of texts that a task cuts into tokens at a time (at least one whole text).
@@ -721,7 +722,7 @@ def learned(df: DataFrame, text: str, label: Callable[[list[str]], list[str]], l
         if texts and (part := cut(texts, label, labels, dims)):
             yield stored(CUT, part)
 
-    raw = spread(df.select(text), 2).mapInArrow(cut_up, ddl(CUT)).persist()
+    raw = spread(df.select(text), 2).mapInArrow(cut_up, ddl(CUT)).persist(StorageLevel.DISK_ONLY)  # rows of megabytes
     try:
         parts, tokens = raw.agg(F.count("*"), F.coalesce(F.sum(F.length("gold")), F.lit(0))).first()
         known, x, history, before = np.array(numbered(["bias"], dims)), np.zeros((k + 1) * k), [], np.inf
@@ -777,7 +778,7 @@ def lowered(raw: DataFrame, known: np.ndarray, x: np.ndarray, k: int, l1: float,
         for part in loaded(CUT, batches):
             yield stored(kinds, contexts(part, ordered, k))
 
-    met = raw.mapInArrow(meet, ddl(kinds)).persist()
+    met = raw.mapInArrow(meet, ddl(kinds)).persist(StorageLevel.DISK_ONLY)
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         weights, steps = x[k * k :].reshape(-1, k)[order], x[: k * k].reshape(k, k)
